@@ -6,7 +6,8 @@ from .linededup import OP6_SQL, op6_linededup
 from .mixing import OP8_SQL, op8_mixing
 from .ordermin import op7_ordermin
 from .packing import op3_packing
+from .simhash import op1_simhash
 from .tokenfiles import op10_tokenfiles
 
-QUERIES = {"op3_packing": op3_packing, "op6_linededup": op6_linededup, "op7_ordermin": op7_ordermin, "op8_mixing": op8_mixing, "op10_tokenfiles": op10_tokenfiles}
+QUERIES = {"op1_simhash": op1_simhash, "op3_packing": op3_packing, "op6_linededup": op6_linededup, "op7_ordermin": op7_ordermin, "op8_mixing": op8_mixing, "op10_tokenfiles": op10_tokenfiles}
 ORACLE = {"op6_linededup": OP6_SQL, "op8_mixing": OP8_SQL}
