@@ -6,8 +6,20 @@ from .linededup import OP6_SQL, op6_linededup
 from .mixing import OP8_SQL, op8_mixing
 from .ordermin import op7_ordermin
 from .packing import op3_packing
+from .quality import op2_quality
 from .simhash import op1_simhash
 from .tokenfiles import op10_tokenfiles
+from .toxicity import op9_toxicity
 
-QUERIES = {"op1_simhash": op1_simhash, "op3_packing": op3_packing, "op6_linededup": op6_linededup, "op7_ordermin": op7_ordermin, "op8_mixing": op8_mixing, "op10_tokenfiles": op10_tokenfiles}
+QUERIES = {
+    "op1_simhash": op1_simhash,
+    "op2_quality": op2_quality,
+    "op3_packing": op3_packing,
+    "op6_linededup": op6_linededup,
+    "op7_ordermin": op7_ordermin,
+    "op8_mixing": op8_mixing,
+    "op9_toxicity": op9_toxicity,
+    "op10_tokenfiles": op10_tokenfiles,
+}
+#: SQL can't express the others: hashes that it lacks, trained models, tokenizers and packed files.
 ORACLE = {"op6_linededup": OP6_SQL, "op8_mixing": OP8_SQL}
