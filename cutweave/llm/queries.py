@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .langid import op4_langid
 from .linededup import OP6_SQL, op6_linededup
 from .mixing import OP8_SQL, op8_mixing
 from .ordermin import op7_ordermin
@@ -15,6 +16,7 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_quality": op2_quality,
     "op3_packing": op3_packing,
+    "op4_langid": op4_langid,
     "op6_linededup": op6_linededup,
     "op7_ordermin": op7_ordermin,
     "op8_mixing": op8_mixing,
