@@ -43,8 +43,9 @@ def template_ids(shape: Column, n: Column) -> Column:
     return F.when(n >= GENERAL, F.array(exact, *[open_at(j) for j in range(2, PARTS + 1)])).otherwise(F.array(exact))
 
 
-def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with the recurring lines taken out of its text column; lines and dropped_lines count them.
+def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counts: bool = True) -> DataFrame:
+    """docs with the recurring lines taken out of its text column. With counts, lines and dropped_lines count them and stand
+    in for columns of docs with these names.
 
     Rows are joined by id, so rows with one id are one document. A NULL text stays NULL, an empty one empty, a document whose
     lines all go becomes empty, and a document without an id keeps all its lines. An empty table gives no rows.
@@ -62,7 +63,9 @@ def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     kept = F.filter(lines, lambda x: ~F.array_contains(F.col("__gone"), F.xxhash64(F.lit(0), masked(x))) | (token_count(masked(x)) < LEAST))
     count = F.coalesce(F.size(F.when(F.col(text_col).isNotNull(), lines)), F.lit(0))
     out = joined.withColumn("__lines", count).withColumn("__kept", F.when(F.col("__gone").isNotNull(), kept))
-    return out.select(*[F.when(F.col("__kept").isNull(), F.col(c)).otherwise(F.array_join("__kept", "\n")).alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns], F.col("__lines").alias("lines"), F.when(F.col("__kept").isNull(), F.lit(0)).otherwise(F.col("__lines") - F.size("__kept")).alias("dropped_lines"))
+    new = [F.col("__lines").alias("lines"), F.when(F.col("__kept").isNull(), F.lit(0)).otherwise(F.col("__lines") - F.size("__kept")).alias("dropped_lines")] if counts else []
+    own = [c for c in docs.columns if not counts or c not in ("lines", "dropped_lines")]
+    return out.select(*[F.when(F.col("__kept").isNull(), F.col(c)).otherwise(F.array_join("__kept", "\n")).alias(c) if c == text_col else F.col(f"`{c}`") for c in own], *new)
 
 
 def op6_linededup(spark, sf_dir: str) -> DataFrame:

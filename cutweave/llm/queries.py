@@ -5,6 +5,7 @@ from __future__ import annotations
 from .langid import op4_langid
 from .linededup import OP6_SQL, op6_linededup
 from .mixing import OP8_SQL, op8_mixing
+from .mtree import OP5_SQL, op5_mtree
 from .ordermin import op7_ordermin
 from .packing import op3_packing
 from .quality import op2_quality
@@ -17,6 +18,7 @@ QUERIES = {
     "op2_quality": op2_quality,
     "op3_packing": op3_packing,
     "op4_langid": op4_langid,
+    "op5_mtree": op5_mtree,
     "op6_linededup": op6_linededup,
     "op7_ordermin": op7_ordermin,
     "op8_mixing": op8_mixing,
@@ -24,4 +26,4 @@ QUERIES = {
     "op10_tokenfiles": op10_tokenfiles,
 }
 #: SQL can't express the others: hashes that it lacks, trained models, tokenizers and packed files.
-ORACLE = {"op6_linededup": OP6_SQL, "op8_mixing": OP8_SQL}
+ORACLE = {"op5_mtree": OP5_SQL, "op6_linededup": OP6_SQL, "op8_mixing": OP8_SQL}

@@ -95,8 +95,8 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MOST) -> bytes:
     return trained(labelled_sample(docs, labels.filter("doc_id IS NOT NULL AND y IS NOT NULL"), most), fit)
 
 
-def score(docs: DataFrame, model: bytes, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, score, predicted, worst (the sentence of the highest score), worst_score, offending (sentences at or above the
+def score(docs: DataFrame, model: bytes, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text", details: bool = True) -> DataFrame:
+    """doc_id, score, predicted and, with details, worst (the sentence of the highest score), worst_score, offending (sentences at or above the
     threshold, with their scores, in text order) for each row of docs. NULL and wordless texts have score 0 and no sentence."""
     id_type = docs.schema[id_col].dataType.simpleString()
     held = docs.sparkSession.sparkContext.broadcast(model)  # the size is fixed by BITS
@@ -109,6 +109,9 @@ def score(docs: DataFrame, model: bytes, threshold: float = 0.5, id_col: str = "
                 words, doc, spans, of, at = instances(part.column("text"))
                 p = sigmoid(np.bincount(of, w[at], minlength=len(doc)) + w[-1])
                 total = noisy_or(p, doc, part.num_rows)
+                if not details:
+                    yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(total), pa.array((total >= threshold).astype(np.int32))], ["doc_id", "score", "predicted"])
+                    continue
                 text = lambda k: words.text[spans[k, 0] : spans[k, 1]].tobytes().decode()  # noqa: B023, E731
                 bounds = np.searchsorted(doc, np.arange(part.num_rows + 1))
                 best = [a + int(np.argmax(p[a:b])) if a < b else None for a, b in zip(bounds, bounds[1:], strict=False)]
@@ -118,7 +121,7 @@ def score(docs: DataFrame, model: bytes, threshold: float = 0.5, id_col: str = "
                 cols = [part.column("doc_id"), pa.array(total), pa.array((total >= threshold).astype(np.int32)), pa.array([None if k is None else text(k) for k in best], pa.string()), pa.array([None if k is None else float(p[k]) for k in best], pa.float64()), pa.array(bad, found)]
                 yield pa.RecordBatch.from_arrays(cols, ["doc_id", "score", "predicted", "worst", "worst_score", "offending"])
 
-    schema = f"doc_id {id_type}, score double, predicted int, worst string, worst_score double, offending array<struct<sentence:string,score:double>>"
+    schema = f"doc_id {id_type}, score double, predicted int" + ", worst string, worst_score double, offending array<struct<sentence:string,score:double>>" * details
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
 
 
