@@ -23,8 +23,8 @@ from .components import components
 BITS, DISTANCE, SHINGLE, SEED = 64, 3, 3, 42
 #: Fingerprints under one value beyond which they are linked through the values around them instead of being compared.
 CROWD = 1 << 14
-#: What a candidate costs beside a probe in the plan.
-CANDIDATE_COST = 32.0
+#: What a candidate costs beside a probe in the plan: a probe is a row to sort and move, a candidate a few bit operations there.
+CANDIDATE_COST = 1.0
 
 
 def simhash(text: str | None) -> int:
