@@ -56,3 +56,18 @@ def global_rank(df: DataFrame, order: list[Column], rank: str) -> DataFrame:
     before = totals.select("__range", (F.sum("__rows").over(Window.orderBy("__range")) - F.col("__rows")).alias("__before"))
     local = ranged.withColumn("__local", F.row_number().over(Window.partitionBy("__range").orderBy(*order)) - F.lit(1))
     return local.join(before, "__range").withColumn(rank, F.col("__local") + F.col("__before")).drop("__range", "__local", "__before")
+
+
+def range_edges(df: DataFrame, key: str, ranges: int) -> list:
+    """Keys that cut df into about equal ranges, at most ranges - 1 of them; only the key is read."""
+    return sorted(set(df.agg(F.percentile_approx(key, [i / ranges for i in range(1, ranges)], 10 * ranges)).first()[0] or [])) if ranges > 1 else []
+
+
+def range_of(key: Column, edges: list) -> Column:
+    """How many edges are below key, found by halving; 0 for NULL."""
+    if not edges:
+        return F.lit(0)
+    all_edges, n = F.array(*[F.lit(e) for e in edges]), len(edges)
+    steps = F.array(*[F.lit(1 << b) for b in range(n.bit_length() - 1, -1, -1)])
+    found = F.aggregate(steps, F.lit(0), lambda t, s: F.when((t + s <= n) & (key > F.get(all_edges, F.least(t + s, F.lit(n)) - 1)), t + s).otherwise(t))
+    return F.when(key.isNull(), F.lit(0)).otherwise(found)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, table
+from .common import range_edges, range_of, table
 
 K, TUPLE, SLOTS = 3, 2, 64
 #: A packed long holds a 33-bit hash above a 30-bit position: a string of at most 2^31 bytes has fewer than 2^30 words.
@@ -94,15 +94,7 @@ def with_next(docs: DataFrame, blocks: int) -> DataFrame:
     Rows are dealt to blocks of consecutive ids by approximate quantiles and each block is sorted alone: the text moves once.
     The first row of each block also goes, as a guest, to the end of the block before it.
     """
-    cuts = docs.agg(F.percentile_approx("doc_id", [i / blocks for i in range(1, blocks)], 10 * blocks)).first()[0] or []
-    edges = sorted(set(cuts))
-    block = F.lit(0).cast("int")
-    if edges:
-        upper = F.array(*[F.lit(e) for e in edges])
-        # rows up to the first edge are block 0; ids above it count the edges below them by halving
-        block = F.aggregate(F.array(*[F.lit(1 << b) for b in range(len(edges).bit_length() - 1, -1, -1)]), F.lit(0), lambda t, s: F.when((t + s <= len(edges)) & (F.col("doc_id") > F.get(upper, F.least(t + s, F.lit(len(edges))) - 1)), t + s).otherwise(t))
-        block = F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(block)
-    placed = docs.withColumn("block", block)
+    placed = docs.withColumn("block", range_of(F.col("doc_id"), range_edges(docs, "doc_id", blocks)))
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     heads = placed.groupBy("block").agg(F.min_by(F.struct("doc_id", "text"), F.struct(F.col("doc_id").isNotNull(), "doc_id", F.xxhash64("text"))).alias("head"))
     # one row per block: to the block that comes before it, the first to the last one

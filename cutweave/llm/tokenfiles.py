@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import tokens, wavelet
-from .common import shared_dir, table, written
+from .common import range_edges, range_of, shared_dir, table, written
 
 
 def to_batch(df: pd.DataFrame):
@@ -42,7 +42,8 @@ def write_shards(docs: DataFrame, directory: str, tokenizer: str | None = None,
     path = tokenizer or tokens.tokenizer_path()
     ranged = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
-    ranged = ranged.repartitionByRange(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.col("doc_id").asc_nulls_first()).sortWithinPartitions(*order)
+    ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = ranged.repartitionById(ranges, range_of(F.col("doc_id"), range_edges(ranged, "doc_id", ranges))).sortWithinPartitions(*order)
 
     def write(batches):
         encoder, part, shard = tokens.encoder(path), TaskContext.get().partitionId(), 0

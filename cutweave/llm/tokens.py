@@ -6,54 +6,81 @@ independently; so texts are cut there and the ids of a part are kept. Texts with
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 
 import numpy as np
 
 TOKENIZER = "byte_bpe_50k.json"
 #: Parts whose ids are kept in each Python worker. Beyond it the store starts anew; this bounds memory, not the result.
-KEPT = 1_000_000
+KEPT = 1_500_000
+_PACK = [struct.Struct(f"<{n}H").pack for n in range(32)]
 _loaded: dict[str, "Encoder"] = {}
 
 
 class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.newline = self._whole("\n")
+        self.marks = {m: self._whole(m) for m in ".,"}
+        self.word = self.tokenizer.model.tokenize
+        # the model's own letters for bytes: those of ASCII letters are the letters themselves
+        (space, _), = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(" ")
+        self.space = space
+        self.latin = {b: ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(chr(b))[0][0] for b in range(0x80, 0x250)}
         self.known: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u2").tobytes()
 
-    def _learn(self, parts: list[str], lead: str, key: str) -> None:
-        """The ids of parts, none of which holds white space, from one text with a line for each."""
-        ids = np.frombuffer(self._whole("\n".join([lead + p for p in parts])), "<u2")
-        ends = [*np.flatnonzero(ids == np.frombuffer(self.newline, "<u2")[0]).tolist(), len(ids)]
-        raw, start, before = ids.tobytes(), 0, self.newline if key else b""
-        for p, end in zip(parts, ends, strict=True):
-            self.known[key + p] = before + raw[2 * start : 2 * end]
-            start = end + 1
+    def _learn(self, part: str) -> bytes | None:
+        """The ids of a part; None if it is empty or holds white space besides the line end that it begins with.
+
+        Latin letters, with a comma or full stop after them or not, are one unit for the model, and the mark another.
+        """
+        line = part[:1] == "\n"
+        word = part[1:] if line else part
+        stem = word if word.isalpha() else word[:-1]
+        mark = b"" if stem is word else self.marks.get(word[-1:])
+        if mark is not None and stem.isalpha() and (stem.isascii() or max(stem) < "\u0250"):
+            if mark and (ids := self.known.get("\n" + stem if line else stem)):
+                return ids + mark
+            ids = [t.id for t in self.word(("" if line else self.space) + (stem if stem.isascii() else stem.translate(self.latin)))]
+            return (self.newline if line else b"") + _PACK[len(ids)](*ids) + mark if len(ids) < len(_PACK) else self._whole(part if line else " " + part)
+        if word.split() != [word]:
+            return None
+        return self._whole(part if line else " " + part)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 16-bit integers."""
         if len(self.known) > KEPT:
             self.known = {}
-        cut: list[list[str] | None] = []
+        known, out = self.known, []
         for text in texts:
-            words, breaks = text.split(), text.count(" ") + text.count("\n")
-            single = len(words) == breaks + 1 and len(text) - sum(map(len, words)) == breaks
+            if not text:
+                out.append(b"")
+                continue
             # a part that begins a line is known by the line end before it, any other by itself
-            cut.append(text.replace("\n", " \n").split(" ") if single else None)
-        new = set().union(*(x[1:] for x in cut if x)) - self.known.keys()
-        inner, starts = [p for p in new if p[0] != "\n"], [p[1:] for p in new if p[0] == "\n"]
-        for parts, lead, key in ((inner, " ", ""), (starts, "", "\n")):
-            for i in range(0, len(parts), 5_000):
-                self._learn(parts[i : i + 5_000], lead, key)
-        get = self.known.__getitem__
-        return [(self._whole(t) if t else b"") if x is None else self._whole(x[0]) + b"".join(map(get, x[1:])) for t, x in zip(texts, cut, strict=True)]
+            parts = text.replace("\n", " \n").split(" ")
+            first, parts[0] = parts[0], parts[-1]
+            ids = list(map(known.get, parts))
+            whole, at = len(first.split()) != 1 or len(first.strip()) != len(first), -1
+            for _ in range(0 if whole else ids.count(None)):
+                at = ids.index(None, at + 1)
+                if (got := known.get(parts[at]) or self._learn(parts[at])) is None:
+                    whole = True
+                    break
+                known[parts[at]] = ids[at] = got
+            if whole:
+                out.append(self._whole(text))
+            else:
+                ids[0] = self._whole(first)
+                out.append(b"".join(ids))
+        return out
 
 
 def encoder(path: str) -> Encoder:

@@ -33,11 +33,10 @@ def build(ids: np.ndarray, doc_ids: list[int | None], lengths: list[int], part:
     levels = max(1, int(len(alphabet) - 1).bit_length()) if len(alphabet) else 1
     pack, row, sections, zeros, ones_before, sizes = zstandard.ZstdCompressor(level=1), place[ids], [], [], [], []
     for level in range(levels - 1, -1, -1):
-        bit = (row >> np.uint16(level)) & np.uint16(1)
-        bit = bit.view(np.uint8)[::2].astype(bool)
+        bit = (row & np.uint16(1 << level)) != 0
         planes = np.packbits(bit, bitorder="little")
         blocks = [pack.compress(planes[i : i + BLOCK // 8].tobytes()) for i in range(0, len(planes), BLOCK // 8)]
-        ones = np.add.reduceat(bit, np.arange(0, len(bit), BLOCK), dtype=np.int64) if len(bit) else np.zeros(0, np.int64)
+        ones = np.add.reduceat(np.bitwise_count(planes), np.arange(0, len(planes), BLOCK // 8), dtype=np.int64) if len(planes) else np.zeros(0, np.int64)
         ones_before.append(np.concatenate([[0], np.cumsum(ones)]).astype(int).tolist())
         sizes.append([len(b) for b in blocks])
         sections += blocks
@@ -137,6 +136,9 @@ class Shard:
             packed = b"".join(self.unpack.decompress(self.data[s:e]) for s, e in zip(self.starts[plane], self.starts[plane][1:], strict=False))
             bit = np.unpackbits(np.frombuffer(packed, np.uint8), count=n, bitorder="little").view(bool)
             zeros, level = self.head["zeros"][plane], self.head["levels"] - 1 - plane
+            if not level:
+                row = bit.astype(np.uint16)
+                continue
             up = np.empty(n, np.uint16)
             up[~bit] = row[:zeros]
             up[bit] = row[zeros:] | np.uint16(1 << level)
