@@ -27,23 +27,25 @@ def neighbours(segments: DataFrame) -> DataFrame:
     return paired(rows.withColumns({"support": support, "known": known}), "left_text", "right_text")
 
 
+def later_text(fps: float, c=F.col) -> Column:
+    """Whether the right one of two merged neighbours gives the text: of two different steps with one ingredient, or if it is more
+    specific, or as specific and not much shorter. c looks up the columns of neighbours()."""
+    seconds = lambda p: F.greatest(F.lit(0.0), c(f"{p}frames") / fps)
+    both = lambda n: T.some(T.both(c(f"l_{n}"), c(f"r_{n}")))
+    steps = both("ingredients") & c("l_prep_ingredient") & c("r_prep_ingredient") & ~both("actions")
+    return steps | (c("r_specificity") > c("l_specificity")) | ((c("r_specificity") == c("l_specificity")) & (seconds("r_") >= 0.75 * seconds("l_")))
+
+
 def chosen_text(fps: float) -> Column:
-    """The text of two merged neighbours: the later of two different steps with one ingredient, else the more specific, else the
-    right one unless it is much shorter."""
-    seconds = lambda p: F.greatest(F.lit(0.0), F.col(f"{p}frames") / fps)
-    both = lambda n: T.some(T.both(F.col(f"l_{n}"), F.col(f"r_{n}")))
-    steps = both("ingredients") & F.col("l_prep_ingredient") & F.col("r_prep_ingredient") & ~both("actions")
-    right = steps | (F.col("r_specificity") > F.col("l_specificity")) | ((F.col("r_specificity") == F.col("l_specificity")) & (seconds("r_") >= 0.75 * seconds("l_")))
-    return F.when(right, F.col("right_text")).otherwise(F.col("left_text"))
+    return F.when(later_text(fps), F.col("right_text")).otherwise(F.col("left_text"))
 
 
-def may_merge(fps: float, threshold: float = 0.9) -> Column:
-    """Whether neighbours are one task, over the columns of neighbours().
+def may_merge(fps: float, threshold: float = 0.9, c=F.col) -> Column:
+    """Whether neighbours are one task; c looks up the columns of neighbours().
 
     A table of reasons, each a condition on what the texts share, on how sure the boundary is and on the lengths in seconds. A
     strong boundary, two ingredients prepared for one dish, or a turn from a general phase to a named ingredient forbid it.
     """
-    c = F.col
     either = lambda n: c(f"l_{n}") | c(f"r_{n}")
     all_ = lambda n: c(f"l_{n}") & c(f"r_{n}")
     shared = lambda n: T.both(c(f"l_{n}"), c(f"r_{n}"))
@@ -125,3 +127,61 @@ def refined_texts(final: DataFrame, source: DataFrame) -> DataFrame:
     take = F.col("best.specific") & (~F.col("own_specific") | (F.col("best.overlap") / F.greatest(F.lit(1.0), F.col("end_excl") - F.col("start_frame")) >= 0.45))
     text = F.when(F.coalesce(take, F.lit(False)), F.col("best.txt")).otherwise(F.col("instruction"))
     return f.join(best, ["sample_id", "seg_id"], "left").select(*[text.alias(c) if c == "instruction" else F.col(c) for c in final.columns])
+
+
+def merge_tasks(segments: DataFrame, fps: float = 30.0, threshold: float = 0.9) -> DataFrame:
+    """Joins neighbours that are one task, from the left: each segment is held against what those before it have become.
+
+    The joined segment ends where the right one does, has its support after and the better confidence of both, and the text of
+    the one that later_text() names. A sample's segments are folded in one array, samples in parallel.
+    """
+    d = T.described(segments.select("instruction").distinct())
+    kept = [c for c in d.columns if c not in ("tokens", "all_words", "head", "subject", "dest_food", "specific")]
+    spans = ["start_frame", "end_excl", "confidence", "support_before", "support_after"]
+    rows = segments.join(d, "instruction").withColumn("frames", F.col("end_excl") - F.col("start_frame"))
+    listed = rows.groupBy("sample_id").agg(F.array_sort(F.collect_list(F.struct("seg_id", "frames", *spans, *kept))).alias("all"))
+    item = listed.schema["all"].dataType.elementType
+
+    def fold(done: Column, x: Column) -> Column:
+        last = F.element_at(done, -1)
+        support, known = support_between(last["support_after"], x["support_before"])
+        look = lambda name: support if name == "support" else known if name == "known" else (last if name[:2] == "l_" else x)[name[2:]]
+        right = later_text(fps, look)
+        text = [F.when(right, x[k]).otherwise(last[k]).alias(k) for k in kept]
+        joined = F.struct(last["seg_id"].alias("seg_id"), (x["end_excl"] - last["start_frame"]).alias("frames"), last["start_frame"].alias("start_frame"), x["end_excl"].alias("end_excl"), F.greatest(last["confidence"], x["confidence"]).alias("confidence"), last["support_before"].alias("support_before"), x["support_after"].alias("support_after"), *text)
+        into = F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(joined.cast(item)))
+        return F.when(may_merge(fps, threshold, look), into).otherwise(F.concat(done, F.array(x)))
+
+    folded = F.aggregate(F.slice("all", 2, F.size("all")), F.slice("all", 1, 1), fold)
+    return listed.select("sample_id", F.posexplode(folded).alias("seg_id", "s")).select("sample_id", F.col("seg_id").cast("long").alias("seg_id"), *[F.col(f"s.{c}").alias(c) for c in ("start_frame", "end_excl", "instruction", "confidence", "support_before", "support_after")])
+
+
+def spaced_anchors(boundaries: DataFrame, ranges: DataFrame, limit: int = 1, spacing: int = 3, side: int = 2, least: float = 1.03) -> DataFrame:
+    """boundaries(sample_id, seg_id, reasons, score, support, shorter, frames), ranges(sample_id, start_idx, end_idx) -> the anchors of
+    each range: by rank, those with the least score or more and enough segments at both sides, not nearer than spacing to one
+    that was taken, until the limit. Long ranges rank balance first and take more."""
+    long_from = max(10, 4 * spacing)
+    met = boundaries.join(ranges, "sample_id").filter((F.col("seg_id") >= F.col("start_idx")) & (F.col("seg_id") < F.col("end_idx")))
+    n = F.col("end_idx") - F.col("start_idx") + 1
+    balance = F.least(F.col("seg_id") - F.col("start_idx") + 1, F.col("end_idx") - F.col("seg_id"))
+    reasons = F.size(F.filter(F.split("reasons", ","), lambda r: r.isin("sequence", "drift")))
+    rank = F.struct(F.when(n >= long_from, -balance).otherwise(0).alias("a"), (-F.col("score")).alias("b"), (-reasons).alias("c"), (-F.col("support")).alias("d"), (-F.col("shorter")).alias("e"), (-F.col("frames")).alias("f"), F.col("seg_id").alias("g"))
+    fit = met.filter((F.col("score") >= least) & (balance >= side))
+    most = F.when(n >= long_from, F.greatest(F.lit(limit), F.ceil((n - 1) / (2 * spacing)).cast("int"))).otherwise(limit)
+    listed = fit.groupBy("sample_id", "start_idx", "end_idx").agg(F.transform(F.array_sort(F.collect_list(rank)), lambda r: r["g"]).alias("ranked")).withColumn("most", most)
+    take = lambda got, b: F.when((F.size(got) < F.col("most")) & F.forall(got, lambda g: F.abs(g - b) >= spacing), F.concat(got, F.array(b))).otherwise(got)
+    return listed.select("sample_id", "start_idx", "end_idx", F.explode(F.array_sort(F.aggregate("ranked", F.array().cast("array<bigint>"), take))).alias("boundary"))
+
+
+def duplicate_tails(segments: DataFrame, ranges: DataFrame, least_frames: int = 5, again: DataFrame | None = None) -> DataFrame:
+    """Splits the last segment off a range where it repeats the text before it, is long enough, and the boundary after the range is
+    a turn of sequence or task. again(sample_id, end_idx, again) may say which segments repeat the one before."""
+    w = Window.partitionBy("sample_id").orderBy("seg_id")
+    tails = segments.select("sample_id", F.col("seg_id").alias("end_idx"), (F.col("end_excl") - F.col("start_frame") >= least_frames).alias("long"), (T.key_of(F.col("instruction")) == F.lag(T.key_of(F.col("instruction"))).over(w)).alias("again"))
+    tails = tails if again is None else tails.drop("again").join(again, ["sample_id", "end_idx"])
+    n = neighbours(segments)
+    turns = n.select("sample_id", F.col("seg_id").alias("end_idx"), (T.distinct_markers(F.col("l_markers"), F.col("r_markers")) | T.drifts("l_", "r_")).alias("turn"))
+    met = ranges.join(tails, ["sample_id", "end_idx"], "left").join(turns, ["sample_id", "end_idx"], "left")
+    split = F.coalesce((F.col("end_idx") > F.col("start_idx")) & F.col("long") & F.col("again") & F.col("turn"), F.lit(False))
+    one, two = F.struct("start_idx", "end_idx"), F.array(F.struct("start_idx", (F.col("end_idx") - 1).alias("end_idx")), F.struct(F.col("end_idx").alias("start_idx"), "end_idx"))
+    return met.select("sample_id", F.explode(F.when(split, two).otherwise(F.array(one))).alias("r")).select("sample_id", "r.*")

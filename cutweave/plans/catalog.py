@@ -20,4 +20,4 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-from . import evaluation, merging, voting, windowing, wording  # noqa: E402, F401  each registers its queries
+from . import evaluation, merging, queueing, recorded, reporting, voting, windowing, wording  # noqa: E402, F401  each registers its queries

@@ -177,6 +177,37 @@ def fold02(spark, sf_dir):
     return D.neighbours(segments(spark, sf_dir)).select("sample_id", "seg_id", D.may_merge(30.0).alias("merge"))
 
 
+@query("fold01_task_merge")
+def fold01(spark, sf_dir):
+    return D.merge_tasks(segments(spark, sf_dir))
+
+
+def coarse(spark, sf_dir):
+    s = segments(spark, sf_dir)
+    return s, S.ranges_from_boundaries(s.filter("part % 5 = 0").select("sample_id", F.col("seg_id").alias("boundary")), s.groupBy("sample_id").agg(F.count("*").alias("n")))
+
+
+@query("fold06_spaced_anchors")
+def fold06(spark, sf_dir):
+    s, ranges = coarse(spark, sf_dir)
+    return D.spaced_anchors(D.blocked_boundaries(s, 0.45), ranges, spacing=2, side=1, least=0.5)
+
+
+@query("wfn05_duplicate_tails", f"""WITH {PAIRS_SQL}, z AS (SELECT sample_id, count(*) AS n FROM segments GROUP BY ALL), e AS (SELECT s.sample_id, seg_id AS end_idx FROM segments s JOIN z USING (sample_id) WHERE part % 5 = 0 OR seg_id = n - 1),
+r AS (SELECT sample_id, coalesce(lag(end_idx) OVER (PARTITION BY sample_id ORDER BY end_idx) + 1, 0) AS start_idx, end_idx FROM e),
+g AS (SELECT sample_id, seg_id, end_excl - start_frame >= 5 AND left(lower(trim(instruction)), 9) = lag(left(lower(trim(instruction)), 9)) OVER (PARTITION BY sample_id ORDER BY seg_id) AS again FROM segments),
+t AS (SELECT n.sample_id, n.seg_id, {DRIFT_SQL} OR {MARK_SQL} AS turn FROM nb n JOIN lr ON lr.instruction = n.instruction AND lr.r_text = n.r_text WHERE n.r_id IS NOT NULL),
+x AS (SELECT r.*, coalesce(end_idx > start_idx AND again AND turn, false) AS split FROM r LEFT JOIN g ON g.sample_id = r.sample_id AND g.seg_id = end_idx LEFT JOIN t ON t.sample_id = r.sample_id AND t.seg_id = end_idx)
+SELECT sample_id, start_idx, CASE WHEN split THEN end_idx - 1 ELSE end_idx END AS end_idx FROM x UNION ALL SELECT sample_id, end_idx, end_idx FROM x WHERE split""")
+def wfn05(spark, sf_dir):
+    s, ranges = coarse(spark, sf_dir)
+    # texts are shortened for the comparison of neighbours only, so that some repeat
+    tails = s.select("sample_id", "seg_id", F.left("instruction", F.lit(9)).alias("short"))
+    w = Window.partitionBy("sample_id").orderBy("seg_id")
+    again = s.join(tails, ["sample_id", "seg_id"]).withColumn("again", T.key_of(F.col("short")) == F.lag(T.key_of(F.col("short"))).over(w))
+    return D.duplicate_tails(s, ranges, again=again.select("sample_id", F.col("seg_id").alias("end_idx"), "again"))
+
+
 @query("txt18_slugs", f"WITH {SEGMENTS_SQL} SELECT DISTINCT instruction, coalesce(nullif(left(trim(regexp_replace(lower(instruction), '[^a-z0-9]+', '_', 'g'), '_'), 48), ''), 'segment') AS slug FROM segments")
 def txt18(spark, sf_dir):
     return segments(spark, sf_dir).select("instruction").distinct().withColumn("slug", T.slug(F.col("instruction")))
