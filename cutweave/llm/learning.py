@@ -6,6 +6,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import tokens
+
 
 def labelled_sample(docs: DataFrame, label: DataFrame, most: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """label(doc_id, y) -> (text, y): the documents of about most labelled ids, at most twice as many, in a fixed order and in one partition.
@@ -25,6 +27,7 @@ def trained(sample: DataFrame, fit) -> bytes:
     import pyarrow as pa
 
     def run(batches):
+        tokens.release()
         yield pa.RecordBatch.from_arrays([pa.array([fit(batches)], pa.binary())], ["model"])
 
     return bytes(sample.mapInArrow(run, "model binary").first()["model"])

@@ -93,6 +93,11 @@ def encoder(path: str) -> Encoder:
     return _loaded[path]
 
 
+def release() -> None:
+    """Lets go of the encoders that a reused worker holds, for operators that need the memory."""
+    _loaded.clear()
+
+
 def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
 

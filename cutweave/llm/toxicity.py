@@ -12,14 +12,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import tokens
 from .common import table
 from .learning import Ftrl, known_fold, labelled_sample, sigmoid, trained
 from .words import mix, slices, words_of
 
 BITS = 18
 FOLDS, HELD = 5, 0
-MOST = 20_000
-EPOCHS, ALPHA, L1, L2, START = 6, 1.0, 6.0, 0.01, -5.0
+#: Labelled documents to learn from, about, and bytes of text whose features are held at once.
+MOST, SLICE = 12_000, 1 << 21
+EPOCHS, ALPHA, L1, L2, START = 10, 0.5, 6.0, 0.01, -5.0
 #: Labelled documents in which a word or pair must stand to get a weight: words of a few documents would be learned by heart.
 COMMON = 5
 
@@ -59,23 +61,27 @@ def noisy_or(p: np.ndarray, doc: np.ndarray, docs: int) -> np.ndarray:
 
 def fit(batches) -> bytes:
     """The weights as 32-bit floats, the bias last. Without labelled documents the bias alone speaks."""
-    bags, size = [], 1 << BITS
+    size = 1 << BITS
+    held, texts, bags = np.zeros(size, np.int64), [], []
     for batch in batches:
-        for part in slices(batch):
+        for part in slices(batch, most=SLICE):
             _, doc, _, of, at = instances(part.column("text"))
-            turn = np.argsort(of, kind="stable")
-            of, at = of[turn], at[turn]
-            bounds = np.searchsorted(doc, np.arange(part.num_rows + 1))
-            feats = np.searchsorted(of, bounds)
-            for i, y in enumerate(part.column("y").to_pylist()):
+            held += np.bincount(np.unique(doc[of] << BITS | at) & (size - 1), minlength=size)
+            texts.append(part)
+    for part in texts:  # again, now that the common ones are known: the others are never kept
+        _, doc, _, of, at = instances(part.column("text"))
+        common = held[at] >= COMMON
+        of, at = of[common], at[common]
+        turn = np.argsort(of, kind="stable")
+        of, at = of[turn], at[turn]
+        bounds = np.searchsorted(doc, np.arange(part.num_rows + 1))
+        feats = np.searchsorted(of, bounds)
+        for i, y in enumerate(part.column("y").to_pylist()):
+            if bounds[i] < bounds[i + 1]:
                 s = slice(feats[i], feats[i + 1])
-                if bounds[i] < bounds[i + 1]:
-                    bags.append((at[s], (of[s] - bounds[i]).astype(np.int32), int(bounds[i + 1] - bounds[i]), float(y)))
-    held = np.zeros(size, np.int64)
-    for at, *_ in bags:
-        held[np.unique(at)] += 1
-    bags = [(at[ok], of[ok], n, y) for at, of, n, y in bags for ok in [held[at] >= COMMON]]
-    model = Ftrl(size, ALPHA, L1, L2)
+                bags.append((at[s].astype(np.int32), (of[s] - bounds[i]).astype(np.int32), int(bounds[i + 1] - bounds[i]), float(y)))
+    # few toxic examples give small sums of gradients, so what a weight must overcome follows their number
+    model = Ftrl(size, ALPHA, min(L1, max(0.3, sum(y for *_, y in bags) / 100)), L2)
     for epoch in range(EPOCHS):
         for k in np.random.default_rng(epoch).permutation(len(bags)):
             at, of, n, y = bags[k]
@@ -103,9 +109,10 @@ def score(docs: DataFrame, model: bytes, threshold: float = 0.5, id_col: str = "
     found = pa.list_(pa.struct([("sentence", pa.string()), ("score", pa.float64())]))
 
     def run(batches):
+        tokens.release()
         w = np.frombuffer(held.value, "<f4").astype(np.float64)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, most=SLICE):
                 words, doc, spans, of, at = instances(part.column("text"))
                 p = sigmoid(np.bincount(of, w[at], minlength=len(doc)) + w[-1])
                 total = noisy_or(p, doc, part.num_rows)
