@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 UNKNOWN = "Unknown task step"
-BY_ID = Window.partitionBy("sample_id").orderBy("seg_id")
 
 
 def from_points(points: DataFrame, samples: DataFrame) -> DataFrame:
@@ -22,7 +21,7 @@ def from_points(points: DataFrame, samples: DataFrame) -> DataFrame:
 
 def inner_boundaries(segments: DataFrame, least_support: float | None = None) -> DataFrame:
     """sample_id, seg_id, frame, support: ends of all segments but the last; with least_support the strong ones alone."""
-    rows = segments.withColumn("__next", F.lead("seg_id").over(BY_ID)).filter("__next IS NOT NULL").select("sample_id", "seg_id", F.col("end_excl").alias("frame"), F.col("support_after").alias("support"))
+    rows = segments.withColumn("__next", F.lead("seg_id").over(Window.partitionBy("sample_id").orderBy("seg_id"))).filter("__next IS NOT NULL").select("sample_id", "seg_id", F.col("end_excl").alias("frame"), F.col("support_after").alias("support"))
     return rows if least_support is None else rows.filter(F.col("support") >= least_support)
 
 

@@ -140,7 +140,8 @@ def merge_tasks(segments: DataFrame, fps: float = 30.0, threshold: float = 0.9)
     spans = ["start_frame", "end_excl", "confidence", "support_before", "support_after"]
     rows = segments.join(d, "instruction").withColumn("frames", F.col("end_excl") - F.col("start_frame"))
     listed = rows.groupBy("sample_id").agg(F.array_sort(F.collect_list(F.struct("seg_id", "frames", *spans, *kept))).alias("all"))
-    item = listed.schema["all"].dataType.elementType
+    item = listed.schema["all"].dataType.elementType.simpleString()
+    listed = listed.withColumn("all", F.col("all").cast(f"array<{item}>"))  # so that all fields may be NULL
 
     def fold(done: Column, x: Column) -> Column:
         last = F.element_at(done, -1)
