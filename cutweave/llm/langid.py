@@ -217,7 +217,7 @@ def loaded(data: bytes) -> tuple[list[str], np.ndarray, np.ndarray]:
     n = int.from_bytes(data[:4], "little")
     langs = json.loads(data[4 : 4 + n])["langs"]
     values, L = np.frombuffer(data[4 + n :], "<f4").astype(np.float64), len(langs)
-    return langs, values[: L << BITS].reshape(-1, L), values[L << BITS :].reshape(L, L)
+    return langs, values[: L << BITS].reshape(1 << BITS, L), values[L << BITS :].reshape(L, L)
 
 
 def train(docs: DataFrame, most: int = MOST, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> bytes:
