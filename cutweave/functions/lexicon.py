@@ -26,6 +26,9 @@ FAMILIES = {"add": ["add", "fill", "pour", "sprinkle"], "mix": MIXING, "cook": [
 PLACES = ["to", "onto", "into", "over", "inside", "within", "toward", "towards", "from", "in", "on"]
 FILLER_STARTS = ["wait", "explain", "describe", "narrate"]
 HEATED = ["pan", "pot"]
+SAUCE_BASE = ["liquid", "mixture", "onion", "sauce", "tomato"]
+# Words of ordinal rounds: texts that differ in these alone are rounds of one step.
+ROUND = ["10th", "11th", "12th", "1st", "2nd", "3rd", "4th", "5th", "6th", "7th", "8th", "9th", "a", "an", "another", "eighth", "eleventh", "fifth", "final", "first", "fourth", "initial", "last", "next", "ninth", "second", "seventh", "sixth", "tenth", "the", "third", "twelfth"]
 
 #: Words that are never the object or the destination of an instruction.
 COMMON = [*STOP, *STRONG, *GENERIC, *PREP, *ACTION_FILLER, *ROBOT, "new"]

@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from ..functions import lexicon as X
 from ..functions import text as T
+from ..sources.scratch import settled
 from . import segments as S
 from . import votes as V
 from . import wording as D
+from .drift import split_on_drift
 from .windows import centre_weight
 
 # Words that tell a finished action from its preparation, and how preparations begin.
@@ -143,7 +145,8 @@ def assembled(results: DataFrame, windows: DataFrame, samples: DataFrame, frames
     sample_id, seg_id, the segment's columns and policy.
 
     Repeats vote on each window's cuts; cuts weigh by their place in the window and are clustered; close cuts of one window are
-    kept apart; labelled frames give each segment its text; cleaned and merged segments are held against the guards.
+    kept apart; labelled frames give each segment its text; long segments are split where the texts drift; cleaned and merged segments
+    are held against the guards.
     """
     used = results.filter("result IS NOT NULL").join(windows.select("sample_id", "window_id", "frame_ids"), ["sample_id", "window_id"])
     said = used.select("sample_id", "window_id", "repeat_index", F.posexplode(F.when(F.size("result.transitions") > 0, F.col("result.transitions")).otherwise(F.array().cast("array<int>"))).alias("k", "place"), "frame_ids")
@@ -159,9 +162,9 @@ def assembled(results: DataFrame, windows: DataFrame, samples: DataFrame, frames
     cut = S.from_points(points.unionByName(micro.join(raw_support, ["sample_id", "point"], "left")), samples)
     chosen = used.groupBy("sample_id", "window_id").agg(F.min_by("result", F.struct((-F.size("result.transitions")).alias("a"), "repeat_index")).alias("r"), F.first("frame_ids").alias("frame_ids"))
     labels = S.labelled_frames(chosen.select("sample_id", "window_id", "frame_ids", F.transform("r.transitions", lambda x: x.cast("long")).alias("transitions"), F.col("r.instructions").alias("instructions")))
-    texts = S.majority_texts(cut, labels.select("sample_id", "frame", (F.col("window_id") * 1000 + F.col("ord")).alias("ord"), "instruction"))
-    raw = cut.join(texts, ["sample_id", "seg_id"]).withColumn("confidence", F.lit(1.0))
-    light = cleaned(raw, fps)
+    timeline = settled(labels.select("sample_id", "frame", (F.col("window_id") * 1000 + F.col("ord")).alias("ord"), "instruction"))
+    raw = settled(cut.join(S.majority_texts(cut, timeline), ["sample_id", "seg_id"]).withColumn("confidence", F.lit(1.0)))
+    light = settled(cleaned(split_on_drift(raw, timeline, fps), fps))
     merged = cleaned(D.merge_tasks(light, fps, threshold), fps)
     policy = selection_policies(light, merged, micro, fps, threshold)
     both = light.withColumn("from", F.lit("light")).unionByName(merged.withColumn("from", F.lit("merged")))

@@ -20,4 +20,4 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-from . import assembling, evaluation, merging, queueing, recorded, reporting, various, voting, windowing, wording  # noqa: E402, F401  each registers its queries
+from . import assembling, drifting, evaluation, merging, queueing, recorded, reporting, various, voting, windowing, wording  # noqa: E402, F401  each registers its queries
