@@ -79,6 +79,7 @@ def read_shards(spark: SparkSession, directory: str) -> DataFrame:
     """What the files hold: part, shard, doc_id, inside (ids before it in the shard), n_tokens, ids_crc32."""
 
     def read(batches):
+        tokens.release()
         for batch in batches:
             for data in batch["content"]:
                 rows = [(doc, at, len(ids), wavelet.ids_crc32(ids), shard) for shard in [wavelet.Shard(data)] for doc, at, ids in shard.documents()]
