@@ -1,7 +1,7 @@
 """Token ids as wavelet matrices, one compressed file per shard.
 
-File: magic, length of the header, a JSON header, then sections. The alphabet is the sorted ids that the shard holds; a token is
-its place there. There is a bit-plane for each bit of a place, most significant first, and each plane orders the tokens by the
+File: magic, length of the header, a JSON header, then sections. The alphabet is the ids that the shard holds, the most frequent
+first, so that the upper planes are nearly empty; a token is its place there. There is a bit-plane for each bit of a place, most significant first, and each plane orders the tokens by the
 bits before it (zeros first, stable). Planes are stored in blocks of BLOCK bits, each compressed alone, with the number of ones
 before each block; so access, rank and select touch one block of each plane.
 """
@@ -25,9 +25,8 @@ SHARD = 1 << 20
 
 def build(ids: np.ndarray, doc_ids: list[int | None], lengths: list[int], part: int, shard: int) -> bytes:
     """The file of one shard: ids of whole documents one after the other, with their doc ids and lengths."""
-    seen = np.zeros(1 << 16, bool)
-    seen[ids] = True
-    alphabet = np.flatnonzero(seen)
+    times = np.bincount(ids, minlength=1 << 16)
+    alphabet = np.argsort(-times, kind="stable")[: np.count_nonzero(times)]
     place = np.zeros(1 << 16, np.uint16)
     place[alphabet] = np.arange(len(alphabet))
     levels = max(1, int(len(alphabet) - 1).bit_length()) if len(alphabet) else 1
@@ -42,7 +41,7 @@ def build(ids: np.ndarray, doc_ids: list[int | None], lengths: list[int], part:
         sections += blocks
         zeros.append(len(bit) - ones_before[-1][-1])
         if level:
-            row = np.concatenate([row[~bit], row[bit]])
+            row = np.concatenate([row[np.flatnonzero(~bit)], row[np.flatnonzero(bit)]])
     head = json.dumps({"n": len(ids), "levels": levels, "zeros": zeros, "ones": ones_before, "sizes": sizes, "docs": len(lengths), "null_docs": [i for i, d in enumerate(doc_ids) if d is None], "part": part, "shard": shard, "alphabet": len(alphabet)}).encode()
     side = pack.compress(alphabet.astype("<u2").tobytes() + np.array([d or 0 for d in doc_ids], "<i8").tobytes() + np.array(lengths, "<u8").tobytes())
     return b"".join([MAGIC, struct.pack("<II", len(head), len(side)), head, side, *sections])
@@ -59,6 +58,7 @@ class Shard:
         self.data, self.unpack = memoryview(data), zstandard.ZstdDecompressor()
         raw, a, d = self.unpack.decompress(data[16 + head : 16 + head + side]), 2 * self.head["alphabet"], 8 * self.head["docs"]
         self.alphabet = np.frombuffer(raw[:a], "<u2")
+        self.turn = np.argsort(self.alphabet)
         nulls = set(self.head["null_docs"])
         self.doc_ids = [None if i in nulls else int(x) for i, x in enumerate(np.frombuffer(raw[a : a + d], "<i8"))]
         self.lengths = np.frombuffer(raw[a + d :], "<u8").astype(np.int64)
@@ -90,8 +90,8 @@ class Shard:
         return b * BLOCK + int(np.flatnonzero(self.block(plane, b) == bit)[k - int(before[b])])
 
     def _place(self, token: int) -> int | None:
-        p = int(np.searchsorted(self.alphabet, token))
-        return p if p < len(self.alphabet) and self.alphabet[p] == token else None
+        p = int(np.searchsorted(self.alphabet, token, sorter=self.turn))
+        return int(self.turn[p]) if p < len(self.alphabet) and self.alphabet[self.turn[p]] == token else None
 
     def access(self, i: int) -> int:
         """The token at position i."""
@@ -140,8 +140,8 @@ class Shard:
                 row = bit.astype(np.uint16)
                 continue
             up = np.empty(n, np.uint16)
-            up[~bit] = row[:zeros]
-            up[bit] = row[zeros:] | np.uint16(1 << level)
+            up[np.flatnonzero(~bit)] = row[:zeros]
+            up[np.flatnonzero(bit)] = row[zeros:] | np.uint16(1 << level)
             row = up
         return self.alphabet[row] if len(self.alphabet) else row
 
