@@ -98,13 +98,8 @@ def with_places(tokens: DataFrame, ids: DataFrame, columns: list[str]) -> DataFr
     return rows.drop("ids")
 
 
-def level_reasons(items: DataFrame, ids: DataFrame) -> DataFrame:
-    """items(sample_id, level, ord, start_id, end_id, summary) -> sample_id, level, reason of each level that has items.
-
-    Ranges must be numbers, follow each other from the first segment to the last, and have a summary; the first that fails decides.
-    Numbers are ids first; if that fails they may be places first. A level is named in its reasons.
-    """
-    rows = with_places(items, ids, ["start_id", "end_id"])
+def _level_ways(rows: DataFrame) -> DataFrame:
+    """rows of with_places() -> sample_id, level, by_id, by_place: the reasons if numbers are read as ids first, or as places first."""
     keys, found = ["sample_id", "level"], None
     named = lambda what: F.concat(F.lit("invalid_"), "level", F.lit(f"_{what}"))
     for way in ("by_id", "by_place"):
@@ -116,7 +111,16 @@ def level_reasons(items: DataFrame, ids: DataFrame) -> DataFrame:
         reason = F.when(F.col("bad").isNotNull(), F.col("bad")).when(F.col("last") != F.col("n") - 1, F.concat(F.lit("incomplete_"), "level", F.lit("_partition"))).otherwise("ok")
         of = of.select(*keys, reason.alias(way))
         found = of if found is None else found.join(of, keys)
-    return found.select(*keys, F.when(F.col("by_place") == "ok", "ok").otherwise(F.col("by_id")).alias("reason"))
+    return found
+
+
+def level_reasons(items: DataFrame, ids: DataFrame) -> DataFrame:
+    """items(sample_id, level, ord, start_id, end_id, summary) -> sample_id, level, reason of each level that has items.
+
+    Ranges must be numbers, follow each other from the first segment to the last, and have a summary; the first that fails decides.
+    Numbers are ids first; if that fails they may be places first. A level is named in its reasons.
+    """
+    return _level_ways(with_places(items, ids, ["start_id", "end_id"])).select("sample_id", "level", F.when(F.col("by_place") == "ok", "ok").otherwise(F.col("by_id")).alias("reason"))
 
 
 def subtitle_reasons(items: DataFrame, ids: DataFrame) -> DataFrame:
@@ -133,9 +137,12 @@ def subtitle_reasons(items: DataFrame, ids: DataFrame) -> DataFrame:
 def summaries_or_identity(items: DataFrame, ids: DataFrame, nested: DataFrame) -> DataFrame:
     """sample_id, level, start_idx, end_idx, applied: the ranges of samples whose levels are all ok and that nested(sample_id) doesn't
     name as crossing; one range for each segment in the levels of all others. The levels are those of items."""
-    fine = level_reasons(items, ids).groupBy("sample_id").agg(F.every(F.col("reason") == "ok").alias("ok")).filter("ok").select("sample_id").join(nested.select("sample_id").distinct(), "sample_id", "left_anti")
-    kept = with_places(items.join(fine, "sample_id", "left_semi"), ids, ["start_id", "end_id"])
-    kept = kept.select("sample_id", "level", F.col("start_id_by_id").alias("start_idx"), F.col("end_id_by_id").alias("end_idx"), F.lit(True).alias("applied"))
+    rows = with_places(items, ids, ["start_id", "end_id"])
+    ways = _level_ways(rows)
+    fine = ways.groupBy("sample_id").agg(F.every((F.col("by_id") == "ok") | (F.col("by_place") == "ok")).alias("ok")).filter("ok").select("sample_id").join(nested.select("sample_id").distinct(), "sample_id", "left_anti")
+    kept = rows.join(fine, "sample_id", "left_semi").join(ways, ["sample_id", "level"])
+    read = lambda c: F.when(F.col("by_id") == "ok", F.col(f"{c}_by_id")).otherwise(F.col(f"{c}_by_place"))
+    kept = kept.select("sample_id", "level", read("start_id").alias("start_idx"), read("end_id").alias("end_idx"), F.lit(True).alias("applied"))
     levels = items.select("level").distinct()
     own = ids.join(fine, "sample_id", "left_anti").join(F.broadcast(levels))  # a few names
     return kept.unionByName(own.select("sample_id", "level", F.col("idx").alias("start_idx"), F.col("idx").alias("end_idx"), F.lit(False).alias("applied")))

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import payloads as A
-from ..operators import segments as S
 from ..sources.fixtures import table
 from . import merging as M
 from .catalog import query
@@ -176,6 +175,3 @@ def mth01(spark, sf_dir):
     frames = F.col("end_excl") - F.col("start_frame")
     gap = F.greatest(F.lit(2).cast("long"), F.least(F.lit(5).cast("long"), F.rint(F.lit(0.2) * (10 + F.col("part") % 30)).cast("long")))
     return M.segments(spark, sf_dir).select("sample_id", "seg_id", F.greatest(F.lit(0.0), frames / 30.0).alias("seconds"), F.greatest(F.lit(1).cast("long"), frames).alias("frames"), gap.alias("gap"))
-
-
-__all__ = ["S"]

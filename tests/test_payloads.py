@@ -29,6 +29,9 @@ def test_summary_and_subtitle_reasons(spark):
     assert got == {(1, "coarse"): "ok", (1, "fine"): "invalid_fine_summary", (2, "coarse"): "ok", (2, "fine"): "ok", (3, "coarse"): "incomplete_coarse_partition", (3, "fine"): "invalid_fine_ranges", (4, "coarse"): "ok"}
     chosen = payloads.summaries_or_identity(items, ids, ids.limit(0)).collect()
     assert {r.sample_id for r in chosen if r.applied} == {2, 4} and sum(r.sample_id == 1 for r in chosen) == 8
+    later = spark.createDataFrame([(5, i, i + 1) for i in range(3)], "sample_id int, idx long, seg_id long")
+    by_place = spark.createDataFrame([(5, "fine", i, i, i, "x") for i in range(3)], items.schema)
+    assert sorted((r.start_idx, r.end_idx, r.applied) for r in payloads.summaries_or_identity(by_place, later, later.limit(0)).collect()) == [(i, i, True) for i in range(3)]
     said = spark.createDataFrame([(1, i, "t") for i in range(4)] + [(2, 10 + i, "t") for i in range(4)] + [(3, 10, "t")] * 4, "sample_id int, token long, subtitle string")
     assert {r.sample_id: r.reason for r in payloads.subtitle_reasons(said, ids).collect()} == {1: "ok", 2: "ok", 3: "invalid_subtitles", 4: "invalid_subtitles"}
     assert payloads.level_reasons(items.limit(0), ids).count() == 0
