@@ -1,0 +1,155 @@
+"""Near-duplicates by exact Jaccard similarity of word shingles, at least NEAR, without a pair left out.
+
+A text is the set of its runs of SHINGLE words. Two sets of Jaccard t or more share an element among the first n - ceil(t n) + 1
+of each in any one order, so each distinct set is filed under those; an order that puts elements last that are frequent in a
+bounded sample keeps the files short. Sets that meet, and whose remainders can still hold enough, are compared in whole.
+"""
+
+from __future__ import annotations
+
+from itertools import accumulate
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from .common import written
+from .components import components
+
+#: NEAR is a fraction, so comparisons are of whole numbers.
+SHINGLE, NEAR, SEED = 5, (4, 5), 42
+#: Documents, and frequent shingles among them, that decide the order. Any order gives the same pairs.
+SAMPLE, FREQUENT = 10_000, 1 << 16
+#: Rounds that compare a file's members to one of them, while the pairs left are over CROWD for each row.
+ROUNDS, CROWD = 8, 4
+
+
+def shingles(text: str | None) -> np.ndarray:
+    """The sorted distinct hashes of the text's runs of words; of the whole text where it has fewer; none for no word."""
+    words = (text or "").encode().lower().split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    joined, n = b" ".join(words), max(1, len(words) - SHINGLE + 1)
+    ends = list(accumulate((len(w) + 1 for w in words), initial=0))
+    tops = ends[SHINGLE:] if len(words) >= SHINGLE else [ends[-1]]
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.fromiter((digest(joined[a : b - 1], SEED) for a, b in zip(ends, tops, strict=False)), np.uint64, n))
+
+
+def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, arrays)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.uint64), *arrays]).view(np.int64)))
+
+
+def frequent(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted hashes, counts) of the shingles that a sample of the distinct texts of rows(th, text) repeats most."""
+    some = rows.filter(F.pmod("th", F.lit(max(1, rows.count()))) < SAMPLE).dropDuplicates(["th"]).select("text")
+
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.uint64), *(shingles(t.as_py()) for t in b.column(0))]).view(np.int64))], ["h"])
+
+    counts = some.mapInArrow(run, "h long").groupBy("h").count().filter("count > 2").orderBy(F.desc("count"), "h").limit(FREQUENT).toArrow()
+    hashes, n = counts.column("h").to_numpy().view(np.uint64), counts.column("count").to_numpy()
+    order = np.argsort(hashes)
+    return hashes[order], n[order]
+
+
+def prefix(some: np.ndarray, hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    n, (a, b) = len(some), NEAR
+    if not n:
+        return some
+    often = np.zeros(n, np.int64)
+    if len(hashes):
+        at = np.minimum(np.searchsorted(hashes, some), len(hashes) - 1)
+        often = np.where(hashes[at] == some, counts[at], 0)
+    return some[np.lexsort((some, often))[: n - -(-a * n // b) + 1]]
+
+
+def prints(rows: DataFrame) -> DataFrame:
+    """rows(doc_id, th, text) -> doc_id, th, sig (a hash of the set, 0 for none), n (its size), prefix."""
+    hashes, counts = frequent(rows)
+
+    def run(batches):
+        for b in batches:
+            sets = [shingles(t.as_py()) for t in b.column(2)]
+            sigs = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) if len(s) else 0 for s in sets], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sigs), pa.array([len(s) for s in sets], pa.int64()), _lists([prefix(s, hashes, counts) for s in sets])], ["doc_id", "th", "sig", "n", "prefix"])
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.select("doc_id", "th", "text").mapInArrow(run, f"doc_id {kind}, th long, sig long, n long, prefix array<long>")
+
+
+def may_be_near(n: str, left: str, m: str, other_left: str):
+    """Whether two sets of n and m can be near when what is shared lies in the last left and other_left of them."""
+    a, b = NEAR
+    return F.expr(f"{a + b} * least({left}, {other_left}) >= {a} * ({n} + {m})")
+
+
+def compared(pairs: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame:
+    """pairs(u, v, both) -> (u, v) whose sets are near; sets are made again, of the texts in question alone."""
+    asked = pairs.select(F.col("u").alias("sig")).unionByName(pairs.select(F.col("v").alias("sig"))).distinct()
+    texts = rows.join(classes.join(asked, "sig").select("sig", "th"), "th").select("sig", "text").dropDuplicates(["sig"])
+
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), _lists([shingles(t.as_py()) for t in b.column(1)])], ["sig", "hashes"])
+
+    sets, (a, b) = written(texts.mapInArrow(run, "sig long, hashes array<long>"), "sets"), NEAR
+    one = pairs.join(sets.select(F.col("sig").alias("u"), F.col("hashes").alias("hu")), "u")
+    two = one.join(sets.select(F.col("sig").alias("v"), F.col("hashes").alias("hv")), "v")
+    return written(two.filter(F.size(F.array_intersect("hu", "hv")) * (a + b) >= F.col("both") * a).select("u", "v"), "links")
+
+
+def _pairs(met: DataFrame, sig: str, n: str) -> DataFrame:
+    return met.select(F.least("sig", sig).alias("u"), F.greatest("sig", sig).alias("v"), (F.col("n") + F.col(n)).alias("both")).distinct()
+
+
+def link(classes: DataFrame, rows: DataFrame, rounds: int = ROUNDS, crowd: int = CROWD) -> DataFrame:
+    """(node, root) of the sets that near pairs connect, by classes(sig, th, n, prefix) and the rows(th, text) they stand for.
+
+    In each file all are compared to one first, which joins most of a large group with few pairs; then all pairs of a file that
+    are not joined yet.
+    """
+    file = Window.partitionBy("key")
+    filed = classes.select("sig", "n", F.posexplode("prefix").alias("pos", "key")).select("key", "sig", "n", (F.col("n") - F.col("pos")).alias("rest"))
+    filed = written(filed.withColumn("many", F.count("*").over(file)).filter("many > 1").drop("many"), "files")
+    total, edges, reached, left = filed.count(), None, None, filed
+    for k in range(max(1, rounds)):
+        first = left.withColumn("p", F.min(F.struct(F.xxhash64("sig", F.lit(k)).alias("h"), "sig", "n", "rest")).over(file))
+        apart = F.lit(True) if reached is None else F.col("root") != F.col("p_root")
+        if reached is not None:
+            first = left.withColumn("p", F.min(F.struct(F.xxhash64("sig", F.lit(k)).alias("h"), "sig", "n", "rest", "root")).over(file)).withColumn("p_root", F.col("p.root"))
+        met = first.filter((F.col("sig") != F.col("p.sig")) & apart & may_be_near("n", "rest", "p.n", "p.rest"))
+        found = compared(written(_pairs(met, "p.sig", "p.n"), "pairs"), classes, rows)
+        edges = found if edges is None else edges.unionByName(found)
+        reached = components(edges)
+        rooted = filed.join(reached.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
+        left = written(rooted.withColumn("lo", F.min("root").over(file)).withColumn("hi", F.max("root").over(file)).filter("lo < hi").drop("lo", "hi"), "left")
+        by_root = left.groupBy("key", "root").agg(F.count("*").alias("c")).groupBy("key").agg((F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))).alias("c"))
+        if (by_root.agg(F.sum("c")).first()[0] or 0) <= 2 * crowd * total:
+            break
+    others = left.select("key", F.col("sig").alias("o_sig"), F.col("n").alias("o_n"), F.col("rest").alias("o_rest"), F.col("root").alias("o_root"))
+    met = left.join(others, "key").filter((F.col("root") < F.col("o_root")) & may_be_near("n", "rest", "o_n", "o_rest"))
+    return components(edges.unionByName(compared(written(_pairs(met, "o_sig", "o_n"), "pairs"), classes, rows)))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The row of the smallest id of each group of near-duplicates, once where rows repeat, and all rows without an id.
+
+    Rows that share an id are judged by their own texts; texts without a word are one group; an empty table gives no rows.
+    """
+    th = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    rows = docs.select(F.col(id_col).alias("doc_id"), th.alias("th"), F.col(text_col).alias("text"))
+    of_rows = written(prints(rows), "prints")
+    first = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "th")))
+    classes = written(of_rows.groupBy("sig").agg(first.alias("first"), F.min("th").alias("th"), F.max("n").alias("n"), F.max("prefix").alias("prefix")), "classes")
+    reached = link(classes, rows, **options)
+    named = classes.select("sig", "first").join(reached.withColumnRenamed("node", "sig"), "sig", "left")
+    keep = named.groupBy(F.coalesce("root", "sig").alias("root")).agg(F.min("first").alias("first")).filter("first IS NOT NULL")
+    keep = keep.select(F.col("first.doc_id").alias("__keep"), F.col("first.th").alias("__keep_th"))
+    marked = docs.withColumn("__th", th)
+    kept = marked.join(keep, (marked[id_col] == keep["__keep"]) & (marked["__th"] == keep["__keep_th"]), "left_semi").dropDuplicates([id_col, "__th"]).drop("__th")
+    return kept.unionByName(docs.filter(F.col(id_col).isNull()))

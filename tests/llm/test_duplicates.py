@@ -7,7 +7,8 @@ import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from cutweave.llm import components, linededup, ordermin, simhash
+import corpus_pipeline
+from cutweave.llm import components, jaccard, linededup, ordermin, simhash
 
 SF = "/root/testdata/sf0.001"
 ODD = [(1, None), (2, ""), (3, " \n\t "), (4, "one"), (4, "one"), (5, "One"), (6, "a b c d e f g h"), (7, "A B c d e f g h"), (None, "a b c d e f g h"), (8, "w " * 40_000), (9, "x\ny\nz"), (10, "a\x0bb c d e f g h")]
@@ -183,3 +184,57 @@ def test_edits_of_all_documents(spark):
     for d, t in docs:
         prints.setdefault(t, set()).add(got[d].fingerprint)
     assert all(len(p) == 1 for p in prints.values()) and np.mean([r.near_edited > r.near_next for r in got.values()]) > 0.9
+
+
+def slow_shingles(text):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def slow_kept(rows):
+    """The ids that stay of (id, text) by brute force: pairs whose shingle sets have a Jaccard of 0.8 or more are linked."""
+    sets, root = [slow_shingles(t) for _, t in rows], list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if 5 * len(a & sets[j]) >= 4 * len(a | sets[j]):
+                root[find(i)] = find(j)
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        if d is not None:
+            least[find(i)] = min(least.get(find(i), d), d)
+    return sorted([*least.values(), *[0 for d, _ in rows if d is None]])
+
+
+@pytest.mark.parametrize("options", [{}, {"rounds": 1, "crowd": 10**9}, {"rounds": 3, "crowd": 0}])
+def test_near_duplicates_of_the_pipeline_are_the_jaccard_groups(spark, options):
+    rng = np.random.default_rng(5)
+    rows, words = [], [f"w{i}" for i in range(400)]
+    for n in (3, 9, 30, 120, 200):
+        for _ in range(4):
+            base = list(rng.choice(words, n))
+            for _ in range(6):
+                copy = list(base)
+                for at in rng.integers(0, n, rng.integers(0, max(2, n // 20))):
+                    copy[at] = f"x{rng.integers(1000)}"
+                rows.append((len(rows) + 10, " ".join(copy)))
+    common = " ".join(rng.choice(words, 60))
+    rows += [(500 + i, common + " " + " ".join(rng.choice(words, i))) for i in range(40)]
+    rows += [(d, t) for d, t in ODD if d != 4]
+    got = jaccard.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"), **options)
+    assert sorted(r.doc_id or 0 for r in got.collect()) == slow_kept(rows)
+
+
+def test_near_dedup_stage_takes_copies_with_several_edits(spark):
+    words = [f"w{i}" for i in range(300)]
+    edited = [f"x{i}" if i in (20, 90, 160, 230) else w for i, w in enumerate(words)]
+    docs = odd(spark).limit(0).unionByName(spark.createDataFrame([(1, " ".join(words), "s", 1, "f", "k"), (2, " ".join(edited), "s", 1, "f", "k")], "doc_id long, text string, source string, lines int, fp string, key string"))
+    assert int(np.bitwise_count(np.uint64(simhash.simhash(" ".join(words)) ^ simhash.simhash(" ".join(edited))))) > 3
+    got = corpus_pipeline.near_duplicates_out(spark, docs, SF)
+    assert got.columns == docs.columns and [r.doc_id for r in got.collect()] == [1]
+    assert jaccard.one_of_each(docs.limit(0)).count() == 0
