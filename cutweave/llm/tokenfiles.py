@@ -69,10 +69,27 @@ def write_shards(docs: DataFrame, directory: str, tokenizer: str | None = None,
             yield to_batch(flush())
 
     shards = written(ranged.mapInArrow(write, "part int, shard int, n_docs long, n_tokens long"), "shards")
+    return with_starts(shards).select("part", "shard", "start", "n_docs", "n_tokens")
+
+
+def with_starts(shards: DataFrame) -> DataFrame:
+    """shards(part, shard, n_tokens) with start, the ids of all shards before."""
     inside = F.sum("n_tokens").over(Window.partitionBy("part").orderBy("shard")) - F.col("n_tokens")
     parts = shards.groupBy("part").agg(F.sum("n_tokens").alias("of_part"))  # a row for each partition
     before = parts.select("part", (F.sum("of_part").over(Window.orderBy("part")) - F.col("of_part")).alias("before"))
-    return shards.join(before, "part").select("part", "shard", (F.col("before") + inside).alias("start"), "n_docs", "n_tokens")
+    return shards.join(before, "part").withColumn("start", F.col("before") + inside).drop("before")
+
+
+def read_heads(spark: SparkSession, directory: str) -> DataFrame:
+    """part, shard, n_tokens as the headers of the files have them."""
+
+    def read(batches):
+        for batch in batches:
+            heads = [wavelet.head_of(data) for data in batch["content"]]
+            yield pd.DataFrame({"part": [h["part"] for h in heads], "shard": [h["shard"] for h in heads], "n_tokens": [h["n"] for h in heads]})
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.wvm").load(directory).select("content")
+    return files.mapInPandas(read, "part int, shard int, n_tokens long")
 
 
 def read_shards(spark: SparkSession, directory: str) -> DataFrame:
@@ -89,10 +106,15 @@ def read_shards(spark: SparkSession, directory: str) -> DataFrame:
     return files.mapInPandas(read, "part int, shard int, doc_id long, inside long, n_tokens long, ids_crc32 long")
 
 
+def documents_of(spark: SparkSession, directory: str) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32 from the files alone: a shard that is missing moves all starts after it."""
+    starts = with_starts(written(read_heads(spark, directory), "heads")).select("part", "shard", "start")
+    return read_shards(spark, directory).join(starts, ["part", "shard"]).select("doc_id", (F.col("start") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32")
+
+
 def op10_tokenfiles(spark, sf_dir: str) -> DataFrame:
     directory = shared_dir(spark, "token-files")
     shards = write_shards(table(spark, sf_dir, "documents"), directory)
     if shards.isEmpty():
         return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids_crc32 long")
-    read = read_shards(spark, directory)
-    return read.join(shards.select("part", "shard", "start"), ["part", "shard"]).select("doc_id", (F.col("start") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32")
+    return documents_of(spark, directory)

@@ -47,6 +47,11 @@ def build(ids: np.ndarray, doc_ids: list[int | None], lengths: list[int], part:
     return b"".join([MAGIC, struct.pack("<II", len(head), len(side)), head, side, *sections])
 
 
+def head_of(data: bytes) -> dict:
+    """The header alone."""
+    return json.loads(data[16 : 16 + struct.unpack_from("<I", data, 8)[0]])
+
+
 class Shard:
     """A shard read from its file's bytes. Positions count from 0 and ends are exclusive."""
 

@@ -137,3 +137,14 @@ def test_headers_are_readable():
     assert json.loads(data[16 : 16 + int.from_bytes(data[8:12], "little")])["n"] == 2
     with pytest.raises(ValueError):
         wavelet.Shard(b"x" * 40)
+
+
+def test_starts_come_from_the_files(spark, tmp_path):
+    where = f"file://{tmp_path}/files"
+    tokenfiles.write_shards(spark.createDataFrame(rows(TEXTS), SCHEMA), where, shard_tokens=50)
+    files = sorted((tmp_path / "files").glob("*.wvm"))
+    lost = wavelet.head_of(files[0].read_bytes())["n"]
+    whole = {r.doc_id: r.start for r in tokenfiles.documents_of(spark, where).collect()}
+    files[0].unlink()
+    less = {r.doc_id: r.start for r in tokenfiles.documents_of(spark, where).collect()}
+    assert len(files) > 1 and 0 < len(less) < len(whole) and less == {d: whole[d] - lost for d in less}
