@@ -56,3 +56,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         if k < len(STAGES) - 1:
             docs = written(docs, f"stage-{k}")
     return docs
+
+
+QUERIES = {"pipeline": run}
+ORACLE = {"pipeline": ORACLE_SQL} if ORACLE_SQL else {}
