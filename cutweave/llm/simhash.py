@@ -1,15 +1,12 @@
-"""SimHash near-duplicates by the generalised pigeonhole principle.
+"""SimHash near-duplicates: fingerprints of word shingles, links within a Hamming distance, connected components.
 
-64-bit fingerprints that differ in at most t bits are found by partitions of the bits: with thresholds that sum to
-t - partitions + 1, any such pair is within its threshold in one partition at least. Correlated bits share a partition, and
-a dynamic program allots the thresholds by the candidates they are estimated to give. Each distinct fingerprint is filed
-under its bits in a partition and probes the values within the threshold; what meets is verified.
+near_duplicates links fingerprints. one_of_each also verifies what the fingerprints propose: it links texts whose sets of shingles
+have the asked Jaccard similarity, and keeps one of each group.
 """
 
 from __future__ import annotations
 
-from itertools import accumulate, combinations
-from math import comb
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -19,26 +16,52 @@ from pyspark.sql import functions as F
 
 from .common import table, written
 from .components import components
-
-BITS, DISTANCE, SHINGLE, SEED = 64, 3, 3, 42
-#: Fingerprints under one value beyond which they are linked through the values around them instead of being compared.
-CROWD = 1 << 14
-#: What a candidate costs beside a probe in the plan: a probe is a row to sort and move, a candidate a few bit operations there.
-CANDIDATE_COST = 1.0
+from .pigeonhole import bit_counts, meetings, plan
+
+DISTANCE, SHINGLE, SEED = 3, 3, 42
+#: Near-duplicates of the pipeline: a Jaccard similarity of 4/5 on runs of five words. Sets that alike differ in 10 of 64 bits on
+#: average; within NEAR_DISTANCE lie about 98 of 100 such pairs (README).
+NEAR_SHINGLE, NEAR, NEAR_DISTANCE = 5, (4, 5), 14
+#: Bytes of a text whose words are held at a time.
+SLICE = 1 << 20
+SPACE = re.compile(rb"[\x20\x09-\x0d]")
+
+
+def shingles(text: str | None, k: int):
+    """Arrays of the hashes of the text's runs of k words, repeats included, in order, a slice of the text at a time; of the whole
+    sequence where it has fewer words; nothing without a word."""
+    data = (text or "").encode().lower()  # of bytes: A-Z only, and the six ASCII white-space characters
+    digest, words, at, none = xxhash.xxh64_intdigest, [], 0, True
+    while at < len(data):
+        space = SPACE.search(data, at + SLICE)
+        end = space.start() if space else len(data)
+        words += data[at:end].split()
+        at = end
+        if len(words) >= k:
+            none = False
+            yield np.fromiter((digest(b" ".join(words[i : i + k]), SEED) for i in range(len(words) - k + 1)), np.uint64, len(words) - k + 1)
+            words = words[len(words) - k + 1 :]
+    if none and words:
+        yield np.array([digest(b" ".join(words), SEED)], np.uint64)
+
+
+def _majority(slices) -> int:
+    counts, n = np.zeros(64, np.int64), 0
+    for h in slices:
+        n += len(h)
+        for at in range(0, len(h), 1 << 16):
+            counts += np.unpackbits(h[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(counts * 2 > n, bitorder="little").view(np.uint64)[0])
 
 
-def simhash(text: str | None) -> int:
+def simhash(text: str | None, k: int = SHINGLE) -> int:
     """The fingerprint: a bit is 1 if it is set in over half of the hashes of the text's shingles; 0 without a word."""
-    words = (text or "").encode().lower().split()  # of bytes: A-Z only, and the six ASCII white-space characters
-    if not words:
-        return 0
-    joined, n = b" ".join(words), max(1, len(words) - SHINGLE + 1)
-    ends = list(accumulate((len(w) + 1 for w in words), initial=0))
-    tops = ends[SHINGLE:] if len(words) >= SHINGLE else [ends[-1]]
-    digest = xxhash.xxh64_intdigest
-    h = np.fromiter((digest(joined[a : b - 1], SEED) for a, b in zip(ends, tops, strict=False)), np.uint64, n)
-    counts = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(counts * 2 > n, bitorder="little").view(np.uint64)[0])
+    return _majority(shingles(text, k))
+
+
+def shingle_set(text: str | None, k: int) -> np.ndarray:
+    """The distinct hashes of the text's shingles, sorted."""
+    return np.unique(np.concatenate([np.zeros(0, np.uint64), *shingles(text, k)]))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -53,225 +76,98 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {id_type}, fp long")
 
 
-def bit_counts(fps: DataFrame) -> np.ndarray:
-    """64 x 64: in how many fingerprints both bits are set. 64 rows reach the driver."""
-
-    def run(batches):
-        total = np.zeros((BITS, BITS), np.int64)
-        for b in batches:
-            bits = np.unpackbits(np.ascontiguousarray(b.column(0).to_numpy(zero_copy_only=False)).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(np.float64)
-            total += (bits.T @ bits).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(range(BITS), pa.int32()), *[pa.array(total[:, j]) for j in range(BITS)]], ["bit", *[f"c{j}" for j in range(BITS)]])
-
-    cols = [f"c{j}" for j in range(BITS)]
-    sums = fps.select("fp").mapInArrow(run, "bit int, " + ", ".join(f"{c} long" for c in cols)).groupBy("bit").agg(*[F.sum(c).alias(c) for c in cols])
-    out = np.zeros((BITS, BITS))
-    for r in sums.collect():
-        out[r["bit"]] = [r[c] for c in cols]
-    return out
-
-
-def group_bits(both: np.ndarray, n: int, parts: int) -> list[list[int]]:
-    """Partitions of the bits: each begins with the free bit of most correlation and takes the free bits most correlated to it."""
-    p = np.diag(both) / max(n, 1)
-    spread = np.sqrt(np.maximum(p * (1 - p), 1e-12))
-    corr = np.abs(both / max(n, 1) - np.outer(p, p)) / np.outer(spread, spread)
-    np.fill_diagonal(corr, 0)
-    free, groups = list(range(BITS)), []
-    for k in range(parts):
-        size = BITS // parts + (k < BITS % parts)
-        group = [max(free, key=lambda b: (corr[b, free].sum(), -b))]
-        while len(group) < size:
-            group.append(max((b for b in free if b not in group), key=lambda b: (corr[b, group].sum(), -b)))
-        free = [b for b in free if b not in group]
-        groups.append(sorted(group))
-    return groups
-
-
-def within(group: list[int], p: np.ndarray) -> np.ndarray:
-    """Chance that two fingerprints differ in at most e bits of the group, for e = 0, 1, ..., from the bits' frequencies."""
-    at = np.array([1.0])
-    for b in group:
-        q = 2 * p[b] * (1 - p[b])
-        at = np.append(at * (1 - q), 0) + np.append(0, at * q)
-    return np.cumsum(at)
-
-
-def allot(groups: list[list[int]], p: np.ndarray, n: int, distance: int) -> tuple[float, list[int]]:
-    """(cost, thresholds): the dynamic program over partitions and what is left of the sum. A threshold of -1 asks nothing."""
-    best: dict[int, tuple[float, list[int]]] = {0: (0.0, [])}
-    for group in groups:
-        chance, nxt = within(group, p), {}
-        for used, (cost, chosen) in best.items():
-            for e in range(-1, distance + 1):
-                more = 0.0 if e < 0 else n * (1 + sum(comb(len(group), d) for d in range(1, e + 1)) / 2) + CANDIDATE_COST * n * n / 2 * float(chance[e])
-                if used + e not in nxt or cost + more < nxt[used + e][0]:
-                    nxt[used + e] = (cost + more, [*chosen, e])
-        best = nxt
-    return best[distance - len(groups) + 1]
-
-
-def plan(both: np.ndarray, n: int, distance: int = DISTANCE) -> list[tuple[int, int, list[int]]]:
-    """(mask, threshold, bits) of each partition that is asked, for the number of partitions of least cost."""
-    p = np.diag(both) / max(n, 1)
-    found = []
-    for parts in range(2, distance + 2):
-        groups = group_bits(both, n, parts)
-        cost, limits = allot(groups, p, n, distance)
-        found.append((cost, parts, [(sum(1 << b for b in g), e, g) for g, e in zip(groups, limits, strict=True) if e >= 0]))
-    return min(found)[2]
-
-
-def links_in(fps: np.ndarray, distance: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links among fps, by breadth: what is found leaves the rest that is compared."""
-    out, rest = [], np.arange(len(fps))
-    while len(rest):
-        queue, rest = [int(rest[0])], rest[1:]
-        while queue and len(rest):
-            at = queue.pop()
-            near = np.bitwise_count(fps[rest] ^ fps[at]) <= distance
-            found = rest[near].tolist()
-            out += [(at, x) for x in found]
-            queue += found
-            rest = rest[~near]
-    return out
-
-
-def _runs(key: np.ndarray, part: np.ndarray) -> np.ndarray:
-    new = np.flatnonzero((key[1:] != key[:-1]) | (part[1:] != part[:-1])) + 1
-    return np.concatenate([[0], new, [len(key)]])
-
-
-def verified(table_: pa.Table, distance: int) -> tuple[np.ndarray, np.ndarray]:
-    """The links among rows (part, key, probe, fp) that are sorted by part and key, whole runs of equal keys."""
-    part, key = table_.column("part").to_numpy(), table_.column("key").to_numpy()
-    probe, fps = table_.column("probe").to_numpy(), table_.column("fp").to_numpy().view(np.uint64)
-    edges_a, edges_b = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
-    cuts = _runs(key, part)
-    sizes = np.diff(cuts)
-    run = np.repeat(np.arange(len(sizes)), sizes)
-    small = np.flatnonzero((sizes[run] > 1) & (sizes[run] <= 32))
-    step = 1
-    while len(small):  # neighbours at growing steps inside short runs
-        i = small[(small + step < len(fps))]
-        i = i[run[i] == run[i + step]]
-        if not len(i):
-            break
-        ok = ((probe[i] == 0) | (probe[i + step] == 0)) & (np.bitwise_count(fps[i] ^ fps[i + step]) <= distance) & (fps[i] != fps[i + step])
-        edges_a.append(fps[i[ok]])
-        edges_b.append(fps[i[ok] + step])
-        small, step = i, step + 1
-    for k in np.flatnonzero(sizes > 32):
-        some = np.unique(fps[cuts[k] : cuts[k + 1]])
-        if found := links_in(some, distance):
-            a, b = np.array(found).T
-            edges_a.append(some[a])
-            edges_b.append(some[b])
-    return np.concatenate(edges_a), np.concatenate(edges_b)
-
-
-def _edge_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["u", "v"])
-
-
-def flips(bits: list[int], most: int) -> list[int]:
-    return [sum(1 << b for b in c) for d in range(1, most + 1) for c in combinations(bits, d)]
-
-
-def crowded_links(fps: DataFrame, crowd: DataFrame, distance: int) -> DataFrame:
-    """Links with at least one end in crowd(fp), without comparing a crowd's members to each other.
-
-    Two values differ in at most t bits if and only if a third is within 1 of the one and t - 1 of the other. Each value is
-    filed under all values within 1 of it, each member of the crowd under all within t - 1 too; under each, all are linked to
-    one that is within 1. Rows grow in proportion to the fingerprints.
-    """
-
-    def around(most: int, near: int):
-        masks = np.array([0, *flips(list(range(BITS)), most)], np.uint64)
-
-        def run(batches):
-            for b in batches:
-                fp = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-                for i in range(0, len(fp), 512):
-                    some = fp[i : i + 512]
-                    yield pa.RecordBatch.from_arrays([pa.array((some[:, None] ^ masks[None, :]).ravel().view(np.int64)), pa.array(np.repeat(some, len(masks)).view(np.int64)), pa.array(np.full(len(some) * len(masks), near), pa.int32())], ["x", "fp", "near"])
+def _plan(nodes: DataFrame, distance: int) -> list:
+    n = nodes.count()
+    return plan(bit_counts(nodes), n, distance) if n > 1 and distance else []
 
-        return run
 
-    near = fps.select("fp").mapInArrow(around(1, 1), "x long, fp long, near int")
-    far = crowd.select("fp").mapInArrow(around(distance - 1, 0), "x long, fp long, near int")
-    centre = near.groupBy("x").agg(F.min("fp").alias("u"))
-    return near.unionByName(far).join(centre, "x").select("u", F.col("fp").alias("v")).filter("u <> v").distinct()
+def link(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """fps(fp), distinct -> edges (u, v) that connect whatever a chain of links within distance connects."""
+    nodes = fps.select(F.col("fp").alias("node"), "fp")
+    return meetings(nodes, _plan(nodes, distance), distance)
 
 
-def link(fps: DataFrame, distance: int = DISTANCE, crowd: int = CROWD) -> DataFrame:
-    """fps(fp), distinct -> edges (u, v) that connect whatever a chain of links within distance connects."""
-    n = fps.count()
-    asked = plan(bit_counts(fps), n, distance) if n > 1 else []
-    if not asked:
-        return fps.select(F.col("fp").alias("u"), F.col("fp").alias("v")).limit(0)
-    filed = F.explode(F.array(*[F.struct(F.lit(i).alias("part"), F.col("fp").bitwiseAND(F.lit(mask - (1 << 64) if mask >> 63 else mask)).alias("key")) for i, (mask, _, _) in enumerate(asked)])).alias("at")
-    full = fps.select("fp", filed).groupBy("at").count().filter(F.col("count") > crowd).select("at")
-    crowds = written(fps.select("fp", filed).join(full, "at").select("fp").distinct(), "crowds")
-    many = not crowds.isEmpty()
-    rest = fps.join(crowds, "fp", "left_anti") if many else fps
-    probes = [(i, np.uint64(mask), np.array(flips(bits, e), np.uint64)) for i, (mask, e, bits) in enumerate(asked)]
-
-    def file(batches):
-        for b in batches:
-            all_fps = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            for at in range(0, len(all_fps), 4096):
-                fp = all_fps[at : at + 4096]
-                for i, mask, around in probes:
-                    own = fp & mask
-                    keys, who, probe = [own], [fp], [np.zeros(len(fp), np.int8)]
-                    if len(around):  # of two values, the smaller one probes the larger
-                        other = own[:, None] ^ around[None, :]
-                        up = other > own[:, None]
-                        keys.append(other[up])
-                        who.append(np.repeat(fp, up.sum(axis=1)))
-                        probe.append(np.ones(int(up.sum()), np.int8))
-                    k = np.concatenate(keys).view(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), i, np.int8)), pa.array(k), pa.array(np.concatenate(probe)), pa.array(np.concatenate(who).view(np.int64))], ["part", "key", "probe", "fp"])
-
-    def verify(batches):
-        held: pa.Table | None = None
-        for b in batches:
-            rows = pa.Table.from_batches([b])
-            held = rows if held is None else pa.concat_tables([held, rows]).combine_chunks()
-            key, part = held.column("key").to_numpy(), held.column("part").to_numpy()
-            last = int(_runs(key, part)[-2]) if len(key) else 0
-            if last:
-                yield _edge_batch(*verified(held.slice(0, last), distance))
-                held = held.slice(last)
-        if held is not None and held.num_rows:
-            yield _edge_batch(*verified(held, distance))
-
-    met = rest.select("fp").mapInArrow(file, "part byte, key long, probe byte, fp long").repartition("part", "key").sortWithinPartitions("part", "key")
-    edges = met.mapInArrow(verify, "u long, v long").distinct()
-    return edges.unionByName(crowded_links(fps, crowds, distance)) if many else edges
-
-
-def near_duplicates(docs: DataFrame, distance: int = DISTANCE, crowd: int = CROWD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, distance: int = DISTANCE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (the smallest id that links reach) for each row of docs.
 
     Rows with one id stay rows of their own; NULL and wordless texts share fingerprint 0 and are linked like any other; a NULL
-    id is no smallest id unless there is no other; an empty table gives no rows.
+    id is no smallest id unless there is no other; with distance 0 equal fingerprints alone are linked; an empty table gives no
+    rows. Rows meet their component by fingerprint, of which the other side has one row each: the rows of one that is very
+    frequent are split by the adaptive planner.
     """
     prints = written(fingerprints(docs, id_col, text_col), "prints")
     classes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "classes")
-    reached = components(link(classes.select("fp"), distance, crowd))
+    reached = components(link(classes.select("fp"), distance))
     rooted = written(classes.join(reached.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root")), "rooted")
     named = rooted.join(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "root").select("fp", "component_id")
     return prints.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of docs whose id is the smallest of its component, once where rows repeat, and all rows without an id."""
-    groups = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
-    keep = groups.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__keep")).distinct()
-    kept = docs.join(keep, docs[id_col] == F.col("__keep"), "left_semi").dropDuplicates([id_col, text_col])
-    return kept.unionByName(docs.filter(F.col(id_col).isNull()))
+def set_prints(rows: DataFrame, k: int) -> DataFrame:
+    """rows(doc_id, th, text) -> doc_id, th, node (a hash of the set of shingles, 0 for none), n (its size), fp (the set's SimHash)."""
+
+    def run(batches):
+        for b in batches:
+            sets = (shingle_set(t.as_py(), k) for t in b.column(2))
+            made = [(xxhash.xxh64_intdigest(s.tobytes(), SEED) if len(s) else 0, len(s), _majority([s])) for s in sets]
+            node, n, fp = (np.array(c, np.uint64).view(np.int64) for c in zip(*made, strict=True)) if made else [np.zeros(0, np.int64)] * 3
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(node), pa.array(n), pa.array(fp)], ["doc_id", "th", "node", "n", "fp"])
+
+    return rows.select("doc_id", "th", "text").mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, th long, node long, n long, fp long")
+
+
+def sets_of(rows: DataFrame, classes: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
+    """(node, n, hashes) of the nodes in pairs(u, v), made again of the texts in question alone."""
+    asked = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    of = written(classes.join(asked, "node").select("node", "n", F.col("th").alias("of_th")), "asked")
+    texts = rows.join(of, F.col("th") == F.col("of_th")).dropDuplicates(["node"])
+
+    def run(batches):
+        for b in batches:
+            sets = [shingle_set(t.as_py(), k).view(np.int64) for t in b.column(2)]
+            ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *sets])))], ["node", "n", "hashes"])
+
+    return written(texts.select("node", "n", "text").mapInArrow(run, "node long, n long, hashes array<long>"), "sets")
+
+
+def alike(pairs: DataFrame, sets: DataFrame, near: tuple[int, int]) -> DataFrame:
+    """The pairs(u, v) whose sets have a Jaccard similarity of near[0] / near[1] or more. Sizes alone rule out most others."""
+    a, b = near
+    sizes = sets.select("node", "n")
+    fit = pairs.join(sizes.withColumnsRenamed({"node": "u", "n": "nu"}), "u").join(sizes.withColumnsRenamed({"node": "v", "n": "nv"}), "v")
+    fit = written(fit.filter(b * F.least("nu", "nv") >= a * F.greatest("nu", "nv")), "fit")
+    one = fit.join(sets.select(F.col("node").alias("u"), F.col("hashes").alias("hu")), "u")
+    two = one.join(sets.select(F.col("node").alias("v"), F.col("hashes").alias("hv")), "v")
+    return written(two.filter(F.size(F.array_intersect("hu", "hv")) * (a + b) >= (F.col("nu") + F.col("nv")) * a).select("u", "v"), "links")
+
+
+def one_of_each(docs: DataFrame, distance: int = NEAR_DISTANCE, shingle: int = NEAR_SHINGLE, near: tuple[int, int] = NEAR, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs without near-duplicates: of each group that links connect, the row of the smallest id (of equal ids, of the smallest
+    hash of the text), once where it is repeated.
+
+    Texts link if the SimHashes of their sets of shingles differ in at most distance bits and the sets' Jaccard similarity is
+    at least near, a fraction of whole numbers. Each node's hub is verified first, which joins most of a large group by one
+    pair each; then all pairs that are not joined yet, so no link is lost. NULL and wordless texts are one group; a row without
+    an id stays where its group has no row with one; an empty table gives no rows.
+    """
+    th = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    rows = docs.select(F.col(id_col).alias("doc_id"), th.alias("th"), F.col(text_col).alias("text"))
+    prints = written(set_prints(rows, shingle), "prints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "th"))
+    classes = written(prints.groupBy("node").agg(F.min("fp").alias("fp"), F.max("n").alias("n"), F.min("th").alias("th"), first.alias("first")), "classes")
+    asked = _plan(classes, distance)
+    tried = written(meetings(classes, asked, distance, "hubs"), "hubs")
+    sets = sets_of(rows, classes, tried, shingle)
+    links = alike(tried, sets, near)
+    label = lambda of: F.coalesce("root", of)
+    apart = classes.join(components(links), "node", "left").select("node", "fp", label("node").alias("label"))
+    links = links.unionByName(alike(written(meetings(written(apart, "labels"), asked, distance, "all"), "others"), sets, near))
+    rooted = classes.join(components(links), "node", "left").groupBy(label("node")).agg(F.min("first").alias("first"))
+    keep = written(rooted.select(F.col("first.doc_id").alias("__keep"), F.col("first.th").alias("__keep_th")), "keep")
+    marked = docs.withColumn("__th", th)
+    kept = marked.join(keep, marked[id_col].eqNullSafe(keep["__keep"]) & (marked["__th"] == keep["__keep_th"]), "left_semi")
+    return kept.dropDuplicates([id_col, "__th"]).drop("__th")
 
 
 def op1_simhash(spark, sf_dir: str) -> DataFrame:

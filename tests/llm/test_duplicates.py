@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 import corpus_pipeline
-from cutweave.llm import components, jaccard, linededup, ordermin, simhash
+from cutweave.llm import components, linededup, ordermin, pigeonhole, simhash
 
 SF = "/root/testdata/sf0.001"
 ODD = [(1, None), (2, ""), (3, " \n\t "), (4, "one"), (4, "one"), (5, "One"), (6, "a b c d e f g h"), (7, "A B c d e f g h"), (None, "a b c d e f g h"), (8, "w " * 40_000), (9, "x\ny\nz"), (10, "a\x0bb c d e f g h")]
@@ -51,26 +51,39 @@ def test_fingerprints_bit_by_bit():
         assert simhash.simhash(text) == slow_print(text)
 
 
-@pytest.mark.parametrize("crowd", [simhash.CROWD, 2])
-def test_all_links_are_found(spark, crowd):
+@pytest.mark.parametrize("cell_pairs", [pigeonhole.CELL_PAIRS, 50])
+@pytest.mark.parametrize("distance", [0, 1, 3, 9])
+def test_all_links_are_found(spark, monkeypatch, cell_pairs, distance):
+    """With few pairs a cell, keys are cut; what hubs leave out is found among all pairs."""
+    monkeypatch.setattr(pigeonhole, "CELL_PAIRS", cell_pairs)
     rng = np.random.default_rng(3)
     base = rng.integers(0, 1 << 63, 60, dtype=np.uint64)
     values = {int(b) for b in base}
     for b in base[:20]:
         for _ in range(6):
-            values.add(int(b) ^ sum(1 << int(x) for x in rng.choice(64, rng.integers(1, 5), replace=False)))
+            values.add(int(b) ^ sum(1 << int(x) for x in rng.choice(64, rng.integers(1, distance + 2), replace=False)))
+    for _ in range(60):  # all near one value, so they meet under one key
+        values.add(int(base[0]) ^ sum(1 << int(x) for x in rng.choice(12, 4, replace=False)))
     chain = [0]
     for i in range(0, 60, 3):
         chain.append(chain[-1] | 7 << i)
     values = sorted(values | set(chain))
     signed = np.array(values, np.uint64).view(np.int64).tolist()
     fps = spark.createDataFrame([(x,) for x in signed], "fp long")
-    got = {r.node: r.root for r in components.components(simhash.link(fps, 3, crowd)).collect()}
-    want = slow_components(values, list(range(len(values))))
+    got = {r.node: r.root for r in components.components(simhash.link(fps, distance)).collect()}
+    want = slow_components(values, list(range(len(values))), distance)
     groups = {}
     for x, w in zip(signed, want, strict=True):
         groups.setdefault(w, set()).add(got.get(x, x))
     assert all(len(g) == 1 for g in groups.values()) and len({next(iter(g)) for g in groups.values()}) == len(groups)
+    if distance:
+        near = {(x, y) for x, a in zip(signed, values, strict=True) for y, b in zip(signed, values, strict=True) if x < y and (a ^ b).bit_count() <= distance}
+        asked, nodes = pigeonhole.plan(np.full((64, 64), len(values) / 4), len(values), distance), fps.selectExpr("fp AS node", "fp")
+        assert {tuple(r) for r in pigeonhole.meetings(nodes, asked, distance, "all").collect()} == near
+        hubs = {tuple(r) for r in pigeonhole.meetings(nodes, asked, distance, "hubs").collect()}
+        assert hubs <= near and {x for p in hubs for x in p} == {x for p in near for x in p}
+        half = nodes.selectExpr("*", "fp % 2 AS label")
+        assert {tuple(r) for r in pigeonhole.meetings(half, asked, distance, "all").collect()} == {(x, y) for x, y in near if np.fmod(x, 2) != np.fmod(y, 2)}
 
 
 def test_thresholds_sum_to_what_the_pigeonhole_asks():
@@ -78,12 +91,14 @@ def test_thresholds_sum_to_what_the_pigeonhole_asks():
     bits = rng.random((500, 64)) < 0.5
     both = bits.T.astype(float) @ bits
     for n in (2, 10_000, 10**7, 10**9):
-        asked = simhash.plan(both * n / 500, n)
-        assert sum(e for _, e, _ in asked) + sum(-1 for _ in ()) >= 0
+        for distance in (3, 14):
+            asked = pigeonhole.plan(both * n / 500, n, distance)
+            assert asked and len({b for _, _, g in asked for b in g}) == sum(len(g) for _, _, g in asked)
         for parts in (2, 3, 4):
-            groups = simhash.group_bits(both, 500, parts)
+            groups = pigeonhole.group_bits(both, 500, parts)
             assert sorted(b for g in groups for b in g) == list(range(64))
-            assert sum(simhash.allot(groups, np.full(64, 0.5), n, 3)[1]) == 3 - parts + 1
+            assert sum(pigeonhole.allot(groups, np.full(64, 0.5), n, 3)[1]) == 3 - parts + 1
+    assert pigeonhole.plan(both, 500, 0) == []
 
 
 def test_odd_documents(spark):
@@ -91,11 +106,26 @@ def test_odd_documents(spark):
     got = simhash.near_duplicates(docs).collect()
     ids, prints = [r.doc_id for r in got], [int(r.fingerprint, 16) for r in got]
     assert [r.component_id for r in got] == slow_components(prints, ids) and len(got) == len(ODD)
-    kept = simhash.one_of_each(docs)
-    assert kept.columns == docs.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, *sorted({r.component_id for r in got})]
+    assert [r.component_id for r in simhash.near_duplicates(docs, distance=0).collect()] == slow_components(prints, ids, 0)
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_long_texts_are_taken_in_slices(monkeypatch):
+    texts = ["a b c d e f g h", "one", "x" * 50, " ".join(f"w{i}" for i in range(300)), "  lead and trail  \n", "a b c", "a b"]
+    whole = [(simhash.simhash(t), simhash.shingle_set(t, 5).tolist()) for t in texts]
+    monkeypatch.setattr(simhash, "SLICE", 3)
+    assert [(simhash.simhash(t), simhash.shingle_set(t, 5).tolist()) for t in texts] == whole
+    assert [w[0] for w in whole] == [slow_print(t) for t in texts]
+    monkeypatch.undo()
+    import tracemalloc
+
+    text = "some words that are repeated often " * 1_500_000  # 52 MB
+    tracemalloc.start()
+    simhash.simhash(text)
+    assert tracemalloc.get_traced_memory()[1] < 4 * len(text)
+    tracemalloc.stop()
+
+
 def test_query_over_all_documents(spark):
     got = simhash.op1_simhash(spark, SF).collect()
     text = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
@@ -192,27 +222,30 @@ def slow_shingles(text):
 
 
 def slow_kept(rows):
-    """The ids that stay of (id, text) by brute force: pairs whose shingle sets have a Jaccard of 0.8 or more are linked."""
+    """The ids that stay of (id, text) by brute force: sets of shingles with a Jaccard of 0.8 or more and near fingerprints are linked."""
     sets, root = [slow_shingles(t) for _, t in rows], list(range(len(rows)))
+    prints = [simhash._majority([simhash.shingle_set(t, 5)]) for _, t in rows]
 
     def find(x):
         while root[x] != x:
             x = root[x]
         return x
 
+    near = 0
     for i, a in enumerate(sets):
         for j in range(i):
             if 5 * len(a & sets[j]) >= 4 * len(a | sets[j]):
-                root[find(i)] = find(j)
+                near += (ok := (prints[i] ^ prints[j]).bit_count() <= simhash.NEAR_DISTANCE)
+                if ok:
+                    root[find(i)] = find(j)
     least = {}
     for i, (d, _) in enumerate(rows):
-        if d is not None:
-            least[find(i)] = min(least.get(find(i), d), d)
-    return sorted([*least.values(), *[0 for d, _ in rows if d is None]])
+        key = (d is None, d or 0)
+        least[find(i)] = min(least.get(find(i), key), key)
+    return sorted(d for _, d in least.values())
 
 
-@pytest.mark.parametrize("options", [{}, {"rounds": 1, "crowd": 10**9}, {"rounds": 3, "crowd": 0}])
-def test_near_duplicates_of_the_pipeline_are_the_jaccard_groups(spark, options):
+def test_one_of_each_group_of_near_duplicates_stays(spark):
     rng = np.random.default_rng(5)
     rows, words = [], [f"w{i}" for i in range(400)]
     for n in (3, 9, 30, 120, 200):
@@ -226,15 +259,32 @@ def test_near_duplicates_of_the_pipeline_are_the_jaccard_groups(spark, options):
     common = " ".join(rng.choice(words, 60))
     rows += [(500 + i, common + " " + " ".join(rng.choice(words, i))) for i in range(40)]
     rows += [(d, t) for d, t in ODD if d != 4]
-    got = jaccard.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"), **options)
+    got = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted(r.doc_id or 0 for r in got.collect()) == slow_kept(rows)
 
 
+def test_repeated_and_missing_ids_are_judged_by_their_texts(spark):
+    long = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, "near copy"), (3, "near copy"), (3, "other text"), (3, "other text"), (None, "alone"), (None, "alone"), (None, "near copy"), (5, None), (6, ""), (7, long), (7, long + " end")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = simhash.one_of_each(docs)
+    assert got.columns == docs.columns
+    kept = [(r.doc_id, r.text) for r in got.collect()]
+    assert len(kept) == 5 and {(1, "near copy"), (3, "other text"), (None, "alone"), (5, None)} < set(kept) and sum(d == 7 for d, _ in kept) == 1
+    assert simhash.one_of_each(docs.limit(0)).count() == 0
+
+
 def test_near_dedup_stage_takes_copies_with_several_edits(spark):
     words = [f"w{i}" for i in range(300)]
     edited = [f"x{i}" if i in (20, 90, 160, 230) else w for i, w in enumerate(words)]
     docs = odd(spark).limit(0).unionByName(spark.createDataFrame([(1, " ".join(words), "s", 1, "f", "k"), (2, " ".join(edited), "s", 1, "f", "k")], "doc_id long, text string, source string, lines int, fp string, key string"))
-    assert int(np.bitwise_count(np.uint64(simhash.simhash(" ".join(words)) ^ simhash.simhash(" ".join(edited))))) > 3
     got = corpus_pipeline.near_duplicates_out(spark, docs, SF)
     assert got.columns == docs.columns and [r.doc_id for r in got.collect()] == [1]
-    assert jaccard.one_of_each(docs.limit(0)).count() == 0
+
+
+def test_near_dedup_of_all_documents(spark):
+    """Of the pairs of Jaccard 0.8 or more in the documents, how many the stage's distance takes; and all of those are taken."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    got = sorted(r.doc_id for r in simhash.one_of_each(docs).collect())
+    assert got == slow_kept(rows)
