@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cutweave.llm import jaccard, linededup, mixing, packing, toxicity
+from cutweave.llm import linededup, mixing, packing, simhash, toxicity
 from cutweave.llm.common import table, written
 from cutweave.llm.learning import known_fold
 
@@ -31,8 +31,8 @@ def recurring_lines_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def near_duplicates_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that pairs of Jaccard 0.8 or more connect, on shingles of five words."""
-    return jaccard.one_of_each(docs).select(*docs.columns)
+    """One document of each group of near-duplicates: SimHash proposes, a Jaccard of 0.8 or more on shingles of five words links."""
+    return simhash.one_of_each(docs).select(*docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
