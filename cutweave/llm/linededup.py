@@ -1,10 +1,10 @@
 """Line dedup by a log-template tree, DataFrame functions only.
 
-A line is parsed to a fixed depth: its number of tokens, its leading tokens, then the rest. Tokens that hold a digit are
-variable fields. Lines of GENERAL tokens and more have further templates: the line without its second, third, fourth or last
-fifth, which is then a variable field too, so lines under one such template agree in their leading tokens and in four fifths
-of all. A template that occurs in several documents recurs; its lines stay in the first of them (the smallest id) and are
-dropped from all others.
+A line is cut into pieces: before and after each sentence of SENTENCE words and more, so a passage gives the same pieces
+wherever in a line it stands. A piece is parsed to a fixed depth: its number of tokens, then its LEAD leading tokens, then a leaf. Tokens that hold a
+digit are variable fields. A leaf of several shapes has a template, the most frequent token at each position, and the shapes
+that agree with it in LIKE of all positions are lines of that template; all others stand for themselves. A template that occurs
+in several documents recurs: its pieces stay in the first of them (the smallest id) and are dropped from all others.
 """
 
 from __future__ import annotations
@@ -14,11 +14,13 @@ from pyspark.sql import functions as F
 
 from .common import table, written
 
-#: Lines of fewer tokens are never dropped: such lines are alike by chance. From GENERAL tokens on, a fifth may vary.
-LEAST, GENERAL, PARTS = 3, 15, 5
+#: Words of a sentence that ends a piece, and tokens from which on a part of a line counts and a leaf generalises.
+SENTENCE, LEAD = 8, 4
+LIKE = (4, 5)
+#: A whole line under LEAD tokens says too little: it recurs if one in RARE of the documents has it, and FEW at least.
+RARE, FEW = 500, 3
 FIELD = r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*"
-#: A line with more than this share of variable fields stands for itself: rows of numbers aren't all one template.
-MOST_FIELDS = 0.25
+LONG_SENTENCE = r"(?:[^ .!?]++ ){7,31}+[^ .!?]++[.!?]++(?: |\z)"
 
 
 def token_count(line: Column) -> Column:
@@ -26,67 +28,116 @@ def token_count(line: Column) -> Column:
 
 
 def masked(line: Column) -> Column:
-    few = F.regexp_count(line, F.lit(FIELD)) <= token_count(line) * MOST_FIELDS
-    return F.when(line.rlike("[0-9]") & few, F.regexp_replace(line, FIELD, "<*>")).otherwise(line)
+    """The shape of a piece: fields for tokens that hold a digit, where a letter is left outside of them; no spaces around."""
+    line = F.trim(line)
+    shape = F.regexp_replace(line, FIELD, "<*>")
+    return F.when(line.rlike("[0-9]"), F.when(shape.rlike(r"\p{L}"), shape).otherwise(line)).otherwise(line)
 
 
-def _tokens(shape: Column, count: Column) -> Column:
-    """The first count tokens, or the last -count."""
-    return F.call_function("substring_index", shape, F.lit(" "), count)
+def pieces(line: Column) -> Column:
+    """The pieces of a line, spaces between them included; of an empty line, one."""
+    cut = F.filter(F.split(F.regexp_replace(line, LONG_SENTENCE, "\n$0\n"), "\n"), lambda p: p != "")
+    return F.when(line == "", F.array(F.lit(""))).otherwise(cut)
 
 
-def template_ids(shape: Column, n: Column) -> Column:
-    """The ids of a line's templates: the exact one, and those with one part left open."""
-    exact = F.xxhash64(F.lit(0), shape)
-    cut = lambda i: F.floor(n * i / PARTS).cast("int")
-    open_at = lambda j: F.xxhash64(F.lit(j), n, _tokens(shape, cut(j - 1)), F.when(n > cut(j), _tokens(shape, cut(j) - n)).otherwise(""))
-    return F.when(n >= GENERAL, F.array(exact, *[open_at(j) for j in range(2, PARTS + 1)])).otherwise(F.array(exact))
+def counts_as(shape: Column, whole: Column) -> Column:
+    """Whether a piece can recur: not blank, and a whole line or SENTENCE tokens long."""
+    return (shape != "") & (whole | (token_count(shape) >= SENTENCE))
+
+
+def _holds(ordered: Column, steps: Column, value: Column) -> Column:
+    """Whether a sorted array holds value, by halving; steps are the powers of two up to its size, falling."""
+    last = F.aggregate(steps, F.lit(0), lambda t, s: F.when((t + s <= F.size(ordered)) & (F.get(ordered, t + s - 1) <= value), t + s).otherwise(t))
+    return F.coalesce(F.get(ordered, last - 1) == value, F.lit(False))
+
+
+def recurring_shapes(rows: DataFrame, documents: int) -> DataFrame:
+    """rows(id, line, leaf, n, shape) -> (line, first_id): the shapes that recur by themselves or by their leaf's template, with the
+    document in which they stay."""
+    shapes = written(rows.groupBy("leaf", "line", "n").agg(F.min("id").alias("first_id"), F.max("id").alias("last_id")), "shapes")
+    short = rows.filter(F.col("n") < LEAD).groupBy("line", "id").count().groupBy("line").agg(F.count("*").alias("documents"))
+    often = short.filter((F.col("documents") >= FEW) & (F.col("documents") * RARE >= documents)).select("line")
+    exact = shapes.filter("first_id < last_id")
+    alone = exact.filter(F.col("n") >= LEAD).unionByName(exact.filter(F.col("n") < LEAD).join(often, "line", "left_semi")).select("line", "first_id")
+
+    several = shapes.groupBy("leaf").agg(F.count("*").alias("shapes"), F.min("first_id").alias("f"), F.max("last_id").alias("l")).filter("shapes > 1 AND f < l").select("leaf")
+    mixed = written(shapes.join(several, "leaf").select("leaf", "line", "n", "first_id", "last_id"), "mixed")
+    texts = rows.join(mixed.select("line"), "line", "left_semi").dropDuplicates(["line"]).select("line", "shape")
+    tokens = written(mixed.join(texts, "line").select("leaf", "line", "n", "first_id", "last_id", F.posexplode(F.split("shape", " ")).alias("pos", "token")), "tokens")
+    values = tokens.groupBy("leaf", "pos", "token").agg(F.count("*").alias("c")).groupBy("leaf", "pos").agg(F.max(F.struct("c", "token")).alias("top"))
+    agreeing = tokens.join(values, ["leaf", "pos"]).filter("token = top.token").groupBy("leaf", "line").agg(F.count("*").alias("same"), F.first("n").alias("n"), F.first("first_id").alias("first_id"), F.first("last_id").alias("last_id"))
+    of_template = written(agreeing.filter(F.col("same") * LIKE[1] >= F.col("n") * LIKE[0]), "templates")
+    templates = of_template.groupBy("leaf").agg(F.min("first_id").alias("first"), F.max("last_id").alias("last")).filter("first < last").select("leaf", F.col("first").alias("first_id"))
+    alike = of_template.select("leaf", "line").join(templates, "leaf").select("line", "first_id")
+    return written(alone.unionByName(alike).groupBy("line").agg(F.min("first_id").alias("first_id")), "recurring")
 
 
 def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counts: bool = True) -> DataFrame:
-    """docs with the recurring lines taken out of its text column. With counts, lines and dropped_lines count them and stand
-    in for columns of docs with these names.
+    """docs with the recurring pieces taken out of its text column, and lines that lose all their pieces. With counts, lines,
+    dropped_lines and dropped_pieces (of lines that stay) count them and stand in for columns of docs with these names.
 
     Rows are joined by id, so rows with one id are one document. A NULL text stays NULL, an empty one empty, a document whose
-    lines all go becomes empty, and a document without an id keeps all its lines. An empty table gives no rows.
+    lines all go becomes empty, and a document without an id keeps all its lines. Blank lines stay. An empty table gives no rows.
     """
-    line = F.explode(F.split(F.col(text_col), "\n"))
-    shapes = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("__id"), line.alias("__line")).select("__id", masked(F.col("__line")).alias("__shape"))
-    n = token_count(F.col("__shape"))
-    each = shapes.withColumn("__n", n).filter(F.col("__n") >= LEAST)
-    each = written(each.select("__id", F.xxhash64(F.lit(0), "__shape").alias("__line"), template_ids(F.col("__shape"), F.col("__n")).alias("__templates")), "lines")
-    rows = each.select("__id", "__line", F.explode("__templates").alias("__template"))
-    recurring = rows.groupBy("__template").agg(F.min("__id").alias("__first"), F.max("__id").alias("__last")).filter("__first < __last").select("__template", "__first")
-    gone = rows.join(recurring, "__template").filter(F.col("__id") > F.col("__first")).groupBy("__id").agg(F.collect_set("__line").alias("__gone"))
-    joined = docs.join(gone.withColumnRenamed("__id", "__gone_id"), F.col(id_col) == F.col("__gone_id"), "left")
+    named = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.explode(F.split(F.col(text_col), "\n")).alias("line"))
+    cut = named.withColumn("pieces", pieces(F.col("line"))).select("id", (F.size("pieces") == 1).alias("whole"), F.explode("pieces").alias("piece"))
+    shaped = cut.select("id", "whole", masked(F.col("piece")).alias("shape")).filter(counts_as(F.col("shape"), F.col("whole"))).withColumn("n", token_count(F.col("shape")))
+    line = F.xxhash64("shape")
+    leaf = F.when(F.col("n") >= SENTENCE, F.xxhash64("n", F.call_function("substring_index", F.col("shape"), F.lit(" "), F.lit(LEAD)))).otherwise(line)
+    rows = written(shaped.select("id", line.alias("line"), leaf.alias("leaf"), "n", "shape"), "lines")
+    recurring = recurring_shapes(rows, docs.filter(F.col(id_col).isNotNull()).count())
+    gone = rows.select("id", "line").join(recurring, "line").filter("id > first_id").groupBy("id").agg(F.sort_array(F.collect_set("line")).alias("__gone"))
+    steps = F.filter(F.array(*[F.lit(1 << b) for b in range(30, -1, -1)]), lambda s: s <= F.size("__gone"))
+    joined = docs.join(gone.withColumn("__steps", steps).withColumnRenamed("id", "__gone_id"), F.col(id_col) == F.col("__gone_id"), "left")
+
+    def kept(line: Column) -> Column:
+        def stays(parts: Column) -> Column:
+            goes = lambda p: F.get(F.transform(F.array(masked(p)), lambda s: counts_as(s, F.size(parts) == 1) & _holds(F.col("__gone"), F.col("__steps"), F.xxhash64(s))), F.lit(0))
+            return F.struct(F.size(parts).alias("all"), F.filter(parts, lambda p: ~goes(p)).alias("left"))
+
+        return F.get(F.transform(F.array(pieces(line)), stays), F.lit(0))
+
     lines = F.split(F.col(text_col), "\n")
-    kept = F.filter(lines, lambda x: ~F.array_contains(F.col("__gone"), F.xxhash64(F.lit(0), masked(x))) | (token_count(masked(x)) < LEAST))
-    count = F.coalesce(F.size(F.when(F.col(text_col).isNotNull(), lines)), F.lit(0))
-    out = joined.withColumn("__lines", count).withColumn("__kept", F.when(F.col("__gone").isNotNull(), kept))
-    new = [F.col("__lines").alias("lines"), F.when(F.col("__kept").isNull(), F.lit(0)).otherwise(F.col("__lines") - F.size("__kept")).alias("dropped_lines")] if counts else []
-    own = [c for c in docs.columns if not counts or c not in ("lines", "dropped_lines")]
-    return out.select(*[F.when(F.col("__kept").isNull(), F.col(c)).otherwise(F.array_join("__kept", "\n")).alias(c) if c == text_col else F.col(f"`{c}`") for c in own], *new)
+    out = joined.withColumn("__lines", F.when(F.col("__gone").isNotNull(), F.transform(lines, kept)))
+    left = F.filter("__lines", lambda x: F.size(x["left"]) > 0)
+    shown = lambda x: F.when(x["all"] == F.size(x["left"]), F.array_join(x["left"], "")).otherwise(F.rtrim(F.array_join(x["left"], "")))
+    text = F.when(F.col("__lines").isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(left, shown), "\n"))
+    new = [
+        F.coalesce(F.size(F.when(F.col(text_col).isNotNull(), lines)), F.lit(0)).alias("lines"),
+        F.coalesce(F.size(F.filter("__lines", lambda x: F.size(x["left"]) == 0)), F.lit(0)).alias("dropped_lines"),
+        F.coalesce(F.aggregate(F.transform(left, lambda x: x["all"] - F.size(x["left"])), F.lit(0), lambda a, x: a + x), F.lit(0)).alias("dropped_pieces"),
+    ] if counts else []
+    own = [c for c in docs.columns if not counts or c not in ("lines", "dropped_lines", "dropped_pieces")]
+    return out.select(*[text.alias(c) if c == text_col else F.col(f"`{c}`") for c in own], *new)
 
 
 def op6_linededup(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return drop_recurring(docs).select("doc_id", F.col("text").alias("kept_text"), "lines", "dropped_lines")
+    return drop_recurring(docs).select("doc_id", F.col("text").alias("kept_text"), "lines", "dropped_lines", "dropped_pieces")
 
 
 OP6_SQL = r"""
 WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos FROM documents WHERE doc_id IS NOT NULL),
-m AS (SELECT doc_id, pos, line, CASE WHEN regexp_matches(line, '[0-9]')
-        AND len(regexp_extract_all(line, '[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*')) <= len(string_split(line, ' ')) * 0.25
-        THEN regexp_replace(line, '[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*', '<*>', 'g') ELSE line END AS shape FROM l),
-s AS (SELECT doc_id, pos, line, shape, string_split(shape, ' ') AS t, len(string_split(shape, ' ')) AS n FROM m),
-k AS (SELECT doc_id, pos, 0 AS j, shape AS a, '' AS b, n FROM s WHERE n >= 3
-      UNION ALL SELECT doc_id, pos, j, array_to_string(t[1:(n * (j - 1)) // 5], ' '), array_to_string(t[(n * j) // 5 + 1:n], ' '), n
-      FROM s, (SELECT unnest([2, 3, 4, 5]) AS j) WHERE n >= 15),
-f AS (SELECT j, a, b, n, min(doc_id) AS first_id FROM k GROUP BY ALL),
-g AS (SELECT DISTINCT k.doc_id, k.pos FROM k JOIN f USING (j, a, b, n) WHERE k.doc_id > f.first_id),
-r AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE g.pos IS NULL) AS kept, count(*) AS lines, count(g.pos) AS gone
-      FROM s LEFT JOIN g USING (doc_id, pos) GROUP BY doc_id)
-SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL WHEN coalesce(r.gone, 0) = 0 THEN d.text ELSE coalesce(r.kept, '') END AS kept_text,
-  CAST(coalesce(r.lines, 0) AS INTEGER) AS lines, CAST(coalesce(r.gone, 0) AS INTEGER) AS dropped_lines
-FROM documents d LEFT JOIN r USING (doc_id)
+c AS (SELECT doc_id, pos, CASE WHEN line = '' THEN [''] ELSE list_filter(string_split(
+        regexp_replace(line, '(?:[^ .!?]+ ){7,31}[^ .!?]+[.!?]+(?: |\z)', chr(10) || '\0' || chr(10), 'g'), chr(10)), lambda x: x <> '') END AS parts FROM l),
+p AS (SELECT doc_id, pos, len(parts) = 1 AS whole, unnest(parts) AS piece, unnest(range(len(parts))) AS part FROM c),
+m AS (SELECT *, CASE WHEN regexp_matches(piece, '[0-9]') AND regexp_matches(regexp_replace(piece, '[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*', '<*>', 'g'), '\p{L}')
+        THEN regexp_replace(trim(piece), '[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*', '<*>', 'g') ELSE trim(piece) END AS shape FROM p),
+s AS (SELECT doc_id, pos, part, piece, shape, string_split(shape, ' ') AS t, len(string_split(shape, ' ')) AS n,
+        shape <> '' AND (whole OR len(string_split(shape, ' ')) >= 8) AS counted FROM m),
+e AS (SELECT shape, any_value(t) AS t, any_value(n) AS n, min(doc_id) AS first_id, max(doc_id) AS last_id, count(DISTINCT doc_id) AS docs FROM s WHERE counted GROUP BY shape),
+alone AS (SELECT shape, first_id FROM e WHERE first_id < last_id AND (n >= 4 OR (docs >= 3 AND docs * 500 >= (SELECT count(doc_id) FROM documents)))),
+leaf AS (SELECT n, t[1:4] AS lead FROM e WHERE n >= 8 GROUP BY ALL HAVING count(*) > 1 AND min(first_id) < max(last_id)),
+k AS (SELECT e.n, t[1:4] AS lead, shape, first_id, last_id, unnest(t) AS token, unnest(range(e.n)) AS pos FROM e JOIN leaf ON e.n = leaf.n AND t[1:4] = lead),
+v AS (SELECT n, lead, pos, arg_max(token, struct_pack(c := c, token := token)) AS token FROM (SELECT n, lead, pos, token, count(*) AS c FROM k GROUP BY n, lead, pos, token) GROUP BY n, lead, pos),
+a AS (SELECT n, lead, shape, any_value(first_id) AS first_id, any_value(last_id) AS last_id FROM k JOIN v USING (n, lead, pos, token) GROUP BY n, lead, shape HAVING count(*) * 5 >= n * 4),
+r AS (SELECT n, lead, min(first_id) AS first_id FROM a GROUP BY ALL HAVING min(first_id) < max(last_id)),
+g AS (SELECT shape, min(first_id) AS first_id FROM (SELECT * FROM alone UNION ALL SELECT a.shape, r.first_id FROM a JOIN r USING (n, lead)) GROUP BY shape),
+w AS (SELECT s.doc_id, s.pos, string_agg(s.piece, '' ORDER BY s.part) FILTER (WHERE NOT (s.counted AND g.first_id IS NOT NULL AND s.doc_id > g.first_id)) AS line,
+        count(*) FILTER (WHERE s.counted AND s.doc_id > g.first_id) AS gone, count(*) AS parts FROM s LEFT JOIN g USING (shape) GROUP BY s.doc_id, s.pos),
+d AS (SELECT doc_id, string_agg(CASE WHEN gone > 0 THEN rtrim(line) ELSE line END, chr(10) ORDER BY pos) FILTER (WHERE gone < parts) AS kept, count(*) AS lines,
+        count(*) FILTER (WHERE gone = parts) AS dropped_lines, sum(CASE WHEN gone < parts THEN gone ELSE 0 END) AS dropped_pieces FROM w GROUP BY doc_id)
+SELECT documents.doc_id, CASE WHEN text IS NULL THEN NULL ELSE coalesce(kept, '') END AS kept_text, CAST(coalesce(lines, 0) AS INTEGER) AS lines,
+  CAST(coalesce(dropped_lines, 0) AS INTEGER) AS dropped_lines, CAST(coalesce(dropped_pieces, 0) AS INTEGER) AS dropped_pieces
+FROM documents LEFT JOIN d USING (doc_id)
 """
