@@ -4,7 +4,8 @@ The largest inner products of a query are the smallest distances once each vecto
 the largest norm of all, and the query by 0: d^2 = |q|^2 + M^2 - 2 q.x. So metric trees apply. Rows are dealt to blocks of
 similar vectors, each block is one tree of pages: an inner node holds routing vectors with covering radii and distances to their
 parent's, a leaf holds vectors with distances to theirs. A search opens the page with the least bound first and skips, by the
-stored distances, entries whose own distance need not be computed. Queries go in groups to every tree.
+stored distances, entries whose own distance need not be computed. The trees' own routers, with their covering radii, are the
+level above: a query goes to the nearest tree first, and then only to those whose bound its k-th score does not rule out.
 """
 
 from __future__ import annotations
@@ -24,8 +25,8 @@ K = 10
 LEAF, FANOUT = 128, 16
 #: Rows of a tree, about; queries that are searched together.
 TREE_ROWS, QUERY_GROUP = 1 << 14, 4096
-#: Allowance for rounding in distances, relative to the largest.
-SLACK = 1e-9
+#: Allowance for rounding in distances, relative to the largest: the root of what a double loses of its square.
+SLACK = 1e-7
 
 
 def scaled(vector: Column) -> Column:
@@ -35,7 +36,7 @@ def scaled(vector: Column) -> Column:
 
 
 def _products(rows: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Exact integer inner products: in doubles while every partial sum stays below 2^53, else in 64-bit integers."""
+    """Exact integer inner products: in doubles while every partial sum stays below 2^53, else in 64-bit integers (top_k refuses more)."""
     if rows.shape[1] * np.abs(rows).max(initial=0) * np.abs(q).max(initial=0) < 2.0**53:
         return (rows @ q).astype(np.int64)
     return rows.astype(np.int64) @ q.astype(np.int64)
@@ -51,6 +52,12 @@ class Tree:
         self.lift = np.sqrt(np.maximum(most - (self.rows**2).sum(axis=1), 0.0))
         self.nodes: list[tuple] = []
         self.root = self._grow(np.arange(len(ids)), None)
+        self.router = self._middle()
+        self.radius = float(self._gaps(np.arange(len(ids)), self.router).max())
+
+    def _middle(self) -> int:
+        """The row nearest to the mean: what stands for the tree in the level above."""
+        return int(((self.rows - self.rows.mean(axis=0)) ** 2).sum(axis=1).argmin())
 
     def _gaps(self, at: np.ndarray, centre: int) -> np.ndarray:
         d2 = ((self.rows[at] - self.rows[centre]) ** 2).sum(axis=1) + (self.lift[at] - self.lift[centre]) ** 2
@@ -84,12 +91,13 @@ class Tree:
         self.nodes.append(("inner", routers, np.array([e[1] for e in entries]), own, [e[2] for e in entries]))
         return len(self.nodes) - 1
 
-    def search(self, q: np.ndarray, own: int, k: int, stats: dict | None = None) -> list[tuple[int, int]]:
-        """The k best (score, id) of a query, higher scores and then smaller ids first; the row with id own takes no part."""
+    def search(self, q: np.ndarray, own: int, k: int, stats: dict | None = None, least: int | None = None) -> list[tuple[int, int]]:
+        """The k best (score, id) of a query, higher scores and then smaller ids first; the row with id own takes no part. Only
+        scores of at least least matter, where that is given."""
         norm = float((q**2).sum())
         eps = SLACK * (np.sqrt(norm) + np.sqrt(self.most) + 1)
         best: list[tuple[int, int]] = []  # heap of (score, -id), the worst first
-        limit = np.inf
+        limit = np.inf if least is None else np.sqrt(max(norm + self.most - 2.0 * least, 0.0)) + eps
 
         def gap(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             if stats is not None:
@@ -121,7 +129,7 @@ class Tree:
                     elif (score, -i) > best[0]:
                         heapq.heapreplace(best, (score, -i))
                 if len(best) == k:
-                    limit = np.sqrt(max(norm + self.most - 2.0 * best[0][0], 0.0)) + eps
+                    limit = min(limit, np.sqrt(max(norm + self.most - 2.0 * best[0][0], 0.0)) + eps)
             else:
                 _, routers, radii, own_gap, children = page
                 keep = np.arange(len(routers))
@@ -142,57 +150,102 @@ def _matrix(column: pd.Series, dim: int) -> np.ndarray:
     return out
 
 
+def bounds(routers: pd.DataFrame, q: np.ndarray, most: float, dim: int) -> np.ndarray:
+    """queries x routers: the least distance that a row under each router can have to each query."""
+    centre, norm = _matrix(routers["centre"], dim), (q**2).sum(axis=1)
+    d = np.sqrt(np.maximum(norm[:, None] + most - 2.0 * (q @ centre.T), 0.0))
+    return np.maximum(d - routers["radius"].to_numpy()[None, :] - SLACK * (np.sqrt(norm)[:, None] + np.sqrt(most) + 1), 0.0)
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "vec_id", vector_col: str = "embedding", tree_rows: int = TREE_ROWS) -> DataFrame:
     """query_id, rank, vec_id, score: for each query its k rows of highest integer inner product, without its own id.
 
     vectors and queries have an id and a vector. Rows whose id is NULL, or whose vector is NULL or holds NULL or non-finite
     components, take no part. Shorter vectors count as filled up with zeros. Ties go to the smaller id; rows that share an id
     are candidates each, and ties among them stay apart by rank alone. Repeated queries
-    count once; queries that share an id alone fill one list together. Without rows or queries there is no result.
+    count once; queries that share an id alone fill one list together. Without rows or queries there is no result. Vectors whose
+    inner products may pass 64 bits are refused.
     """
     clean = lambda df: df.select(F.col(id_col).cast("long").alias("id"), scaled(F.col(vector_col)).alias("v")).filter("id IS NOT NULL AND v IS NOT NULL")
     rows = written(clean(vectors), "vectors")
     square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
     facts = rows.agg(F.count("*"), F.max(square), F.max(F.size("v"))).first()
-    asked = clean(queries).dropDuplicates(["id", "v"])
-    widest = asked.agg(F.max(F.size("v"))).first()[0]
-    if not facts[0] or widest is None:
+    asked = written(clean(queries).dropDuplicates(["id", "v"]), "queries")
+    wanted = asked.agg(F.count("*"), F.max(square), F.max(F.size("v"))).first()
+    if not facts[0] or not wanted[0]:
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    most, dim = float(facts[1] or 0.0), max(facts[2] or 0, widest, 1)
+    most, dim = float(facts[1] or 0.0), max(facts[2] or 0, wanted[2] or 0, 1)
+    if max(most, float(wanted[1] or 0.0)) >= 2.0**62:
+        raise ValueError("vectors are so long that inner products of their scaled components may pass 64 bits")
     blocks = -(-facts[0] // tree_rows)
     # blocks of similar vectors: the signs along a few seeded directions, then an even deal within each
     signs = max(0, (blocks - 1).bit_length())
     rng = np.random.default_rng(11)
     sides = [F.when(F.aggregate(F.zip_with("v", F.array(*[F.lit(float(x)) for x in rng.choice([-1.0, 1.0], dim)]), lambda a, b: F.coalesce(a, F.lit(0.0)) * F.coalesce(b, F.lit(0.0))), F.lit(0.0), lambda a, x: a + x) > 0, 1 << j).otherwise(0) for j in range(signs)]
-    cell = sum(sides, F.lit(0))
-    sizes = {r["cell"]: -(-r["count"] // tree_rows) for r in rows.groupBy(cell.alias("cell")).count().collect()}  # at most twice the blocks
-    parts = F.element_at(F.create_map(*[F.lit(x) for kv in sizes.items() for x in kv]), cell)
-    dealt = rows.select("id", "v", F.concat_ws("-", cell.cast("string"), F.pmod(F.xxhash64("id"), parts).cast("string")).alias("block"))
+    celled = written(rows.withColumn("cell", sum(sides, F.lit(0))), "cells")
+    parts = celled.groupBy("cell").agg(F.ceil(F.count("*") / tree_rows).alias("parts"))
+    dealt = celled.join(parts, "cell").select("id", "v", F.concat_ws("-", "cell", F.pmod(F.xxhash64("id"), "parts")).alias("block"))
 
     def build(key: tuple, df: pd.DataFrame) -> pd.DataFrame:
         tree = Tree(df["id"].to_numpy(np.int64), _matrix(df["v"], dim), most, dim)
-        return pd.DataFrame({"block": [key[0]], "tree": [pickle.dumps(tree, protocol=5)]})
+        return pd.DataFrame({"block": [key[0]], "centre": [tree.rows[tree.router].tolist()], "radius": [tree.radius], "tree": [pickle.dumps(tree, protocol=5)]})
+
+    trees = written(dealt.groupBy("block").applyInPandas(build, "block string, centre array<double>, radius double, tree binary"), "trees")
+    groups = -(-wanted[0] // QUERY_GROUP)
+    asked = asked.withColumn("q_group", F.pmod(F.xxhash64("id", F.lit(3)), F.lit(groups)).cast("int"))
+    # the level above the trees, in chunks: every group of queries meets every chunk, but only bounds are computed there
+    chunk = F.pmod(F.xxhash64("block"), F.lit(-(-2 * blocks // QUERY_GROUP))).cast("int")
+    routers = trees.select("block", "centre", "radius", chunk.alias("chunk")).withColumn("q_group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    chunks = F.explode(F.sequence(F.lit(0), F.lit(-(-2 * blocks // QUERY_GROUP) - 1)))
+
+    def nearest(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if not len(left) or not len(right):
+            return pd.DataFrame(columns=["id", "v", "q_group", "block", "bound"])
+        low = bounds(left, _matrix(right["v"], dim), most, dim)
+        at = low.argmin(axis=1)
+        return right[["id", "v", "q_group"]].assign(block=left["block"].to_numpy()[at], bound=low[np.arange(len(right)), at])
 
-    trees = written(dealt.groupBy("block").applyInPandas(build, "block string, tree binary"), "trees")
-    count = asked.count()
-    groups = -(-count // QUERY_GROUP)
-    group = F.pmod(F.xxhash64("id", F.lit(3)), F.lit(groups)).cast("int")
-    names = trees.select(F.col("block").alias("q_block"))
-    # every group of queries meets every tree once: the stated queries against all rows, in blocks
-    meets = trees.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    sent = asked.withColumn("q_group", group).join(names.withColumn("q_group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))), "q_group")
+    at_chunks = lambda df: df.withColumn("chunk", chunks).groupBy("q_group", "chunk")
+    sent = "id long, v array<double>, q_group int, block string"
+    near = routers.groupBy("q_group", "chunk").cogroup(at_chunks(asked)).applyInPandas(nearest, f"{sent}, bound double")
+    home = near.groupBy("id", "v", "q_group").agg(F.min(F.struct("bound", "block"))["block"].alias("block"))
 
     def search(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple] = []
         if len(left) and len(right):
             tree = pickle.loads(left["tree"].iloc[0])
-            for own, q in zip(right["id"].tolist(), _matrix(right["v"], dim), strict=True):
-                out += [(own, i, s) for s, i in tree.search(q, own, k)]
+            least = right["least"] if "least" in right else [None] * len(right)
+            for own, q, low in zip(right["id"].tolist(), _matrix(right["v"], dim), least, strict=True):
+                out += [(own, i, s) for s, i in tree.search(q, own, k, least=None if low is None or pd.isna(low) else int(low))]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
-    found = meets.groupBy("block", "group").cogroup(sent.groupBy("q_block", "q_group")).applyInPandas(search, "query_id long, vec_id long, score long")
-    # at most k rows of each tree for a query; the best k of these by an aggregate that keeps k
-    ranked = found.groupBy("query_id").agg(F.slice(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id"))), 1, k).alias("best"))
+    def searched(pairs: DataFrame) -> DataFrame:
+        pairs = pairs.withColumnsRenamed({"block": "p_block", "q_group": "p_group"})
+        asked_of = pairs.select(F.col("p_block").alias("block"), F.col("p_group").alias("group")).distinct()
+        meets = trees.join(asked_of, "block").select("block", "group", "tree")
+        return meets.groupBy("block", "group").cogroup(pairs.groupBy("p_block", "p_group")).applyInPandas(search, "query_id long, vec_id long, score long")
+
+    def best(found: DataFrame) -> DataFrame:
+        return found.groupBy("query_id").agg(F.slice(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id"))), 1, k).alias("best"))
+
+    home = written(home, "homes")
+    first = written(searched(home), "first")
+    reached = asked.join(best(first).select(F.col("query_id").alias("id"), F.when(F.size("best") == k, -F.get("best", F.lit(k - 1))["s"]).alias("least")), "id", "left")
+    reached = reached.join(home.select("id", "v", F.col("block").alias("home")), ["id", "v"])
+
+    def others(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        out = pd.DataFrame(columns=["id", "v", "q_group", "block", "least"])
+        if len(left) and len(right):
+            q = _matrix(right["v"], dim)
+            norm = (q**2).sum(axis=1)
+            limit = np.sqrt(np.maximum(norm + most - 2.0 * right["least"].astype(float).fillna(-np.inf).to_numpy(), 0.0)) + SLACK * (np.sqrt(norm) + np.sqrt(most) + 1)
+            i, j = np.nonzero((bounds(left, q, most, dim) <= limit[:, None]) & (left["block"].to_numpy()[None, :] != right["home"].to_numpy()[:, None]))
+            out = right[["id", "v", "q_group", "least"]].iloc[i].assign(block=left["block"].to_numpy()[j])
+        return out[["id", "v", "q_group", "block", "least"]]
+
+    more = written(routers.groupBy("q_group", "chunk").cogroup(at_chunks(reached)).applyInPandas(others, f"{sent}, least long"), "others")
+    # at most k rows of each tree for a query; the best k of these by an aggregate
+    ranked = best(first.unionByName(searched(more)))
     return ranked.select("query_id", F.posexplode("best").alias("pos", "hit")).select("query_id", (F.col("pos") + 1).cast("int").alias("rank"), F.col("hit.vec_id").alias("vec_id"), (-F.col("hit.s")).alias("score"))
 
 
