@@ -88,21 +88,31 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(both == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / both)
 
 
+#: Blocks of rows without an id, which stand before all others, are cut by the hash of the text: 2^NULL_BITS of them.
+NULL_BITS = 10
+
+
 def with_next(docs: DataFrame, blocks: int) -> DataFrame:
-    """doc_id, text, next_text: the text of the next document in ascending doc_id, of the first after the last.
+    """docs(doc_id, text, ...) with next, a struct of the other columns of the next document in ascending doc_id, of the first after
+    the last.
 
-    Rows are dealt to blocks of consecutive ids by approximate quantiles and each block is sorted alone: the text moves once.
-    The first row of each block also goes, as a guest, to the end of the block before it.
+    Rows are dealt to blocks of consecutive ids by approximate quantiles and each block is sorted alone: a row moves once. The
+    first row of each block also goes, as a guest, to the end of the block before it; that it is the first, ids and hashes decide.
     """
-    placed = docs.withColumn("block", range_of(F.col("doc_id"), range_edges(docs, "doc_id", blocks)))
-    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
-    heads = placed.groupBy("block").agg(F.min_by(F.struct("doc_id", "text"), F.struct(F.col("doc_id").isNotNull(), "doc_id", F.xxhash64("text"))).alias("head"))
-    # one row per block: to the block that comes before it, the first to the last one
-    turn = Window.orderBy("block")
-    guests = heads.select(F.coalesce(F.lag("block").over(turn), F.max("block").over(turn.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("block"), "head.*")
-    rows = placed.withColumn("guest", F.lit(0)).unionByName(guests.withColumn("guest", F.lit(1)))
-    shown = rows.repartition(F.col("block")).withColumn("next_text", F.lead("text").over(Window.partitionBy("block").orderBy("guest", *order)))
-    return shown.filter("guest = 0").select("doc_id", "text", "next_text")
+    spans = F.shiftright(F.xxhash64("text"), 64 - NULL_BITS) - (1 << (NULL_BITS - 1))  # below 0, in the order of the hash
+    block = F.when(F.col("doc_id").isNull(), spans).otherwise(range_of(F.col("doc_id"), range_edges(docs, "doc_id", blocks))).cast("int")
+    at = docs.withColumn("block", block).withColumn("th", F.xxhash64("text"))
+    order = [F.col("doc_id").asc_nulls_first(), F.col("th")]
+    heads = at.groupBy("block").agg(F.min_by(F.struct("doc_id", "th"), F.struct(F.col("doc_id").isNotNull(), "doc_id", "th")).alias("head"))
+    turn = Window.orderBy("block")  # a row for each block, an id and a hash
+    before = F.coalesce(F.lag("block").over(turn), F.max("block").over(turn.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    hosts = heads.select(before.alias("host"), F.col("block").alias("of"), F.col("head.doc_id").alias("head_id"), F.col("head.th").alias("head_th"))
+    first = at.join(hosts, (at["block"] == hosts["of"]) & at["doc_id"].eqNullSafe(hosts["head_id"]) & (at["th"] == hosts["head_th"])).dropDuplicates(["of"])
+    guests = first.select(*docs.columns, F.col("host").alias("block"), "th", F.lit(1).alias("guest"))
+    rows = at.withColumn("guest", F.lit(0)).unionByName(guests)
+    rest = F.struct(*[c for c in docs.columns if c != "doc_id"])
+    shown = rows.repartition(F.col("block")).withColumn("next", F.lead(rest).over(Window.partitionBy("block").orderBy("guest", *order)))
+    return shown.filter("guest = 0").drop("block", "th", "guest")
 
 
 def fingerprint_pairs(docs: DataFrame, blocks: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -114,12 +124,12 @@ def fingerprint_pairs(docs: DataFrame, blocks: int | None = None, id_col: str =
     """
     spark = docs.sparkSession
     base = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    blocks = blocks or min(10_000, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    blocks = blocks or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
-    rows = with_next(base, blocks).withColumn("n_chars", n.cast("long"))
-    rows = rows.withColumn("edited", F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next_text"), F.lit(1), half)))
-    rows = rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), signature(F.col("text")).alias("sig"), signature(F.col("edited")).alias("esig"), signature(F.col("next_text")).alias("nsig"))
+    rows = with_next(base.withColumn("sig", signature(F.col("text"))), blocks)
+    rows = rows.withColumn("n_chars", n.cast("long")).withColumn("edited", F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next.text"), F.lit(1), half)))
+    rows = rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "sig", signature(F.col("edited")).alias("esig"), F.col("next.sig").alias("nsig"))
     return rows.select("doc_id", "n_chars", "edited_sha256", fingerprint(F.col("sig")).alias("fingerprint"), fingerprint(F.col("esig")).alias("edited_fingerprint"), likeness(F.col("sig"), F.col("esig")).alias("near_edited"), likeness(F.col("sig"), F.col("nsig")).alias("near_next"))
 
 
