@@ -48,11 +48,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """One row for each row of docs: doc_id, size, source_size, target, times, taken; with carry also row, the whole input row.
 
     Every row is taken floor(target / source_size) times. For the fraction that remains, the rows of a source stand in the
-    order of md5(seed:id), and the leading ones are taken once more, as many as come nearest to the target: the error is at
+    order of md5(seed:id:text), and the leading ones are taken once more, as many as come nearest to the target: the error is at
     most half a document. NULL texts have size 0; a NULL source is a source of its own, numbered last; repeated rows count
-    each; a NULL id is ordered as the word null; an empty table gives an empty result. The result depends on the rows and the seed only.
+    each; a NULL id is hashed as the word null, with the text as all are; an empty table gives an empty result. The result depends on the rows and the seed only.
     """
-    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))))
+    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit(":"), F.coalesce(F.col(text_col), F.lit(""))))
     cols = [F.col(id_col).alias("doc_id"), word_count(F.col(text_col)).alias("size"), F.col(source_col).alias("source"), key.alias("key")]
     rows = docs.select(*cols, *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []))
     rows = written(rows, "mix-rows")
@@ -83,7 +83,7 @@ def op8_mixing(spark, sf_dir: str) -> DataFrame:
 
 
 OP8_SQL = r"""
-WITH d AS (SELECT doc_id, source, md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS key,
+WITH d AS (SELECT doc_id, source, md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || coalesce(text, '')) AS key,
              CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS no FROM d GROUP BY source),
 w AS (SELECT *, CASE no % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS w, source_size * 2.0::DOUBLE AS cap FROM s),
