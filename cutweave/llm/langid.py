@@ -25,6 +25,8 @@ FOLDS, HELD = 3, 1
 MOST = 3_000
 BLOCK, EPOCHS, BATCH, RATE = 64, 2, 256, 0.3
 UNKNOWN = "und"
+#: Languages that a model may tell apart; more are refused, since its size grows with them.
+MOST_LANGS = 128
 
 
 def _fold_accents(raw: np.ndarray) -> np.ndarray:
@@ -167,8 +169,8 @@ def fit(langs: list[str]):
             order = rng.permutation(len(runs))
             seq = np.concatenate([np.arange(runs[k][0], runs[k][1]) for k in order])
             label = np.concatenate([np.full(runs[k][1] - runs[k][0], runs[k][2]) for k in order])
-            whole = len(seq) // BLOCK
-            seq, label = (seq[: whole * BLOCK].reshape(whole, BLOCK), label[: whole * BLOCK].reshape(whole, BLOCK)) if whole else (seq[None, :], label[None, :])
+            shape = (-(-len(seq) // BLOCK), BLOCK) if len(seq) >= BLOCK else (1, len(seq))
+            seq, label = np.resize(seq, shape), np.resize(label, shape)  # the last row is filled up with the first words
             seen, seen_t = np.full((1 << BITS, L), 1e-2), np.full((L, L), 1e-2)
             for epoch in range(EPOCHS):
                 for lo in range(0, len(seq), BATCH):
@@ -223,7 +225,9 @@ def loaded(data: bytes) -> tuple[list[str], np.ndarray, np.ndarray]:
 def train(docs: DataFrame, most: int = MOST, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> bytes:
     """Learns from the rows of docs with an id and a language; their languages, few by nature, go to the driver."""
     known = docs.filter(F.col(id_col).isNotNull() & F.col(lang_col).isNotNull())
-    langs = sorted(r[0] for r in known.select(lang_col).distinct().collect())
+    langs = sorted(r[0] for r in known.select(lang_col).distinct().limit(MOST_LANGS + 1).collect())
+    if len(langs) > MOST_LANGS:
+        raise ValueError(f"over {MOST_LANGS} languages: the model has a column for each")
     places = F.array(*[F.lit(x) for x in langs]) if langs else F.array().cast("array<string>")
     label = known.select(F.col(id_col).alias("doc_id"), (F.array_position(places, F.col(lang_col)) - 1).alias("y"))
     return trained(labelled_sample(known, label, most, id_col, text_col), fit(langs))
