@@ -17,14 +17,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh path in the folder that driver and executors share. A folder of our own is used only where none is set."""
+    """A fresh path in the folder that driver and executors share. Where none is set, a local session takes a folder of its own;
+    on a cluster that is an error, since executors would write to disks that nobody else reads."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         sc = spark.sparkContext
         if sc._jsc.sc().getCheckpointDir().isEmpty():
+            if not sc.master.startswith("local"):
+                raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
             sc.setCheckpointDir(tempfile.mkdtemp(prefix="cutweave-"))
         base = sc._jsc.sc().getCheckpointDir().get()
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(base)  # qualified, so that readers other than Spark's look into the same store
+    return f"{path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString().rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

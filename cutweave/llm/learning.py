@@ -17,7 +17,7 @@ def labelled_sample(docs: DataFrame, label: DataFrame, most: int, id_col: str =
     ids = label.groupBy("doc_id").agg(F.max("y").alias("y"))
     n = ids.count()
     part = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("sample")), F.lit(1 << 30))
-    chosen = ids.filter(part < int(min(1.0, most / max(n, 1)) * (1 << 30))).limit(2 * most)
+    chosen = ids.filter(part < int(min(1.0, most / max(n, 1)) * (1 << 30))).orderBy(part, "doc_id").limit(2 * most)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "doc_id")
     return texts.select(F.coalesce("text", F.lit("")).alias("text"), "y", F.xxhash64("doc_id", "text").alias("turn")).repartition(1).sortWithinPartitions("turn").select("text", "y")
 

@@ -24,7 +24,7 @@ def put(uri: str, name: str, data: bytes) -> None:
     """Writes a file under a name of this attempt, then moves it: a repeated task leaves the same whole file."""
     from pyarrow import fs
 
-    store, root = fs.FileSystem.from_uri(uri)
+    store, root = fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
     store.create_dir(root, recursive=True)
     own = f"{root}/_{uuid.uuid4().hex}"
     with store.open_output_stream(own) as out:
@@ -37,7 +37,7 @@ def write_shards(docs: DataFrame, directory: str, tokenizer: str | None = None,
     (ids of all documents before it), n_docs, n_tokens.
 
     Documents stand in ascending id, NULL ids first, equal ids in the order of their texts' hashes. A NULL text is empty, so
-    each document has its end id at least. An empty table writes no file. Ids must be integers.
+    each document has its end id at least. An empty table writes no file. Ids must be integers, and the tokenizer's at most 65,535.
     """
     path = tokenizer or tokens.tokenizer_path()
     ranged = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))

@@ -151,29 +151,89 @@ def test_recurring_lines(spark):
     other = [*long[:10], "new", *long[11:]]
     rows = [
         (1, "keep me alone\n" + " ".join(long) + "\nhi"), (2, " ".join(other) + "\nhi\nTotal of 12 items sold"), (3, "Total of 99 items sold\nmine only here"),
-        (4, None), (5, ""), (None, " ".join(long)), (6, " ".join(long)), (6, " ".join(long)), (7, "twice in one\ntwice in one"), (8, "hi\nhi"),
+        (4, None), (5, ""), (None, " ".join(long)), (6, " ".join(long)), (6, " ".join(long)), (7, "twice in one\ntwice in one"), (8, "hi\n\nhi\n12 30 7"), (9, "ho\n12 30 8"), (10, "ho"),
     ]
     docs = spark.createDataFrame([(d, t, 1, "z") for d, t in rows], "doc_id long, text string, lines int, n string")
     got = sorted(((r.doc_id or 0), r.text or "", r.dropped_lines) for r in linededup.drop_recurring(docs).collect())
     assert got == sorted([
-        (1, rows[0][1], 0), (2, "hi\nTotal of 12 items sold", 1), (3, "mine only here", 1), (4, "", 0), (5, "", 0), (0, " ".join(long), 0),
-        (6, "", 1), (6, "", 1), (7, rows[8][1], 0), (8, "hi\nhi", 0),
+        (1, rows[0][1], 0), (2, "Total of 12 items sold", 2), (3, "mine only here", 1), (4, "", 0), (5, "", 0), (0, " ".join(long), 0),
+        (6, "", 1), (6, "", 1), (7, rows[8][1], 0), (8, "\n12 30 7", 2), (9, rows[10][1], 0), (10, "ho", 0),
     ])
     same = linededup.drop_recurring(docs, counts=False)
     assert same.columns == docs.columns and same.filter("doc_id = 4").first().text is None
     assert linededup.drop_recurring(docs.limit(0)).count() == 0
 
 
-def slow_signature(spark, texts):
+def test_passages_recur_wherever_in_a_line_they_stand(spark):
+    rng = np.random.default_rng(8)
+    say = lambda n, tag: " ".join(f"{tag}{x}".translate(str.maketrans("0123456789", "abcdefghij")) for x in rng.integers(0, 10**6, n)) + "."
+    passage = " ".join(say(n, "p") for n in (12, 3, 20, 9, 2, 14))
+    changed = passage.split(" ")
+    changed[20], changed[55] = "edited", "other"
+    texts = [say(30, "a") + " " + passage + " " + say(9, "b"), say(4, "c") + " " + passage, "x\n" + say(11, "d") + " " + " ".join(changed) + " " + say(40, "e"), say(100, "f"), passage]
+    got = [r.text for r in linededup.drop_recurring(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()]
+    windows = lambda t: {tuple(t.split()[i : i + 12]) for i in range(len(t.split()) - 11)}
+    assert got[0] == texts[0] and got[3] == texts[3] and len(got[4].split()) < linededup.SENTENCE
+    assert all(not windows(got[k]) & windows(passage) for k in (1, 2)) and got[1].startswith(texts[1][:20])
+    assert all(w in got[2].split() for w in texts[2].split() if w[0] in "d" or (w[0] == "e" and w != "edited"))
+
+
+def test_many_lines_of_one_document(spark):
+    lines = [f"the line number {''.join(chr(97 + int(c)) for c in str(i))} of a long log" for i in range(30_000)]
+    docs = spark.createDataFrame([(1, "\n".join(lines[::2])), (2, "\n".join(lines))], "doc_id long, text string")
+    assert [r.dropped_lines for r in linededup.drop_recurring(docs).orderBy("doc_id").collect()] == [0, 15_000]
+
+
+def signatures(spark, texts):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     return {r.i: {(s.slot, s.sig) for s in r.s} for r in df.select("i", ordermin.signature(df.t).alias("s")).collect()}
 
 
+def chained(*parts):
+    seed = 42
+    for x in parts:
+        seed = xxhash.xxh64_intdigest(x if isinstance(x, bytes) else (x & (1 << 64) - 1).to_bytes(8, "little"), seed)
+    return seed
+
+
+def slow_signature(text):
+    """Order MinHash in plain Python: k-mers with occurrence numbers, the smallest of each slot, hashed in text order."""
+    import re
+
+    words = [w.encode() for w in re.split(r"[\x20\x09-\x0D]+", text or "") if w]
+    grams = [(words[i : i + 3] + [b""] * 3)[:3] for i in range(max(len(words) - 2, min(len(words), 1)))]
+    by_hash = {}
+    for i, g in enumerate(grams):  # a k-mer is known by 33 bits of its hash, of the hash of its three words
+        by_hash.setdefault(chained(chained(*g)) >> 31, []).append(i)
+    placed = sorted((h if not j else chained(h, (j).to_bytes(4, "little")) >> 31, i) for h, at in by_hash.items() for j, i in enumerate(at))
+    slots = {}
+    for h, i in placed:
+        slots.setdefault(h >> 27, []).append(i)
+    out = set()
+    for slot, at in slots.items():
+        sig = 0
+        for i in sorted(at[:2]):
+            sig = chained(sig, chained(*grams[i]))
+        out.add((slot, sig - (1 << 64) if sig >> 63 else sig))
+    return out
+
+
+def slow_likeness(a, b):
+    slots = {s for s, _ in a} | {s for s, _ in b}
+    return len(a & b) / len(slots) if slots else 1.0
+
+
+def test_signatures_by_brute_force(spark):
+    rng = np.random.default_rng(2)
+    texts = [" ".join(rng.choice(["a", "bb", "ü", "d"], n)) for n in (0, 1, 2, 3, 4, 7, 30, 300)] + [" ".join(f"w{i}" for i in range(400)), "x " * 500, None, "\ta\x0b b\nc "]
+    assert signatures(spark, texts) == {i: slow_signature(t) for i, t in enumerate(texts)}
+
+
 def test_order_and_repeats_count(spark):
     a = " ".join(f"w{i}" for i in range(300))
     words = a.split()
     moved = " ".join(words[150:] + words[:150])
-    sig = slow_signature(spark, [a, a, moved, " ".join(words[::-1]), "", None, "x x x x x x x", "x x x x", a + " end", "ü"])
+    sig = signatures(spark, [a, a, moved, " ".join(words[::-1]), "", None, "x x x x x x x", "x x x x", a + " end", "ü"])
     like = lambda i, j: len(sig[i] & sig[j]) / len({s for s, _ in sig[i]} | {s for s, _ in sig[j]})
     assert sig[0] == sig[1] and sig[4] == sig[5] == set() and sig[9]
     assert like(0, 8) > like(0, 2) > like(0, 3) and sig[6] != sig[7]
@@ -198,7 +258,11 @@ def test_next_documents_and_edits(spark):
         after = text[nxt] if nxt else "a b c d e f g h"  # after the last comes the row without an id
         want = t[: n - n // 2] + after[: n // 2]
         assert got[d, n].edited_sha256 == hashlib.sha256(want.encode()).hexdigest()
+        own = slow_signature(t)
+        assert got[d, n].near_edited == slow_likeness(own, slow_signature(want)) and got[d, n].near_next == slow_likeness(own, slow_signature(after))
     assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in got.values())
+    same = [tuple(r) for r in ordermin.fingerprint_pairs(docs, blocks=1).collect()]
+    assert sorted(map(str, same)) == sorted(map(str, (tuple(r) for r in ordermin.fingerprint_pairs(docs, blocks=8).collect())))
     assert ordermin.fingerprint_pairs(docs.limit(0)).count() == 0 and ordermin.fingerprint_pairs(docs.filter("doc_id = 6")).first().near_next == 1.0
 
 
@@ -209,6 +273,11 @@ def test_edits_of_all_documents(spark):
     got = {r.doc_id: r for r in ordermin.op7_ordermin(spark, SF).collect()}
     for i, (d, t) in enumerate(docs):
         after, n = docs[(i + 1) % len(docs)][1], len(t)
+        if n < 4000:
+            own = slow_signature(t)
+            shown = {int(k): v for k, v in ((k, got[d].fingerprint[16 * k : 16 * k + 16]) for k in range(64)) if v[0] != "."}
+            assert shown == {k: f"{v & (1 << 64) - 1:016x}" for k, v in own} and got[d].near_next == slow_likeness(own, slow_signature(after))
+            assert got[d].near_edited == slow_likeness(own, slow_signature(t[: n - n // 2] + after[: n // 2]))
         assert got[d].n_chars == n and got[d].edited_sha256 == hashlib.sha256((t[: n - n // 2] + after[: n // 2]).encode()).hexdigest()
     prints = {}
     for d, t in docs:

@@ -11,6 +11,7 @@ from cutweave.llm import langid, linededup, mixing, mtree, ordermin, packing, qu
 from cutweave.llm.common import shared_dir
 from cutweave.llm.queries import ORACLE, QUERIES
 from oracle import compare
+from test_duplicates import slow_kept
 
 SF = "/root/testdata/sf0.01"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size int, key string, score double, lines int, block int"
@@ -145,6 +146,26 @@ def test_search_over_odd_vectors(spark):
     whole = {(r.query_id, r.rank): (r.vec_id, r.score) for r in mtree.top_k(many, many.filter("vec_id % 100 = 0")).collect()}
     small = {(r.query_id, r.rank): (r.vec_id, r.score) for r in mtree.top_k(many, many.filter("vec_id % 100 = 0"), tree_rows=32).collect()}
     assert whole == small and len(whole) == 30
+    far = spark.createDataFrame([(0, [2.0**60]), (1, [1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(ValueError, match="64 bits"):
+        mtree.top_k(far, far)
+    clash = v.withColumns({"block": F.lit("x"), "v": F.lit(1), "least": F.lit(0)})
+    assert [(r.rank, r.vec_id, r.score) for r in mtree.top_k(clash, clash.filter("vec_id % 100 = 0")).orderBy("rank").collect()] == got
+
+
+@pytest.mark.parametrize("chunk", [4096, 3])
+def test_queries_go_where_bounds_allow(spark, monkeypatch, chunk):
+    """Tight clusters in many trees, and routers and queries in several groups, against all products."""
+    monkeypatch.setattr(mtree, "QUERY_GROUP", chunk)
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(12, 5))
+    rows = [(i, (centres[i % 12] + 0.02 * rng.normal(size=5)).tolist()) for i in range(600)]
+    v = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    m = np.floor(np.array([r[1] for r in rows]) * 1024)
+    got = {(r.query_id, r.rank): (r.score, r.vec_id) for r in mtree.top_k(v, v.filter("vec_id % 50 = 0"), tree_rows=40).collect()}
+    for q in range(0, 600, 50):
+        want = sorted((-int(d), i) for i, d in enumerate(m @ m[q]) if i != q)[:10]
+        assert [got[q, k] for k in range(1, 11)] == [(-d, i) for d, i in want]
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
@@ -180,7 +201,7 @@ def test_all_operators_take_odd_and_empty_tables(spark):
     for d, n in ((docs, len(ODD)), (docs.limit(0), 0)):
         assert quality.score(d, model, 0.3).count() == toxicity.score(d, tox).count() == simhash.near_duplicates(d).count() == n
         assert linededup.drop_recurring(d).count() == ordermin.fingerprint_pairs(d).count() == n
-        assert linededup.drop_recurring(d).columns == [*[c for c in d.columns if c != "lines"], "lines", "dropped_lines"]
+        assert linededup.drop_recurring(d).columns == [*[c for c in d.columns if c != "lines"], "lines", "dropped_lines", "dropped_pieces"]
         assert packing.pack(d).select("doc_id").distinct().count() == len({r[0] for r in ODD}) * (n > 0)
         assert tokenfiles.write_shards(d, shared_dir(spark, "odd")).agg(F.coalesce(F.sum("n_docs"), F.lit(0))).first()[0] == n
 
@@ -207,6 +228,5 @@ def test_pipeline_stages_decide_as_their_operators(spark):
     assert {r.doc_id for r in clean.collect()} == {r.doc_id for r in docs.collect()} - bad and bad
     lines = corpus_pipeline.recurring_lines_out(spark, clean, SF)
     assert lines.count() == clean.count() and lines.filter("n_chars <> length(text)").count() == 0
-    groups = simhash.near_duplicates(lines)
     one = corpus_pipeline.near_duplicates_out(spark, lines, SF)
-    assert sorted(r.doc_id for r in one.collect()) == sorted(r.component_id for r in groups.select("component_id").distinct().collect())
+    assert sorted(r.doc_id for r in one.collect()) == slow_kept([(r.doc_id, r.text) for r in lines.collect()])
