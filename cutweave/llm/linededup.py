@@ -1,7 +1,7 @@
 """Line dedup by a log-template tree, DataFrame functions only.
 
 A line is cut into pieces: before and after each sentence of SENTENCE words and more, so a passage gives the same pieces
-wherever in a line it stands. A piece is parsed to a fixed depth: its number of tokens, then its LEAD leading tokens, then a leaf. Tokens that hold a
+wherever in a line it stands. A piece is parsed to a fixed depth: its number of tokens, then its leading tokens (a third, LEAD at least), then a leaf. Tokens that hold a
 digit are variable fields. A leaf of several shapes has a template, the most frequent token at each position, and the shapes
 that agree with it in LIKE of all positions are lines of that template; all others stand for themselves. A template that occurs
 in several documents recurs: its pieces stay in the first of them (the smallest id) and are dropped from all others.
@@ -20,7 +20,7 @@ LIKE = (4, 5)
 #: A whole line under LEAD tokens says too little: it recurs if one in RARE of the documents has it, and FEW at least.
 RARE, FEW = 500, 3
 FIELD = r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*"
-LONG_SENTENCE = r"(?:[^ .!?]++ ){7,31}+[^ .!?]++[.!?]++(?: |\z)"
+LONG_SENTENCE = r"(?:^| )(?:[^ .!?]++ ){7,31}+[^ .!?]++[.!?]++"
 
 
 def token_count(line: Column) -> Column:
@@ -62,7 +62,8 @@ def recurring_shapes(rows: DataFrame, documents: int) -> DataFrame:
 
     several = shapes.groupBy("leaf").agg(F.count("*").alias("shapes"), F.min("first_id").alias("f"), F.max("last_id").alias("l")).filter("shapes > 1 AND f < l").select("leaf")
     mixed = written(shapes.join(several, "leaf").select("leaf", "line", "n", "first_id", "last_id"), "mixed")
-    texts = rows.join(mixed.select("line"), "line", "left_semi").dropDuplicates(["line"]).select("line", "shape")
+    asked = written(mixed.select("line"), "asked")  # by itself, so that its size decides whether the texts move
+    texts = rows.join(asked, "line", "left_semi").dropDuplicates(["line"]).select("line", "shape")
     tokens = written(mixed.join(texts, "line").select("leaf", "line", "n", "first_id", "last_id", F.posexplode(F.split("shape", " ")).alias("pos", "token")), "tokens")
     values = tokens.groupBy("leaf", "pos", "token").agg(F.count("*").alias("c")).groupBy("leaf", "pos").agg(F.max(F.struct("c", "token")).alias("top"))
     agreeing = tokens.join(values, ["leaf", "pos"]).filter("token = top.token").groupBy("leaf", "line").agg(F.count("*").alias("same"), F.first("n").alias("n"), F.first("first_id").alias("first_id"), F.first("last_id").alias("last_id"))
@@ -83,7 +84,7 @@ def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     cut = named.withColumn("pieces", pieces(F.col("line"))).select("id", (F.size("pieces") == 1).alias("whole"), F.explode("pieces").alias("piece"))
     shaped = cut.select("id", "whole", masked(F.col("piece")).alias("shape")).filter(counts_as(F.col("shape"), F.col("whole"))).withColumn("n", token_count(F.col("shape")))
     line = F.xxhash64("shape")
-    leaf = F.when(F.col("n") >= SENTENCE, F.xxhash64("n", F.call_function("substring_index", F.col("shape"), F.lit(" "), F.lit(LEAD)))).otherwise(line)
+    leaf = F.when(F.col("n") >= SENTENCE, F.xxhash64("n", F.call_function("substring_index", F.col("shape"), F.lit(" "), F.greatest(F.lit(LEAD), F.floor(F.col("n") / 3).cast("int"))))).otherwise(line)
     rows = written(shaped.select("id", line.alias("line"), leaf.alias("leaf"), "n", "shape"), "lines")
     recurring = recurring_shapes(rows, docs.filter(F.col(id_col).isNotNull()).count())
     gone = rows.select("id", "line").join(recurring, "line").filter("id > first_id").groupBy("id").agg(F.sort_array(F.collect_set("line")).alias("__gone"))
@@ -100,7 +101,7 @@ def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     lines = F.split(F.col(text_col), "\n")
     out = joined.withColumn("__lines", F.when(F.col("__gone").isNotNull(), F.transform(lines, kept)))
     left = F.filter("__lines", lambda x: F.size(x["left"]) > 0)
-    shown = lambda x: F.when(x["all"] == F.size(x["left"]), F.array_join(x["left"], "")).otherwise(F.rtrim(F.array_join(x["left"], "")))
+    shown = lambda x: F.when(x["all"] == F.size(x["left"]), F.array_join(x["left"], "")).otherwise(F.trim(F.array_join(x["left"], "")))
     text = F.when(F.col("__lines").isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(left, shown), "\n"))
     new = [
         F.coalesce(F.size(F.when(F.col(text_col).isNotNull(), lines)), F.lit(0)).alias("lines"),
@@ -119,7 +120,7 @@ def op6_linededup(spark, sf_dir: str) -> DataFrame:
 OP6_SQL = r"""
 WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos FROM documents WHERE doc_id IS NOT NULL),
 c AS (SELECT doc_id, pos, CASE WHEN line = '' THEN [''] ELSE list_filter(string_split(
-        regexp_replace(line, '(?:[^ .!?]+ ){7,31}[^ .!?]+[.!?]+(?: |\z)', chr(10) || '\0' || chr(10), 'g'), chr(10)), lambda x: x <> '') END AS parts FROM l),
+        regexp_replace(line, '(?:^| )(?:[^ .!?]+ ){7,31}[^ .!?]+[.!?]+', chr(10) || '\0' || chr(10), 'g'), chr(10)), lambda x: x <> '') END AS parts FROM l),
 p AS (SELECT doc_id, pos, len(parts) = 1 AS whole, unnest(parts) AS piece, unnest(range(len(parts))) AS part FROM c),
 m AS (SELECT *, CASE WHEN regexp_matches(piece, '[0-9]') AND regexp_matches(regexp_replace(piece, '[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*', '<*>', 'g'), '\p{L}')
         THEN regexp_replace(trim(piece), '[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*', '<*>', 'g') ELSE trim(piece) END AS shape FROM p),
@@ -127,15 +128,15 @@ s AS (SELECT doc_id, pos, part, piece, shape, string_split(shape, ' ') AS t, len
         shape <> '' AND (whole OR len(string_split(shape, ' ')) >= 8) AS counted FROM m),
 e AS (SELECT shape, any_value(t) AS t, any_value(n) AS n, min(doc_id) AS first_id, max(doc_id) AS last_id, count(DISTINCT doc_id) AS docs FROM s WHERE counted GROUP BY shape),
 alone AS (SELECT shape, first_id FROM e WHERE first_id < last_id AND (n >= 4 OR (docs >= 3 AND docs * 500 >= (SELECT count(doc_id) FROM documents)))),
-leaf AS (SELECT n, t[1:4] AS lead FROM e WHERE n >= 8 GROUP BY ALL HAVING count(*) > 1 AND min(first_id) < max(last_id)),
-k AS (SELECT e.n, t[1:4] AS lead, shape, first_id, last_id, unnest(t) AS token, unnest(range(e.n)) AS pos FROM e JOIN leaf ON e.n = leaf.n AND t[1:4] = lead),
+leaf AS (SELECT n, t[1:greatest(4, n // 3)] AS lead FROM e WHERE n >= 8 GROUP BY ALL HAVING count(*) > 1 AND min(first_id) < max(last_id)),
+k AS (SELECT e.n, t[1:greatest(4, e.n // 3)] AS lead, shape, first_id, last_id, unnest(t) AS token, unnest(range(e.n)) AS pos FROM e JOIN leaf ON e.n = leaf.n AND t[1:greatest(4, e.n // 3)] = lead),
 v AS (SELECT n, lead, pos, arg_max(token, struct_pack(c := c, token := token)) AS token FROM (SELECT n, lead, pos, token, count(*) AS c FROM k GROUP BY n, lead, pos, token) GROUP BY n, lead, pos),
 a AS (SELECT n, lead, shape, any_value(first_id) AS first_id, any_value(last_id) AS last_id FROM k JOIN v USING (n, lead, pos, token) GROUP BY n, lead, shape HAVING count(*) * 5 >= n * 4),
 r AS (SELECT n, lead, min(first_id) AS first_id FROM a GROUP BY ALL HAVING min(first_id) < max(last_id)),
 g AS (SELECT shape, min(first_id) AS first_id FROM (SELECT * FROM alone UNION ALL SELECT a.shape, r.first_id FROM a JOIN r USING (n, lead)) GROUP BY shape),
 w AS (SELECT s.doc_id, s.pos, string_agg(s.piece, '' ORDER BY s.part) FILTER (WHERE NOT (s.counted AND g.first_id IS NOT NULL AND s.doc_id > g.first_id)) AS line,
         count(*) FILTER (WHERE s.counted AND s.doc_id > g.first_id) AS gone, count(*) AS parts FROM s LEFT JOIN g USING (shape) GROUP BY s.doc_id, s.pos),
-d AS (SELECT doc_id, string_agg(CASE WHEN gone > 0 THEN rtrim(line) ELSE line END, chr(10) ORDER BY pos) FILTER (WHERE gone < parts) AS kept, count(*) AS lines,
+d AS (SELECT doc_id, string_agg(CASE WHEN gone > 0 THEN trim(line) ELSE line END, chr(10) ORDER BY pos) FILTER (WHERE gone < parts) AS kept, count(*) AS lines,
         count(*) FILTER (WHERE gone = parts) AS dropped_lines, sum(CASE WHEN gone < parts THEN gone ELSE 0 END) AS dropped_pieces FROM w GROUP BY doc_id)
 SELECT documents.doc_id, CASE WHEN text IS NULL THEN NULL ELSE coalesce(kept, '') END AS kept_text, CAST(coalesce(lines, 0) AS INTEGER) AS lines,
   CAST(coalesce(dropped_lines, 0) AS INTEGER) AS dropped_lines, CAST(coalesce(dropped_pieces, 0) AS INTEGER) AS dropped_pieces
