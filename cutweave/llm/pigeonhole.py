@@ -153,8 +153,9 @@ def hubs(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return a[first], b[first]
 
 
-def meetings(nodes: DataFrame, asked: list[tuple[int, int, list[int]]], distance: int, give: str = "joined") -> DataFrame:
-    """nodes(node, fp[, label]) -> distinct (u, v) of nodes within distance; with label, only where labels differ.
+def meetings(nodes: DataFrame, asked: list[tuple[int, int, list[int]]], distance: int, give: str = "joined", total: int | None = None) -> DataFrame:
+    """nodes(node, fp[, more][, label]) -> distinct (u, v) of nodes within distance. With more, 64 further bits, fp and more together
+    must differ in at most total bits; with label, only nodes whose labels differ count.
 
     give says which: all pairs; hubs, one partner for each node that has any; joined, pairs of nodes that chains of links
     connect, at most one for each row. No task holds more than the rows that one key or cell files.
@@ -162,8 +163,7 @@ def meetings(nodes: DataFrame, asked: list[tuple[int, int, list[int]]], distance
     if not asked:
         return nodes.select(F.col("node").alias("u"), F.col("node").alias("v")).limit(0)
     probes = [(i, mask, flips(bits, e)) for i, (mask, e, bits) in enumerate(asked)]
-    named = "label" in nodes.columns
-    carried = ["node", "fp", *(["label"] if named else [])]
+    carried = ["node", "fp", *[c for c in ("more", "label") if c in nodes.columns]]
 
     def load(batches):
         for (fp,) in _slices(batches, 1):
@@ -174,25 +174,31 @@ def meetings(nodes: DataFrame, asked: list[tuple[int, int, list[int]]], distance
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), i, np.int8)), pa.array(keys.view(np.int64)), pa.array(filed), pa.array(np.bincount(at, minlength=len(keys)))], ["part", "key", "filed", "rows"])
 
     def file(batches):
-        for node, fp, *label in _slices(batches, len(carried)):
+        for cols in _slices(batches, len(carried)):
             for i, mask, around in probes:
-                key, at, probe = places(fp.view(np.uint64), mask, around)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), i, np.int8)), pa.array(key.view(np.int64)), pa.array(np.zeros(len(key), np.int32)), pa.array(probe), *[pa.array(c[at]) for c in (node, fp, *label)]], ["part", "key", "cell", "probe", *carried])
+                key, at, probe = places(cols[1].view(np.uint64), mask, around)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), i, np.int8)), pa.array(key.view(np.int64)), pa.array(np.zeros(len(key), np.int32)), pa.array(probe), *[pa.array(c[at]) for c in cols]], ["part", "key", "cell", "probe", *carried])
 
     def meet(batches):
         held = None
         for b in batches:
             new = [b.column(c).to_numpy(zero_copy_only=False) for c in range(b.num_columns)]
             fresh, cols = (0, new) if held is None else (len(held[0]), [np.concatenate(c) for c in zip(held, new, strict=True)])
-            part, key, cell, probe, node, fp = cols[:6]
+            part, key, cell, probe = cols[:4]
+            by = dict(zip(carried, cols[4:], strict=True))
+            node, fp = by["node"], by["fp"].view(np.uint64)
             if not len(part):
                 continue
             cuts = np.concatenate([[0], np.flatnonzero((np.diff(part) != 0) | (np.diff(key) != 0) | (np.diff(cell) != 0)) + 1, [len(part)]])
             stop = np.repeat(cuts[1:], np.diff(cuts))
             filed = np.flatnonzero(probe == 0)
             found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
-            for i, j in partners(fp.view(np.uint64), filed, np.maximum(filed + 1, fresh), stop[filed], distance):
-                real = node[i] != node[j] if not named else cols[6][i] != cols[6][j]
+            for i, j in partners(fp, filed, np.maximum(filed + 1, fresh), stop[filed], distance):
+                real = node[i] != node[j]
+                if "label" in by:
+                    real &= by["label"][i] != by["label"][j]
+                if total is not None:
+                    real &= np.bitwise_count(fp[i] ^ fp[j]) + np.bitwise_count((by["more"][i] ^ by["more"][j]).view(np.uint64)) <= total
                 found.append((i[real], j[real]))
             i, j = (np.concatenate(x) for x in zip(*found, strict=True))
             if len(i):

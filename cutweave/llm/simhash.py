@@ -20,8 +20,9 @@ from .pigeonhole import bit_counts, meetings, plan
 
 DISTANCE, SHINGLE, SEED = 3, 3, 42
 #: Near-duplicates of the pipeline: a Jaccard similarity of 4/5 on runs of five words. Sets that alike differ in 10 of 64 bits on
-#: average; within NEAR_DISTANCE lie about 98 of 100 such pairs (README).
-NEAR_SHINGLE, NEAR, NEAR_DISTANCE = 5, (4, 5), 14
+#: average; within NEAR_DISTANCE lie about 98 of 100 such pairs (README), and within NEAR_TOTAL of 128 all but one in 1,000, but
+#: next to none of the pairs that are within NEAR_DISTANCE by chance.
+NEAR_SHINGLE, NEAR, NEAR_DISTANCE, NEAR_TOTAL = 5, (4, 5), 14, 32
 #: Bytes of a text whose words are held at a time.
 SLICE = 1 << 20
 SPACE = re.compile(rb"[\x20\x09-\x0d]")
@@ -64,6 +65,12 @@ def shingle_set(text: str | None, k: int) -> np.ndarray:
     return np.unique(np.concatenate([np.zeros(0, np.uint64), *shingles(text, k)]))
 
 
+def mixed(h: np.ndarray) -> np.ndarray:
+    """64 other bits of each hash: a multiplication on both sides of a shift."""
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    return (h ^ (h >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fp (the 64 bits as a signed long) for each row of docs; NULL and wordless texts have 0."""
     id_type = docs.schema[id_col].dataType.simpleString()
@@ -104,16 +111,16 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE, id_col: str = "do
 
 
 def set_prints(rows: DataFrame, k: int) -> DataFrame:
-    """rows(doc_id, th, text) -> doc_id, th, node (a hash of the set of shingles, 0 for none), n (its size), fp (the set's SimHash)."""
+    """rows(doc_id, th, text) -> doc_id, th, node (a hash of the set of shingles, 0 for none), n (its size), fp and more (two SimHashes of the set)."""
 
     def run(batches):
         for b in batches:
             sets = (shingle_set(t.as_py(), k) for t in b.column(2))
-            made = [(xxhash.xxh64_intdigest(s.tobytes(), SEED) if len(s) else 0, len(s), _majority([s])) for s in sets]
-            node, n, fp = (np.array(c, np.uint64).view(np.int64) for c in zip(*made, strict=True)) if made else [np.zeros(0, np.int64)] * 3
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(node), pa.array(n), pa.array(fp)], ["doc_id", "th", "node", "n", "fp"])
+            made = [(xxhash.xxh64_intdigest(s.tobytes(), SEED) if len(s) else 0, len(s), _majority([s]), _majority([mixed(s)])) for s in sets]
+            values = (np.array(c, np.uint64).view(np.int64) for c in zip(*made, strict=True)) if made else [np.zeros(0, np.int64)] * 4
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *map(pa.array, values)], ["doc_id", "th", "node", "n", "fp", "more"])
 
-    return rows.select("doc_id", "th", "text").mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, th long, node long, n long, fp long")
+    return rows.select("doc_id", "th", "text").mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, th long, node long, n long, fp long, more long")
 
 
 def sets_of(rows: DataFrame, classes: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
@@ -142,12 +149,12 @@ def alike(pairs: DataFrame, sets: DataFrame, near: tuple[int, int]) -> DataFrame
     return written(two.filter(F.size(F.array_intersect("hu", "hv")) * (a + b) >= (F.col("nu") + F.col("nv")) * a).select("u", "v"), "links")
 
 
-def one_of_each(docs: DataFrame, distance: int = NEAR_DISTANCE, shingle: int = NEAR_SHINGLE, near: tuple[int, int] = NEAR, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def one_of_each(docs: DataFrame, distance: int = NEAR_DISTANCE, shingle: int = NEAR_SHINGLE, near: tuple[int, int] = NEAR, total: int = NEAR_TOTAL, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without near-duplicates: of each group that links connect, the row of the smallest id (of equal ids, of the smallest
     hash of the text), once where it is repeated.
 
-    Texts link if the SimHashes of their sets of shingles differ in at most distance bits and the sets' Jaccard similarity is
-    at least near, a fraction of whole numbers. Each node's hub is verified first, which joins most of a large group by one
+    Texts link if the SimHashes of their sets of shingles differ in at most distance of 64 bits and total of 128, and the sets'
+    Jaccard similarity is at least near, a fraction of whole numbers. Each node's hub is verified first, which joins most of a large group by one
     pair each; then all pairs that are not joined yet, so no link is lost. NULL and wordless texts are one group; a row without
     an id stays where its group has no row with one; an empty table gives no rows.
     """
@@ -155,14 +162,14 @@ def one_of_each(docs: DataFrame, distance: int = NEAR_DISTANCE, shingle: int = N
     rows = docs.select(F.col(id_col).alias("doc_id"), th.alias("th"), F.col(text_col).alias("text"))
     prints = written(set_prints(rows, shingle), "prints")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "th"))
-    classes = written(prints.groupBy("node").agg(F.min("fp").alias("fp"), F.max("n").alias("n"), F.min("th").alias("th"), first.alias("first")), "classes")
+    classes = written(prints.groupBy("node").agg(F.min("fp").alias("fp"), F.min("more").alias("more"), F.max("n").alias("n"), F.min("th").alias("th"), first.alias("first")), "classes")
     asked = _plan(classes, distance)
-    tried = written(meetings(classes, asked, distance, "hubs"), "hubs")
+    tried = written(meetings(classes, asked, distance, "hubs", total), "hubs")
     sets = sets_of(rows, classes, tried, shingle)
     links = alike(tried, sets, near)
     label = lambda of: F.coalesce("root", of)
-    apart = classes.join(components(links), "node", "left").select("node", "fp", label("node").alias("label"))
-    links = links.unionByName(alike(written(meetings(written(apart, "labels"), asked, distance, "all"), "others"), sets, near))
+    apart = classes.join(components(links), "node", "left").select("node", "fp", "more", label("node").alias("label"))
+    links = links.unionByName(alike(written(meetings(written(apart, "labels"), asked, distance, "all", total), "others"), sets, near))
     rooted = classes.join(components(links), "node", "left").groupBy(label("node")).agg(F.min("first").alias("first"))
     keep = written(rooted.select(F.col("first.doc_id").alias("__keep"), F.col("first.th").alias("__keep_th")), "keep")
     marked = docs.withColumn("__th", th)
