@@ -13,7 +13,7 @@ import numpy as np
 
 TOKENIZER = "byte_bpe_50k.json"
 #: Parts whose ids are kept in each Python worker. Beyond it the store starts anew; this bounds memory, not the result.
-KEPT = 1_500_000
+KEPT = 1_000_000
 _PACK = [struct.Struct(f"<{n}H").pack for n in range(32)]
 _loaded: dict[str, "Encoder"] = {}
 
