@@ -62,8 +62,9 @@ def recurring_shapes(rows: DataFrame, documents: int) -> DataFrame:
 
     several = shapes.groupBy("leaf").agg(F.count("*").alias("shapes"), F.min("first_id").alias("f"), F.max("last_id").alias("l")).filter("shapes > 1 AND f < l").select("leaf")
     mixed = written(shapes.join(several, "leaf").select("leaf", "line", "n", "first_id", "last_id"), "mixed")
-    asked = written(mixed.select("line"), "asked")  # by itself, so that its size decides whether the texts move
-    texts = rows.join(asked, "line", "left_semi").dropDuplicates(["line"]).select("line", "shape")
+    # of all rows of a shape, those of its first document; by itself, so that the list's size decides whether all texts move
+    asked = written(mixed.select("line", F.col("first_id").alias("id")), "asked")
+    texts = rows.join(asked, ["line", "id"], "left_semi").dropDuplicates(["line"]).select("line", "shape")
     tokens = written(mixed.join(texts, "line").select("leaf", "line", "n", "first_id", "last_id", F.posexplode(F.split("shape", " ")).alias("pos", "token")), "tokens")
     values = tokens.groupBy("leaf", "pos", "token").agg(F.count("*").alias("c")).groupBy("leaf", "pos").agg(F.max(F.struct("c", "token")).alias("top"))
     agreeing = tokens.join(values, ["leaf", "pos"]).filter("token = top.token").groupBy("leaf", "line").agg(F.count("*").alias("same"), F.first("n").alias("n"), F.first("first_id").alias("first_id"), F.first("last_id").alias("last_id"))
@@ -81,8 +82,10 @@ def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     lines all go becomes empty, and a document without an id keeps all its lines. Blank lines stay. An empty table gives no rows.
     """
     named = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.explode(F.split(F.col(text_col), "\n")).alias("line"))
-    cut = named.withColumn("pieces", pieces(F.col("line"))).select("id", (F.size("pieces") == 1).alias("whole"), F.explode("pieces").alias("piece"))
-    shaped = cut.select("id", "whole", masked(F.col("piece")).alias("shape")).filter(counts_as(F.col("shape"), F.col("whole"))).withColumn("n", token_count(F.col("shape")))
+    once = lambda c, name: F.explode(F.array(c)).alias(name)  # noqa: E731  # a value that is used again and must not be computed again
+    cut = named.select("id", once(pieces(F.col("line")), "pieces")).select("id", (F.size("pieces") == 1).alias("whole"), F.explode("pieces").alias("piece"))
+    shaped = cut.select("id", "whole", once(masked(F.col("piece")), "shape")).select("id", "whole", "shape", once(token_count(F.col("shape")), "n"))
+    shaped = shaped.filter((F.col("shape") != "") & (F.col("whole") | (F.col("n") >= SENTENCE)))
     line = F.xxhash64("shape")
     leaf = F.when(F.col("n") >= SENTENCE, F.xxhash64("n", F.call_function("substring_index", F.col("shape"), F.lit(" "), F.greatest(F.lit(LEAD), F.floor(F.col("n") / 3).cast("int"))))).otherwise(line)
     rows = written(shaped.select("id", line.alias("line"), leaf.alias("leaf"), "n", "shape"), "lines")
