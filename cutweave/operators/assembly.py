@@ -144,13 +144,15 @@ def assembled(results: DataFrame, windows: DataFrame, samples: DataFrame, frames
     """results(sample_id, window_id, repeat_index, result), windows(sample_id, window_id, frame_ids), samples(sample_id, nframes) ->
     sample_id, seg_id, the segment's columns and policy.
 
-    Repeats vote on each window's cuts; cuts weigh by their place in the window and are clustered; close cuts of one window are
+    Repeats vote on each window's cuts, and the repeat nearest to the vote gives its texts; cuts weigh by their place in the window and are clustered; close cuts of one window are
     kept apart; labelled frames give each segment its text; long segments are split where the texts drift; cleaned and merged segments
     are held against the guards.
     """
     used = results.filter("result IS NOT NULL").join(windows.select("sample_id", "window_id", "frame_ids"), ["sample_id", "window_id"])
     said = used.select("sample_id", "window_id", "repeat_index", F.posexplode(F.when(F.size("result.transitions") > 0, F.col("result.transitions")).otherwise(F.array().cast("array<int>"))).alias("k", "place"), "frame_ids")
-    cuts = V.repeat_votes(said.select("sample_id", "window_id", "repeat_index", F.get("frame_ids", F.col("place")).alias("frame")), fps)
+    usable = used.groupBy("sample_id", "window_id").agg(F.count_distinct("repeat_index").alias("total"))
+    named = said.select("sample_id", "window_id", "repeat_index", F.get("frame_ids", F.col("place")).alias("frame")).filter("frame IS NOT NULL")
+    cuts = settled(V.repeat_votes(named, usable, fps))
     placed = cuts.join(windows.select("sample_id", "window_id", "frame_ids"), ["sample_id", "window_id"]).withColumn("place", F.array_position("frame_ids", F.col("frame")) - 1)
     whole, size = F.size("frame_ids") == frames, F.size("frame_ids")
     weight = F.when(whole, centre_weight(F.col("place"), size)).when(F.least(F.col("place"), size - 1 - F.col("place")) > 2, 1.0).otherwise(0.5) * F.col("support")
@@ -160,9 +162,11 @@ def assembled(results: DataFrame, windows: DataFrame, samples: DataFrame, frames
     micro = V.dense_micro(cuts.join(samples, "sample_id"), ends, F.col("nframes"), fps)
     raw_support = weighed.groupBy("sample_id", F.col("frame").alias("point")).agg(F.sum("weight").alias("support"))
     cut = S.from_points(points.unionByName(micro.join(raw_support, ["sample_id", "point"], "left")), samples)
-    chosen = used.groupBy("sample_id", "window_id").agg(F.min_by("result", F.struct((-F.size("result.transitions")).alias("a"), "repeat_index")).alias("r"), F.first("frame_ids").alias("frame_ids"))
+    own = F.filter(F.transform("result.transitions", lambda t: F.get("frame_ids", t)), lambda f: f.isNotNull())
+    sources = V.text_sources(used.select("sample_id", "window_id", "repeat_index", own.alias("frames"), F.size("result.instructions").alias("texts")), cuts, fps)
+    chosen = used.join(sources, ["sample_id", "window_id", "repeat_index"]).select("sample_id", "window_id", F.col("result").alias("r"), "frame_ids")
     labels = S.labelled_frames(chosen.select("sample_id", "window_id", "frame_ids", F.transform("r.transitions", lambda x: x.cast("long")).alias("transitions"), F.col("r.instructions").alias("instructions")))
-    timeline = settled(labels.select("sample_id", "frame", (F.col("window_id") * 1000 + F.col("ord")).alias("ord"), "instruction"))
+    timeline = settled(labels.select("sample_id", "frame", (F.col("window_id") * (1 << 32) + F.col("ord")).alias("ord"), "instruction"))
     raw = settled(cut.join(S.majority_texts(cut, timeline), ["sample_id", "seg_id"]).withColumn("confidence", F.lit(1.0)))
     light = settled(cleaned(split_on_drift(raw, timeline, fps), fps))
     merged = cleaned(D.merge_tasks(light, fps, threshold), fps)

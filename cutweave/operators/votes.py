@@ -25,22 +25,41 @@ def islands(df: DataFrame, keys: list[str], order: str, gap: int, name: str = "i
     return df.withColumn("__new", new).withColumn(name, F.sum("__new").over(w)).drop("__new")
 
 
-def repeat_votes(votes: DataFrame, fps: float = 30.0) -> DataFrame:
-    """votes(sample_id, window_id, repeat_index, frame) -> sample_id, window_id, frame, support.
+def repeat_votes(votes: DataFrame, repeats: DataFrame, fps: float = 30.0) -> DataFrame:
+    """votes(sample_id, window_id, repeat_index, frame), repeats(sample_id, window_id, total) -> sample_id, window_id, frame, support.
 
-    Repeats of a window vote on its cuts: frames within the peak gap are one cut, at the frame of most repeats, then most votes,
-    then the earliest; its support is the share of repeats that name it. A window with one repeat keeps all its frames.
+    total counts the usable repeats of a window, those that saw no cut included. Repeats vote on cuts: frames within the peak
+    gap are one cut, at the frame of most repeats, then most votes, then the earliest; its support is the share of usable repeats
+    that name it. A window with one usable repeat keeps all its frames.
     """
     keys = ["sample_id", "window_id"]
-    total = votes.groupBy(*keys).agg(F.count_distinct("repeat_index").alias("total"))
     each = votes.groupBy(*keys, "frame").agg(F.collect_set("repeat_index").alias("repeats"), F.count("*").alias("n"))
-    lone = each.join(total.filter("total = 1"), keys).select(*keys, "frame", F.lit(1.0).alias("support"))
-    runs = islands(each.join(total.filter("total > 1"), keys), keys, "frame", peak_gap(fps))
+    lone = each.join(repeats.filter("total = 1"), keys).select(*keys, "frame", F.lit(1.0).alias("support"))
+    runs = islands(each.join(repeats.filter("total > 1"), keys), keys, "frame", peak_gap(fps))
     best = F.min(F.struct((-F.size("repeats")).alias("r"), (-F.col("n")).alias("n"), "frame"))
     cut = runs.groupBy(*keys, "island", "total").agg(best.alias("best"), F.array_distinct(F.flatten(F.collect_list("repeats"))).alias("repeats"))
     return lone.unionByName(cut.select(*keys, F.col("best.frame").alias("frame"), (F.size("repeats") / F.col("total")).alias("support")))
 
 
+def text_sources(records: DataFrame, cuts: DataFrame, fps: float = 30.0) -> DataFrame:
+    """records(sample_id, window_id, repeat_index, frames, texts), cuts(sample_id, window_id, frame) -> sample_id, window_id,
+    repeat_index: the repeat whose texts stand for the window. frames are its own cuts, texts the number of its texts.
+
+    It is the one with most voted cuts within the peak gap of its own, then the least sum of distances to them (without cuts, the gap
+    and one for each), then the nearest number of cuts, then most texts, then the first. Where nothing was voted, the one with
+    fewest cuts, then fewest texts, then the first.
+    """
+    keys, gap = ["sample_id", "window_id"], peak_gap(fps)
+    rows = records.join(cuts.groupBy(*keys).agg(F.collect_list("frame").alias("voted")), keys, "left")
+    far = F.transform("voted", lambda v: F.coalesce(F.array_min(F.transform("frames", lambda f: F.abs(f - v))), F.lit(gap + 1).cast("long")))
+    hits = F.when(F.size("frames") > 0, F.size(F.filter("far", lambda d: d <= gap))).otherwise(0)
+    put = lambda a, b, c, d: F.struct(a.cast("long").alias("a"), b.cast("long").alias("b"), c.cast("long").alias("c"), d.cast("long").alias("d"))
+    own, zero = F.size("frames"), F.lit(0)
+    named = put(-hits, F.aggregate("far", F.lit(0).cast("long"), lambda t, d: t + d), F.abs(own - F.size("voted")), -F.col("texts"))
+    score = F.when(F.col("voted").isNull(), put(own, zero, zero, F.col("texts"))).otherwise(named)
+    return rows.withColumn("far", far).groupBy(*keys).agg(F.min_by("repeat_index", F.struct(score.alias("score"), "repeat_index")).alias("repeat_index"))
+
+
 def accumulated(votes: DataFrame) -> DataFrame:
     """votes(sample_id, frame, weight, window_id) -> for each frame its votes, summed weight and number of windows."""
     return votes.groupBy("sample_id", "frame").agg(F.count("*").alias("n"), F.sum("weight").alias("support"), F.count_distinct("window_id").alias("windows"))

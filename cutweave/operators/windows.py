@@ -23,8 +23,9 @@ def sampled(start: Column, end: Column, count: int, nframes: Column) -> Column:
     if count <= 0:
         return F.array().cast("array<bigint>")
     step = (end - start) / F.lit(max(count - 1, 1))
-    at = lambda i: F.when((i == count - 1) & F.lit(count > 1), end).otherwise((i * step + start).cast("long"))
-    kept = F.transform(F.sequence(F.lit(0), F.lit(count - 1)), lambda i: F.least(nframes - 1, F.greatest(F.lit(0).cast("long"), at(i))))
+    # an expression for each place, since these compile and a lambda doesn't
+    at = lambda i: end if i == count - 1 and count > 1 else (F.lit(i) * step + start).cast("long")
+    kept = F.array(*[F.least(nframes - 1, F.greatest(F.lit(0).cast("long"), at(i))) for i in range(count)])
     return F.when(nframes > 0, kept).otherwise(F.array().cast("array<bigint>"))
 
 

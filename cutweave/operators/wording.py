@@ -93,14 +93,28 @@ def may_merge(fps: float, threshold: float = 0.9, c=F.col) -> Column:
     return ~forbidden & (at_once | F.when(prep_other, c("known") & (shorter <= 8.0)).otherwise(later))
 
 
-def blocked_boundaries(segments: DataFrame, support: float) -> DataFrame:
-    """Inner boundaries with the reasons to keep them (sequence, drift, support) and a score: support plus a half for each of the
-    first two."""
+def round_key(instruction: Column) -> Column:
+    """The words of a text without those that count rounds of a step."""
+    words = F.regexp_extract_all(F.lower(F.trim(instruction)), F.lit("[a-z0-9]+"), F.lit(0))
+    return F.array_join(F.filter(words, lambda w: ~w.isin(*X.ROUND)), " ")
+
+
+def rounds_only(left: Column, right: Column) -> Column:
+    """Whether two texts differ, but in the words alone that count rounds."""
+    return (F.lower(F.trim(left)) != F.lower(F.trim(right))) & (round_key(left) == round_key(right)) & (round_key(left) != "")
+
+
+def blocked_boundaries(segments: DataFrame, support: float, by_support: bool = True, by_markers: bool = True, by_drift: bool = True) -> DataFrame:
+    """Inner boundaries that have a reason to be kept (support, sequence, drift, each if it is asked for), with round_only, where the
+    sequence is of rounds alone, and a score: support plus a half for drift, and for sequence unless of rounds alone."""
     n = neighbours(segments)
-    marks, drift = T.distinct_markers(F.col("l_markers"), F.col("r_markers")), T.drifts("l_", "r_")
-    held = F.array_compact(F.array(F.when(marks, "sequence"), F.when(drift, "drift"), F.when(F.col("known") & (F.col("support") >= support), "support")))
-    score = F.col("support") + F.when(drift, 0.5).otherwise(0.0) + F.when(marks, 0.5).otherwise(0.0)
-    return n.select("sample_id", "seg_id", F.array_join(held, ",").alias("reasons"), "support", F.least("l_frames", "r_frames").alias("shorter"), (F.col("l_frames") + F.col("r_frames")).alias("frames"), score.alias("score"))
+    marks = T.distinct_markers(F.col("l_markers"), F.col("r_markers")) if by_markers else F.lit(False)
+    drift = T.drifts("l_", "r_") if by_drift else F.lit(False)
+    held = F.array_compact(F.array(F.when(F.col("known") & (F.col("support") >= support) & F.lit(by_support), "support"), F.when(marks, "sequence"), F.when(drift, "drift")))
+    rows = n.withColumn("reasons", F.array_join(held, ",")).filter("reasons <> ''").withColumn("round_only", F.contains("reasons", F.lit("sequence")) & rounds_only(F.col("left_text"), F.col("right_text")))
+    counts = F.size(F.filter(F.split("reasons", ","), lambda r: (r == "drift") | ((r == "sequence") & ~F.col("round_only"))))
+    left, right = F.greatest("l_frames", F.lit(1)), F.greatest("r_frames", F.lit(1))
+    return rows.select("sample_id", "seg_id", "reasons", "round_only", "support", F.least(left, right).alias("shorter"), (left + right).alias("frames"), counts.alias("turns"), (F.col("support") + 0.5 * counts).alias("score"))
 
 
 def dominant_texts(candidates: DataFrame) -> DataFrame:
@@ -165,8 +179,7 @@ def spaced_anchors(boundaries: DataFrame, ranges: DataFrame, limit: int = 1, spa
     met = boundaries.join(ranges, "sample_id").filter((F.col("seg_id") >= F.col("start_idx")) & (F.col("seg_id") < F.col("end_idx")))
     n = F.col("end_idx") - F.col("start_idx") + 1
     balance = F.least(F.col("seg_id") - F.col("start_idx") + 1, F.col("end_idx") - F.col("seg_id"))
-    reasons = F.size(F.filter(F.split("reasons", ","), lambda r: r.isin("sequence", "drift")))
-    rank = F.struct(F.when(n >= long_from, -balance).otherwise(0).alias("a"), (-F.col("score")).alias("b"), (-reasons).alias("c"), (-F.col("support")).alias("d"), (-F.col("shorter")).alias("e"), (-F.col("frames")).alias("f"), F.col("seg_id").alias("g"))
+    rank = F.struct(F.when(n >= long_from, -balance).otherwise(0).alias("a"), (-F.col("score")).alias("b"), (-F.col("turns")).alias("c"), (-F.col("support")).alias("d"), (-F.col("shorter")).alias("e"), (-F.col("frames")).alias("f"), F.col("seg_id").alias("g"))
     fit = met.filter((F.col("score") >= least) & (balance >= side))
     most = F.when(n >= long_from, F.greatest(F.lit(limit), F.ceil((n - 1) / (2 * spacing)).cast("int"))).otherwise(limit)
     listed = fit.groupBy("sample_id", "start_idx", "end_idx").agg(F.transform(F.array_sort(F.collect_list(rank)), lambda r: r["g"]).alias("ranked")).withColumn("most", most)

@@ -20,7 +20,7 @@ def islands_sql(source: str, keys: str, order: str, gap: int) -> str:
 CLUSTERS_SQL = f"""{VOTES_SQL}, each AS (SELECT sample_id, frame, count(*) AS n, sum(weight) AS support FROM votes GROUP BY ALL),
 runs AS (SELECT *, row_number() OVER (PARTITION BY sample_id, island ORDER BY n DESC, support DESC, frame) AS pick, sum(support) OVER (PARTITION BY sample_id, island) AS total FROM {islands_sql('each', 'sample_id', 'frame', GAP)}),
 points AS (SELECT sample_id, frame AS point, total AS support FROM runs WHERE pick = 1)"""
-REPEATS_SQL = f"""{VOTES_SQL}, t AS (SELECT sample_id, window_id, count(DISTINCT repeat_index) AS total FROM votes GROUP BY ALL),
+REPEATS_SQL = f"""{VOTES_SQL}, t AS (SELECT sample_id, window_id, greatest(count(DISTINCT repeat_index), (sample_id + window_id) % 3 + 1) AS total FROM votes GROUP BY sample_id, window_id),
 f AS (SELECT sample_id, window_id, frame, list(DISTINCT repeat_index) AS reps, count(*) AS n FROM votes GROUP BY ALL),
 fi AS (SELECT * FROM {islands_sql('(SELECT f.*, total FROM f JOIN t USING (sample_id, window_id) WHERE total > 1)', 'sample_id, window_id', 'frame', GAP)}),
 fr AS (SELECT *, row_number() OVER (PARTITION BY sample_id, window_id, island ORDER BY len(reps) DESC, n DESC, frame) AS pick FROM fi),
@@ -29,9 +29,30 @@ voted AS (SELECT sample_id, window_id, frame, k / total AS support FROM fr JOIN
   UNION ALL SELECT sample_id, window_id, frame, 1.0 FROM f JOIN t USING (sample_id, window_id) WHERE total = 1)"""
 
 
+def repeats(v):
+    """Usable repeats of each window: up to two of them saw no cut."""
+    planned = (F.col("sample_id") + F.col("window_id")) % 3 + 1
+    return v.groupBy("sample_id", "window_id").agg(F.count_distinct("repeat_index").alias("n")).select("sample_id", "window_id", F.greatest("n", planned).alias("total"))
+
+
+def voted(v):
+    return V.repeat_votes(v, repeats(v), FPS)
+
+
 @query("agg02_repeat_vote", f"WITH {REPEATS_SQL} SELECT * FROM voted")
 def agg02(spark, sf_dir):
-    return V.repeat_votes(votes(spark, sf_dir), FPS)
+    return voted(votes(spark, sf_dir))
+
+
+@query("sel03_text_sources", f"""WITH {REPEATS_SQL}, rec AS (SELECT sample_id, window_id, repeat_index, list(DISTINCT frame) AS frames, count(*) + 1 AS texts FROM votes GROUP BY sample_id, window_id, repeat_index),
+vv AS (SELECT sample_id, window_id, list(frame) AS cuts FROM voted GROUP BY sample_id, window_id),
+sc AS (SELECT rec.*, cuts, list_transform(cuts, lambda v: list_min(list_transform(frames, lambda f: abs(f - v)))) AS far FROM rec LEFT JOIN vv USING (sample_id, window_id)),
+k AS (SELECT *, row_number() OVER (PARTITION BY sample_id, window_id ORDER BY len(list_filter(far, lambda d: d <= {GAP})) DESC, list_sum(far), abs(len(frames) - len(cuts)), texts DESC, repeat_index) AS k FROM sc)
+SELECT sample_id, window_id, repeat_index FROM k WHERE k = 1""")
+def sel03(spark, sf_dir):
+    v = votes(spark, sf_dir)
+    records = v.groupBy("sample_id", "window_id", "repeat_index").agg(F.collect_set("frame").alias("frames"), (F.count("*") + 1).alias("texts"))
+    return V.text_sources(records, voted(v), FPS)
 
 
 @query("agg03_accumulated_votes", f"WITH {VOTES_SQL} SELECT sample_id, frame, count(*) AS n, sum(weight) AS support, count(DISTINCT window_id) AS windows FROM votes GROUP BY ALL")
@@ -61,7 +82,7 @@ SELECT DISTINCT sample_id, frame AS point FROM g WHERE (back BETWEEN 1 AND {MICR
   AND NOT EXISTS (SELECT 1 FROM points p WHERE p.sample_id = g.sample_id AND p.point = g.frame AND p.point % 2 = 0)""")
 def ses03(spark, sf_dir):
     v = votes(spark, sf_dir)
-    return V.dense_micro(V.repeat_votes(v, FPS), V.clusters(v, FPS).filter("point % 2 = 0"), F.lit(END), FPS)
+    return V.dense_micro(voted(v), V.clusters(v, FPS).filter("point % 2 = 0"), F.lit(END), FPS)
 
 
 @query("join07_missing_points", f"WITH {CLUSTERS_SQL} SELECT p.* FROM points p WHERE NOT EXISTS (SELECT 1 FROM points k WHERE k.sample_id = p.sample_id AND k.point % 3 = 0 AND abs(k.point - p.point) <= 12)")
@@ -84,7 +105,7 @@ def join09(spark, sf_dir):
 @query("set01_cut_points", f"WITH {CLUSTERS_SQL}, {REPEATS_SQL.removeprefix(VOTES_SQL + ', ')} SELECT sample_id, point FROM points UNION SELECT sample_id, frame FROM voted")
 def set01(spark, sf_dir):
     v = votes(spark, sf_dir)
-    return V.clusters(v, FPS).select("sample_id", "point").union(V.repeat_votes(v, FPS).select("sample_id", "frame")).distinct()
+    return V.clusters(v, FPS).select("sample_id", "point").union(voted(v).select("sample_id", "frame")).distinct()
 
 
 FROM_POINTS_SQL = f"""{CLUSTERS_SQL}, ids AS (SELECT DISTINCT sample_id FROM votes),

@@ -133,12 +133,26 @@ def txt14(spark, sf_dir):
     return pairs(spark, sf_dir).select("instruction", "r_text", T.similarity(F.col("l_primary"), F.col("r_primary")).alias("similarity"))
 
 
-@query("wfn04_blocked_boundaries", f"""WITH {PAIRS_SQL}
-SELECT n.sample_id, n.seg_id, concat_ws(',', CASE WHEN {MARK_SQL} THEN 'sequence' END, CASE WHEN {DRIFT_SQL} THEN 'drift' END, CASE WHEN greatest(0.0, coalesce(n.support_after, 0.0)) >= 0.45 AND n.support_after IS NOT NULL THEN 'support' END) AS reasons,
-  round(greatest(0.0, coalesce(n.support_after, 0.0)) + CASE WHEN {DRIFT_SQL} THEN 0.5 ELSE 0 END + CASE WHEN {MARK_SQL} THEN 0.5 ELSE 0 END, 9) AS score
-FROM nb n JOIN lr ON lr.instruction = n.instruction AND lr.r_text = n.r_text WHERE n.r_id IS NOT NULL""")
+ROUND_KEY = lambda t: f"array_to_string(list_filter(regexp_extract_all(lower(trim({t})), '[a-z0-9]+'), lambda w: w NOT IN {tuple(X.ROUND)}), ' ')"
+BLOCKED_SQL = f"""{PAIRS_SQL}, g AS (SELECT n.sample_id, n.seg_id, n.support_after, {MARK_SQL} AS mark, {DRIFT_SQL} AS drift, coalesce(n.support_after >= 0.45, false) AS held,
+  lower(trim(n.instruction)) <> lower(trim(n.r_text)) AND {ROUND_KEY('n.instruction')} = {ROUND_KEY('n.r_text')} AND {ROUND_KEY('n.instruction')} <> '' AS rounds
+  FROM nb n JOIN lr ON lr.instruction = n.instruction AND lr.r_text = n.r_text WHERE n.r_id IS NOT NULL)"""
+
+
+@query("wfn04_blocked_boundaries", f"""WITH {BLOCKED_SQL}
+SELECT sample_id, seg_id, concat_ws(',', CASE WHEN held THEN 'support' END, CASE WHEN mark THEN 'sequence' END, CASE WHEN drift THEN 'drift' END) AS reasons, mark AND rounds AS round_only,
+  round(greatest(0.0, coalesce(support_after, 0.0)) + CASE WHEN drift THEN 0.5 ELSE 0 END + CASE WHEN mark AND NOT rounds THEN 0.5 ELSE 0 END, 9) AS score
+FROM g WHERE held OR mark OR drift""")
 def wfn04(spark, sf_dir):
-    return D.blocked_boundaries(segments(spark, sf_dir), 0.45).select("sample_id", "seg_id", "reasons", F.round("score", 9).alias("score"))
+    return D.blocked_boundaries(segments(spark, sf_dir), 0.45).select("sample_id", "seg_id", "reasons", "round_only", F.round("score", 9).alias("score"))
+
+
+@query("pred08_rounds_only", f"""WITH {PAIRS_SQL}, p AS (SELECT instruction AS a, r_text AS b FROM pr UNION SELECT instruction, 'The second ' || instruction FROM pr UNION SELECT 'First the ' || instruction, 'next ' || instruction FROM pr)
+SELECT a, b, lower(trim(a)) <> lower(trim(b)) AND {ROUND_KEY('a')} = {ROUND_KEY('b')} AND {ROUND_KEY('a')} <> '' AS rounds_only FROM p""")
+def pred08(spark, sf_dir):
+    pr = pairs(spark, sf_dir).select(F.col("instruction").alias("a"), F.col("r_text").alias("b"))
+    more = pr.select("a", F.concat(F.lit("The second "), "a").alias("b")).union(pr.select(F.concat(F.lit("First the "), "a"), F.concat(F.lit("next "), "a")))
+    return pr.union(more).distinct().withColumn("rounds_only", D.rounds_only(F.col("a"), F.col("b")))
 
 
 @query("agg06_dominant_text", f"""WITH {DESCRIBED_SQL}, c AS (SELECT s.sample_id, s.instruction, count(*) AS n, min(seg_id) AS f FROM segments s GROUP BY ALL),

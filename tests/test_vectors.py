@@ -45,11 +45,31 @@ def test_cut_clusters(spark):
 def voted(spark, repeats):
     rows = [(1, 0, r, 2 * i) for r, at in enumerate(repeats) for i in at]
     df = spark.createDataFrame(rows, "sample_id long, window_id long, repeat_index long, frame long")
-    return {r.frame // 2: round(r.support, 3) for r in votes.repeat_votes(df, 30.0).collect()}
+    usable = spark.createDataFrame([(1, 0, len(repeats))], "sample_id long, window_id long, total long")
+    return {r.frame // 2: round(r.support, 3) for r in votes.repeat_votes(df, usable, 30.0).collect()}
 
 
 def test_repeat_votes(spark):
     assert voted(spark, [[5], [5], [9]]) == {5: 0.667, 9: 0.333}
+    assert voted(spark, [[5, 6], [5], []]) == {5: 0.667}
+    assert voted(spark, [[5], [], []]) == {5: 0.333} and voted(spark, [[5, 6]]) == {5: 1.0, 6: 1.0}
+
+
+def test_text_sources(spark):
+    rows = [(1, 0, 0, [10], 2), (1, 0, 1, [50], 2), (1, 0, 2, [52, 90], 3), (2, 0, 0, [5, 9], 3), (2, 0, 1, [], 1), (3, 0, 4, [], 1)]
+    records = spark.createDataFrame(rows, "sample_id long, window_id long, repeat_index long, frames array<long>, texts int")
+    cuts = spark.createDataFrame([(1, 0, 50), (3, 0, 7)], "sample_id long, window_id long, frame long")
+    got = {r.sample_id: r.repeat_index for r in votes.text_sources(records, cuts, 30.0).collect()}
+    assert got == {1: 1, 2: 1, 3: 4}
+
+
+def test_boundaries_with_a_reason(spark):
+    rows = [(1, 0, 0, 0, "Add the first potato", 0.1), (1, 1, 0, 9, "Add the second potato", 0.1), (1, 2, 9, 20, "Add the second potato", 0.9), (1, 3, 20, 30, "Add the second potato", None)]
+    s = spark.createDataFrame([(i, g, a, b, t, 1.0, None, u) for i, g, a, b, t, u in rows], "sample_id long, seg_id long, start_frame long, end_excl long, instruction string, confidence double, support_before double, support_after double")
+    got = {r.seg_id: r for r in wording.blocked_boundaries(s, 0.45).collect()}
+    assert set(got) == {0, 2} and got[2].reasons == "support" and got[2].score == 0.9
+    assert got[0].reasons == "sequence" and got[0].round_only and got[0].score == 0.1 and got[0].shorter == 1
+    assert set(r.seg_id for r in wording.blocked_boundaries(s, 0.45, by_markers=False).collect()) == {2}
 
 
 def test_windows(spark):
