@@ -92,9 +92,9 @@ def likeness(a: Column, b: Column) -> Column:
 NULL_BITS = 10
 
 
-def with_next(docs: DataFrame, blocks: int) -> DataFrame:
-    """docs(doc_id, text, ...) with next, a struct of the other columns of the next document in ascending doc_id, of the first after
-    the last.
+def with_next(docs: DataFrame, blocks: int, **made: Column) -> DataFrame:
+    """docs(doc_id, text) with the columns made of them, and next, a struct of text and these of the next document in ascending
+    doc_id, of the first after the last.
 
     Rows are dealt to blocks of consecutive ids by approximate quantiles and each block is sorted alone: a row moves once. The
     first row of each block also goes, as a guest, to the end of the block before it; that it is the first, ids and hashes decide.
@@ -107,10 +107,11 @@ def with_next(docs: DataFrame, blocks: int) -> DataFrame:
     turn = Window.orderBy("block")  # a row for each block, an id and a hash
     before = F.coalesce(F.lag("block").over(turn), F.max("block").over(turn.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
     hosts = heads.select(before.alias("host"), F.col("block").alias("of"), F.col("head.doc_id").alias("head_id"), F.col("head.th").alias("head_th"))
-    first = at.join(hosts, (at["block"] == hosts["of"]) & at["doc_id"].eqNullSafe(hosts["head_id"]) & (at["th"] == hosts["head_th"])).dropDuplicates(["of"])
+    # a row for each block, so at most blocks + 2^NULL_BITS of them
+    first = at.join(F.broadcast(hosts), (at["block"] == hosts["of"]) & at["doc_id"].eqNullSafe(hosts["head_id"]) & (at["th"] == hosts["head_th"])).dropDuplicates(["of"])
     guests = first.select(*docs.columns, F.col("host").alias("block"), "th", F.lit(1).alias("guest"))
-    rows = at.withColumn("guest", F.lit(0)).unionByName(guests)
-    rest = F.struct(*[c for c in docs.columns if c != "doc_id"])
+    rows = at.withColumn("guest", F.lit(0)).unionByName(guests).withColumns(made)
+    rest = F.struct("text", *made)
     shown = rows.repartition(F.col("block")).withColumn("next", F.lead(rest).over(Window.partitionBy("block").orderBy("guest", *order)))
     return shown.filter("guest = 0").drop("block", "th", "guest")
 
@@ -127,7 +128,7 @@ def fingerprint_pairs(docs: DataFrame, blocks: int | None = None, id_col: str =
     blocks = blocks or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
-    rows = with_next(base.withColumn("sig", signature(F.col("text"))), blocks)
+    rows = with_next(base, blocks, sig=signature(F.col("text")))
     rows = rows.withColumn("n_chars", n.cast("long")).withColumn("edited", F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next.text"), F.lit(1), half)))
     rows = rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "sig", signature(F.col("edited")).alias("esig"), F.col("next.sig").alias("nsig"))
     return rows.select("doc_id", "n_chars", "edited_sha256", fingerprint(F.col("sig")).alias("fingerprint"), fingerprint(F.col("esig")).alias("edited_fingerprint"), likeness(F.col("sig"), F.col("esig")).alias("near_edited"), likeness(F.col("sig"), F.col("nsig")).alias("near_next"))
