@@ -51,9 +51,22 @@ def _holds(ordered: Column, steps: Column, value: Column) -> Column:
     return F.coalesce(F.get(ordered, last - 1) == value, F.lit(False))
 
 
-def recurring_shapes(rows: DataFrame, documents: int) -> DataFrame:
-    """rows(id, line, leaf, n, shape) -> (line, first_id): the shapes that recur by themselves or by their leaf's template, with the
-    document in which they stay."""
+def parsed(docs: DataFrame, text_col: str) -> DataFrame:
+    """docs with __parts in place of the text: for each line its pieces in order, each with the hash of its shape where it can recur, and
+    the shape where that is not the piece itself. The pieces of a line put together are the line, so the text is parsed only once."""
+
+    def part(p: Column, whole: Column) -> Column:
+        told = lambda s: F.struct(p.alias("piece"), F.when(counts_as(s, whole), F.xxhash64(s)).alias("line"), F.when(s != p, s).alias("shape"))
+        return F.get(F.transform(F.array(masked(p)), told), F.lit(0))
+
+    parts = lambda ps: F.transform(ps, lambda p: part(p, F.size(ps) == 1))
+    lines = F.transform(F.split(F.col(text_col), "\n"), lambda line: F.get(F.transform(F.array(pieces(line)), parts), F.lit(0)))
+    return docs.withColumn("__parts", lines).drop(text_col)
+
+
+def recurring_shapes(rows: DataFrame, texts_of, documents: int) -> DataFrame:
+    """rows(id, line, leaf, n) -> (line, first_id): the shapes that recur by themselves or by their leaf's template, with the
+    document in which they stay. texts_of gives (line, shape) of a table (line, id), which holds each line once."""
     shapes = written(rows.groupBy("leaf", "line", "n").agg(F.min("id").alias("first_id"), F.max("id").alias("last_id")), "shapes")
     short = rows.filter(F.col("n") < LEAD).groupBy("line", "id").count().groupBy("line").agg(F.count("*").alias("documents"))
     often = short.filter((F.col("documents") >= FEW) & (F.col("documents") * RARE >= documents)).select("line")
@@ -63,8 +76,7 @@ def recurring_shapes(rows: DataFrame, documents: int) -> DataFrame:
     several = shapes.groupBy("leaf").agg(F.count("*").alias("shapes"), F.min("first_id").alias("f"), F.max("last_id").alias("l")).filter("shapes > 1 AND f < l").select("leaf")
     mixed = written(shapes.join(several, "leaf").select("leaf", "line", "n", "first_id", "last_id"), "mixed")
     # of all rows of a shape, those of its first document; by itself, so that the list's size decides whether all texts move
-    asked = written(mixed.select("line", F.col("first_id").alias("id")), "asked")
-    texts = rows.join(asked, ["line", "id"], "left_semi").dropDuplicates(["line"]).select("line", "shape")
+    texts = texts_of(written(mixed.select("line", F.col("first_id").alias("id")), "asked"))
     tokens = written(mixed.join(texts, "line").select("leaf", "line", "n", "first_id", "last_id", F.posexplode(F.split("shape", " ")).alias("pos", "token")), "tokens")
     values = tokens.groupBy("leaf", "pos", "token").agg(F.count("*").alias("c")).groupBy("leaf", "pos").agg(F.max(F.struct("c", "token")).alias("top"))
     agreeing = tokens.join(values, ["leaf", "pos"]).filter("token = top.token").groupBy("leaf", "line").agg(F.count("*").alias("same"), F.first("n").alias("n"), F.first("first_id").alias("first_id"), F.first("last_id").alias("last_id"))
@@ -81,33 +93,31 @@ def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Rows are joined by id, so rows with one id are one document. A NULL text stays NULL, an empty one empty, a document whose
     lines all go becomes empty, and a document without an id keeps all its lines. Blank lines stay. An empty table gives no rows.
     """
-    named = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.explode(F.split(F.col(text_col), "\n")).alias("line"))
+    whole = written(parsed(docs, text_col), "parsed")
+    known = whole.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.explode("__parts").alias("parts")).select("id", F.explode("parts").alias("p"))
+    found = known.filter("p.line IS NOT NULL").select("id", F.col("p.line").alias("line"), F.coalesce("p.shape", "p.piece").alias("shape"))
     once = lambda c, name: F.explode(F.array(c)).alias(name)  # noqa: E731  # a value that is used again and must not be computed again
-    cut = named.select("id", once(pieces(F.col("line")), "pieces")).select("id", (F.size("pieces") == 1).alias("whole"), F.explode("pieces").alias("piece"))
-    shaped = cut.select("id", "whole", once(masked(F.col("piece")), "shape")).select("id", "whole", "shape", once(token_count(F.col("shape")), "n"))
-    shaped = shaped.filter((F.col("shape") != "") & (F.col("whole") | (F.col("n") >= SENTENCE)))
-    line = F.xxhash64("shape")
-    leaf = F.when(F.col("n") >= SENTENCE, F.xxhash64("n", F.call_function("substring_index", F.col("shape"), F.lit(" "), F.greatest(F.lit(LEAD), F.floor(F.col("n") / 3).cast("int"))))).otherwise(line)
-    rows = written(shaped.select("id", line.alias("line"), leaf.alias("leaf"), "n", "shape"), "lines")
-    recurring = recurring_shapes(rows, docs.filter(F.col(id_col).isNotNull()).count())
+    counted = found.select("id", "line", "shape", once(token_count(F.col("shape")), "n"))
+    lead = F.call_function("substring_index", F.col("shape"), F.lit(" "), F.greatest(F.lit(LEAD), F.floor(F.col("n") / 3).cast("int")))
+    leaf = F.when(F.col("n") >= SENTENCE, F.xxhash64("n", lead)).otherwise(F.col("line"))
+    rows = written(counted.select("id", "line", leaf.alias("leaf"), "n"), "lines")
+    texts_of = lambda asked: found.join(asked, ["line", "id"], "left_semi").dropDuplicates(["line"]).select("line", "shape")
+    recurring = recurring_shapes(rows, texts_of, whole.filter(F.col(id_col).isNotNull()).count())
     gone = rows.select("id", "line").join(recurring, "line").filter("id > first_id").groupBy("id").agg(F.sort_array(F.collect_set("line")).alias("__gone"))
     steps = F.filter(F.array(*[F.lit(1 << b) for b in range(30, -1, -1)]), lambda s: s <= F.size("__gone"))
-    joined = docs.join(gone.withColumn("__steps", steps).withColumnRenamed("id", "__gone_id"), F.col(id_col) == F.col("__gone_id"), "left")
-
-    def kept(line: Column) -> Column:
-        def stays(parts: Column) -> Column:
-            goes = lambda p: F.get(F.transform(F.array(masked(p)), lambda s: counts_as(s, F.size(parts) == 1) & _holds(F.col("__gone"), F.col("__steps"), F.xxhash64(s))), F.lit(0))
-            return F.struct(F.size(parts).alias("all"), F.filter(parts, lambda p: ~goes(p)).alias("left"))
+    joined = whole.join(gone.withColumn("__steps", steps).withColumnRenamed("id", "__gone_id"), F.col(id_col) == F.col("__gone_id"), "left")
 
-        return F.get(F.transform(F.array(pieces(line)), stays), F.lit(0))
+    def kept(parts: Column) -> Column:
+        goes = lambda p: p["line"].isNotNull() & _holds(F.col("__gone"), F.col("__steps"), p["line"])
+        left = F.when(F.col("__gone").isNull(), parts).otherwise(F.filter(parts, lambda p: ~goes(p)))
+        return F.struct(F.size(parts).alias("all"), left["piece"].alias("left"))
 
-    lines = F.split(F.col(text_col), "\n")
-    out = joined.withColumn("__lines", F.when(F.col("__gone").isNotNull(), F.transform(lines, kept)))
+    out = joined.withColumn("__lines", F.transform("__parts", kept)).drop("__parts")
     left = F.filter("__lines", lambda x: F.size(x["left"]) > 0)
     shown = lambda x: F.when(x["all"] == F.size(x["left"]), F.array_join(x["left"], "")).otherwise(F.trim(F.array_join(x["left"], "")))
-    text = F.when(F.col("__lines").isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(left, shown), "\n"))
+    text = F.array_join(F.transform(left, shown), "\n")
     new = [
-        F.coalesce(F.size(F.when(F.col(text_col).isNotNull(), lines)), F.lit(0)).alias("lines"),
+        F.coalesce(F.size("__lines"), F.lit(0)).alias("lines"),
         F.coalesce(F.size(F.filter("__lines", lambda x: F.size(x["left"]) == 0)), F.lit(0)).alias("dropped_lines"),
         F.coalesce(F.aggregate(F.transform(left, lambda x: x["all"] - F.size(x["left"])), F.lit(0), lambda a, x: a + x), F.lit(0)).alias("dropped_pieces"),
     ] if counts else []
