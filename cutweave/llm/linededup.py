@@ -53,10 +53,10 @@ def _holds(ordered: Column, steps: Column, value: Column) -> Column:
 
 def parsed(docs: DataFrame, text_col: str) -> DataFrame:
     """docs with __parts in place of the text: for each line its pieces in order, each with the hash of its shape where it can recur, and
-    the shape where that is not the piece itself. The pieces of a line put together are the line, so the text is parsed only once."""
+    the shape where that is not the piece without spaces around. The pieces of a line put together are the line, so the text is parsed only once."""
 
     def part(p: Column, whole: Column) -> Column:
-        told = lambda s: F.struct(p.alias("piece"), F.when(counts_as(s, whole), F.xxhash64(s)).alias("line"), F.when(s != p, s).alias("shape"))
+        told = lambda s: F.struct(p.alias("piece"), F.when(counts_as(s, whole), F.xxhash64(s)).alias("line"), F.when(s != F.trim(p), s).alias("shape"))
         return F.get(F.transform(F.array(masked(p)), told), F.lit(0))
 
     parts = lambda ps: F.transform(ps, lambda p: part(p, F.size(ps) == 1))
@@ -95,7 +95,7 @@ def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     whole = written(parsed(docs, text_col), "parsed")
     known = whole.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.explode("__parts").alias("parts")).select("id", F.explode("parts").alias("p"))
-    found = known.filter("p.line IS NOT NULL").select("id", F.col("p.line").alias("line"), F.coalesce("p.shape", "p.piece").alias("shape"))
+    found = known.filter("p.line IS NOT NULL").select("id", F.col("p.line").alias("line"), F.coalesce("p.shape", F.trim("p.piece")).alias("shape"))
     once = lambda c, name: F.explode(F.array(c)).alias(name)  # noqa: E731  # a value that is used again and must not be computed again
     counted = found.select("id", "line", "shape", once(token_count(F.col("shape")), "n"))
     lead = F.call_function("substring_index", F.col("shape"), F.lit(" "), F.greatest(F.lit(LEAD), F.floor(F.col("n") / 3).cast("int")))
