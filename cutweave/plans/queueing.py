@@ -9,25 +9,50 @@ from ..sources.fixtures import table
 from ..streaming import queue as Q
 from .catalog import query
 
-TASKS = 37
-LOG_SQL = f"""q AS (SELECT 't' || event_id % {TASKS} AS task_id, event_id AS seq, CASE event_id // {TASKS} % 3 WHEN 0 THEN 'dispatch' WHEN 1 THEN 'result' ELSE 'tick' END AS kind, event_id // {TASKS} AS round, CAST(event_id AS DOUBLE) AS moment, event_type FROM events)"""
+#: Events of a task and seconds between them: tasks grow in number with the events, not in length.
+EACH, APART = 64, 37
+LOG_SQL = f"""q AS (SELECT 't' || event_id // {EACH} AS task_id, event_id AS seq, CASE event_id % {EACH} % 3 WHEN 0 THEN 'dispatch' WHEN 1 THEN 'result' ELSE 'tick' END AS kind,
+  event_id % {EACH} AS round, CAST(event_id * {APART} AS DOUBLE) AS moment, event_type FROM events)"""
 
 
 def log(spark, sf_dir):
-    e, turn = table(spark, sf_dir, "events"), F.floor(F.col("event_id") / TASKS)
+    e, turn = table(spark, sf_dir, "events"), F.col("event_id") % EACH
     kind = F.element_at(F.array(F.lit("dispatch"), F.lit("result"), F.lit("tick")), (turn % 3 + 1).cast("int"))
     name = F.concat(F.lit("d"), (F.floor(turn / 3) + 1 - (F.col("event_type") == "signup").cast("long")).cast("string"))
-    return e.select(F.concat(F.lit("t"), F.col("event_id") % TASKS).alias("task_id"), F.col("event_id").alias("seq"), kind.alias("kind"), F.when(kind == "result", name).alias("dispatch_id"), F.col("event_id").cast("double").alias("at"), (F.col("event_type") != "purchase").alias("empty"))
-
-
-@query("str02_ingest_status")
+    return e.select(F.concat(F.lit("t"), F.floor(F.col("event_id") / EACH).cast("string")).alias("task_id"), F.col("event_id").alias("seq"), kind.alias("kind"), F.when(kind == "result", name).alias("dispatch_id"), (F.col("event_id") * APART).cast("double").alias("at"), (F.col("event_type") != "purchase").alias("empty"))
+
+
+STATUS_SQL = f"""WITH RECURSIVE {LOG_SQL}, o AS (SELECT *, row_number() OVER (PARTITION BY task_id ORDER BY seq) AS k, event_type <> 'purchase' AS vacant,
+    CASE WHEN kind = 'result' THEN 'd' || (round // 3 + 1 - CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END) END AS given FROM q),
+r AS (SELECT DISTINCT task_id, 0::BIGINT AS k, NULL::BIGINT AS seq, NULL::VARCHAR AS kind, NULL::VARCHAR AS dispatch_id, NULL::VARCHAR AS status,
+    NULL::VARCHAR AS out_now, 0::DOUBLE AS since, NULL::VARCHAR AS accepted, 0 AS dispatches, 0 AS empties, 0 AS timeouts, false AS closed FROM o
+  UNION ALL SELECT task_id, k, seq, kind,
+    CASE WHEN status = 'dispatched' THEN 'd' || (dispatches + 1) WHEN kind = 'tick' THEN out_now ELSE given END,
+    status,
+    CASE WHEN status = 'dispatched' THEN 'd' || (dispatches + 1) WHEN status IN ('received', 'retry_triggered', 'empty_retry_exhausted', 'timeout_requeued', 'timeout_retry_exhausted') THEN NULL ELSE out_now END,
+    CASE WHEN status = 'dispatched' THEN moment ELSE since END,
+    CASE WHEN status = 'received' THEN given ELSE accepted END,
+    dispatches + CASE WHEN status = 'dispatched' THEN 1 ELSE 0 END,
+    empties + CASE WHEN status IN ('retry_triggered', 'empty_retry_exhausted') THEN 1 ELSE 0 END,
+    timeouts + CASE WHEN status IN ('timeout_requeued', 'timeout_retry_exhausted') THEN 1 ELSE 0 END,
+    closed OR status IN ('empty_retry_exhausted', 'timeout_retry_exhausted')
+  FROM (SELECT r.task_id, o.k, o.seq, o.kind, o.given, o.moment, out_now, since, accepted, dispatches, empties, timeouts, closed,
+      CASE WHEN o.kind = 'dispatch' THEN CASE WHEN closed OR accepted IS NOT NULL OR out_now IS NOT NULL THEN 'refused' ELSE 'dispatched' END
+        WHEN o.kind = 'tick' THEN CASE WHEN out_now IS NULL THEN 'idle' WHEN moment - since <= 50 THEN 'waiting' WHEN timeouts + 1 > 3 THEN 'timeout_retry_exhausted' ELSE 'timeout_requeued' END
+        WHEN given = accepted THEN 'already_received' WHEN out_now IS NULL OR given <> out_now THEN 'stale_ignored'
+        WHEN NOT vacant THEN 'received' WHEN empties + 1 > 5 THEN 'empty_retry_exhausted' ELSE 'retry_triggered' END AS status
+    FROM r JOIN o ON o.task_id = r.task_id AND o.k = r.k + 1))
+SELECT task_id, seq, kind, dispatch_id, status FROM r WHERE k > 0"""
+
+
+@query("str02_ingest_status", STATUS_SQL)
 def str02(spark, sf_dir):
-    return Q.replay(log(spark, sf_dir), timeout=50.0, retries=40, empty_retries=60)
+    return Q.replay(log(spark, sf_dir), timeout=50.0, retries=3, empty_retries=5)
 
 
 @query("str03_first_results", f"WITH {LOG_SQL} SELECT task_id, round // 3 AS round, min(seq) AS seq FROM q WHERE kind = 'result' GROUP BY ALL")
 def str03(spark, sf_dir):
-    rows = log(spark, sf_dir).filter("kind = 'result'").withColumn("round", F.floor(F.floor(F.col("seq") / TASKS) / 3).cast("long"))
+    rows = log(spark, sf_dir).filter("kind = 'result'").withColumn("round", F.floor(F.col("seq") % EACH / 3).cast("long"))
     return rows.groupBy("task_id", "round").agg(F.min("seq").alias("seq"))
 
 
