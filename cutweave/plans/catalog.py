@@ -20,4 +20,4 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-from . import answers, assembling, drifting, evaluation, merging, queueing, recorded, records, reporting, various, voting, windowing, wording  # noqa: E402, F401  each registers its queries
+from . import answers, assembling, drifting, evaluation, lifecycle, merging, passes, queueing, recorded, records, reporting, scans, various, voting, windowing, wording  # noqa: E402, F401  each registers its queries
