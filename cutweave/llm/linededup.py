@@ -77,9 +77,9 @@ def recurring_shapes(rows: DataFrame, texts_of, documents: int) -> DataFrame:
     mixed = written(shapes.join(several, "leaf").select("leaf", "line", "n", "first_id", "last_id"), "mixed")
     # of all rows of a shape, those of its first document; by itself, so that the list's size decides whether all texts move
     texts = texts_of(written(mixed.select("line", F.col("first_id").alias("id")), "asked"))
-    tokens = written(mixed.join(texts, "line").select("leaf", "line", "n", "first_id", "last_id", F.posexplode(F.split("shape", " ")).alias("pos", "token")), "tokens")
+    tokens = written(mixed.join(texts, "line").select("leaf", "line", F.posexplode(F.split("shape", " ")).alias("pos", "token")), "tokens")
     values = tokens.groupBy("leaf", "pos", "token").agg(F.count("*").alias("c")).groupBy("leaf", "pos").agg(F.max(F.struct("c", "token")).alias("top"))
-    agreeing = tokens.join(values, ["leaf", "pos"]).filter("token = top.token").groupBy("leaf", "line").agg(F.count("*").alias("same"), F.first("n").alias("n"), F.first("first_id").alias("first_id"), F.first("last_id").alias("last_id"))
+    agreeing = tokens.join(values, ["leaf", "pos"]).filter("token = top.token").groupBy("leaf", "line").agg(F.count("*").alias("same")).join(mixed, ["leaf", "line"])
     of_template = written(agreeing.filter(F.col("same") * LIKE[1] >= F.col("n") * LIKE[0]), "templates")
     templates = of_template.groupBy("leaf").agg(F.min("first_id").alias("first"), F.max("last_id").alias("last")).filter("first < last").select("leaf", F.col("first").alias("first_id"))
     alike = of_template.select("leaf", "line").join(templates, "leaf").select("line", "first_id")
