@@ -178,6 +178,38 @@ def test_passages_recur_wherever_in_a_line_they_stand(spark):
     assert all(w in got[2].split() for w in texts[2].split() if w[0] in "d" or (w[0] == "e" and w != "edited"))
 
 
+def dropped(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [r.text for r in linededup.drop_recurring(docs).orderBy("doc_id").collect()]
+
+
+def test_families_of_a_leaf_have_templates_of_their_own(spark):
+    """Twelve tokens and the same leading four: three lines of one family and three of another."""
+    one = [f"the old red house {w} under tall trees by the wide river" for w in ("stood", "slept", "waited")]
+    two = [f"the old red house where many cats and dogs often {w} today" for w in ("play", "hide", "rest")]
+    got = dropped(spark, [one[0], two[0], one[1], two[1], one[2], two[2]])
+    assert got == [one[0], two[0], "", "", "", ""]
+
+
+def test_short_lines_are_generalised_from_three_documents_on(spark):
+    texts = [f"Meet {name} at noon" for name in ("John", "Mary", "Paul", "Anna")] + ["Ask Eve at nine", "Ask Tom at nine"]
+    assert dropped(spark, texts) == [texts[0], "", "", "", *texts[4:]]
+
+
+def test_two_documents_that_differ_in_a_word_keep_it(spark):
+    texts = [f"It was {w} and {v} when the treaty between both powers was signed in Rome by the king of {w}" for w, v in (("France", "cold"), ("Spain", "warm"))]
+    same = [f"The treaty between both of the old powers was signed in Rome by the king of {w}" for w in ("France", "Spain")]
+    assert dropped(spark, texts) == texts and dropped(spark, same) == same
+    assert dropped(spark, [*same, same[0].replace("France", "Peru")])[1:] == ["", ""]
+
+
+def test_long_sentences_are_whole_pieces(spark):
+    """Neither 3.14 nor 60 words end a sentence; other texts around a passage change none of its pieces."""
+    passage = " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60)) + " is 3.14 or so."
+    got = dropped(spark, [f"Yes. {passage} No.", f"What now? Well. {passage} Some of it stays here.", passage + "  "])
+    assert got == [f"Yes. {passage} No.", "What now? Well. Some of it stays here.", ""]
+
+
 def test_many_lines_of_one_document(spark):
     lines = [f"the line number {''.join(chr(97 + int(c)) for c in str(i))} of a long log" for i in range(30_000)]
     docs = spark.createDataFrame([(1, "\n".join(lines[::2])), (2, "\n".join(lines))], "doc_id long, text string")
