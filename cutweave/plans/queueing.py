@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..sources.fixtures import table
@@ -42,36 +41,51 @@ r AS (SELECT DISTINCT task_id, 0::BIGINT AS k, NULL::BIGINT AS seq, NULL::VARCHA
         WHEN given = accepted THEN 'already_received' WHEN out_now IS NULL OR given <> out_now THEN 'stale_ignored'
         WHEN NOT vacant THEN 'received' WHEN empties + 1 > 5 THEN 'empty_retry_exhausted' ELSE 'retry_triggered' END AS status
     FROM r JOIN o ON o.task_id = r.task_id AND o.k = r.k + 1))
-SELECT task_id, seq, kind, dispatch_id, status FROM r WHERE k > 0"""
+"""
+ALL_SQL = f"{STATUS_SQL} SELECT task_id, seq, kind, dispatch_id, status FROM r WHERE k > 0"
+LIMITS = {"timeout": 50.0, "retries": 3, "empty_retries": 5}
 
 
-@query("str02_ingest_status", STATUS_SQL)
+@query("str02_ingest_status", ALL_SQL)
 def str02(spark, sf_dir):
-    return Q.replay(log(spark, sf_dir), timeout=50.0, retries=3, empty_retries=5)
+    return Q.replay(log(spark, sf_dir), **LIMITS)
 
 
-@query("str03_first_results", f"WITH {LOG_SQL} SELECT task_id, round // 3 AS round, min(seq) AS seq FROM q WHERE kind = 'result' GROUP BY ALL")
+@query("str03_first_results", f"WITH {LOG_SQL}, g AS (SELECT *, 'd' || (round // 3 + 1 - CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END) AS dispatch_id FROM q WHERE kind = 'result') SELECT task_id, dispatch_id, seq, event_type <> 'purchase' AS empty FROM g QUALIFY row_number() OVER (PARTITION BY task_id, dispatch_id ORDER BY seq) = 1")
 def str03(spark, sf_dir):
-    rows = log(spark, sf_dir).filter("kind = 'result'").withColumn("round", F.floor(F.col("seq") % EACH / 3).cast("long"))
-    return rows.groupBy("task_id", "round").agg(F.min("seq").alias("seq"))
+    return Q.first_of_each(log(spark, sf_dir).filter("kind = 'result'")).select("task_id", "dispatch_id", "seq", "empty")
 
 
-@query("str05_overdue", f"WITH {LOG_SQL}, n AS (SELECT *, lead(moment) OVER (PARTITION BY task_id ORDER BY seq) - moment AS wait FROM q) SELECT task_id, seq, wait FROM n WHERE kind = 'dispatch' AND wait > 36")
+@query("str05_overdue", f"""{STATUS_SQL}, s AS (SELECT r.*, CAST(seq * {APART} AS DOUBLE) AS moment FROM r WHERE k > 0),
+e AS (SELECT task_id, dispatch_id, min(struct_pack(seq := seq, moment := moment, status := status)) AS f FROM s WHERE status IN ('received', 'retry_triggered', 'empty_retry_exhausted', 'timeout_requeued', 'timeout_retry_exhausted') GROUP BY ALL)
+SELECT s.task_id, s.dispatch_id, s.moment AS at, e.f.moment AS ended_at, e.f.status AS ended FROM s LEFT JOIN e ON s.task_id = e.task_id AND s.dispatch_id = e.dispatch_id
+WHERE s.status = 'dispatched' AND coalesce(e.f.moment, (SELECT max(moment) FROM s)) - s.moment > 36""")
 def str05(spark, sf_dir):
-    wait = F.lead("at").over(Window.partitionBy("task_id").orderBy("seq")) - F.col("at")
-    return log(spark, sf_dir).withColumn("wait", wait).filter("kind = 'dispatch' AND wait > 36").select("task_id", "seq", "wait")
+    told = log(spark, sf_dir)
+    return Q.overdue(Q.replay(told, **LIMITS).join(told.select("task_id", "seq", "at"), ["task_id", "seq"]), 36.0)
 
 
-@query("str01_dispatch_ids", f"WITH {LOG_SQL} SELECT task_id, seq, 'd' || row_number() OVER (PARTITION BY task_id ORDER BY seq) AS dispatch_id FROM q WHERE kind = 'dispatch'")
+@query("str01_dispatch_ids", f"{STATUS_SQL} SELECT task_id, seq, dispatch_id FROM r WHERE status = 'dispatched'")
 def str01(spark, sf_dir):
-    d = log(spark, sf_dir).filter("kind = 'dispatch'")
-    return d.select("task_id", "seq", F.concat(F.lit("d"), F.row_number().over(Window.partitionBy("task_id").orderBy("seq")).cast("string")).alias("dispatch_id"))
+    return Q.replay(log(spark, sf_dir), **LIMITS).filter("status = 'dispatched'").select("task_id", "seq", "dispatch_id")
 
 
-@query("str06_next_jobs", f"WITH {LOG_SQL}, r AS (SELECT *, row_number() OVER (PARTITION BY task_id ORDER BY seq) AS k FROM q WHERE kind = 'dispatch') SELECT task_id, seq FROM r WHERE k <= 4")
+#: Two entries (of a user's task) to three requests, so that some find nothing; eight moments share a time.
+FIFO_SQL = """x AS (SELECT event_id // 8 AS moment, CASE WHEN event_id % 5 < 2 THEN 0 ELSE 1 END AS asks, CASE WHEN event_id % 5 < 2 THEN 't' || user_id ELSE 'r' || event_id END AS name FROM events)"""
+
+
+@query("str06_next_jobs", f"""WITH RECURSIVE {FIFO_SQL}, o AS (SELECT *, row_number() OVER (ORDER BY moment, asks, name) AS n, sum(1 - asks) OVER (ORDER BY moment, asks, name ROWS UNBOUNDED PRECEDING) AS there FROM x),
+q AS (SELECT n, asks, there, row_number() OVER (ORDER BY n) AS j, name FROM o WHERE asks = 1),
+r AS (SELECT 0::BIGINT AS j, 0::BIGINT AS taken, NULL::BIGINT AS mine, NULL::VARCHAR AS request_id
+  UNION ALL SELECT q.j, r.taken + CASE WHEN q.there > r.taken THEN 1 ELSE 0 END, CASE WHEN q.there > r.taken THEN r.taken + 1 END, q.name FROM r JOIN q ON q.j = r.j + 1),
+e AS (SELECT there AS k, name AS task_id FROM o WHERE asks = 0),
+m AS (SELECT request_id, task_id, mine, row_number() OVER (PARTITION BY task_id ORDER BY mine) AS turn FROM r LEFT JOIN e ON e.k = r.mine WHERE request_id IS NOT NULL)
+SELECT request_id, task_id, CASE WHEN task_id IS NOT NULL THEN 'd' || turn END AS dispatch_id FROM m""")
 def str06(spark, sf_dir):
-    d = log(spark, sf_dir).filter("kind = 'dispatch'")
-    return d.withColumn("k", F.row_number().over(Window.partitionBy("task_id").orderBy("seq"))).filter("k <= 4").select("task_id", "seq")
+    e = table(spark, sf_dir, "events")
+    at, comes = F.floor(F.col("event_id") / 8).alias("at"), F.col("event_id") % 5 < 2
+    entries = e.filter(comes).select(at, F.concat(F.lit("t"), F.col("user_id").cast("string")).alias("task_id"))
+    return Q.served(entries, e.filter(~comes).select(at, F.concat(F.lit("r"), F.col("event_id").cast("string")).alias("request_id")))
 
 
 @query("str10_stage_timers", "SELECT user_id AS sample_id, event_id % 3 AS stage, greatest(0, max(epoch_us(ts) // 1000) - min(epoch_us(ts) // 1000)) AS elapsed_ms FROM events GROUP BY ALL")

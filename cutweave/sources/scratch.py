@@ -8,8 +8,12 @@ from pyspark.sql import DataFrame
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """df checkpointed: its plan ends here, and a lost executor costs nothing. A folder of our own is used only where none is set."""
+    """df checkpointed: its plan ends here, and a lost executor costs nothing. Where no folder is set, a local session takes one of
+    its own; on a cluster that is an error, since executors would write to disks that nobody else reads."""
     sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="cutweave-"))
+        base = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not base and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        sc.setCheckpointDir(base or tempfile.mkdtemp(prefix="cutweave-"))
     return df.checkpoint()
