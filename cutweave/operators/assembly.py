@@ -114,6 +114,69 @@ def shifted_boundaries(segments: DataFrame, picked: DataFrame) -> DataFrame:
     return rows.select("sample_id", "seg_id", F.coalesce(F.lag("end_new").over(w), "start_frame").alias("start_frame"), F.col("end_new").alias("end_excl"), "instruction", "confidence", "support_before", "support_after")
 
 
+def rejected(frame: Column, instructions: Column, support: Column, most_support: float) -> Column:
+    """Whether a refinement takes a boundary away: it names no frame, tells one task alone, and the support is at most so large. Negative limits
+    take none."""
+    told = F.size(F.filter(instructions, lambda t: F.trim(t) != "")) == 1
+    return F.coalesce(frame.isNull() & told & (support <= most_support), F.lit(False)) if most_support >= 0 else F.lit(False)
+
+
+def refined_boundaries(segments: DataFrame, refinements: DataFrame, fps: float = 30.0, most_support: float = -1.0) -> DataFrame:
+    """segments with boundaries moved or taken away by refinements(sample_id, seg_id, frame_ids, transitions, instructions) of the
+    boundary after seg_id; seg_id counts anew.
+
+    The first transition that lies inside frame_ids names the new frame. A boundary that abstains (rejected()) joins its segments:
+    from the left, later_text() names the text, the last known support after stays. All others lie after the one before them and
+    before the end of their right segment; where a support is known, both sides get it. Samples without refinements keep their
+    boundaries but for that; an empty table gives no rows.
+    """
+    w = Window.partitionBy("sample_id").orderBy("seg_id")
+    rows = segments.select("sample_id", "seg_id", "start_frame", "end_excl", "instruction", "confidence", "support_before", "support_after")
+    named = F.filter(F.transform("transitions", lambda t: F.when(t >= 0, F.get("frame_ids", t.cast("int")))), lambda f: f.isNotNull())
+    told = refinements.select("sample_id", "seg_id", F.get(named, F.lit(0)).cast("long").alias("pick"), F.col("instructions").alias("told"))
+    support, known = S.support_between(F.col("support_after"), F.lead("support_before").over(w))
+    rows = rows.withColumns({"next_end": F.lead("end_excl").over(w), "support": support, "known": known}).join(told, ["sample_id", "seg_id"], "left")
+    rows = rows.withColumn("gone", F.col("next_end").isNotNull() & rejected(F.col("pick"), F.col("told"), F.col("support"), most_support))
+    own = F.greatest(F.col("start_frame") + 1, F.least("pick", F.col("next_end") - 1))
+    fits = F.col("pick").isNotNull() & (own > F.col("start_frame")) & (own < F.col("next_end"))
+    rows = rows.withColumn("place", F.least(F.when(fits, own).otherwise(F.col("end_excl")), F.col("next_end") - 1))
+    rows = rows.withColumn("group", F.coalesce(F.sum(F.when(F.col("gone"), 0).otherwise(1)).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("long"))
+
+    last = F.max_by(F.struct("end_excl", "next_end", "place", "support", "known"), "seg_id").alias("last")
+    groups = rows.groupBy("sample_id", "group").agg(
+        F.min_by(F.struct("start_frame", "confidence", "support_before"), "seg_id").alias("first"), last, F.max_by("support_after", F.when(F.col("support_after").isNotNull(), F.col("seg_id"))).alias("after")
+    )
+    g = Window.partitionBy("sample_id").orderBy("group")
+    inner = F.col("last.next_end").isNotNull()
+    # boundary k lies after boundary k - 1: the running maximum of what is left without the count of boundaries
+    slack = F.max(F.when(inner, F.col("last.place") - F.col("group") - 1)).over(g)
+    begin = F.first("first.start_frame").over(g)
+    groups = groups.withColumn("end_new", F.when(inner, F.greatest(slack, begin) + F.col("group") + 1).otherwise(F.col("last.end_excl")))
+    before = F.when(F.lag("last.known").over(g), F.lag("last.support").over(g)).otherwise(F.col("first.support_before"))
+    after = F.when(inner & F.col("last.known"), F.col("last.support")).otherwise(F.col("after"))
+    out = groups.select(
+        "sample_id", "group", F.coalesce(F.lag("end_new").over(g), "first.start_frame").alias("start_frame"), F.col("end_new").alias("end_excl"), F.col("first.confidence").alias("confidence"), before.alias("support_before"), after.alias("support_after")
+    )
+    # the texts of joined segments, from the left; what is joined so far lasts from its new start to the end of the next segment
+    d = T.described(rows.select("instruction").distinct())
+    kept = ["instruction", "ingredients", "prep_ingredient", "actions", "specificity"]
+    item = F.struct("seg_id", "start_frame", "end_excl", *kept)
+    listed = rows.join(d.select(*kept), "instruction").groupBy("sample_id", "group").agg(F.array_sort(F.collect_list(item)).alias("all")).join(out.select("sample_id", "group", F.col("start_frame").alias("begin")), ["sample_id", "group"])
+
+    def step(last: Column, x: Column) -> Column:
+        frames = {"l_frames": x["end_excl"] - F.col("begin"), "r_frames": x["end_excl"] - x["start_frame"]}
+        look = lambda name: frames[name] if name in frames else (last if name[:2] == "l_" else x)[name[2:]]
+        right = D.later_text(fps, look)
+        text = [F.when(right, x[c]).otherwise(last[c]).alias(c) for c in kept]
+        return F.struct(x["seg_id"].alias("seg_id"), last["start_frame"].alias("start_frame"), x["end_excl"].alias("end_excl"), *text)
+
+    kind = listed.schema["all"].dataType.elementType.simpleString()
+    listed = listed.withColumn("all", F.col("all").cast(f"array<{kind}>"))  # so that all fields may be NULL
+    texts = listed.select("sample_id", "group", F.aggregate(F.slice("all", 2, F.size("all")), F.get("all", F.lit(0)), lambda a, x: step(a, x).cast(kind))["instruction"].alias("instruction"))
+
+    return out.join(texts, ["sample_id", "group"]).select("sample_id", F.col("group").alias("seg_id"), "start_frame", "end_excl", "instruction", "confidence", "support_before", "support_after")
+
+
 def overcollapsed(merged: DataFrame, light: DataFrame, fps: float = 30.0) -> DataFrame:
     """Merged segments that hide tasks: three or more source segments, two or more specific texts, and long beside the median."""
     d = T.described(light.select("instruction").distinct()).select("instruction", "specific")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import lexicon as X
 from ..functions import text as T
 from ..sources.scratch import settled
+from . import intervals as I
 
 KEYS = ["sample_id", "start_frame"]
 
@@ -47,7 +48,7 @@ def instruction_runs(segments: DataFrame, timeline: DataFrame, described: DataFr
     """
     step = max(1, round(max(0.5, bin_sec) * max(fps, 1.0)))
     frames = timeline.select("sample_id", "frame", "ord", "instruction")
-    inside = segments.select("sample_id", "start_frame", "end_excl").join(frames, "sample_id").filter("frame >= start_frame AND frame < end_excl")
+    inside = I.holding(frames, segments.select("sample_id", "start_frame", "end_excl"), ["sample_id"], "frame", "start_frame", "end_excl")
     inside = inside.withColumn("bin", F.floor((F.col("frame") - F.col("start_frame")) / step).cast("long"))
     counted = inside.groupBy(*KEYS, "bin", "instruction").agg(F.count("*").alias("n"), F.min(F.struct("frame", "ord")).alias("first"))
     bins = _dominant(counted, described, [*KEYS, "bin"], "first")

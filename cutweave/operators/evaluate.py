@@ -2,47 +2,75 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections import deque
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-MATCH = "struct<next:int,hits:array<struct<gt:int,pred:int>>>"
+EVENT = "sample_id {id}, frame long, idx {idx}, mate long"
 
 
-def greedy_matches(truth: Column, predicted: Column, tolerance: int) -> Column:
-    """The largest one-to-one matching of two ascending arrays within a tolerance: array<struct<gt, pred>> of places from 0.
+def greedy_matches(events: DataFrame, tolerance: int) -> DataFrame:
+    """events(sample_id, turn, frame, idx) -> sample_id, frame, idx, mate: the largest one-to-one matching within a tolerance.
 
-    In ascending order each true boundary takes the first prediction that is not too early and not taken, if it is near enough.
+    idx is NULL for predictions; turn is the frame, less the tolerance for true boundaries. Each prediction, in ascending order, goes to the
+    first true boundary that still waits and is not too far behind. Rows are sorted by sample and turn within partitions and read once,
+    with the boundaries within the tolerance at a time, so the work is linear in a sample's rows and no sample has to fit in memory.
     """
+    schema = EVENT.format(id=events.schema["sample_id"].dataType.simpleString(), idx=events.schema["idx"].dataType.simpleString())
+
+    def run(batches):
+        import pyarrow as pa
+
+        sample, waits = None, deque()
+        types, out = None, []
+
+        def batch() -> pa.RecordBatch:
+            cols = list(zip(*out, strict=True)) if out else [[], [], [], []]
+            made = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], ["sample_id", "frame", "idx", "mate"])
+            out.clear()
+            return made
 
-    def step(state: Column, k: Column) -> Column:
-        want = F.get(truth, k)
-        free = F.filter(F.when(state["next"] < F.size(predicted), F.sequence(state["next"], F.size(predicted) - 1)).otherwise(F.array().cast("array<int>")), lambda i: F.get(predicted, i) >= want - tolerance)
-        at = F.coalesce(F.get(free, F.lit(0)), F.size(predicted))
-        hit = F.coalesce(F.get(predicted, at) <= want + tolerance, F.lit(False))
-        more = F.when(hit, F.array(F.struct(k.alias("gt"), at.alias("pred")))).otherwise(F.array().cast("array<struct<gt:int,pred:int>>"))
-        return F.struct((at + hit.cast("int")).alias("next"), F.concat(state["hits"], more).alias("hits")).cast(MATCH)
+        for rows in batches:
+            types = [rows.schema.field("sample_id").type, pa.int64(), rows.schema.field("idx").type, pa.int64()]
+            for at, frame, idx, true in zip(*(rows.column(c).to_pylist() for c in ("sample_id", "frame", "idx", "true")), strict=True):
+                if at != sample:
+                    out.extend((sample, *w, None) for w in waits)
+                    sample = at
+                    waits.clear()
+                if true:
+                    waits.append((frame, idx))
+                    continue
+                while waits and waits[0][0] + tolerance < frame:
+                    out.append((sample, *waits.popleft(), None))
+                if waits:
+                    out.append((sample, *waits.popleft(), frame))
+                else:
+                    out.append((sample, frame, None, frame))
+            yield batch()
+        if waits:
+            out.extend((sample, *w, None) for w in waits)
+            yield batch()
 
-    start = F.struct(F.lit(0).alias("next"), F.array().cast("array<struct<gt:int,pred:int>>").alias("hits")).cast(MATCH)
-    places = F.when(F.size(truth) > 0, F.sequence(F.lit(0), F.size(truth) - 1)).otherwise(F.array().cast("array<int>"))
-    return F.aggregate(places, start, step, lambda s: s["hits"])
+    ordered = events.repartition("sample_id").sortWithinPartitions("sample_id", "turn", F.desc("true"), "frame", "idx")
+    return ordered.select("sample_id", "frame", "idx", "true").mapInArrow(run, schema)
 
 
 def matches(truth: DataFrame, predicted: DataFrame, tolerance: int = 5) -> DataFrame:
     """truth(sample_id, idx, frame), predicted(sample_id, frame) -> sample_id, idx, frame, pred_frame, delta, hit.
 
     A boundary without a match names the nearest prediction that no other took, the earlier one of two; NULL where none is left.
-    Samples without true boundaries give no rows.
+    Samples without true boundaries give no rows; boundaries and predictions without a frame count as none.
     """
-    g = truth.groupBy("sample_id").agg(F.array_sort(F.collect_list(F.struct("frame", "idx"))).alias("g"))
-    p = predicted.groupBy("sample_id").agg(F.array_sort(F.collect_list("frame")).alias("p"))
-    rows = g.join(p, "sample_id", "left").withColumn("p", F.coalesce("p", F.array().cast("array<bigint>")))
-    rows = rows.withColumn("hits", greedy_matches(F.transform("g", lambda x: x["frame"]), F.col("p"), tolerance))
-    taken = F.transform("hits", lambda h: h["pred"])
-    left = F.transform(F.filter(F.transform("p", lambda x, i: F.struct(x.alias("frame"), i.alias("i"))), lambda x: ~F.array_contains(taken, x["i"])), lambda x: x["frame"])
-    rows = rows.withColumn("left", left).select("sample_id", "p", "hits", "left", F.posexplode("g").alias("k", "true"))
-    mine = F.get(F.filter("hits", lambda h: h["gt"] == F.col("k")), F.lit(0))["pred"]
-    near = F.array_min(F.transform("left", lambda x: F.struct(F.abs(x - F.col("true.frame")).alias("d"), x.alias("frame"))))["frame"]
-    out = rows.select("sample_id", F.col("true.idx").alias("idx"), F.col("true.frame").alias("frame"), mine.isNotNull().alias("hit"), F.coalesce(F.get("p", mine), near).alias("pred_frame"))
+    g = truth.filter("frame IS NOT NULL").select("sample_id", (F.col("frame") - tolerance).cast("long").alias("turn"), F.col("frame").cast("long").alias("frame"), "idx", F.lit(True).alias("true"))
+    p = predicted.filter("frame IS NOT NULL").select("sample_id", F.col("frame").cast("long").alias("turn"), F.col("frame").cast("long").alias("frame"), F.lit(None).cast(truth.schema["idx"].dataType).alias("idx"), F.lit(False).alias("true"))
+    found = greedy_matches(g.unionByName(p), tolerance)
+    # what is left over: predictions that are their own mate
+    free = F.when(F.col("idx").isNull(), F.col("frame"))
+    w = Window.partitionBy("sample_id").orderBy("frame")
+    sides = found.withColumns({"back": F.last(free, True).over(w), "ahead": F.first(free, True).over(w.rangeBetween(Window.currentRow, Window.unboundedFollowing))}).filter("idx IS NOT NULL")
+    near = F.when(F.col("ahead") - F.col("frame") < F.coalesce(F.col("frame") - F.col("back"), F.lit(1 << 62)), F.col("ahead")).otherwise(F.coalesce("back", "ahead"))
+    out = sides.select("sample_id", "idx", "frame", F.col("mate").isNotNull().alias("hit"), F.coalesce("mate", near).alias("pred_frame"))
     return out.withColumn("delta", F.col("pred_frame") - F.col("frame"))
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import intervals as I
+
 UNKNOWN = "Unknown task step"
 
 
@@ -44,7 +46,7 @@ def majority_texts(segments: DataFrame, timeline: DataFrame) -> DataFrame:
     margin = F.floor((F.col("end_excl") - F.col("start_frame")) * 0.2).cast("long")
     lo = F.col("start_frame") + margin
     s = segments.select("sample_id", "seg_id", "start_frame", "end_excl", lo.alias("lo"), F.greatest(lo + 1, F.col("end_excl") - margin).alias("hi"))
-    met = s.join(timeline, "sample_id").filter((F.col("frame") >= F.col("start_frame")) & (F.col("frame") < F.col("end_excl")))
+    met = I.holding(timeline.select("sample_id", "frame", "ord", "instruction"), s, ["sample_id"], "frame", "start_frame", "end_excl")
     met = met.withColumn("mid", ((F.col("frame") >= F.col("lo")) & (F.col("frame") < F.col("hi"))).cast("int"))
     n = met.groupBy("sample_id", "seg_id", "instruction").agg(F.sum("mid").alias("mid"), F.count("*").alias("n"), F.min(F.struct("frame", "ord")).alias("first"), F.min(F.when(F.col("mid") == 1, F.struct("frame", "ord"))).alias("mid_first"))
     best = n.groupBy("sample_id", "seg_id").agg(
@@ -57,7 +59,7 @@ def overlaps(left: DataFrame, right: DataFrame) -> DataFrame:
     """Pairs of segments of one sample with frames in common: sample_id, seg_id, other_id, overlap."""
     a = left.select("sample_id", "seg_id", "start_frame", "end_excl")
     b = right.select("sample_id", F.col("seg_id").alias("other_id"), F.col("start_frame").alias("s"), F.col("end_excl").alias("e"))
-    met = a.join(b, "sample_id").filter((F.col("start_frame") < F.col("e")) & (F.col("s") < F.col("end_excl")))
+    met = I.overlapping(a, b, ["sample_id"], ("start_frame", "end_excl", "s", "e"))
     return met.select("sample_id", "seg_id", "other_id", (F.least("end_excl", "e") - F.greatest("start_frame", "s")).alias("overlap"))
 
 
@@ -104,10 +106,16 @@ def partition_reasons(ranges: DataFrame, sizes: DataFrame, ratio: float) -> Data
     return checked.unionByName(none)
 
 
+def spelled(ranges: DataFrame) -> DataFrame:
+    """A row for each segment of each range."""
+    some = ranges.filter("start_idx <= end_idx")
+    return some.withColumn("seg_id", F.explode(F.sequence("start_idx", "end_idx")))
+
+
 def merged_by_ranges(segments: DataFrame, ranges: DataFrame) -> DataFrame:
     """segments(..., seg_id from 0), ranges(sample_id, start_idx, end_idx) -> a segment for each range: its ends, the confidence
     weighed by frames, the outer supports, and its longest distinct text, the first of equals; unknown if all are blank."""
-    met = segments.join(ranges, "sample_id").filter((F.col("seg_id") >= F.col("start_idx")) & (F.col("seg_id") <= F.col("end_idx")))
+    met = segments.join(spelled(ranges), ["sample_id", "seg_id"])
     frames = F.greatest(F.lit(1).cast("long"), F.col("end_excl") - F.col("start_frame"))
     text = F.trim("instruction")
     named = F.when(text != "", F.struct((-F.length(text)).alias("n"), "seg_id", text.alias("text")))

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import lexicon as X
 from ..functions import text as T
-from .segments import support_between
+from . import intervals as I
+from .segments import spelled, support_between
 
 
 def paired(df: DataFrame, left: str, right: str) -> DataFrame:
@@ -133,7 +134,7 @@ def refined_texts(final: DataFrame, source: DataFrame) -> DataFrame:
     d = T.described(source.select("instruction").unionByName(final.select("instruction")).distinct()).select("instruction", "specificity", "generic", "prep_like", "filler", "specific")
     f = final.join(d.select("instruction", F.col("specific").alias("own_specific")), "instruction")
     s = source.join(d, "instruction").select("sample_id", F.col("seg_id").alias("src"), F.col("start_frame").alias("s"), F.col("end_excl").alias("e"), F.col("instruction").alias("txt"), "specificity", "generic", "prep_like", "filler", "specific")
-    met = f.select("sample_id", "seg_id", "start_frame", "end_excl", "instruction").join(s, "sample_id").filter((F.col("start_frame") < F.col("e")) & (F.col("s") < F.col("end_excl")))
+    met = I.overlapping(f.select("sample_id", "seg_id", "start_frame", "end_excl", "instruction"), s, ["sample_id"], ("start_frame", "end_excl", "s", "e"))
     overlap = (F.least("end_excl", "e") - F.greatest("start_frame", "s")).cast("double")
     less = lambda name, by: F.when(F.col(name), by).otherwise(0.0)
     score = overlap + 24.0 * F.col("specificity") + F.when(F.col("txt") == F.col("instruction"), 18.0).otherwise(0.0) - less("generic", 12.0) - less("prep_like", 16.0) - less("filler", 24.0)
@@ -176,7 +177,7 @@ def spaced_anchors(boundaries: DataFrame, ranges: DataFrame, limit: int = 1, spa
     each range: by rank, those with the least score or more and enough segments at both sides, not nearer than spacing to one
     that was taken, until the limit. Long ranges rank balance first and take more."""
     long_from = max(10, 4 * spacing)
-    met = boundaries.join(ranges, "sample_id").filter((F.col("seg_id") >= F.col("start_idx")) & (F.col("seg_id") < F.col("end_idx")))
+    met = boundaries.join(spelled(ranges), ["sample_id", "seg_id"]).filter("seg_id < end_idx")
     n = F.col("end_idx") - F.col("start_idx") + 1
     balance = F.least(F.col("seg_id") - F.col("start_idx") + 1, F.col("end_idx") - F.col("seg_id"))
     rank = F.struct(F.when(n >= long_from, -balance).otherwise(0).alias("a"), (-F.col("score")).alias("b"), (-F.col("turns")).alias("c"), (-F.col("support")).alias("d"), (-F.col("shorter")).alias("e"), (-F.col("frames")).alias("f"), F.col("seg_id").alias("g"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import lexicon as X
 from ..operators import assembly as A
 from ..operators import wording as D
 from ..operators import windows as W
@@ -55,6 +56,35 @@ def fold05(spark, sf_dir):
     return A.shifted_boundaries(s, picks(s)).select("sample_id", "seg_id", "start_frame", "end_excl")
 
 
+def told(s):
+    """Refinements of two thirds of the boundaries: a third names a frame (after one that is out of range), a third none."""
+    at = F.col("end_excl") + (F.col("part") % 11 - 5) * 40
+    pick = F.when(F.col("part") % 3 == 0, F.array(F.lit(9), F.lit(1))).otherwise(F.array().cast("array<int>"))
+    texts = F.when(F.col("part") % 4 == 0, F.array(F.lit("one"), F.lit("two"))).otherwise(F.array(F.lit("one"), F.lit(" ")))
+    return s.filter("part % 3 < 2").select("sample_id", "seg_id", F.array(at - 40, at, at + 40).alias("frame_ids"), pick.alias("transitions"), texts.alias("instructions"))
+
+
+TOLD_SQL = f"""WITH RECURSIVE {P.DESCRIBED_SQL}, p AS (SELECT s.*, lead(end_excl) OVER w AS nxt, lead(support_before) OVER w AS nb, row_number() OVER w AS k FROM segments s WINDOW w AS (PARTITION BY sample_id ORDER BY seg_id)),
+q AS (SELECT *, CASE WHEN part % 3 = 0 THEN end_excl + (part % 11 - 5) * 40 END AS pick, greatest(0.0, coalesce(support_after, 0.0), coalesce(nb, 0.0)) AS support, support_after IS NOT NULL OR nb IS NOT NULL AS known FROM p),
+b AS (SELECT *, nxt IS NOT NULL AND part % 3 = 1 AND part % 4 <> 0 AND support <= 0.6 AS gone,
+  CASE WHEN pick IS NOT NULL AND greatest(start_frame + 1, least(pick, nxt - 1)) BETWEEN start_frame + 1 AND nxt - 1 THEN greatest(start_frame + 1, least(pick, nxt - 1)) ELSE end_excl END AS place FROM q),
+r AS (SELECT sample_id, k, start_frame AS s, end_excl AS e, instruction AS txt, confidence AS conf, support_before AS sb, support_after AS sa FROM b WHERE k = 1
+  UNION ALL SELECT x.sample_id, x.k, CASE WHEN y.gone THEN s ELSE cut END, x.end_excl, CASE WHEN NOT y.gone THEN x.instruction
+      WHEN list_has_any(l.ingredients, m.ingredients) AND {P.any_('l.head', X.PREP_INGREDIENT)} AND {P.any_('m.head', X.PREP_INGREDIENT)} AND NOT list_has_any(l.actions, m.actions) THEN x.instruction
+      WHEN m.specificity > l.specificity THEN x.instruction WHEN l.specificity > m.specificity THEN txt WHEN (x.end_excl - x.start_frame) / 30.0::DOUBLE >= 0.75 * ((x.end_excl - s) / 30.0::DOUBLE) THEN x.instruction ELSE txt END,
+    CASE WHEN y.gone THEN conf ELSE x.confidence END, CASE WHEN y.gone THEN sb WHEN y.known THEN y.support ELSE x.support_before END, CASE WHEN y.gone THEN coalesce(x.support_after, sa) ELSE x.support_after END
+  FROM (SELECT r.*, b.gone, b.known, b.support, greatest(r.s + 1, least(b.place, b.nxt - 1)) AS cut FROM r JOIN b ON b.sample_id = r.sample_id AND b.k = r.k) y
+  JOIN b x ON x.sample_id = y.sample_id AND x.k = y.k + 1 JOIN d l ON l.instruction = txt JOIN d m ON m.instruction = x.instruction)
+SELECT r.sample_id, row_number() OVER (PARTITION BY r.sample_id ORDER BY r.k) - 1 AS seg_id, s AS start_frame, CASE WHEN nxt IS NULL THEN e ELSE greatest(s + 1, least(place, nxt - 1)) END AS end_excl, txt AS instruction, conf AS confidence, sb AS support_before,
+  CASE WHEN nxt IS NOT NULL AND known THEN support ELSE sa END AS support_after FROM r JOIN b USING (sample_id, k) WHERE NOT gone"""
+
+
+@query("fold05_refined_boundaries", TOLD_SQL)
+def fold05b(spark, sf_dir):
+    s = segments(spark, sf_dir)
+    return A.refined_boundaries(s, told(s), 30.0, 0.6)
+
+
 @query("pred09_overcollapsed", f"""WITH {P.DESCRIBED_SQL}, m AS (SELECT sample_id, seg_id // 4 AS seg_id, min(start_frame) AS s, max(end_excl) AS e FROM segments GROUP BY sample_id, seg_id // 4), md AS (SELECT sample_id, median({SHORT}) AS med FROM segments GROUP BY ALL),
 x AS (SELECT m.sample_id, m.seg_id, s, e, count(*) AS n, count(DISTINCT CASE WHEN NOT (generic OR prep_like OR filler) THEN lower(trim(g.instruction)) END) AS k FROM m JOIN segments g ON g.sample_id = m.sample_id AND g.start_frame < e AND s < g.end_excl JOIN d ON d.instruction = g.instruction GROUP BY ALL)
 SELECT x.sample_id, x.seg_id FROM x JOIN md USING (sample_id) WHERE n >= 3 AND k >= 2 AND (e - s) / 30.0::DOUBLE >= greatest(10.0, med * 1.8)""")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..operators import hierarchy as H
 from ..operators import segments as S
 from ..sources.fixtures import SEGMENTS_SQL, segments
 from .catalog import query
@@ -145,12 +146,33 @@ def join06(spark, sf_dir):
     return S.overlaps(s, s.withColumn("start_frame", F.col("start_frame") + 45).withColumn("end_excl", F.col("end_excl") + 45))
 
 
-@query("join13_hierarchy", f"WITH {RANGES_SQL} SELECT r.sample_id, r.start_idx, r.end_idx, count(*) AS children, min(start_frame) AS start_frame, max(end_excl) AS end_excl, string_agg(seg_id, ' ' ORDER BY seg_id) AS child_ids FROM ranges r JOIN segments s ON s.sample_id = r.sample_id AND r.start_idx <= seg_id AND seg_id <= r.end_idx GROUP BY ALL")
+#: The ends of a level's ranges: those of the next level and more.
+LEVELS = {"coarse": 8, "medium": 4, "fine": 2}
+NODES_SQL = f"""{SEGMENTS_SQL}, {SIZES_SQL}, ends AS (SELECT sample_id, level, seg_id AS end_idx, n FROM segments JOIN sizes USING (sample_id), (VALUES {', '.join(f"('{k}', {v})" for k, v in LEVELS.items())}) AS l(level, every) WHERE part % every = 1 OR seg_id = n - 1),
+nodes AS (SELECT *, coalesce(lag(end_idx) OVER (PARTITION BY sample_id, level ORDER BY end_idx) + 1, 0) AS start_idx FROM ends),
+whole AS (SELECT x.sample_id, x.level, x.start_idx, x.end_idx, a.start_frame, b.end_excl AS end_frame, trim(a.instruction) AS summary FROM nodes x JOIN segments a ON a.sample_id = x.sample_id AND a.seg_id = x.start_idx JOIN segments b ON b.sample_id = x.sample_id AND b.seg_id = x.end_idx)"""
+
+
+def level_ranges(spark, sf_dir):
+    """(segments, ranges by level): partitions that are nested, with their first segment's text."""
+    s, sizes, _ = parts(spark, sf_dir)
+    w = Window.partitionBy("sample_id", "level").orderBy("end_idx")
+    every = F.explode(F.array(*[F.struct(F.lit(k).alias("level"), F.lit(v).alias("every")) for k, v in LEVELS.items()]))
+    ends = s.join(sizes, "sample_id").select("sample_id", "seg_id", "part", "n", every.alias("l")).filter("part % l.every = 1 OR seg_id = n - 1")
+    ranges = ends.select("sample_id", "l.level", F.col("seg_id").alias("end_idx")).withColumn("start_idx", F.coalesce(F.lag("end_idx").over(w) + 1, F.lit(0).cast("long")))
+    return s, ranges.join(s.select("sample_id", F.col("seg_id").alias("start_idx"), F.col("instruction").alias("summary")), ["sample_id", "start_idx"])
+
+
+@query("join13_hierarchy", f"""WITH {NODES_SQL},
+m AS (SELECT p.sample_id, p.start_idx, list(struct_pack(level := c.level, summary := c.summary, start_seg_id := c.start_idx, end_seg_id := c.end_idx, start_frame := c.start_frame, end_frame := c.end_frame) ORDER BY c.start_idx) AS children
+  FROM whole p JOIN whole c ON p.sample_id = c.sample_id AND p.level = 'medium' AND c.level = 'fine' AND p.start_idx <= c.start_idx AND c.end_idx <= p.end_idx GROUP BY ALL),
+k AS (SELECT p.sample_id, p.start_idx, list(struct_pack(level := c.level, summary := c.summary, start_seg_id := c.start_idx, end_seg_id := c.end_idx, start_frame := c.start_frame, end_frame := c.end_frame, children := m.children) ORDER BY c.start_idx) AS children
+  FROM whole p JOIN whole c ON p.sample_id = c.sample_id AND p.level = 'coarse' AND c.level = 'medium' AND p.start_idx <= c.start_idx AND c.end_idx <= p.end_idx JOIN m ON m.sample_id = c.sample_id AND m.start_idx = c.start_idx GROUP BY ALL)
+SELECT sample_id, CAST(to_json(list(struct_pack(level := level, summary := summary, start_seg_id := start_idx, end_seg_id := end_idx, start_frame := start_frame, end_frame := end_frame, children := children) ORDER BY start_idx)) AS VARCHAR) AS roots
+FROM whole JOIN k USING (sample_id, start_idx) WHERE level = 'coarse' GROUP BY sample_id""")
 def join13(spark, sf_dir):
-    s, _, ranges = parts(spark, sf_dir)
-    met = ranges.join(s, "sample_id").filter("start_idx <= seg_id AND seg_id <= end_idx")
-    ids = F.array_join(F.transform(F.array_sort(F.collect_list("seg_id")), lambda x: x.cast("string")), " ")
-    return met.groupBy("sample_id", "start_idx", "end_idx").agg(F.count("*").alias("children"), F.min("start_frame").alias("start_frame"), F.max("end_excl").alias("end_excl"), ids.alias("child_ids"))
+    s, ranges = level_ranges(spark, sf_dir)
+    return H.nested(ranges, s, list(LEVELS)).select("sample_id", F.to_json("roots").alias("roots"))
 
 
 @query("mth05_boundary_support", f"WITH {SEGMENTS_SQL}, p AS (SELECT sample_id, seg_id, support_after AS a, lead(CASE WHEN part % 4 = 0 THEN NULL ELSE confidence END) OVER w AS b, lead(seg_id) OVER w AS nxt FROM segments WINDOW w AS (PARTITION BY sample_id ORDER BY seg_id)) SELECT sample_id, seg_id, greatest(0.0, coalesce(a, 0.0), coalesce(b, 0.0)) AS support, a IS NOT NULL OR b IS NOT NULL AS known FROM p WHERE nxt IS NOT NULL")
