@@ -18,15 +18,23 @@ def safe_fps(fps: Column) -> Column:
     return F.when(F.coalesce(fps, F.lit(0.0)) > 1e-6, fps).otherwise(F.lit(30.0))
 
 
+def stride(start: Column, end: Column, count: int) -> Column:
+    """The distance of count places that lie evenly from start to end."""
+    return (end - start) / F.lit(max(count - 1, 1))
+
+
+def spaced(start: Column, end: Column, count: int, step: Column) -> list[Column]:
+    """count places from start to end, step apart, cut to whole frames; none lies outside. An expression for each, since these compile
+    and a lambda doesn't; step as a column of its own is computed once, and keeps the generated method below what the JVM compiles."""
+    return [end if i == count - 1 and count > 1 else (F.lit(float(i)) * step + start).cast("long") for i in range(count)]
+
+
 def sampled(start: Column, end: Column, count: int, nframes: Column) -> Column:
     """count frames at even distances from start to end, cut to whole frames and kept inside the video; none of an empty video."""
     if count <= 0:
         return F.array().cast("array<bigint>")
-    step = (end - start) / F.lit(max(count - 1, 1))
-    # an expression for each place, since these compile and a lambda doesn't
-    at = lambda i: end if i == count - 1 and count > 1 else (F.lit(i) * step + start).cast("long")
-    kept = F.array(*[F.least(nframes - 1, F.greatest(F.lit(0).cast("long"), at(i))) for i in range(count)])
-    return F.when(nframes > 0, kept).otherwise(F.array().cast("array<bigint>"))
+    kept = [F.least(nframes - 1, F.greatest(F.lit(0).cast("long"), x)) for x in spaced(start, end, count, stride(start, end, count))]
+    return F.when(nframes > 0, F.array(*kept)).otherwise(F.array().cast("array<bigint>"))
 
 
 def hop_windows(samples: DataFrame, window_sec: float = 12.0, step_sec: float = 6.0, frames: int = 24) -> DataFrame:
@@ -37,11 +45,16 @@ def hop_windows(samples: DataFrame, window_sec: float = 12.0, step_sec: float =
     """
     fps = safe_fps(F.col("fps"))
     length, step = F.greatest(F.lit(1), even(fps * window_sec)), F.greatest(F.lit(1), even(fps * step_sec))
-    rows = samples.filter("nframes > 0").select("sample_id", "nframes", length.alias("length"), step.alias("step"))
+    # a sample gives many rows and a file holds many samples, so these are dealt to all tasks first
+    tasks = max(int(samples.sparkSession.conf.get("spark.sql.shuffle.partitions")), samples.sparkSession.sparkContext.defaultParallelism)
+    rows = samples.filter("nframes > 0").select("sample_id", "nframes", length.alias("length"), step.alias("step")).repartition(tasks, "sample_id")
     rows = rows.select("*", F.posexplode(F.sequence(F.lit(0).cast("long"), F.col("nframes") - 1, F.col("step"))).alias("window_id", "start_frame"))
     rows = rows.withColumn("end_incl", F.least(F.col("nframes") - 1, F.col("start_frame") + F.col("length") - 1))
     rows = rows.filter((F.col("window_id") == 0) | (F.col("end_incl") - F.col("start_frame") >= F.floor(F.col("length") / 2)))
-    return rows.select("sample_id", F.col("window_id").cast("long").alias("window_id"), "start_frame", "end_incl", sampled(F.col("start_frame"), F.col("end_incl"), frames, F.col("nframes")).alias("frame_ids"))
+    # both ends lie inside the video, so all places do
+    ids = F.array(*spaced(F.col("start_frame"), F.col("end_incl"), frames, F.col("stride"))).cast("array<bigint>").alias("frame_ids")
+    rows = rows.withColumn("stride", stride(F.col("start_frame"), F.col("end_incl"), frames))
+    return rows.select("sample_id", F.col("window_id").cast("long").alias("window_id"), "start_frame", "end_incl", ids)
 
 
 def segment_frames(start: Column, end_excl: Column, count: int, nframes: Column) -> Column:

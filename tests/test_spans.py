@@ -138,3 +138,18 @@ def test_three_levels_of_four_segments(spark):
     assert hierarchy.nested(made.limit(0), segs, ["coarse", "fine"]).count() == 0
     crossing = spark.createDataFrame([(1, "coarse", 0, 1, "a"), (1, "coarse", 2, 3, "b"), (1, "fine", 0, 0, "x"), (1, "fine", 1, 2, "lost"), (1, "fine", 3, 3, "y")], RANGE)
     assert [[c.summary for c in r.children] for r in hierarchy.nested(crossing, segs, ["coarse", "fine"]).first().roots] == [["x"], ["y"]]
+
+
+def test_window_frames_compile(spark):
+    """No generated method of the dearest generator is above the 8,000 bytes that the JVM compiles."""
+    import re
+
+    import __spark_entry__ as entry
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = entry.queries()["win02_even_frames"](spark, "/root/testdata/sf0.001")
+        told = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "codegen")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert max(int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", told)) < 8000
