@@ -6,15 +6,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Event names and the fields each must have.
+_TASK = ["task_id", "subset", "sample_id", "job_type"]
+_SENT = ["task_id", "dispatch_id", "subset", "sample_id", "job_type"]
 REQUIRED = {
+    "artifact_extract_done": [*_TASK, "image_count", "artifact_extract_ms", "transport_mode", "artifact_reuse"],
+    "artifact_reuse_hit": [*_TASK, "artifact_reuse", "artifact_reuse_group", "artifact_producer_task_id", "artifact_consumer_task_id"],
+    "job_dispatched": [*_SENT, "source_count", "transport_mode", "artifact_reuse"],
+    "infer_attempt": [*_SENT, "infer_ms"],
+    "job_done": [*_SENT, "infer_ms", "submit_ms"],
+    "result_empty_retry": [*_SENT, "attempt", "retry_limit", "infer_ms", "submit_ms"],
+    "result_timeout_retry": [*_SENT, "attempt", "retry_limit"],
+    "sample_stage_start": ["subset", "sample_id", "stage"],
     "sample_stage_done": ["subset", "sample_id", "stage", "elapsed_ms"],
-    "artifact_extract_done": ["subset", "sample_id", "task_id", "artifact_extract_ms"],
-    "infer_attempt": ["subset", "sample_id", "task_id", "infer_ms", "attempt"],
-    "result_empty_retry": ["subset", "sample_id", "task_id", "submit_ms", "attempt"],
-    "job_done": ["subset", "sample_id", "task_id", "submit_ms"],
-    "finalize_done": ["subset", "sample_id", "finalize_ms"],
+    "fallback_applied": ["subset", "sample_id"],
+    "sample_failed": ["subset", "sample_id", "reason", "details"],
+    "finalize_done": ["subset", "sample_id", "finalize_ms", "segment_count"],
 }
-IDENTIFIERS = ["subset", "sample_id", "task_id", "stage"]
+IDENTIFIERS = ["subset", "sample_id", "stage", "job_type", "task_id", "dispatch_id"]
 METRICS = ["artifact_extract_ms", "infer_ms", "submit_ms", "finalize_ms"]
 FAILED_EXPORTS = ["failed", "failed_before_export_completion", "partial_failure"]
 
@@ -53,9 +61,16 @@ def latencies(events: DataFrame) -> DataFrame:
 
 
 def contract_violations(events: DataFrame) -> DataFrame:
-    """event_id, missing: the required fields that an event lacks, identifiers that are blank included; unknown events are not checked."""
-    lacking = [F.when(F.col("event").isin(*[e for e, f in REQUIRED.items() if field in f]) & (F.col(field).isNull() | ((F.trim(F.col(field).cast("string")) == "") if field in IDENTIFIERS else F.lit(False))), F.lit(field)) for field in sorted({f for fs in REQUIRED.values() for f in fs})]
-    return events.withColumn("missing", F.array_join(F.array_compact(F.array(*lacking)), ",")).filter("missing <> ''").select("event_id", "missing")
+    """event_id, missing: the required fields that an event lacks, in the order of their names; identifiers that are blank lack too, and
+    so do fields that the table has no column for. Events of other names are not checked."""
+    there = set(events.columns)
+
+    def lacks(field: str) -> Column:
+        absent = F.lit(True) if field not in there else F.col(field).isNull() | ((F.trim(F.col(field).cast("string")) == "") if field in IDENTIFIERS else F.lit(False))
+        return F.when(F.col("event").isin(*[e for e, f in REQUIRED.items() if field in f]) & absent, F.lit(field))
+
+    lacking = [lacks(field) for field in sorted({f for fs in REQUIRED.values() for f in fs})]
+    return events.withColumn("__missing", F.array_join(F.array_compact(F.array(*lacking)), ",")).filter("__missing <> ''").select("event_id", F.col("__missing").alias("missing"))
 
 
 def export_status(required: Column, enabled: Column, attempted: Column, reason: Column, failed: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import metrics as M
+from ..sources import store
 from ..sources.fixtures import table
 from .catalog import query
 
@@ -51,16 +52,44 @@ def agg18(spark, sf_dir):
     return M.latencies(events(spark, sf_dir)).withColumn("p95", F.round("p95", 6))
 
 
-def lacking(field: str) -> str:
-    of = ", ".join(repr(e) for e, f in M.REQUIRED.items() if field in f)
-    value = "ms" if field.endswith("_ms") else field
-    blank = f" OR trim(CAST({value} AS VARCHAR)) = ''" if field in M.IDENTIFIERS else ""
-    return f"CASE WHEN event IN ({of}) AND ({value} IS NULL{blank}) THEN '{field}' END"
+#: Fields of contracts: a field is NULL in one event of so many, and an identifier blank in another.
+FIELDS = {f: 7 + i for i, f in enumerate(sorted({f for fs in M.REQUIRED.values() for f in fs}))}
+KINDS_OF_EVENT = [*sorted(M.REQUIRED), "of_no_contract"]
 
 
-@query("val06_contract_violations", f"WITH {EVENTS_SQL}, v AS (SELECT event_id, concat_ws(',', {', '.join(lacking(f) for f in sorted({f for fs in M.REQUIRED.values() for f in fs}))}) AS missing FROM ev) SELECT * FROM v WHERE missing <> ''")
+def field_sql(field: str) -> str:
+    value = f"CASE WHEN (event_id + user_id) % {FIELDS[field] + 4} = 0 THEN ' ' ELSE event_type || user_id END" if field in M.IDENTIFIERS else "event_id"
+    return f"CASE WHEN event_id % {FIELDS[field]} <> 0 THEN {value} END AS {field}"
+
+
+CONTRACT_SQL = f"""ce AS (SELECT event_id, {KINDS_OF_EVENT}[CAST(event_id % {len(KINDS_OF_EVENT)} + 1 AS INT)] AS event, {', '.join(field_sql(f) for f in FIELDS)} FROM events),
+need AS (SELECT * FROM (VALUES {', '.join(f"('{e}', '{f}')" for e, fs in M.REQUIRED.items() for f in fs)}) AS n(event, field)),
+told AS (SELECT event_id, event, unnest([{', '.join(f"struct_pack(field := '{f}', value := CAST({f} AS VARCHAR))" for f in FIELDS)}], recursive := true) FROM ce)"""
+
+
+def contract_events(spark, sf_dir):
+    """Events of all contracts and one without, with all their fields."""
+    n, u = F.col("event_id"), F.col("user_id")
+
+    def value(field):
+        told = F.when((n + u) % (FIELDS[field] + 4) == 0, " ").otherwise(F.concat("event_type", u.cast("string"))) if field in M.IDENTIFIERS else n
+        return F.when(n % FIELDS[field] != 0, told).alias(field)
+
+    name = F.element_at(F.array(*[F.lit(k) for k in KINDS_OF_EVENT]), (n % len(KINDS_OF_EVENT) + 1).cast("int"))
+    return table(spark, sf_dir, "events").select("event_id", name.alias("event"), *[value(f) for f in FIELDS])
+
+
+@query("val06_contract_violations", f"""WITH {CONTRACT_SQL} SELECT event_id, string_agg(field, ',' ORDER BY field) AS missing FROM told JOIN need USING (event, field)
+WHERE value IS NULL OR (field IN ({', '.join(repr(f) for f in M.IDENTIFIERS)}) AND trim(value) = '') GROUP BY event_id""")
 def val06(spark, sf_dir):
-    return M.contract_violations(events(spark, sf_dir))
+    return M.contract_violations(contract_events(spark, sf_dir))
+
+
+@query("snk11_checked_lines", f"""WITH {CONTRACT_SQL}, bad AS (SELECT DISTINCT event_id FROM told JOIN need USING (event, field) WHERE value IS NULL OR (field IN ({', '.join(repr(f) for f in M.IDENTIFIERS)}) AND trim(value) = '')),
+parts AS (SELECT event_id, field, CASE WHEN field IN ({', '.join(repr(f) for f in M.IDENTIFIERS)}) THEN '"' || value || '"' ELSE value END AS shown FROM told WHERE value IS NOT NULL UNION ALL SELECT event_id, 'event', '"' || event || '"' FROM ce)
+SELECT event_id, '{{' || string_agg('"' || field || '":' || shown, ',' ORDER BY field) || '}}' AS line FROM parts WHERE event_id NOT IN (SELECT event_id FROM bad) GROUP BY event_id""")
+def snk11(spark, sf_dir):
+    return store.checked_lines(contract_events(spark, sf_dir))[0]
 
 
 RECORDS_SQL = """st AS (SELECT o_orderkey AS sample_id, CASE o_orderstatus WHEN 'F' THEN 'done' WHEN 'O' THEN 'failed' ELSE '' END AS ts, o_orderkey % 3 <> 0 AS ex, o_orderkey % 4 AS done, o_orderkey % 9 - 2 AS tr, o_orderkey % 5 - 1 AS er, o_orderkey % 7 - 3 AS dc,

@@ -1,10 +1,12 @@
-"""Tables as results: appended logs, overwritten payloads, and the commit of finished samples."""
+"""Tables as results: appended logs and overwritten payloads."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .scratch import settled
+
 KINDS = ["segment_label", "boundary_refinement"]
 
 
@@ -19,21 +21,18 @@ def stream_results(results: DataFrame, path: str, checkpoint: str):
     return results.writeStream.format("json").option("path", path).option("checkpointLocation", checkpoint).partitionBy("job_type").outputMode("append").trigger(availableNow=True).start()
 
 
-def overwrite_payloads(segments: DataFrame, path: str) -> None:
-    """Replaces the segments of the samples at hand and of no others; diagnostics are not kept."""
-    kept = segments.drop("diagnostics")
-    kept.repartition("sample_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("sample_id").parquet(path)
-
+def overwrite_payloads(segments: DataFrame, path: str, buckets: int = 256) -> None:
+    """Replaces the segments of the samples at hand and of no others, in folders by a hash of the sample; diagnostics are not kept.
 
-def commit(finished: DataFrame, required: DataFrame, path: str) -> DataFrame:
-    """finished(sample_id, stage), required(sample_id, stage): appends a marker for each sample whose stages are all done and that has
-    none yet, and returns what stays open. Payloads are written before; the marker comes last."""
-    open_ = required.join(finished, ["sample_id", "stage"], "left_anti")
-    done = required.select("sample_id").distinct().join(open_, "sample_id", "left_anti")
-    spark = finished.sparkSession
-    new = done.join(spark.read.parquet(path), "sample_id", "left_anti") if _exists(spark, path) else done
-    new.write.mode("append").parquet(path)
-    return open_
+    The folders of these samples are written anew with what the others in them have, so the number of files follows the buckets.
+    """
+    spark, kept = segments.sparkSession, segments.drop("diagnostics").withColumn("bucket", F.pmod(F.xxhash64("sample_id"), F.lit(buckets)).cast("int"))
+    if _exists(spark, path):
+        old = spark.read.parquet(path)
+        touched = kept.select("bucket").distinct()
+        others = old.join(F.broadcast(touched), "bucket", "left_semi").join(kept.select("sample_id").distinct(), "sample_id", "left_anti")
+        kept = settled(kept.unionByName(others.select(*kept.columns)))  # read whole before its folders are replaced
+    kept.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
 
 
 def _exists(spark, path: str) -> bool:

@@ -156,9 +156,11 @@ def test_queue_in_batch_and_stream(spark, tmp_path):
     batch = sorted((r.task_id, r.seq, r.status) for r in queue.replay(df).collect())
     assert [s for t, _, s in batch if t == "t1"] == STATUSES
     df.coalesce(1).write.json(str(tmp_path / "in"))
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     stream = queue.statuses(spark.readStream.schema(LOG).json(str(tmp_path / "in")))
     q = stream.writeStream.format("memory").queryName("statuses").outputMode("append").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
     q.awaitTermination(120)
+    spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
     assert sorted((r.task_id, r.seq, r.status) for r in spark.table("statuses").collect()) == batch
 
 
@@ -167,13 +169,13 @@ def test_sinks(spark, tmp_path):
     for _ in range(2):
         sinks.append_results(rows, str(tmp_path / "r"))
     assert {r["job_type"]: r["count"] for r in spark.read.json(str(tmp_path / "r")).groupBy("job_type").count().collect()} == {"window": 2, "segment_label": 2, "boundary_refinement": 2}
-    need = spark.createDataFrame([(1, "a"), (1, "b"), (2, "a")], "sample_id long, stage string")
-    assert [r.sample_id for r in sinks.commit(need.filter("stage = 'a'"), need, str(tmp_path / "m")).collect()] == [1]
-    sinks.commit(need, need, str(tmp_path / "m"))
-    assert sorted(r.sample_id for r in spark.read.parquet(str(tmp_path / "m")).collect()) == [1, 2]
     s = spark.createDataFrame([(1, 0, "x"), (2, 0, "y")], "sample_id long, seg_id long, instruction string")
     sinks.overwrite_payloads(s, str(tmp_path / "p"))
-    sinks.overwrite_payloads(s.filter("sample_id = 1").withColumn("instruction", F.lit("new")), str(tmp_path / "p"))
+    sinks.overwrite_payloads(s.filter("sample_id = 1").withColumn("instruction", F.lit("new")), str(tmp_path / "p"), 256)
+    many = spark.range(40).select(F.col("id").alias("sample_id"), F.lit(0).cast("long").alias("seg_id"), F.lit("x").alias("instruction"))
+    sinks.overwrite_payloads(many, str(tmp_path / "q"), 4)
+    sinks.overwrite_payloads(many.filter("sample_id = 7").withColumn("instruction", F.lit("new")), str(tmp_path / "q"), 4)
+    assert len(list((tmp_path / "q").glob("bucket=*"))) == 4 and spark.read.parquet(str(tmp_path / "q")).filter("instruction = 'new'").count() == 1 and spark.read.parquet(str(tmp_path / "q")).count() == 40
     assert sorted(r.instruction for r in spark.read.parquet(str(tmp_path / "p")).collect()) == ["new", "y"]
 
 
