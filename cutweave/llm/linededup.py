@@ -110,7 +110,7 @@ def recurring_shapes(rows: DataFrame, texts_of, documents: int) -> DataFrame:
     alone = exact.filter(F.col("n") >= LEAD).unionByName(exact.filter(F.col("n") < LEAD).join(often, "line", "left_semi")).select("line", "first_id")
 
     several = written(shapes.groupBy("leaf").agg(F.count("*").alias("shapes"), F.min("first_id").alias("f"), F.max("last_id").alias("l")).filter("shapes > 1 AND f < l").select("leaf"), "several")
-    few = written(sieved(shapes, F.col("leaf"), sieve(several, F.col("leaf"))).join(several, "leaf", "left_semi"), "mixed")
+    few = written(sieved(shapes, F.col("leaf"), sieve(several, F.col("leaf"))).join(several, "leaf"), "mixed")  # a semi join would be made before the sieve
     # of all rows of a shape, those of its first document; by themselves, so that the list's size decides whether they move
     texts = texts_of(few.select("line", F.col("first_id").alias("id")))
     mixed = few.join(texts, "line").select("leaf", "line", "n", "first_id", "last_id", F.split("shape", " ").alias("tokens"))
@@ -141,7 +141,7 @@ def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     lead = F.call_function("substring_index", F.col("shape"), F.lit(" "), F.when(F.col("n") >= SENTENCE, F.greatest(F.lit(LEAD), third)).otherwise(third))
     leaf = F.when(F.col("n") >= LEAD, F.xxhash64("n", lead)).otherwise(F.col("line"))
     rows = written(counted.select("id", "line", leaf.alias("leaf"), "n"), "lines")
-    texts_of = lambda asked: sieved(found, F.col("line"), sieve(asked, F.col("line"))).join(asked, ["line", "id"], "left_semi").dropDuplicates(["line"]).select("line", "shape")
+    texts_of = lambda asked: sieved(found, F.col("line"), sieve(asked, F.col("line"))).join(asked, ["line", "id"]).dropDuplicates(["line"]).select("line", "shape")
     recurring = recurring_shapes(rows, texts_of, whole.filter(F.col(id_col).isNotNull()).count())
     gone = written(rows.select("id", "line").join(recurring, "line").filter("id > first_id").groupBy("id").agg(F.sort_array(F.collect_set("line")).alias("__gone")), "gone")
     steps = F.filter(F.array(*[F.lit(1 << b) for b in range(30, -1, -1)]), lambda s: s <= F.size("__gone"))
