@@ -12,14 +12,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import table, written
 from .runs import LETTERS, runs_of
-from .words import mix, slices
+from .words import Words, mix, slices
 
 #: Documents of a language in which a term must occur.
 LEAST = 3
@@ -45,8 +44,19 @@ def cells_of(keys: np.ndarray, cells: int = CELLS) -> np.ndarray:
 
 
 def _hashes(terms: pa.Array) -> np.ndarray:
-    """A hash of each string, a function of its bytes alone."""
-    return np.array([xxhash.xxh64_intdigest(t) for t in terms.to_pylist()], np.uint64)
+    """A hash of each string, a function of its bytes alone: of at most 64 of them and of how many there are."""
+    offsets = np.frombuffer(terms.buffers()[1], np.int64)[terms.offset : terms.offset + len(terms) + 1]
+    raw = np.frombuffer(terms.buffers()[2], np.uint8) if terms.buffers()[2] is not None else np.zeros(0, np.uint8)
+    start, end = offsets[:-1], np.minimum(offsets[1:], offsets[:-1] + 64)
+    return Words(raw, start, end, start, start, raw).hashes() ^ mix((offsets[1:] - start).astype(np.uint64))
+
+
+def distinct(keys: np.ndarray) -> np.ndarray:
+    """The keys once each, ascending; by sorting, which is faster here than a table of hashes."""
+    keys = np.sort(keys)
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[1:] != keys[:-1]
+    return keys[new]
 
 
 class Slice:
@@ -68,7 +78,7 @@ class Slice:
 
     def documents(self) -> tuple[np.ndarray, np.ndarray]:
         """The distinct (language, term) and in how many documents of these each occurs."""
-        once = np.unique(self.doc * self.n + self.code)
+        once = distinct(self.doc * self.n + self.code)
         return np.unique(self.lang[once // self.n] * self.n + once % self.n, return_counts=True)
 
 
