@@ -97,9 +97,9 @@ def join12(spark, sf_dir):
     return A.with_places(rows, ids, ["start_id", "end_id"]).select("sample_id", "level", "ord", F.col("start_id_by_id").alias("start_idx"), F.col("end_id_by_id").alias("end_idx"))
 
 
-@query("stg02_summaries_or_identity", f"""WITH {REASONS_SQL}, fine AS MATERIALIZED (SELECT sample_id FROM reasons GROUP BY ALL HAVING bool_and(reason = 'ok') AND sample_id % 19 <> 0)
-SELECT sample_id, level, {_way(True)[0]} AS start_idx, {_way(True)[1]} AS end_idx, true AS applied FROM items SEMI JOIN fine USING (sample_id)
-UNION ALL SELECT sample_id, l, seg_id, seg_id, false FROM (SELECT sample_id, seg_id, unnest(['coarse', 'fine']) AS l FROM segments ANTI JOIN fine USING (sample_id))""")
+@query("stg02_summaries_or_identity", f"""WITH {REASONS_SQL}, told AS (SELECT sample_id, bool_and(reason = 'ok') AND sample_id % 19 <> 0 AS fine FROM reasons GROUP BY sample_id)
+SELECT sample_id, level, {_way(True)[0]} AS start_idx, {_way(True)[1]} AS end_idx, true AS applied FROM items JOIN told USING (sample_id) WHERE fine
+UNION ALL SELECT sample_id, l, seg_id, seg_id, false FROM (SELECT sample_id, seg_id, unnest(['coarse', 'fine']) AS l FROM segments LEFT JOIN told USING (sample_id) WHERE NOT coalesce(fine, false))""")
 def stg02(spark, sf_dir):
     rows, ids = items(spark, sf_dir)
     return A.summaries_or_identity(rows, ids, ids.filter("sample_id % 19 = 0"))

@@ -61,7 +61,8 @@ def stg01(spark, sf_dir):
     return merged(spark, sf_dir)[0]
 
 
-@query("sel05_chosen_boundaries", f"WITH {MERGE_SQL} SELECT sample_id, boundary FROM (SELECT con.* FROM con SEMI JOIN conok USING (sample_id) UNION ALL SELECT ub.sample_id, boundary FROM ub JOIN chosen USING (sample_id, attempt)) SEMI JOIN (SELECT * FROM report WHERE reason = 'applied') AS done USING (sample_id)")
+@query("sel05_chosen_boundaries", f"""WITH {MERGE_SQL}, ends AS (SELECT con.sample_id, boundary FROM con JOIN conok USING (sample_id) UNION ALL SELECT ub.sample_id, boundary FROM ub JOIN chosen USING (sample_id, attempt))
+SELECT ends.sample_id, boundary FROM ends JOIN report USING (sample_id) WHERE reason = 'applied'""")
 def sel05(spark, sf_dir):
     return merged(spark, sf_dir)[1]
 

@@ -18,10 +18,10 @@ WINDOWS = 11  # planned windows of a sample; its log has nine at most
     {'k': 'summary_fallback_used', 'v': CASE WHEN event_id % 2 = 0 THEN 'true' ELSE 'false' END}, {'k': 'summary_fallback_reason', 'v': ' '},
     {'k': 'summary_reason', 'v': CASE WHEN event_id % 5 > 0 THEN ' empty ' ELSE '' END}, {'k': 'merge_fallback_used', 'v': CASE WHEN event_id % 3 = 0 THEN 'True' ELSE 'false' END},
     {'k': 'merge_reason', 'v': event_type}, {'k': 'label_fallback_used', 'v': 'true'}, {'k': 'label_fallback_reason', 'v': 'own'}, {'k': 'label_reason', 'v': 'other'}], recursive := true) FROM events),
-used AS (SELECT id, k[1:len(k) - 14] AS stem FROM e WHERE ends_with(k, '_fallback_used') AND lower(v) = 'true'),
-back AS (SELECT used.id, stem || '_fallback_reason' AS k, trim(o.v) AS v FROM used JOIN e o ON o.id = used.id AND o.k = stem || '_reason'
-  LEFT JOIN e f ON f.id = used.id AND f.k = stem || '_fallback_reason' WHERE trim(coalesce(f.v, '')) = '' AND trim(o.v) <> '')
-SELECT id, k AS field, v AS value FROM back UNION ALL SELECT id, k, v FROM e ANTI JOIN back USING (id, k)""")
+p AS (SELECT id, CASE WHEN ends_with(k, '_fallback_used') THEN k[1:len(k) - 14] WHEN ends_with(k, '_fallback_reason') THEN k[1:len(k) - 16] ELSE k[1:len(k) - 7] END AS stem, max(v) FILTER (WHERE ends_with(k, '_fallback_used')) AS used,
+  max(v) FILTER (WHERE ends_with(k, '_fallback_reason')) AS own, max(v) FILTER (WHERE ends_with(k, '_reason') AND NOT ends_with(k, '_fallback_reason')) AS plain FROM e GROUP BY ALL),
+q AS (SELECT *, CASE WHEN lower(used) = 'true' AND trim(coalesce(own, '')) = '' AND trim(coalesce(plain, '')) <> '' THEN trim(plain) ELSE own END AS told FROM p)
+SELECT id, stem || '_fallback_used' AS field, used AS value FROM q WHERE used IS NOT NULL UNION ALL SELECT id, stem || '_reason', plain FROM q WHERE plain IS NOT NULL UNION ALL SELECT id, stem || '_fallback_reason', told FROM q WHERE told IS NOT NULL""")
 def map02(spark, sf_dir):
     k = F.col("event_id")
     facts = {

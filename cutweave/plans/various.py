@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import canonical as J
 from ..functions import scalars as C
 from ..functions import text as T
 from ..operators import segments as S
@@ -148,3 +149,37 @@ def src01(spark, sf_dir):
     path = F.concat(F.lit("/data/"), "source", F.lit("/"), (F.col("doc_id") % 50).cast("string"), F.lit("/f.mp4"))
     p = table(spark, sf_dir, "documents").select(path.alias("path"))
     return p.groupBy(F.regexp_extract("path", "^/data/([^/]+)/", 1).alias("subset"), F.regexp_extract("path", "^/data/[^/]+/([^/]+)/", 1).cast("long").alias("sample")).agg(F.count("*").alias("files"))
+
+
+#: A configuration with keys in no order, secrets at several depths, and settings of backends that are not chosen.
+BACKENDS = ["openai", "gemini", "remote_api", "qwen3vl", "dummy"]
+
+
+@query("man02_identity_hashes", f"""WITH c AS (SELECT c_custkey AS id, {BACKENDS}[CAST(c_custkey % 5 + 1 AS INT)] AS backend, c_custkey % 2 = 0 AS merged, CAST(c_nationkey AS VARCHAR) AS nation, c_mktsegment AS segment FROM customer),
+b AS (SELECT *, CASE backend WHEN 'openai' THEN '{{"base_url":"u' || nation || '","headers":[{{"api_key":"stays","b":1}}],"model":"é' || segment || '"}}' WHEN 'gemini' THEN '{{"api_mode":"m","organization":"stays' || nation || '"}}'
+  WHEN 'remote_api' THEN '{{"api_url":"http://' || nation || '","timeout_sec":30}}' WHEN 'qwen3vl' THEN '{{"api_key":"no secret here","model_path":"/m/' || nation || '"}}' ELSE '{{}}' END AS own FROM c)
+SELECT id, sha256('{{"datasets":[{{"root":"/d/' || nation || '","subset":"' || segment || '"}}],"deployment_mode":"single_machine_shared_fs","export":{{}},"llm_merge":{{"enabled":' || CASE WHEN merged THEN 'true' ELSE 'false' END || ',"inner":{{"project":"stays"}}}},"required_stages":["stage1_segments"' || CASE WHEN merged THEN ',"stage2_text"' ELSE '' END
+  || '],"windowing":{{"deep":{{"a":[1,{{"x":null,"y":2}}],"b":"' || nation || '"}},"step_sec":6}},"worker":{{"backend":"' || backend || '","selected_backend_config":' || own || '}}}}') AS hash FROM b""")
+def man02(spark, sf_dir):
+    k, nation = F.col("c_custkey"), F.col("c_nationkey").cast("string")
+    backend = F.element_at(F.array(*[F.lit(b) for b in BACKENDS]), (k % 5 + 1).cast("int"))
+    merged = k % 2 == 0
+    text = F.format_string(
+        '{"worker":{"qwen3vl":{"model_path":"/m/%s","api_key":"no secret here"},"openai":{"project":"p","model":"é%s","api_key":"k%s","headers":[{"b":1,"api_key":"stays"}],"organization":null,"base_url":"u%s"},"backend":"%s",'
+        '"gemini":{"organization":"stays%s","api_mode":"m","api_key":1},"remote_api":{"timeout_sec":30,"api_key":"k","api_url":"http://%s"}},"llm_merge":{"project":"p%s","inner":{"project":"stays"},"enabled":%s,"api_key":"x"},'
+        '"windowing":{"step_sec":6,"deep":{"b":"%s","a":[1,{"y":2,"x":null}]}},"unused":%s,"datasets":[{"subset":"%s","root":"/d/%s","more":1}]}',
+        nation, F.col("c_mktsegment"), k.cast("string"), nation, backend, nation, nation, k.cast("string"), F.when(merged, "true").otherwise("false"), nation, k.cast("string"), F.col("c_mktsegment"), nation,
+    )
+    stages = F.array_compact(F.array(F.lit("stage1_segments"), F.when(merged, F.lit("stage2_text"))))
+    return table(spark, sf_dir, "customer").select(k.alias("id"), J.payload_hash(J.identity_payload(F.parse_json(text), stages)).alias("hash"))
+
+
+@query("txt30_reuse_groups", """WITH e AS (SELECT event_id, event_type, user_id, CASE WHEN event_id % 6 <> 0 THEN event_id % 40 END AS w, CASE event_id % 3 WHEN 0 THEN '' WHEN 1 THEN 'refined' ELSE 'coarse' END AS p FROM events)
+SELECT event_id, CASE WHEN w IS NULL THEN '' ELSE 'reuse::' || left(sha256('["' || event_type || '\\u00e9\\ud83d\\ude00","' || user_id || '","window_boundary","' || CASE WHEN p = '' THEN 'coarse' ELSE p END || '",' || w || ',[' || w || ',' || (w + 7) || '],"sheet",640,480,3,4,2]'), 16) END AS reuse_group FROM e""")
+def txt30b(spark, sf_dir):
+    k = F.col("event_id")
+    w = F.when(k % 6 != 0, k % 40)
+    e = table(spark, sf_dir, "events")
+    name = F.when(k % 3 == 0, "").when(k % 3 == 1, "refined").otherwise("coarse")
+    key = J.reuse_key(F.concat("event_type", F.lit("é😀")), F.col("user_id"), F.lit("window_boundary"), name, w, F.array(w, w + 7), F.lit("sheet"), True, [640, 480, 3, 4, 2])
+    return e.select("event_id", J.reuse_group(key).alias("reuse_group"))
