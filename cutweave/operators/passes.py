@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import merged_meta
 from ..sources.scratch import settled
+from . import hierarchy as H
+from . import payloads as A
 from . import segments as S
+from . import wording as D
 
 UNKNOWN = "Unknown task step"
 
@@ -21,11 +24,36 @@ def merge_gate(n: Column, least: int = 12, most: int = 256, enabled: bool = True
     return F.when(n == 0, "empty_input").when(n < least, "below_min_input_segments").when(n > most, "above_max_input_segments")
 
 
-def merge_candidates(sizes: DataFrame, attempts: DataFrame, ranges: DataFrame, kept: DataFrame, ratio: float) -> tuple[DataFrame, DataFrame]:
+def guarded(segments: DataFrame, ranges: DataFrame, coarse: bool = True, support: float = 0.9, limit: int = 1, spacing: int = 3, side: int = 2, score: float = 1.03, tail_frames: int = 5) -> DataFrame:
+    """ranges(sample_id, attempt, start_idx, end_idx), partitions of a sample's segments -> sample_id, attempt, boundary: what has to
+    stay a boundary inside of them.
+
+    Coarse: the anchors of each range (spaced_anchors). Else each boundary that has a reason to be kept, and then the one before
+    a last segment that repeats the text before it (duplicate_tails).
+    """
+    each = F.struct("sample_id", "attempt").alias("sample_id")
+    asked = ranges.select("sample_id", "attempt").distinct()
+    blocked = D.blocked_boundaries(segments, support)
+    own = blocked.join(asked, "sample_id").select(each, *[c for c in blocked.columns if c != "sample_id"])
+    keyed = ranges.select(each, "start_idx", "end_idx")
+    if coarse:
+        found = D.spaced_anchors(own, keyed, limit, spacing, side, score).select("sample_id", "boundary")
+    else:
+        anchors = own.join(S.spelled(keyed), ["sample_id", "seg_id"]).filter("seg_id < end_idx").select("sample_id", F.col("seg_id").alias("boundary"))
+        sizes = segments.groupBy("sample_id").agg(F.count("*").alias("n")).join(asked, "sample_id").select(each, "n")
+        told = keyed.select("sample_id", F.col("end_idx").alias("boundary")).unionByName(anchors)
+        copies = segments.join(asked, "sample_id").select(each, *[c for c in segments.columns if c != "sample_id"])
+        tails = S.boundaries_of_ranges(D.duplicate_tails(copies, S.ranges_from_boundaries(told, sizes), tail_frames))
+        found = anchors.unionByName(tails.join(told, ["sample_id", "boundary"], "left_anti").select("sample_id", "boundary"))
+    return found.select("sample_id.sample_id", "sample_id.attempt", F.col("boundary").cast("long").alias("boundary"))
+
+
+def merge_candidates(sizes: DataFrame, attempts: DataFrame, ranges: DataFrame, kept, ratio: float) -> tuple[DataFrame, DataFrame]:
     """(sample_id, attempt, reason, outputs, guarded; sample_id, attempt, boundary of the usable ones).
 
     attempts(sample_id, attempt, problem): problem is the request's own, NULL where an answer came; ranges(sample_id, attempt, ord,
-    start_id, end_id) of the answers; kept(sample_id, boundary): boundaries that must stay. An answer must be a partition of 0 to
+    start_id, end_id) of the answers; kept(sample_id, boundary): boundaries that must stay, or a function that gives these (sample_id,
+    attempt, boundary) for the ranges of usable answers. An answer must be a partition of 0 to
     n - 1; boundaries that must stay split its ranges (guarded), and then enough ranges have to be left.
     """
     each = F.struct("sample_id", "attempt").alias("sample_id")
@@ -34,7 +62,9 @@ def merge_candidates(sizes: DataFrame, attempts: DataFrame, ranges: DataFrame, k
     of = parts.select("sample_id.sample_id", "sample_id.attempt", "reason").join(sizes, "sample_id")
     good = of.filter("reason = 'ok'").select("sample_id", "attempt", "n")
     told = ranges.join(good, ["sample_id", "attempt"]).filter("end_id < n - 1").select("sample_id", "attempt", F.col("end_id").cast("long").alias("boundary"), F.lit(0).alias("own"))
-    guards = kept.join(good, "sample_id").filter("boundary >= 0 AND boundary < n - 1").select("sample_id", "attempt", F.col("boundary").cast("long").alias("boundary"), F.lit(1).alias("own"))
+    within = ranges.join(good, ["sample_id", "attempt"]).select("sample_id", "attempt", F.col("start_id").cast("long").alias("start_idx"), F.col("end_id").cast("long").alias("end_idx"))
+    stay = kept(settled(within)).join(good, ["sample_id", "attempt"]) if callable(kept) else kept.join(good, "sample_id")
+    guards = stay.filter("boundary >= 0 AND boundary < n - 1").select("sample_id", "attempt", F.col("boundary").cast("long").alias("boundary"), F.lit(1).alias("own"))
     bounds = told.unionByName(guards).groupBy("sample_id", "attempt", "boundary").agg(F.min("own").alias("added"))
     counts = bounds.groupBy("sample_id", "attempt").agg((F.count("*") + 1).alias("outputs"), (F.max("added") == 1).alias("guarded"))
     rows = of.join(counts, ["sample_id", "attempt"], "left").withColumn("outputs", F.coalesce("outputs", F.lit(1).cast("long")))
@@ -44,7 +74,7 @@ def merge_candidates(sizes: DataFrame, attempts: DataFrame, ranges: DataFrame, k
     return checked.unionByName(failed), bounds.join(checked.filter("reason = 'ok'"), ["sample_id", "attempt"], "left_semi").select("sample_id", "attempt", "boundary")
 
 
-def merge_pass(sizes: DataFrame, attempts: DataFrame, ranges: DataFrame, kept: DataFrame, ratio: float = 0.35, threshold: float = 0.5, coarse: bool = True, least: int = 12, most: int = 256) -> tuple[DataFrame, DataFrame]:
+def merge_pass(sizes: DataFrame, attempts: DataFrame, ranges: DataFrame, kept, ratio: float = 0.35, threshold: float = 0.5, coarse: bool = True, least: int = 12, most: int = 256) -> tuple[DataFrame, DataFrame]:
     """(sample_id, n, valid, mode, outputs, reason; sample_id, boundary of the samples that are merged), for every sample of sizes(sample_id, n).
 
     Without coarse the first attempt alone counts. Of several usable attempts their consensus goes first (coarse_boundary_consensus),
@@ -77,6 +107,44 @@ def merge_pass(sizes: DataFrame, attempts: DataFrame, ranges: DataFrame, kept: D
     return report, ends.join(report.filter("reason = 'applied'"), "sample_id", "left_semi")
 
 
+def requested(answers: DataFrame, most: int = 3) -> DataFrame:
+    """answers(sample_id, repeat, attempt from 1, payload, exception, message, adapter) -> sample_id, repeat, payload, reason, error,
+    attempts: structured requests over recorded answers.
+
+    The first attempt, of the first most, with a payload that is an object with fields ends a request: reason ok. If none has, reason and
+    error are the last one's: the adapter's final_failure_reason, else request_failed: and the exception's name, or empty_response
+    where none was raised; the error of the adapter's endpoints, else the exception's message or name. Answers after the end, or
+    beyond most, do not count.
+    """
+    adapter, payload = F.try_parse_json("adapter"), F.try_parse_json("payload")
+    said = lambda path: F.nullif(F.trim(F.coalesce(F.try_variant_get(adapter, path, "string"), F.lit(""))), F.lit(""))
+    raised = F.col("exception").isNotNull()
+    full = ~raised & (F.size(F.map_keys(F.try_variant_get(payload, "$", "map<string,variant>"))) > 0)
+    plain = F.when(raised, F.concat(F.lit("request_failed:"), "exception")).otherwise("empty_response")
+    told = F.coalesce(*[said(f"$.{end}.{what}") for end in ("chat_completions", "responses") for what in ("error", "exception_type")])
+    own = F.when(raised, F.coalesce(told, F.nullif(F.trim("message"), F.lit("")), "exception")).otherwise(F.coalesce(told, F.lit("")))
+    rows = answers.filter(F.col("attempt").between(1, max(1, most))).withColumns({"full": F.coalesce(full, F.lit(False)), "reason": F.coalesce(said("$.final_failure_reason"), plain), "error": own})
+    one = F.struct("attempt", "payload", "reason", "error")
+    of = rows.groupBy("sample_id", "repeat").agg(F.min_by(one, F.when(F.col("full"), F.col("attempt"))).alias("good"), F.max_by(one, "attempt").alias("last"))
+    good = F.col("good").isNotNull()
+    at = lambda c, other: F.when(good, other).otherwise(F.col(f"last.{c}"))
+    return of.select("sample_id", "repeat", F.col("good.payload").alias("payload"), at("reason", F.lit("ok")).alias("reason"), at("error", F.lit("")).alias("error"), F.coalesce("good.attempt", "last.attempt").alias("attempts"))
+
+
+def merged_segments(segments: DataFrame, attempts: DataFrame, ranges: DataFrame, ratio: float = 0.35, threshold: float = 0.5, coarse: bool = True, least: int = 12, most: int = 256, **guards) -> tuple[DataFrame, DataFrame]:
+    """(segments after the merge, report of merge_pass): the pass from end to end. What has to stay a boundary follows from the
+    segments themselves (guarded, with its settings); the chosen ranges are applied, and the joined segments take the best text of
+    those they overlap. Samples that are not merged keep their segments."""
+    sizes = segments.groupBy("sample_id").agg(F.count("*").alias("n"))
+    report, bounds = merge_pass(sizes, attempts, ranges, lambda within: guarded(segments, within, coarse, **guards), ratio, threshold, coarse, least, most)
+    report = settled(report)
+    done = report.filter("reason = 'applied'").select("sample_id", "n")
+    columns = ["sample_id", "seg_id", "start_frame", "end_excl", "instruction", "confidence", "support_before", "support_after"]
+    taken = segments.join(done, "sample_id", "left_semi")
+    joined = D.refined_texts(S.merged_by_ranges(taken, S.ranges_from_boundaries(bounds, done)), taken)
+    return segments.join(done, "sample_id", "left_anti").select(*columns).unionByName(joined.select(*columns)), report
+
+
 def source_text(instruction: Column) -> Column:
     """The subtitle that a text gives by itself."""
     return F.coalesce(F.nullif(F.trim(instruction), F.lit("")), F.lit(UNKNOWN))
@@ -106,3 +174,33 @@ def written_back(diagnostics: Column, *later: Column) -> Column:
     """Maps of diagnostics as one, in which later maps replace what earlier ones say; NULL maps say nothing."""
     given = lambda m: F.coalesce(m, F.create_map().cast("map<string,string>"))
     return reduce(lambda old, new: merged_meta(new, old), [given(m) for m in (diagnostics, *later)])
+
+
+def stage_envelope(segments: DataFrame, report: DataFrame, items: DataFrame, levels: list[str], asked: DataFrame, subtitles: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(sample_id, merge_applied, merge_reason, segments, summary_applied, roots, subtitle_applied, subtitle_reason, language; the
+    hierarchies; the subtitles) for each sample: summary and subtitles over the segments as merged_segments() left them, whether or
+    not it merged any.
+
+    items(sample_id, level, ord, start_id, end_id, summary) and subtitles(sample_id, token, subtitle) are the recorded answers about
+    these segments, asked(sample_id, language, problem) what was asked for. Levels that are wrong, or that cross, give one range for each
+    segment, with its text; subtitles that are not whole give the texts. Samples without an answer fall back likewise.
+    """
+    ids = segments.select("sample_id", F.col("seg_id").alias("idx"), "seg_id")
+    told = A.with_places(items, ids, ["start_id", "end_id"])
+    spans = told.select("sample_id", "level", F.col("start_id_by_id").alias("start_idx"), F.col("end_id_by_id").alias("end_idx"))
+    of = lambda level: spans.filter(F.col("level") == level)
+    crossing = reduce(lambda a, b: a.unionByName(b), [S.nesting_violations(of(a), of(b)).select("sample_id") for a, b in zip(levels, levels[1:], strict=False)], segments.select("sample_id").limit(0))
+    ways = settled(A.summaries_or_identity(items, ids, crossing))
+    named = told.select("sample_id", "level", F.col("start_id_by_id").alias("start_idx"), "summary").dropDuplicates(["sample_id", "level", "start_idx"])
+    own = segments.select("sample_id", F.col("seg_id").alias("start_idx"), source_text(F.col("instruction")).alias("own"))
+    ranges = ways.join(named, ["sample_id", "level", "start_idx"], "left").join(own, ["sample_id", "start_idx"], "left").withColumn("summary", F.when(F.col("applied"), F.col("summary")).otherwise(F.col("own"))).drop("own")
+    trees = H.nested(ranges, segments, levels)
+    checks = A.subtitle_reasons(subtitles, ids)
+    placed = A.with_places(subtitles, ids, ["token"]).select("sample_id", F.col("token_by_id").alias("seg_id"), "subtitle").dropDuplicates(["sample_id", "seg_id"])
+    lines = subtitle_pass(segments, asked, placed, checks)
+    applied = ways.groupBy("sample_id").agg(F.every("applied").alias("summary_applied"))
+    said = lines.groupBy("sample_id").agg(F.count("*").alias("segments"), F.first("reason").alias("subtitle_reason"), F.first("language").alias("language"))
+    out = report.select("sample_id", (F.col("reason") == "applied").alias("merge_applied"), F.col("reason").alias("merge_reason")).join(said, "sample_id").join(applied, "sample_id", "left")
+    out = out.join(trees.select("sample_id", F.size("roots").alias("roots")), "sample_id", "left")
+    cols = ["sample_id", "merge_applied", "merge_reason", "segments", F.coalesce("summary_applied", F.lit(False)).alias("summary_applied"), F.coalesce("roots", F.lit(0)).alias("roots")]
+    return out.select(*cols, (F.col("subtitle_reason") == "applied").alias("subtitle_applied"), "subtitle_reason", "language"), trees, lines

@@ -144,7 +144,7 @@ def summaries_or_identity(items: DataFrame, ids: DataFrame, nested: DataFrame) -
     read = lambda c: F.when(F.col("by_id") == "ok", F.col(f"{c}_by_id")).otherwise(F.col(f"{c}_by_place"))
     kept = kept.select("sample_id", "level", read("start_id").alias("start_idx"), read("end_id").alias("end_idx"), F.lit(True).alias("applied"))
     levels = items.select("level").distinct()
-    own = ids.join(fine, "sample_id", "left_anti").join(F.broadcast(levels))  # a few names
+    own = ids.join(fine, "sample_id", "left_anti").join(levels)  # the planner knows their size
     return kept.unionByName(own.select("sample_id", "level", F.col("idx").alias("start_idx"), F.col("idx").alias("end_idx"), F.lit(False).alias("applied")))
 
 

@@ -11,19 +11,29 @@ from ..sources.scratch import settled
 from .catalog import query
 from .merging import SIZES_SQL, parts
 from .scans import bodies, body
+from .wording import BLOCKED_SQL
 
 ATTEMPTS, LEAST, MOST, RATIO = 3, 3, 6, 0.35
 ENOUGH = f"greatest(1, ceil(n * {RATIO}::DOUBLE))"
-MERGE_SQL = f"""{SEGMENTS_SQL}, {SIZES_SQL}, open AS (SELECT * FROM sizes WHERE n BETWEEN {LEAST} AND {MOST}),
+SPACING, SIDE, SCORE = 2, 1, 0.5
+MERGE_SQL = f"""{BLOCKED_SQL}, {SIZES_SQL}, open AS (SELECT * FROM sizes WHERE n BETWEEN {LEAST} AND {MOST}),
 att AS (SELECT sample_id, a AS attempt, n, (sample_id + a) % 6 = 0 AS failed, (sample_id + a) % 7 = 0 AS cut FROM open, (SELECT unnest(range({ATTEMPTS})) AS a)),
 e AS (SELECT s.sample_id, attempt, seg_id AS end_id FROM segments s JOIN att USING (sample_id) WHERE seg_id < n - 1 AND (part * 7 + attempt * 13) % 5 < 3 UNION ALL SELECT sample_id, attempt, n - 1 FROM att),
-g AS (SELECT e.*, n, failed, coalesce(lag(end_id) OVER (PARTITION BY sample_id, attempt ORDER BY end_id) + 1, 0) AS start_id, end_id - CASE WHEN cut AND end_id = n - 1 THEN 1 ELSE 0 END AS given FROM e JOIN att USING (sample_id, attempt)),
-v AS (SELECT sample_id, attempt, n, CASE WHEN failed THEN 'request_failed' WHEN bool_or(given < start_id) THEN 'invalid_partition' WHEN max(given) <> n - 1 THEN 'incomplete_partition' ELSE 'ok' END AS reason FROM g GROUP BY sample_id, attempt, n, failed),
-told AS (SELECT g.sample_id, g.attempt, end_id AS boundary FROM g JOIN v USING (sample_id, attempt) WHERE reason = 'ok' AND end_id < g.n - 1),
-guards AS (SELECT k.sample_id, attempt, seg_id AS boundary FROM segments k JOIN v USING (sample_id) WHERE reason = 'ok' AND support_after >= 0.9 AND seg_id < n - 1 EXCEPT SELECT * FROM told),
+gr AS (SELECT e.*, n, failed, coalesce(lag(end_id) OVER (PARTITION BY sample_id, attempt ORDER BY end_id) + 1, 0) AS start_id, end_id - CASE WHEN cut AND end_id = n - 1 THEN 1 ELSE 0 END AS given FROM e JOIN att USING (sample_id, attempt)),
+v AS (SELECT sample_id, attempt, n, CASE WHEN failed THEN 'request_failed' WHEN bool_or(given < start_id) THEN 'invalid_partition' WHEN max(given) <> n - 1 THEN 'incomplete_partition' ELSE 'ok' END AS reason FROM gr GROUP BY sample_id, attempt, n, failed),
+told AS (SELECT g.sample_id, g.attempt, end_id AS boundary FROM gr g JOIN v USING (sample_id, attempt) WHERE reason = 'ok' AND end_id < g.n - 1),
+bl AS (SELECT g.sample_id, g.seg_id, greatest(0.0, coalesce(g.support_after, 0.0)) AS support, CAST(drift AS INT) + CAST(mark AND NOT rounds AS INT) AS turns, x.end_excl - x.start_frame AS lf, y.end_excl - y.start_frame AS rf
+  FROM g JOIN segments x ON x.sample_id = g.sample_id AND x.seg_id = g.seg_id JOIN segments y ON y.sample_id = g.sample_id AND y.seg_id = g.seg_id + 1 WHERE held OR mark OR drift),
+fit AS (SELECT gr.sample_id, gr.attempt, start_id, end_id, seg_id, support, turns, support + 0.5 * turns AS score, least(lf, rf) AS shorter, lf + rf AS frames, least(seg_id - start_id + 1, end_id - seg_id) AS side
+  FROM gr JOIN v ON v.sample_id = gr.sample_id AND v.attempt = gr.attempt AND v.reason = 'ok' JOIN bl ON bl.sample_id = gr.sample_id AND seg_id >= start_id AND seg_id < end_id),
+turn AS (SELECT *, row_number() OVER (PARTITION BY sample_id, attempt, start_id ORDER BY score DESC, turns DESC, support DESC, shorter DESC, frames DESC, seg_id) AS k FROM fit WHERE score >= {SCORE} AND side >= {SIDE}),
+took AS (SELECT DISTINCT sample_id, attempt, start_id, 0::BIGINT AS k, CAST([] AS BIGINT[]) AS taken FROM turn
+  UNION ALL SELECT t.sample_id, t.attempt, t.start_id, t.k, CASE WHEN len(taken) < 1 AND len(list_filter(taken, lambda x: abs(x - t.seg_id) < {SPACING})) = 0 THEN list_append(taken, t.seg_id) ELSE taken END
+  FROM took JOIN turn t ON t.sample_id = took.sample_id AND t.attempt = took.attempt AND t.start_id = took.start_id AND t.k = took.k + 1),
+guards AS (SELECT sample_id, attempt, unnest(taken) AS boundary FROM (SELECT sample_id, attempt, start_id, arg_max(taken, k) AS taken FROM took GROUP BY ALL)),
 b AS (SELECT * FROM told UNION ALL SELECT * FROM guards),
 c AS (SELECT v.sample_id, v.attempt, v.n, 1 + count(b.boundary) AS outs, v.reason AS r0, count(x.boundary) > 0 AS guarded FROM v LEFT JOIN b USING (sample_id, attempt) LEFT JOIN guards x ON x.sample_id = b.sample_id AND x.attempt = b.attempt AND x.boundary = b.boundary GROUP BY ALL),
-d AS (SELECT *, CASE WHEN r0 = 'ok' AND outs < {ENOUGH} THEN 'collapsed_too_aggressively' ELSE r0 END AS reason FROM c), use AS (SELECT * FROM d WHERE reason = 'ok'),
+dd AS (SELECT *, CASE WHEN r0 = 'ok' AND outs < {ENOUGH} THEN 'collapsed_too_aggressively' ELSE r0 END AS reason FROM c), use AS (SELECT * FROM dd WHERE reason = 'ok'),
 ub AS (SELECT b.* FROM b SEMI JOIN use USING (sample_id, attempt)), cnt AS (SELECT sample_id, n, count(*) AS k FROM use GROUP BY ALL),
 con AS (SELECT sample_id, boundary FROM ub JOIN cnt USING (sample_id) GROUP BY sample_id, boundary, k HAVING k > 1 AND count(*) > k * 0.5),
 conok AS (SELECT sample_id, count(*) + 1 AS outs FROM con JOIN cnt USING (sample_id) GROUP BY sample_id, n HAVING count(*) + 1 >= {ENOUGH}),
@@ -35,7 +45,7 @@ rk AS (SELECT w.*, coalesce(su.sup, 0) AS s, median, max(coalesce(su.sup, 0)) OV
 pick AS (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY s DESC, abs(outs - median), bn - s, CASE WHEN bn > 0 THEN s / bn ELSE 1.0 END DESC, attempt) AS r FROM rk WHERE s >= top - 1),
 chosen AS (SELECT sample_id, 'coarse_boundary_consensus' AS mode, outs, false AS guarded, NULL AS attempt FROM conok UNION ALL SELECT sample_id, 'coarse_consensus_candidate', outs, guarded, attempt FROM pick WHERE r = 1
   UNION ALL SELECT sample_id, 'first_valid_candidate', outs, guarded, attempt FROM use JOIN cnt USING (sample_id) WHERE k = 1),
-last AS (SELECT sample_id, arg_max(reason, attempt) AS last FROM d GROUP BY ALL),
+last AS (SELECT sample_id, arg_max(reason, attempt) AS last FROM dd GROUP BY ALL),
 report AS (SELECT s.sample_id, s.n, coalesce(k, 0) AS valid, mode, coalesce(outs, s.n) AS outputs, CASE WHEN s.n < {LEAST} THEN 'below_min_input_segments' WHEN s.n > {MOST} THEN 'above_max_input_segments' WHEN mode IS NULL THEN last
   WHEN outs = s.n AND guarded THEN 'guard_blocked_all_merges' WHEN outs = s.n THEN 'no_merges_selected' ELSE 'applied' END AS reason
   FROM sizes s LEFT JOIN cnt USING (sample_id) LEFT JOIN chosen USING (sample_id) LEFT JOIN last USING (sample_id))"""
@@ -52,19 +62,76 @@ def merged(spark, sf_dir):
     rows = ends.select("sample_id", "attempt", "n", "ends", F.posexplode("ends").alias("ord", "end_id"))
     start = F.when(F.col("ord") == 0, F.lit(0).cast("long")).otherwise(F.get("ends", F.col("ord") - 1) + 1)
     ranges = rows.select("sample_id", "attempt", "ord", start.alias("start_id"), (F.col("end_id") - F.when((turn % 7 == 0) & (F.col("end_id") == F.col("n") - 1), 1).otherwise(0)).alias("end_id"))
-    kept = s.filter("support_after >= 0.9").select("sample_id", F.col("seg_id").alias("boundary"))
-    return P.merge_pass(sizes, attempts, settled(ranges), kept, RATIO, 0.5, True, LEAST, MOST)
+    return s, sizes, attempts, settled(ranges)
 
 
-@query("stg01_merge_pass", f"WITH {MERGE_SQL} SELECT * FROM report")
+ANCHORS = {"support": 0.45, "limit": 1, "spacing": SPACING, "side": SIDE, "score": SCORE}
+
+
+def passed(spark, sf_dir):
+    s, sizes, attempts, ranges = merged(spark, sf_dir)
+    return P.merge_pass(sizes, attempts, ranges, lambda within: P.guarded(s, within, True, **ANCHORS), RATIO, 0.5, True, LEAST, MOST)
+
+
+@query("stg01_merge_pass", f"WITH RECURSIVE {MERGE_SQL} SELECT * FROM report")
 def stg01(spark, sf_dir):
-    return merged(spark, sf_dir)[0]
+    return passed(spark, sf_dir)[0]
 
 
-@query("sel05_chosen_boundaries", f"""WITH {MERGE_SQL}, ends AS (SELECT con.sample_id, boundary FROM con JOIN conok USING (sample_id) UNION ALL SELECT ub.sample_id, boundary FROM ub JOIN chosen USING (sample_id, attempt))
+@query("sel05_chosen_boundaries", f"""WITH RECURSIVE {MERGE_SQL}, ends AS (SELECT con.sample_id, boundary FROM con JOIN conok USING (sample_id) UNION ALL SELECT ub.sample_id, boundary FROM ub JOIN chosen USING (sample_id, attempt))
 SELECT ends.sample_id, boundary FROM ends JOIN report USING (sample_id) WHERE reason = 'applied'""")
 def sel05(spark, sf_dir):
-    return merged(spark, sf_dir)[1]
+    return passed(spark, sf_dir)[1]
+
+
+def after_merge(spark, sf_dir):
+    s, _, attempts, ranges = merged(spark, sf_dir)
+    return P.merged_segments(s, attempts, ranges, RATIO, 0.5, True, LEAST, MOST, **ANCHORS)
+
+
+@query("stg01_merged_spans", f"""WITH RECURSIVE {MERGE_SQL}, ends AS (SELECT con.sample_id, boundary FROM con JOIN conok USING (sample_id) UNION ALL SELECT ub.sample_id, boundary FROM ub JOIN chosen USING (sample_id, attempt)),
+done AS (SELECT sample_id, n FROM report WHERE reason = 'applied'), cuts AS (SELECT DISTINCT ends.sample_id, boundary AS end_idx FROM ends JOIN done USING (sample_id) UNION ALL SELECT sample_id, n - 1 FROM done),
+rg AS (SELECT sample_id, coalesce(lag(end_idx) OVER (PARTITION BY sample_id ORDER BY end_idx) + 1, 0) AS start_idx, end_idx FROM cuts),
+one AS (SELECT rg.sample_id, start_idx, arg_min(start_frame, seg_id) AS start_frame, arg_max(end_excl, seg_id) AS end_excl, sum(confidence * (end_excl - start_frame)) / sum(end_excl - start_frame) AS confidence,
+  coalesce(max(support_before) FILTER (WHERE seg_id = start_idx), 0.0) AS support_before, coalesce(max(support_after) FILTER (WHERE seg_id = end_idx), 0.0) AS support_after FROM rg JOIN segments s ON s.sample_id = rg.sample_id AND seg_id BETWEEN start_idx AND end_idx GROUP BY ALL)
+SELECT sample_id, row_number() OVER (PARTITION BY sample_id ORDER BY start_idx) - 1 AS seg_id, start_frame, end_excl, round(confidence, 9) AS confidence, support_before, support_after FROM one
+UNION ALL SELECT sample_id, seg_id, start_frame, end_excl, round(confidence, 9), support_before, support_after FROM segments WHERE sample_id NOT IN (SELECT sample_id FROM done)""")
+def stg01b(spark, sf_dir):
+    return after_merge(spark, sf_dir)[0].drop("instruction").withColumn("confidence", F.round("confidence", 9))
+
+
+@query("stg04_envelope", f"""WITH RECURSIVE {MERGE_SQL}, m AS (SELECT sample_id, reason, CASE WHEN reason = 'applied' THEN outputs ELSE n END AS k FROM report)
+SELECT sample_id, reason = 'applied' AS merge_applied, reason AS merge_reason, k AS segments, sample_id % 4 <> 0 AS summary_applied, CAST(CASE WHEN sample_id % 4 <> 0 THEN 1 ELSE k END AS INT) AS roots, sample_id % 3 = 2 AND sample_id % 10 <> 2 AS subtitle_applied,
+  CASE WHEN sample_id % 3 = 0 THEN 'source_instruction_reused' WHEN sample_id % 3 = 1 THEN 'unsupported_language' WHEN sample_id % 10 = 2 THEN 'invalid_subtitles' ELSE 'applied' END AS subtitle_reason, CASE WHEN sample_id % 3 = 2 AND sample_id % 10 <> 2 THEN 'zh' ELSE 'en' END AS language FROM m""")
+def stg04(spark, sf_dir):
+    s, report = after_merge(spark, sf_dir)
+    s, k = settled(s), F.col("sample_id")
+    sizes = s.groupBy("sample_id").agg(F.count("*").alias("n"))
+    beyond = F.when(k % 4 == 0, 1).otherwise(0)  # one place beyond the last segment
+    coarse = sizes.select("sample_id", F.lit("coarse").alias("level"), F.lit(0).alias("ord"), F.lit(0).cast("long").alias("start_id"), (F.col("n") - 1 + beyond).cast("long").alias("end_id"), F.lit("all").alias("summary"))
+    fine = s.select("sample_id", F.lit("fine").alias("level"), F.col("seg_id").cast("int").alias("ord"), F.col("seg_id").alias("start_id"), F.col("seg_id").alias("end_id"), F.lit("step").alias("summary"))
+    asked = sizes.select("sample_id", F.when(k % 3 == 0, "en").when(k % 3 == 1, "fr").otherwise("zh").alias("language"), F.lit(None).cast("string").alias("problem"))
+    lines = s.filter(~((k % 10 == 2) & (F.col("seg_id") == 0))).select("sample_id", F.col("seg_id").alias("token"), F.concat(F.lit("line "), F.col("seg_id").cast("string")).alias("subtitle"))
+    return P.stage_envelope(s, report, coarse.unionByName(fine), ["coarse", "fine"], asked, lines)[0]
+
+
+#: Answers to requests of three attempts: a payload, an empty one, none, text that is no JSON, or an exception; a fifth has an adapter's record.
+ANSWERS = {"purchase": '{"a":1}', "view": "{}", "error": "no json"}
+ADAPTER = '{"final_failure_reason":" http_500 ","chat_completions":{"error":""},"responses":{"exception_type":"Boom"}}'
+
+
+@query("udf08_requests", f"""WITH a AS (SELECT event_id // 6 AS sample_id, event_id // 3 % 2 AS repeat, event_id % 3 + 1 AS attempt, CASE event_type {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in ANSWERS.items())} END AS payload, event_type = 'signup' AS raised, event_id % 5 = 0 AS told FROM events),
+b AS (SELECT *, payload = '{ANSWERS["purchase"]}' AND NOT raised AS good, CASE WHEN told THEN 'http_500' WHEN raised THEN 'request_failed:TimeoutError' ELSE 'empty_response' END AS r, CASE WHEN told THEN 'Boom' WHEN raised THEN 'late' ELSE '' END AS e FROM a WHERE attempt <= 2),
+c AS (SELECT sample_id, repeat, min(attempt) FILTER (WHERE good) AS won, max(attempt) AS tried, arg_max(r, attempt) AS r, arg_max(e, attempt) AS e FROM b GROUP BY ALL)
+SELECT sample_id, repeat, CASE WHEN won IS NOT NULL THEN '{ANSWERS["purchase"]}' END AS payload, CASE WHEN won IS NULL THEN r ELSE 'ok' END AS reason, CASE WHEN won IS NULL THEN e ELSE '' END AS error, coalesce(won, tried) AS attempts FROM c""")
+def udf08(spark, sf_dir):
+    k, kind = F.col("event_id"), F.col("event_type")
+    payload = F.create_map(*[F.lit(x) for kv in ANSWERS.items() for x in kv])[kind]
+    raised = kind == "signup"
+    answers = table(spark, sf_dir, "events").select(
+        F.floor(k / 6).alias("sample_id"), (F.floor(k / 3) % 2).alias("repeat"), (k % 3 + 1).alias("attempt"), payload.alias("payload"), F.when(raised, "TimeoutError").alias("exception"), F.when(raised, " late ").alias("message"), F.when(k % 5 == 0, F.lit(ADAPTER)).alias("adapter"),
+    )
+    return P.requested(answers, 2)
 
 
 @query("stg03_subtitle_pass", f"""WITH {SEGMENTS_SQL}, i AS (SELECT *, CASE WHEN part % 50 > 0 THEN 'sub ' || seg_id END AS sub, CASE sample_id % 4 WHEN 0 THEN 'en' WHEN 1 THEN 'fr' ELSE 'zh' END AS lang FROM segments),
