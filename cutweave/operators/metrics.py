@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Event names and the fields each must have.
@@ -55,9 +55,32 @@ def event_counts(events: DataFrame) -> DataFrame:
 
 
 def latencies(events: DataFrame) -> DataFrame:
-    """metric, n, total, p50, p95, most of each of the four latencies over all events that have one."""
+    """metric, n, total, p50, p95, most of each of the four latencies over all events that have one.
+
+    What moves and is held is a count for each millisecond that occurs, not each value; percentiles lie between two of these.
+    """
     rows = events.select(F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("ms")) for m in METRICS])).alias("x")).select("x.*").filter("ms IS NOT NULL")
-    return rows.groupBy("metric").agg(F.count("*").alias("n"), F.sum("ms").cast("long").alias("total"), F.percentile("ms", 0.5).alias("p50"), F.percentile("ms", 0.95).alias("p95"), F.max("ms").alias("most"))
+    counts = rows.groupBy("metric", "ms").agg(F.count("*").alias("c"))
+    w = Window.partitionBy("metric")
+    counts = counts.withColumns({"upto": F.sum("c").over(w.orderBy("ms")), "n": F.sum("c").over(w)})
+
+    def at(share: float):
+        place = (F.first("n") - 1) * share  # from 0
+        value = lambda k: F.min(F.when(F.col("upto") > k, F.col("ms")))
+        low, high = value(F.floor((F.col("n") - 1) * share)), value(F.ceil((F.col("n") - 1) * share))
+        return low + (high - low) * (place - F.floor(place))
+
+    return counts.groupBy("metric").agg(F.sum("c").alias("n"), F.sum(F.col("ms") * F.col("c")).cast("long").alias("total"), at(0.5).alias("p50"), at(0.95).alias("p95"), F.max("ms").alias("most"))
+
+
+# The events that tell of a retry or of a fallback.
+REPEATED = {"result_empty_retry": "empty_retries", "result_timeout_retry": "timeout_retries", "fallback_applied": "fallbacks"}
+
+
+def repeats(events: DataFrame) -> DataFrame:
+    """subset, empty_retries, timeout_retries, retries (both), fallbacks; subsets without any have none."""
+    of = events.filter(F.col("event").isin(*REPEATED)).groupBy("subset").agg(*[F.count_if(F.col("event") == e).alias(c) for e, c in REPEATED.items()])
+    return of.select("subset", "empty_retries", "timeout_retries", (F.col("empty_retries") + F.col("timeout_retries")).alias("retries"), "fallbacks")
 
 
 def contract_violations(events: DataFrame) -> DataFrame:

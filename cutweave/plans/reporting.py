@@ -92,6 +92,12 @@ def snk11(spark, sf_dir):
     return store.checked_lines(contract_events(spark, sf_dir))[0]
 
 
+@query("agg18_repeats", f"""WITH {CONTRACT_SQL}, r AS (SELECT subset, count(*) FILTER (WHERE event = 'result_empty_retry') AS e, count(*) FILTER (WHERE event = 'result_timeout_retry') AS t, count(*) FILTER (WHERE event = 'fallback_applied') AS f FROM ce GROUP BY subset)
+SELECT subset, e AS empty_retries, t AS timeout_retries, e + t AS retries, f AS fallbacks FROM r WHERE e + t + f > 0""")
+def agg18b(spark, sf_dir):
+    return M.repeats(contract_events(spark, sf_dir))
+
+
 RECORDS_SQL = """st AS (SELECT o_orderkey AS sample_id, CASE o_orderstatus WHEN 'F' THEN 'done' WHEN 'O' THEN 'failed' ELSE '' END AS ts, o_orderkey % 3 <> 0 AS ex, o_orderkey % 4 AS done, o_orderkey % 9 - 2 AS tr, o_orderkey % 5 - 1 AS er, o_orderkey % 7 - 3 AS dc,
   CASE o_orderkey % 6 WHEN 0 THEN ' applied ' WHEN 1 THEN 'partial_failure' WHEN 2 THEN NULL ELSE '' END AS reason, CASE WHEN o_orderkey % 8 = 1 THEN false WHEN o_orderkey % 8 = 2 THEN true END AS enabled, CASE WHEN o_orderkey % 10 = 3 THEN true END AS attempted,
   CASE WHEN o_orderstatus = 'O' THEN CASE WHEN o_orderkey % 2 = 0 THEN 'export_failed' ELSE 'step_a_exception' END END AS failure FROM orders WHERE o_orderkey % 17 > 0),
