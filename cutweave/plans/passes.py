@@ -11,7 +11,7 @@ from ..sources.scratch import settled
 from .catalog import query
 from .merging import SIZES_SQL, parts
 from .scans import bodies, body
-from .wording import BLOCKED_SQL
+from .wording import BLOCKED_SQL, HELD_SQL
 
 ATTEMPTS, LEAST, MOST, RATIO = 3, 3, 6, 0.35
 ENOUGH = f"greatest(1, ceil(n * {RATIO}::DOUBLE))"
@@ -22,8 +22,7 @@ e AS (SELECT s.sample_id, attempt, seg_id AS end_id FROM segments s JOIN att USI
 gr AS (SELECT e.*, n, failed, coalesce(lag(end_id) OVER (PARTITION BY sample_id, attempt ORDER BY end_id) + 1, 0) AS start_id, end_id - CASE WHEN cut AND end_id = n - 1 THEN 1 ELSE 0 END AS given FROM e JOIN att USING (sample_id, attempt)),
 v AS (SELECT sample_id, attempt, n, CASE WHEN failed THEN 'request_failed' WHEN bool_or(given < start_id) THEN 'invalid_partition' WHEN max(given) <> n - 1 THEN 'incomplete_partition' ELSE 'ok' END AS reason FROM gr GROUP BY sample_id, attempt, n, failed),
 told AS (SELECT g.sample_id, g.attempt, end_id AS boundary FROM gr g JOIN v USING (sample_id, attempt) WHERE reason = 'ok' AND end_id < g.n - 1),
-bl AS (SELECT g.sample_id, g.seg_id, greatest(0.0, coalesce(g.support_after, 0.0)) AS support, CAST(drift AS INT) + CAST(mark AND NOT rounds AS INT) AS turns, x.end_excl - x.start_frame AS lf, y.end_excl - y.start_frame AS rf
-  FROM g JOIN segments x ON x.sample_id = g.sample_id AND x.seg_id = g.seg_id JOIN segments y ON y.sample_id = g.sample_id AND y.seg_id = g.seg_id + 1 WHERE held OR mark OR drift),
+{HELD_SQL},
 fit AS (SELECT gr.sample_id, gr.attempt, start_id, end_id, seg_id, support, turns, support + 0.5 * turns AS score, least(lf, rf) AS shorter, lf + rf AS frames, least(seg_id - start_id + 1, end_id - seg_id) AS side
   FROM gr JOIN v ON v.sample_id = gr.sample_id AND v.attempt = gr.attempt AND v.reason = 'ok' JOIN bl ON bl.sample_id = gr.sample_id AND seg_id >= start_id AND seg_id < end_id),
 turn AS (SELECT *, row_number() OVER (PARTITION BY sample_id, attempt, start_id ORDER BY score DESC, turns DESC, support DESC, shorter DESC, frames DESC, seg_id) AS k FROM fit WHERE score >= {SCORE} AND side >= {SIDE}),

@@ -201,7 +201,22 @@ def coarse(spark, sf_dir):
     return s, S.ranges_from_boundaries(s.filter("part % 5 = 0").select("sample_id", F.col("seg_id").alias("boundary")), s.groupBy("sample_id").agg(F.count("*").alias("n")))
 
 
-@query("fold06_spaced_anchors")
+#: Boundaries with a reason, as blocked_boundaries() scores them, and the ranges of coarse().
+HELD_SQL = """bl AS (SELECT g.sample_id, g.seg_id, greatest(0.0, coalesce(g.support_after, 0.0)) AS support, CAST(drift AS INT) + CAST(mark AND NOT rounds AS INT) AS turns, x.end_excl - x.start_frame AS lf, y.end_excl - y.start_frame AS rf
+  FROM g JOIN segments x ON x.sample_id = g.sample_id AND x.seg_id = g.seg_id JOIN segments y ON y.sample_id = g.sample_id AND y.seg_id = g.seg_id + 1 WHERE held OR mark OR drift)"""
+COARSE_SQL = """z AS (SELECT sample_id, count(*) AS n FROM segments GROUP BY ALL), ends AS (SELECT s.sample_id, seg_id AS end_idx FROM segments s JOIN z USING (sample_id) WHERE part % 5 = 0 OR seg_id = n - 1),
+rg AS (SELECT sample_id, coalesce(lag(end_idx) OVER (PARTITION BY sample_id ORDER BY end_idx) + 1, 0) AS start_idx, end_idx FROM ends)"""
+
+
+@query("fold06_spaced_anchors", f"""WITH RECURSIVE {BLOCKED_SQL}, {HELD_SQL}, {COARSE_SQL},
+fit AS (SELECT rg.*, seg_id, support, turns, support + 0.5 * turns AS score, least(lf, rf) AS shorter, lf + rf AS frames, least(seg_id - start_idx + 1, end_idx - seg_id) AS side, end_idx - start_idx + 1 AS width
+  FROM rg JOIN bl ON bl.sample_id = rg.sample_id AND seg_id >= start_idx AND seg_id < end_idx),
+turn AS (SELECT *, CASE WHEN width >= 10 THEN greatest(1, CAST(ceil((width - 1) / 4) AS INT)) ELSE 1 END AS most,
+  row_number() OVER (PARTITION BY sample_id, start_idx ORDER BY CASE WHEN width >= 10 THEN side ELSE 0 END DESC, score DESC, turns DESC, support DESC, shorter DESC, frames DESC, seg_id) AS k FROM fit WHERE score >= 0.5 AND side >= 1),
+took AS (SELECT DISTINCT sample_id, start_idx, end_idx, 0::BIGINT AS k, CAST([] AS BIGINT[]) AS taken FROM turn
+  UNION ALL SELECT t.sample_id, t.start_idx, t.end_idx, t.k, CASE WHEN len(taken) < most AND len(list_filter(taken, lambda x: abs(x - t.seg_id) < 2)) = 0 THEN list_append(taken, t.seg_id) ELSE taken END
+  FROM took JOIN turn t ON t.sample_id = took.sample_id AND t.start_idx = took.start_idx AND t.k = took.k + 1)
+SELECT sample_id, start_idx, end_idx, unnest(taken) AS boundary FROM (SELECT sample_id, start_idx, end_idx, arg_max(taken, k) AS taken FROM took GROUP BY ALL)""")
 def fold06(spark, sf_dir):
     s, ranges = coarse(spark, sf_dir)
     return D.spaced_anchors(D.blocked_boundaries(s, 0.45), ranges, spacing=2, side=1, least=0.5)
