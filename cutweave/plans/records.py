@@ -42,7 +42,7 @@ def join03(spark, sf_dir):
     return R.still_missing(planned, rollup.filter("successes >= 2"), ["sample_id", "window_id"], rollup.filter("successes = 0"))
 
 
-@query("str08_closing_records", f"""SELECT task_id, seq, dispatch_id, '{{}}' AS vlm_json, status AS terminal_error FROM ({Q.STATUS_SQL})
+@query("str08_closing_records", f"""SELECT task_id, seq, dispatch_id, '{{}}' AS vlm_json, status AS terminal_error FROM ({Q.ALL_SQL})
 WHERE status IN ('timeout_retry_exhausted', 'empty_retry_exhausted')""")
 def str08(spark, sf_dir):
     return R.closing_records(Q.str02(spark, sf_dir))
