@@ -31,14 +31,6 @@ def phase_signature(context: Column) -> Column:
     return F.when(F.coalesce(sauce, F.lit(False)), F.concat_ws("|", F.lit("sauce_base"), first, F.lit("sauce_base"))).otherwise(told)
 
 
-def _dominant(rows: DataFrame, described: DataFrame, keys: list[str], first: str) -> DataFrame:
-    """rows(keys, instruction, n, first) -> keys, instruction: the most frequent, then most specific, then with more ingredients and
-    kinds of action, then the first seen."""
-    facts = described.select("instruction", "specificity", F.size("ingredients").alias("things"), F.size("families").alias("kinds"))
-    rank = F.struct((-F.col("n")).alias("a"), (-F.col("specificity")).alias("b"), (-F.col("things")).alias("c"), (-F.col("kinds")).alias("d"), F.col(first).alias("e"))
-    return rows.join(facts, "instruction").groupBy(*keys).agg(F.min_by("instruction", rank).alias("instruction"))
-
-
 def instruction_runs(segments: DataFrame, timeline: DataFrame, described: DataFrame, fps: float = 30.0, bin_sec: float = 2.0) -> DataFrame:
     """segments(sample_id, start_frame, end_excl, instruction), timeline(sample_id, frame, ord, instruction) -> sample_id,
     start_frame, end_excl, run (from 1), run_start, run_end, instruction.
@@ -48,21 +40,27 @@ def instruction_runs(segments: DataFrame, timeline: DataFrame, described: DataFr
     """
     step = max(1, round(max(0.5, bin_sec) * max(fps, 1.0)))
     frames = timeline.select("sample_id", "frame", "ord", "instruction")
-    inside = I.holding(frames, segments.select("sample_id", "start_frame", "end_excl"), ["sample_id"], "frame", "start_frame", "end_excl")
-    inside = inside.withColumn("bin", F.floor((F.col("frame") - F.col("start_frame")) / step).cast("long"))
-    counted = inside.groupBy(*KEYS, "bin", "instruction").agg(F.count("*").alias("n"), F.min(F.struct("frame", "ord")).alias("first"))
-    bins = _dominant(counted, described, [*KEYS, "bin"], "first")
     own = described.select(F.col("instruction").alias("own"), T.within(F.col("dest"), X.CONTAINER).alias("context"))
     spans = segments.select(*KEYS, "end_excl", F.col("instruction").alias("own")).join(own, "own").drop("own")
-    of = described.select("instruction", "dest", "all_words", "families", "actions", "ingredients", "primary")
-    signed = bins.join(spans, KEYS).join(of, "instruction").select(*KEYS, "end_excl", "bin", "instruction", phase_signature(F.col("context")).alias("signature"))
+    inside = I.holding(frames, spans, ["sample_id"], "frame", "start_frame", "end_excl")
+    inside = inside.withColumn("bin", F.floor((F.col("frame") - F.col("start_frame")) / step).cast("long"))
+    counted = inside.groupBy(*KEYS, "end_excl", "bin", "instruction").agg(F.count("*").alias("n"), F.min(F.struct("frame", "ord")).alias("first"), F.first("context").alias("context"))
+    # a row for each text of a segment meets what is known of texts; its bins ride along, so no table of bins is dealt by texts
+    texts = counted.groupBy(*KEYS, "end_excl", "instruction").agg(F.collect_list(F.struct("bin", "n", "first")).alias("bins"), F.first("context").alias("context"))
+    rank = F.struct((-F.col("specificity")).alias("b"), (-F.size("ingredients")).alias("c"), (-F.size("families")).alias("d")).alias("facts")
+    of = described.select("instruction", rank, "dest", "all_words", "families", "actions", "ingredients", "primary")
+    signed = texts.join(of, "instruction").select(*KEYS, "end_excl", "instruction", "facts", "bins", phase_signature(F.col("context")).alias("signature"))
+    rows = signed.repartition("sample_id").select(*KEYS, "end_excl", "instruction", "facts", "signature", F.inline("bins"))  # all below is keyed by the sample
+    # dominant: the most frequent, then most specific, then with more ingredients and kinds of action, then the first seen
+    best = lambda value, first: F.min_by(value, F.struct((-F.col("n")).alias("a"), "facts", F.col(first).alias("e")))
+    bins = rows.groupBy(*KEYS, "end_excl", "bin").agg(best(F.struct("instruction", "facts", "signature"), "first").alias("x")).select(*KEYS, "end_excl", "bin", "x.*")
     w = Window.partitionBy(*KEYS).orderBy("bin")
     begins = F.when(F.col("signature") == F.lag("signature").over(w), 0).otherwise(1)
-    runs = signed.withColumn("begins", begins).withColumn("run", F.sum("begins").over(w))
-    named = _dominant(runs.groupBy(*KEYS, "run", "instruction").agg(F.count("*").alias("n"), F.min("bin").alias("first")), described, [*KEYS, "run"], "first")
-    spanned = runs.groupBy(*KEYS, "end_excl", "run").agg(F.min("bin").alias("lo"), F.max("bin").alias("hi"))
+    runs = bins.withColumn("begins", begins).withColumn("run", F.sum("begins").over(w))
+    told = runs.groupBy(*KEYS, "end_excl", "run", "instruction", "facts").agg(F.count("*").alias("n"), F.min("bin").alias("lo"), F.max("bin").alias("hi"))
+    named = told.groupBy(*KEYS, "end_excl", "run").agg(best(F.col("instruction"), "lo").alias("instruction"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     at = lambda b: F.col("start_frame") + b * step
-    return spanned.join(named, [*KEYS, "run"]).select(*KEYS, "end_excl", "run", at(F.col("lo")).alias("run_start"), F.least(at(F.col("hi") + 1), F.col("end_excl")).alias("run_end"), "instruction")
+    return named.select(*KEYS, "end_excl", "run", at(F.col("lo")).alias("run_start"), F.least(at(F.col("hi") + 1), F.col("end_excl")).alias("run_end"), "instruction")
 
 
 def best_splits(segments: DataFrame, timeline: DataFrame, described: DataFrame, fps: float, segment_sec: float, phase_sec: float) -> DataFrame:

@@ -8,7 +8,7 @@ side has are looked up.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -45,6 +45,24 @@ def overlapping(left: DataFrame, right: DataFrame, on: list[str], spans: tuple[s
 
 
 def holding(points: DataFrame, spans: DataFrame, on: list[str], at: str, start: str, end: str) -> DataFrame:
-    """Pairs of a point and a span (end excluded) that holds it."""
-    pts = points.withColumn("__next", F.col(at) + 1)
-    return overlapping(pts, spans, on, (at, "__next", start, end)).drop("__next")
+    """Pairs of a point and a span (end excluded) that holds it: all columns of both, the keys once.
+
+    Spans that begin where those before them have ended are met in one window over a sample's rows in order, so that rows dealt by
+    the sample stay where they are; only spans that overlap earlier ones go by cells, on the levels that these have.
+    """
+    known = lambda df, *cols: df.dropna(subset=[*on, *cols])
+    w = Window.partitionBy(*on).orderBy(start, end)
+    ended = F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    marked = known(spans, start, end).filter(F.col(end) > F.col(start)).withColumn("__apart", F.coalesce(F.col(start) >= ended, F.lit(True)))
+    pts = known(points, at)
+    p_cols, s_cols = [c for c in points.columns if c not in on], [c for c in spans.columns if c not in on]
+    place = lambda c: F.col(c).cast("long").alias("__at")
+    begun = marked.filter("__apart").select(*on, place(start), F.lit(0).alias("__kind"), F.struct(*s_cols).alias("__s"))
+    both = begun.unionByName(pts.select(*on, place(at), F.lit(1).alias("__kind"), F.struct(*p_cols).alias("__p")), True)
+    met = both.withColumn("__s", F.last("__s", True).over(Window.partitionBy(*on).orderBy("__at", "__kind"))).filter((F.col("__kind") == 1) & (F.col("__at") < F.col(f"__s.{end}")))
+    met = met.select(*on, *[F.col(f"__p.{c}").alias(c) for c in p_cols], *[F.col(f"__s.{c}").alias(c) for c in s_cols])
+    rest = marked.filter("NOT __apart").drop("__apart").withColumns({"__b_start": F.col(start).cast("long"), "__b_end": F.col(end).cast("long")}).withColumn("__b_level", _level("__b_start", "__b_end"))
+    levels = F.broadcast(rest.agg(F.collect_set("__b_level").alias("__levels")))
+    asked = pts.crossJoin(levels).withColumn("__level", F.explode("__levels")).drop("__levels").withColumn("__cell", F.floor(F.col(at).cast("long") / F.pow(F.lit(8.0), F.col("__level"))).cast("long"))
+    other = asked.join(_dealt(rest, F.col("__b_level"), "__b_"), [*on, "__level", "__cell"]).filter((F.col("__b_start") <= F.col(at)) & (F.col(at) < F.col("__b_end")))
+    return met.unionByName(other.select(*met.columns))
