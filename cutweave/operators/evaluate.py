@@ -52,7 +52,9 @@ def greedy_matches(events: DataFrame, tolerance: int) -> DataFrame:
             out.extend((sample, *w, None) for w in waits)
             yield batch()
 
-    ordered = events.repartition("sample_id").sortWithinPartitions("sample_id", "turn", F.desc("true"), "frame", "idx")
+    # a hash of the sample, not the sample: over a union of two sides that are dealt by samples already, Spark leaves that step out, and
+    # where it then joins small partitions of one side alone, a sample's sides lie apart
+    ordered = events.repartition(F.xxhash64("sample_id")).sortWithinPartitions("sample_id", "turn", F.desc("true"), "frame", "idx")
     return ordered.select("sample_id", "frame", "idx", "true").mapInArrow(run, schema)
 
 

@@ -5,6 +5,7 @@ import random
 import time
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cutweave.operators import assembly, evaluate, hierarchy, intervals, segments
@@ -153,3 +154,14 @@ def test_window_frames_compile(spark):
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
     assert max(int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", told)) < 8000
+
+
+def test_matches_deal_a_union_of_dealt_sides(spark):
+    w = Window.partitionBy("sample_id").orderBy("frame")
+    made = lambda: spark.range(400).select((F.col("id") % 5).alias("sample_id"), (F.floor(F.col("id") / 5) * 20).alias("frame")).withColumn("idx", F.row_number().over(w).cast("long"))
+    truth = made().filter("idx > 0").select("sample_id", (F.col("frame") - 5).alias("turn"), "frame", "idx", F.lit(True).alias("true"))
+    predicted = made().filter("idx % 7 > 0").select("sample_id", F.col("frame").alias("turn"), "frame", F.lit(None).cast("long").alias("idx"), F.lit(False).alias("true"))
+    found = evaluate.greedy_matches(truth.unionByName(predicted), 5)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" in plan[: plan.index("Union")]
+    assert found.filter("mate = frame AND idx IS NOT NULL").count() == 345
