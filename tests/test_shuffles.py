@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from cutweave.functions import text as T
-from cutweave.operators import drift, intervals
+from cutweave.operators import drift, intervals, passes
 
 
 def dealt_rows(spark, run):
@@ -41,3 +41,20 @@ def test_runs_deal_frames_once(spark):
     described = T.described(segments.select("instruction").distinct())
     rows = dealt_rows(spark, lambda: drift.instruction_runs(segments, timeline, described).collect())
     assert rows < 1.2 * 40 * 900
+
+
+def test_guards_are_found_once(spark):
+    found = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            found.add(b.num_rows)
+            yield b
+
+    sizes = spark.createDataFrame([(k, 4) for k in range(6)], "sample_id long, n long")
+    attempts = sizes.select("sample_id", F.explode(F.array(F.lit(0), F.lit(1))).alias("attempt"), F.lit(None).cast("string").alias("problem"))
+    ranges = attempts.select("sample_id", "attempt", F.explode(F.array(F.struct(F.lit(0).alias("ord"), F.lit(0).alias("start_id"), F.lit(1).alias("end_id")), F.struct(F.lit(1).alias("ord"), F.lit(2).alias("start_id"), F.lit(3).alias("end_id")))).alias("r")).select("sample_id", "attempt", "r.*")
+    guards = lambda within: within.filter("start_idx = 0").select("sample_id", "attempt", F.lit(0).cast("long").alias("boundary")).mapInArrow(seen, "sample_id long, attempt int, boundary long")
+    report, bounds = passes.merge_pass(sizes, attempts, ranges, guards, least=2, most=9)
+    assert sorted(bounds.groupBy("sample_id").count().collect()) == [(k, 2) for k in range(6)] and report.filter("mode = 'coarse_boundary_consensus'").count() == 6
+    assert found.value == 12
