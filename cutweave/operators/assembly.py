@@ -51,8 +51,8 @@ def wants_refinement(text: Column, all_words: Column) -> Column:
     return clauses & ((kinds >= 2) | ((kinds >= 1) & T.has(all_words, X.PHASE_NOUN)))
 
 
-def _with_kinds(segments: DataFrame) -> DataFrame:
-    d = T.described(segments.select("instruction").distinct())
+def _with_kinds(segments: DataFrame, texts: DataFrame | None) -> DataFrame:
+    d = D.glossary(segments) if texts is None else texts
     d = d.select("instruction", is_bridge(F.col("all_words"), F.col("primary")).alias("bridge"), is_preparation(F.col("instruction"), F.col("all_words")).alias("prep"), "filler", "specific", T.within(F.col("dest"), X.CONTAINER).alias("dishes"), "primary")
     return segments.join(d, "instruction")
 
@@ -82,10 +82,10 @@ def _absorbed(rows: DataFrame, aside: Column, least_tail_sec: float, fps: float)
     return _joined(rows.withColumn("group", group), "group", ~F.col("aside"))
 
 
-def cleaned(segments: DataFrame, fps: float = 30.0) -> DataFrame:
+def cleaned(segments: DataFrame, fps: float = 30.0, texts: DataFrame | None = None) -> DataFrame:
     """Takes aside what is no task: motions of the robot and short fillers join what follows, longer fillers between two different
-    tasks join what they follow, short preparations join what follows or, as a short end, go."""
-    rows = _with_kinds(segments)
+    tasks join what they follow, short preparations join what follows or, as a short end, go. texts may be a glossary()."""
+    rows = _with_kinds(segments, texts)
     seconds = F.greatest(F.lit(0.0), (F.col("end_excl") - F.col("start_frame")) / fps)
     rows = _absorbed(rows, F.col("bridge") | (F.col("filler") & (seconds <= 5.0)), -1.0, fps)
     w = Window.partitionBy("sample_id").orderBy("seg_id")
@@ -158,7 +158,7 @@ def refined_boundaries(segments: DataFrame, refinements: DataFrame, fps: float =
         "sample_id", "group", F.coalesce(F.lag("end_new").over(g), "first.start_frame").alias("start_frame"), F.col("end_new").alias("end_excl"), F.col("first.confidence").alias("confidence"), before.alias("support_before"), after.alias("support_after")
     )
     # the texts of joined segments, from the left; what is joined so far lasts from its new start to the end of the next segment
-    d = T.described(rows.select("instruction").distinct())
+    d = D.glossary(segments)
     kept = ["instruction", "ingredients", "prep_ingredient", "actions", "specificity"]
     item = F.struct("seg_id", "start_frame", "end_excl", *kept)
     listed = rows.join(d.select(*kept), "instruction").groupBy("sample_id", "group").agg(F.array_sort(F.collect_list(item)).alias("all")).join(out.select("sample_id", "group", F.col("start_frame").alias("begin")), ["sample_id", "group"])
@@ -177,9 +177,10 @@ def refined_boundaries(segments: DataFrame, refinements: DataFrame, fps: float =
     return out.join(texts, ["sample_id", "group"]).select("sample_id", F.col("group").alias("seg_id"), "start_frame", "end_excl", "instruction", "confidence", "support_before", "support_after")
 
 
-def overcollapsed(merged: DataFrame, light: DataFrame, fps: float = 30.0) -> DataFrame:
-    """Merged segments that hide tasks: three or more source segments, two or more specific texts, and long beside the median."""
-    d = T.described(light.select("instruction").distinct()).select("instruction", "specific")
+def overcollapsed(merged: DataFrame, light: DataFrame, fps: float = 30.0, texts: DataFrame | None = None) -> DataFrame:
+    """Merged segments that hide tasks: three or more source segments, two or more specific texts, and long beside the median. texts
+    may be a glossary()."""
+    d = (D.glossary(light) if texts is None else texts).select("instruction", "specific")
     source = light.join(d, "instruction").select("sample_id", F.col("seg_id").alias("other_id"), F.when(F.col("specific"), F.lower(F.trim("instruction"))).alias("named"))
     seconds = lambda: F.greatest(F.lit(0.0), (F.col("end_excl") - F.col("start_frame")) / fps)
     typical = light.groupBy("sample_id").agg(F.median(seconds()).alias("median"))

@@ -5,7 +5,8 @@ import random
 from pyspark.sql import functions as F
 
 from cutweave.functions import text as T
-from cutweave.operators import drift, intervals, passes
+from cutweave.operators import assembly, drift, intervals, passes, wording
+from cutweave.sources import fixtures
 
 
 def dealt_rows(spark, run):
@@ -58,3 +59,21 @@ def test_guards_are_found_once(spark):
     report, bounds = passes.merge_pass(sizes, attempts, ranges, guards, least=2, most=9)
     assert sorted(bounds.groupBy("sample_id").count().collect()) == [(k, 2) for k in range(6)] and report.filter("mode = 'coarse_boundary_consensus'").count() == 6
     assert found.value == 12
+
+
+def test_texts_are_described_where_the_rows_lie(spark):
+    texts = F.array(*[F.lit(f"{v} the onion to the pot") for v in ("Add", "Stir", "Move", "Chop", "Reach for")])
+    segments = spark.range(4000).select(
+        F.floor(F.col("id") / 8).alias("sample_id"), (F.col("id") % 8).alias("seg_id"), (F.col("id") % 8 * 60).alias("start_frame"), (F.col("id") % 8 * 60 + 60).alias("end_excl"), F.get(texts, (F.col("id") % 5).cast("int")).alias("instruction"),
+        F.lit(0.5).alias("confidence"), F.lit(0.4).alias("support_before"), F.lit(0.4).alias("support_after"),
+    )
+    for run in (wording.merge_tasks, wording.neighbours, assembly.cleaned, lambda s: wording.dominant_texts(s.withColumnRenamed("seg_id", "ord"))):
+        assert dealt_rows(spark, lambda run=run: run(segments).collect()) < 1.3 * 4000
+    few = wording.glossary(segments)
+    many = wording.glossary(segments, most=2)
+    assert sorted(map(str, wording.merge_tasks(segments, texts=few).collect())) == sorted(map(str, wording.merge_tasks(segments, texts=many).collect()))
+
+
+def test_segments_are_dealt_by_sample(spark):
+    rows = dealt_rows(spark, lambda: fixtures.segments(spark, "/root/testdata/sf0.001").groupBy("sample_id").agg(F.max("seg_id")).collect())
+    assert rows < 2.2 * 6000
