@@ -189,15 +189,15 @@ def overcollapsed(merged: DataFrame, light: DataFrame, fps: float = 30.0, texts:
     return rows.filter((F.col("sources") >= 3) & (F.col("texts") >= 2) & (seconds() >= F.greatest(F.lit(10.0), F.col("median") * 1.8))).select("sample_id", "seg_id")
 
 
-def selection_policies(light: DataFrame, merged: DataFrame, micro: DataFrame, fps: float = 30.0, threshold: float = 0.9, least: int = 8, ratio: float = 0.6) -> DataFrame:
+def selection_policies(light: DataFrame, merged: DataFrame, micro: DataFrame, fps: float = 30.0, threshold: float = 0.9, least: int = 8, ratio: float = 0.6, texts: DataFrame | None = None) -> DataFrame:
     """sample_id, policy: whether the merged segments stand, or which guard keeps the light ones. micro(sample_id, point) must all
-    stay boundaries, strong boundaries within the peak gap."""
+    stay boundaries, strong boundaries within the peak gap. texts may be a glossary()."""
     kept = S.inner_boundaries(merged)
     strong = S.inner_boundaries(light, threshold).select("sample_id", F.col("frame").alias("point"))
     lost = V.missing(strong, kept, max(1, min(5, round(0.2 * max(fps, 1.0))))).select("sample_id").distinct().withColumn("strong", F.lit(True))
     lost_micro = V.missing(micro.select("sample_id", "point"), kept, 0).select("sample_id").distinct().withColumn("micro", F.lit(True))
     n = light.groupBy("sample_id").agg(F.count("*").alias("n_light")).join(merged.groupBy("sample_id").agg(F.count("*").alias("n_merged")), "sample_id", "left")
-    collapsed = overcollapsed(merged, light, fps).select("sample_id").distinct().withColumn("over", F.lit(True))
+    collapsed = overcollapsed(merged, light, fps, texts).select("sample_id").distinct().withColumn("over", F.lit(True))
     rows = n.join(lost, "sample_id", "left").join(lost_micro, "sample_id", "left").join(collapsed, "sample_id", "left")
     few = (F.col("n_light") >= least) & (F.col("n_merged") < S.least_outputs(F.col("n_light"), ratio)) & F.col("over")
     policy = F.when(F.coalesce("n_merged", F.lit(0)) == 0, "light_cleanup_empty_merge").when(F.col("strong"), "light_cleanup_strong_boundary_guard").when(F.col("micro"), "light_cleanup_micro_boundary_guard").when(few, "light_cleanup_fallback").otherwise("merged_default")
@@ -232,9 +232,11 @@ def assembled(results: DataFrame, windows: DataFrame, samples: DataFrame, frames
     labels = S.labelled_frames(chosen.select("sample_id", "window_id", "frame_ids", F.transform("r.transitions", lambda x: x.cast("long")).alias("transitions"), F.col("r.instructions").alias("instructions")))
     timeline = settled(labels.select("sample_id", "frame", (F.col("window_id") * (1 << 32) + F.col("ord")).alias("ord"), "instruction"))
     raw = settled(cut.join(S.majority_texts(cut, timeline), ["sample_id", "seg_id"]).withColumn("confidence", F.lit(1.0)))
-    light = settled(cleaned(split_on_drift(raw, timeline, fps), fps))
-    merged = cleaned(D.merge_tasks(light, fps, threshold), fps)
-    policy = selection_policies(light, merged, micro, fps, threshold)
+    split = settled(split_on_drift(raw, timeline, fps))
+    texts = D.glossary(split)  # later steps choose among these texts
+    light = settled(cleaned(split, fps, texts))
+    merged = settled(cleaned(D.merge_tasks(light, fps, threshold, texts), fps, texts))
+    policy = selection_policies(light, merged, micro, fps, threshold, texts=texts)
     both = light.withColumn("from", F.lit("light")).unionByName(merged.withColumn("from", F.lit("merged")))
     final = both.join(policy, "sample_id").filter(F.col("from") == F.when(F.col("policy") == "merged_default", "merged").otherwise("light"))
-    return D.refined_texts(final.drop("from"), light)
+    return D.refined_texts(final.drop("from"), light, texts)

@@ -9,6 +9,7 @@ from ..operators import assembly as A
 from ..operators import wording as D
 from ..operators import windows as W
 from ..sources.fixtures import SEGMENTS_SQL, segments
+from ..sources.scratch import settled
 from . import wording as P
 from .catalog import query
 from .recorded import results
@@ -96,10 +97,12 @@ def pred09(spark, sf_dir):
 
 @query("sel06_selection_policy")
 def sel06(spark, sf_dir):
-    light = A.cleaned(segments(spark, sf_dir))
-    merged = A.cleaned(D.merge_tasks(light, 30.0, 0.9))
+    s = segments(spark, sf_dir)
+    texts = D.glossary(s)  # later steps choose among these texts
+    light = settled(A.cleaned(s, texts=texts))
+    merged = settled(A.cleaned(D.merge_tasks(light, 30.0, 0.9, texts), texts=texts))
     micro = light.filter("seg_id % 7 = 6").select("sample_id", F.col("end_excl").alias("point"))
-    return A.selection_policies(light, merged, micro, 30.0, 0.5)
+    return A.selection_policies(light, merged, micro, 30.0, 0.5, texts=texts)
 
 
 @query("fold07_assembled")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from cutweave.functions import text as T
 from cutweave.operators import assembly, drift, intervals, passes, wording
+from cutweave.plans import catalog
 from cutweave.sources import fixtures
 
 
@@ -77,3 +78,10 @@ def test_texts_are_described_where_the_rows_lie(spark):
 def test_segments_are_dealt_by_sample(spark):
     rows = dealt_rows(spark, lambda: fixtures.segments(spark, "/root/testdata/sf0.001").groupBy("sample_id").agg(F.max("seg_id")).collect())
     assert rows < 2.2 * 6000
+
+
+def test_policies_describe_texts_once(spark, monkeypatch):
+    described, calls = T.described, []
+    monkeypatch.setattr(T, "described", lambda *a, **k: calls.append(1) or described(*a, **k))
+    found = catalog.QUERIES["sel06_selection_policy"](spark, "/root/testdata/sf0.001")
+    assert len(calls) == 1 and found.schema.names == ["sample_id", "policy"]
