@@ -109,7 +109,22 @@ def centre_weight(k: Column, n: Column) -> Column:
     return 0.5 - 0.5 * F.cos(2 * F.pi() * (k + 1) / (n + 1))
 
 
+def bin_size(fps: Column, bin_sec: float = 2.0) -> Column:
+    """Frames of a bin."""
+    return F.greatest(F.lit(1), even(F.lit(max(0.5, bin_sec)) * F.greatest(fps, F.lit(1.0))))
+
+
 def bin_of(frame: Column, start: Column, fps: Column, bin_sec: float = 2.0) -> Column:
     """Number of the bin of a frame within its segment."""
-    size = F.greatest(F.lit(1), even(F.lit(max(0.5, bin_sec)) * F.greatest(fps, F.lit(1.0))))
-    return F.floor((frame - start) / size).cast("long")
+    return F.floor((frame - start) / bin_size(fps, bin_sec)).cast("long")
+
+
+def frames_by_bin(segments: DataFrame, every: int, fps: Column, bin_sec: float = 2.0) -> DataFrame:
+    """segments(sample_id, seg_id, start_frame, end_excl) -> sample_id, seg_id, bin, frames: how many of each segment's frames, every so
+    many from its start, lie in each bin that holds any. Frames are counted from the bounds, so none is made and nothing is grouped."""
+    length, size = F.col("end_excl") - F.col("start_frame"), bin_size(fps, bin_sec)
+    upto = lambda x: F.ceil(x / every)  # frames before an offset
+    last = F.col("start_frame") + (upto(length) - 1) * every
+    rows = segments.filter("end_excl > start_frame").select("sample_id", "seg_id", length.alias("length"), F.explode(F.sequence(F.lit(0).cast("long"), bin_of(last, F.col("start_frame"), fps, bin_sec))).alias("bin"))
+    frames = upto(F.least("length", (F.col("bin") + 1) * size)) - upto(F.col("bin") * size)
+    return rows.select("sample_id", "seg_id", "bin", frames.cast("long").alias("frames")).filter("frames > 0")

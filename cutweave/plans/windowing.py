@@ -106,5 +106,4 @@ def win10(spark, sf_dir):
 @query("win11_bins", f"""WITH {SEGMENTS_SQL}, f AS (SELECT sample_id, seg_id, start_frame, unnest(range(start_frame, end_excl, 17)) AS frame FROM segments)
 SELECT sample_id, seg_id, (frame - start_frame) // 60 AS bin, count(*) AS frames FROM f GROUP BY ALL""")
 def win11(spark, sf_dir):
-    f = segments(spark, sf_dir).select("sample_id", "seg_id", "start_frame", F.explode(F.sequence(F.col("start_frame"), F.col("end_excl") - 1, F.lit(17).cast("long"))).alias("frame"))
-    return f.groupBy("sample_id", "seg_id", W.bin_of(F.col("frame"), F.col("start_frame"), F.lit(30.0)).alias("bin")).agg(F.count("*").alias("frames"))
+    return W.frames_by_bin(segments(spark, sf_dir), 17, F.lit(30.0))
