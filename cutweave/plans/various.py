@@ -10,6 +10,7 @@ from ..functions import text as T
 from ..operators import segments as S
 from ..operators.metrics import export_status  # noqa: F401  part of the exports' contract
 from ..sources.fixtures import SEGMENTS_SQL, segments, table
+from ..sources.scratch import spread
 from .catalog import query
 
 
@@ -171,7 +172,9 @@ def man02(spark, sf_dir):
         nation, F.col("c_mktsegment"), k.cast("string"), nation, backend, nation, nation, k.cast("string"), F.when(merged, "true").otherwise("false"), nation, k.cast("string"), F.col("c_mktsegment"), nation,
     )
     stages = F.array_compact(F.array(F.lit("stage1_segments"), F.when(merged, F.lit("stage2_text"))))
-    return table(spark, sf_dir, "customer").select(k.alias("id"), J.payload_hash(J.identity_payload(F.parse_json(text), stages)).alias("hash"))
+    # a row takes long and a file holds many rows, so these are dealt to all tasks; each text is parsed once
+    parsed = spread(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment"), "c_custkey").select(k.alias("id"), F.parse_json(text).alias("config"), stages.alias("stages"))
+    return parsed.select("id", J.payload_hash(J.identity_payload(F.col("config"), F.col("stages"))).alias("hash"))
 
 
 @query("txt30_reuse_groups", """WITH e AS (SELECT event_id, event_type, user_id, CASE WHEN event_id % 6 <> 0 THEN event_id % 40 END AS w, CASE event_id % 3 WHEN 0 THEN '' WHEN 1 THEN 'refined' ELSE 'coarse' END AS p FROM events)

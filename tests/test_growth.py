@@ -6,6 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from cutweave.operators import windows
+from cutweave.plans import catalog
+
+SF = "/root/testdata/sf0.001"
 
 
 @pytest.mark.parametrize("every,fps,bin_sec", [(17, 30.0, 2.0), (1, 0.5, 0.1), (90, 30.0, 1.0)])
@@ -20,3 +23,8 @@ def test_frames_are_counted_from_the_bounds(spark, every, fps, bin_sec):
     rows = [tuple(x) for x in found.collect()]
     assert {x[:3]: x[3] for x in rows} == want and len(rows) == len(want)
     assert "Aggregate" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["man02_identity_hashes"])
+def test_dear_rows_are_dealt_to_all_tasks(spark, name):
+    assert catalog.QUERIES[name](spark, SF).rdd.getNumPartitions() >= 4
