@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from cutweave.operators import windows
+from cutweave.operators import records, windows
 from cutweave.plans import catalog
 
 SF = "/root/testdata/sf0.001"
@@ -25,6 +25,23 @@ def test_frames_are_counted_from_the_bounds(spark, every, fps, bin_sec):
     assert "Aggregate" not in found._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", ["man02_identity_hashes"])
+@pytest.mark.parametrize("name", ["man02_identity_hashes", "map02_reasons_filled"])
 def test_dear_rows_are_dealt_to_all_tasks(spark, name):
     assert catalog.QUERIES[name](spark, SF).rdd.getNumPartitions() >= 4
+
+
+def test_reasons_of_many_fallbacks(spark):
+    """As told by the map itself: own reasons stay, blank or missing ones are filled, NULL values and maps are no reasons."""
+    r = random.Random(5)
+    pick = lambda: {f"s{k}{e}": r.choice([None, "", " ", "true", "TRUE", "why", " so "]) for k in range(40) for e in ("_fallback_used", "_fallback_reason", "_reason") if r.random() < 0.7}
+    made = [pick() for _ in range(200)]
+    df = spark.createDataFrame([(i, m) for i, m in enumerate([*made, None])], "id int, m map<string,string>")
+    said = lambda m, k: (m.get(k) or "").strip()
+    for row in df.select("id", records.with_reasons(F.col("m")).alias("got")).collect():
+        given = (made[row.id] if row.id < len(made) else None) or {}
+        want = dict(given)
+        for k, v in given.items():
+            stem = k[: -len("_fallback_used")]
+            if k.endswith("_fallback_used") and (v or "").lower() == "true" and not said(given, f"{stem}_fallback_reason") and said(given, f"{stem}_reason"):
+                want[f"{stem}_fallback_reason"] = said(given, f"{stem}_reason")
+        assert row.got == want
