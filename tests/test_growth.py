@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cutweave.operators import records, windows
 from cutweave.plans import catalog
+from test_shuffles import dealt_rows
 
 SF = "/root/testdata/sf0.001"
 
@@ -45,3 +46,9 @@ def test_reasons_of_many_fallbacks(spark):
             if k.endswith("_fallback_used") and (v or "").lower() == "true" and not said(given, f"{stem}_fallback_reason") and said(given, f"{stem}_reason"):
                 want[f"{stem}_fallback_reason"] = said(given, f"{stem}_reason")
         assert row.got == want
+
+
+@pytest.mark.parametrize("name,most", [("join13_hierarchy", 40_000)])
+def test_samples_are_not_dealt_again(spark, name, most):
+    """Joins by sample and place would deal rows anew that lie by sample already."""
+    assert dealt_rows(spark, lambda: catalog.QUERIES[name](spark, SF).collect()) < most
