@@ -212,7 +212,7 @@ def assembled(results: DataFrame, windows: DataFrame, samples: DataFrame, frames
     kept apart; labelled frames give each segment its text; long segments are split where the texts drift; cleaned and merged segments
     are held against the guards.
     """
-    used = results.filter("result IS NOT NULL").join(windows.select("sample_id", "window_id", "frame_ids"), ["sample_id", "window_id"])
+    used = settled(results.filter("result IS NOT NULL").join(windows.select("sample_id", "window_id", "frame_ids"), ["sample_id", "window_id"]))
     said = used.select("sample_id", "window_id", "repeat_index", F.posexplode(F.when(F.size("result.transitions") > 0, F.col("result.transitions")).otherwise(F.array().cast("array<int>"))).alias("k", "place"), "frame_ids")
     usable = used.groupBy("sample_id", "window_id").agg(F.count_distinct("repeat_index").alias("total"))
     named = said.select("sample_id", "window_id", "repeat_index", F.get("frame_ids", F.col("place")).alias("frame")).filter("frame IS NOT NULL")
@@ -223,7 +223,7 @@ def assembled(results: DataFrame, windows: DataFrame, samples: DataFrame, frames
     weighed = placed.select("sample_id", "window_id", "frame", weight.alias("weight"))
     points = V.clusters(weighed, fps)
     ends = samples.select("sample_id", F.explode(F.array(F.lit(0).cast("long"), F.col("nframes"))).alias("point")).unionByName(points.select("sample_id", "point"))
-    micro = V.dense_micro(cuts.join(samples, "sample_id"), ends, F.col("nframes"), fps)
+    micro = settled(V.dense_micro(cuts.join(samples, "sample_id"), ends, F.col("nframes"), fps))
     raw_support = weighed.groupBy("sample_id", F.col("frame").alias("point")).agg(F.sum("weight").alias("support"))
     cut = S.from_points(points.unionByName(micro.join(raw_support, ["sample_id", "point"], "left")), samples)
     own = F.filter(F.transform("result.transitions", lambda t: F.get("frame_ids", t)), lambda f: f.isNotNull())

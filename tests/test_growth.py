@@ -5,8 +5,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from cutweave.operators import records, windows
+from cutweave.operators import assembly, records, windows
 from cutweave.plans import catalog
+from cutweave.sources import logs
 from test_shuffles import dealt_rows
 
 SF = "/root/testdata/sf0.001"
@@ -52,3 +53,14 @@ def test_reasons_of_many_fallbacks(spark):
 def test_samples_are_not_dealt_again(spark, name, most):
     """Joins by sample and place would deal rows anew that lie by sample already."""
     assert dealt_rows(spark, lambda: catalog.QUERIES[name](spark, SF).collect()) < most
+
+
+def test_assembly_parses_lines_once_in_all_tasks(spark, monkeypatch):
+    """Each query over results that aren't kept would parse all lines again."""
+    parse, seen, given = logs.window_results, [], []
+    monkeypatch.setattr(logs, "window_results", lambda log, frames: seen.append(log) or parse(log, frames))
+    monkeypatch.setattr(assembly, "assembled", lambda results, *a: given.append(results) or results)
+    catalog.QUERIES["fold07_assembled"](spark, SF)
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert seen[0].rdd.getNumPartitions() >= 4
+    assert all("Relation" not in plan(df) and "parse_json" not in plan(df) for df in (seen[0], given[0]))
