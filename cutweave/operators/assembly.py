@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import lexicon as X
 from ..functions import text as T
 from ..sources.scratch import settled
+from . import intervals as I
 from . import segments as S
 from . import votes as V
 from . import wording as D
@@ -133,18 +134,25 @@ def refined_boundaries(segments: DataFrame, refinements: DataFrame, fps: float =
     w = Window.partitionBy("sample_id").orderBy("seg_id")
     rows = segments.select("sample_id", "seg_id", "start_frame", "end_excl", "instruction", "confidence", "support_before", "support_after")
     named = F.filter(F.transform("transitions", lambda t: F.when(t >= 0, F.get("frame_ids", t.cast("int")))), lambda f: f.isNotNull())
-    told = refinements.select("sample_id", "seg_id", F.get(named, F.lit(0)).cast("long").alias("pick"), F.col("instructions").alias("told"))
+    told = refinements.select("sample_id", F.col("seg_id").alias("told_id"), F.get(named, F.lit(0)).cast("long").alias("pick"), F.col("instructions").alias("told"))
+    # a segment and its refinement lie in one place of a window by sample: joined by both keys all rows would be dealt again
+    both = I.beside(rows, told, ["sample_id"]).withColumn("seg_id", F.coalesce("__a.seg_id", "__b.told_id"))
+    both = both.withColumn("t", F.first("__b", True).over(Window.partitionBy("sample_id", "seg_id"))).filter("__a IS NOT NULL")
+    rows = both.select("sample_id", *[f"__a.{c}" for c in rows.columns if c != "sample_id"], "t.pick", "t.told")
     support, known = S.support_between(F.col("support_after"), F.lead("support_before").over(w))
-    rows = rows.withColumns({"next_end": F.lead("end_excl").over(w), "support": support, "known": known}).join(told, ["sample_id", "seg_id"], "left")
+    rows = rows.withColumns({"next_end": F.lead("end_excl").over(w), "support": support, "known": known})
     rows = rows.withColumn("gone", F.col("next_end").isNotNull() & rejected(F.col("pick"), F.col("told"), F.col("support"), most_support))
     own = F.greatest(F.col("start_frame") + 1, F.least("pick", F.col("next_end") - 1))
     fits = F.col("pick").isNotNull() & (own > F.col("start_frame")) & (own < F.col("next_end"))
     rows = rows.withColumn("place", F.least(F.when(fits, own).otherwise(F.col("end_excl")), F.col("next_end") - 1))
     rows = rows.withColumn("group", F.coalesce(F.sum(F.when(F.col("gone"), 0).otherwise(1)).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("long"))
 
+    kept = ["instruction", "ingredients", "prep_ingredient", "actions", "specificity"]
+    of = D.glossary(segments).select(*kept, F.lit(True).alias("described"))
+    item = F.when(F.col("described"), F.struct("seg_id", "start_frame", "end_excl", *kept))
     last = F.max_by(F.struct("end_excl", "next_end", "place", "support", "known"), "seg_id").alias("last")
-    groups = rows.groupBy("sample_id", "group").agg(
-        F.min_by(F.struct("start_frame", "confidence", "support_before"), "seg_id").alias("first"), last, F.max_by("support_after", F.when(F.col("support_after").isNotNull(), F.col("seg_id"))).alias("after")
+    groups = rows.join(of, "instruction", "left").groupBy("sample_id", "group").agg(
+        F.min_by(F.struct("start_frame", "confidence", "support_before"), "seg_id").alias("first"), last, F.max_by("support_after", F.when(F.col("support_after").isNotNull(), F.col("seg_id"))).alias("after"), F.array_sort(F.collect_list(item)).alias("all")
     )
     g = Window.partitionBy("sample_id").orderBy("group")
     inner = F.col("last.next_end").isNotNull()
@@ -155,26 +163,22 @@ def refined_boundaries(segments: DataFrame, refinements: DataFrame, fps: float =
     before = F.when(F.lag("last.known").over(g), F.lag("last.support").over(g)).otherwise(F.col("first.support_before"))
     after = F.when(inner & F.col("last.known"), F.col("last.support")).otherwise(F.col("after"))
     out = groups.select(
-        "sample_id", "group", F.coalesce(F.lag("end_new").over(g), "first.start_frame").alias("start_frame"), F.col("end_new").alias("end_excl"), F.col("first.confidence").alias("confidence"), before.alias("support_before"), after.alias("support_after")
-    )
-    # the texts of joined segments, from the left; what is joined so far lasts from its new start to the end of the next segment
-    d = D.glossary(segments)
-    kept = ["instruction", "ingredients", "prep_ingredient", "actions", "specificity"]
-    item = F.struct("seg_id", "start_frame", "end_excl", *kept)
-    listed = rows.join(d.select(*kept), "instruction").groupBy("sample_id", "group").agg(F.array_sort(F.collect_list(item)).alias("all")).join(out.select("sample_id", "group", F.col("start_frame").alias("begin")), ["sample_id", "group"])
+        "sample_id", F.col("group").alias("seg_id"), F.coalesce(F.lag("end_new").over(g), "first.start_frame").alias("start_frame"), F.col("end_new").alias("end_excl"), "all",
+        F.col("first.confidence").alias("confidence"), before.alias("support_before"), after.alias("support_after"),
+    )
 
+    # the texts of joined segments, from the left; what is joined so far lasts from its new start to the end of the next segment
     def step(last: Column, x: Column) -> Column:
-        frames = {"l_frames": x["end_excl"] - F.col("begin"), "r_frames": x["end_excl"] - x["start_frame"]}
+        frames = {"l_frames": x["end_excl"] - F.col("start_frame"), "r_frames": x["end_excl"] - x["start_frame"]}
         look = lambda name: frames[name] if name in frames else (last if name[:2] == "l_" else x)[name[2:]]
         right = D.later_text(fps, look)
         text = [F.when(right, x[c]).otherwise(last[c]).alias(c) for c in kept]
         return F.struct(x["seg_id"].alias("seg_id"), last["start_frame"].alias("start_frame"), x["end_excl"].alias("end_excl"), *text)
 
-    kind = listed.schema["all"].dataType.elementType.simpleString()
-    listed = listed.withColumn("all", F.col("all").cast(f"array<{kind}>"))  # so that all fields may be NULL
-    texts = listed.select("sample_id", "group", F.aggregate(F.slice("all", 2, F.size("all")), F.get("all", F.lit(0)), lambda a, x: step(a, x).cast(kind))["instruction"].alias("instruction"))
-
-    return out.join(texts, ["sample_id", "group"]).select("sample_id", F.col("group").alias("seg_id"), "start_frame", "end_excl", "instruction", "confidence", "support_before", "support_after")
+    kind = out.schema["all"].dataType.elementType.simpleString()
+    out = out.filter(F.size("all") > 0).withColumn("all", F.col("all").cast(f"array<{kind}>"))  # so that all fields may be NULL
+    text = F.aggregate(F.slice("all", 2, F.size("all")), F.get("all", F.lit(0)), lambda a, x: step(a, x).cast(kind))["instruction"]
+    return out.select("sample_id", "seg_id", "start_frame", "end_excl", text.alias("instruction"), "confidence", "support_before", "support_after")
 
 
 def overcollapsed(merged: DataFrame, light: DataFrame, fps: float = 30.0, texts: DataFrame | None = None) -> DataFrame:

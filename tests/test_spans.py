@@ -1,4 +1,4 @@
-"""Spans: joins by cells, matches in one pass, refined boundaries and nested levels."""
+"""Spans: joins of spans, matches in one pass, refined boundaries and nested levels."""
 
 import json
 import random
@@ -34,6 +34,28 @@ def test_overlaps_are_those_of_all_pairs(spark, seed):
     assert intervals.overlapping(a.limit(0), b, ["sample_id"], ("s", "e", "t", "f")).count() == 0
 
 
+@pytest.mark.parametrize("seed", [3, 4])
+def test_every_left_row_comes_with_its_overlaps(spark, seed):
+    """Spans that follow each other, with gaps and equal starts, and a few that overlap those before; left rows without a key or bounds stay."""
+    rng = random.Random(seed)
+
+    def follow(n):
+        rows, at = [], 0
+        for i in range(n):
+            s, at = at, at + rng.choice([1, 2, 5, 9, 70])
+            rows.append((i % 2, i, s, at))
+            at += rng.choice([0, 0, 3, 40])
+        return [*rows, *[(k, n + i, s, s + rng.choice([0, 6, 300])) for i, (k, _, s, _) in enumerate(rng.sample(rows, 8))]]
+
+    left, right = follow(80), follow(70)
+    odd = [(0, 998, None, 5), (None, 999, 5, 90), (9, 997, 5, 90)]
+    a = spark.createDataFrame(left + odd, SPAN)
+    b = spark.createDataFrame(right + odd[:2], SPAN).select("sample_id", F.col("a").alias("b"), F.col("s").alias("t"), F.col("e").alias("f"))
+    got = [(r.a, r.b) for r in intervals.overlapping(a, b, ["sample_id"], ("s", "e", "t", "f"), every=True).collect()]
+    want = [(x[1], y[1]) for x in left for y in right if x[0] == y[0] and x[2] < y[3] and y[2] < x[3]]
+    assert sorted(x for x in got if x[1] is not None) == sorted(want) and {x[0] for x in got} == {x[1] for x in left + odd}
+
+
 def test_a_sample_of_a_million_frames(spark):
     """One sample, 20,000 segments, a label for each frame: each frame meets its segment in a cell, not each segment of the sample."""
     n, each = 1_000_000, 50
