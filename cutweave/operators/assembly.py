@@ -185,12 +185,12 @@ def overcollapsed(merged: DataFrame, light: DataFrame, fps: float = 30.0, texts:
     """Merged segments that hide tasks: three or more source segments, two or more specific texts, and long beside the median. texts
     may be a glossary()."""
     d = (D.glossary(light) if texts is None else texts).select("instruction", "specific")
-    source = light.join(d, "instruction").select("sample_id", F.col("seg_id").alias("other_id"), F.when(F.col("specific"), F.lower(F.trim("instruction"))).alias("named"))
-    seconds = lambda: F.greatest(F.lit(0.0), (F.col("end_excl") - F.col("start_frame")) / fps)
-    typical = light.groupBy("sample_id").agg(F.median(seconds()).alias("median"))
-    met = S.overlaps(merged, light).join(source, ["sample_id", "other_id"]).groupBy("sample_id", "seg_id").agg(F.count("*").alias("sources"), F.count_distinct("named").alias("texts"))
-    rows = merged.join(met, ["sample_id", "seg_id"]).join(typical, "sample_id")
-    return rows.filter((F.col("sources") >= 3) & (F.col("texts") >= 2) & (seconds() >= F.greatest(F.lit(10.0), F.col("median") * 1.8))).select("sample_id", "seg_id")
+    seconds = F.greatest(F.lit(0.0), (F.col("end_excl") - F.col("start_frame")) / fps)
+    source = light.withColumn("median", F.median(seconds).over(Window.partitionBy("sample_id"))).join(d, "instruction")
+    source = source.select("sample_id", F.col("start_frame").alias("s"), F.col("end_excl").alias("e"), "median", F.when(F.col("specific"), F.lower(F.trim("instruction"))).alias("named"))
+    met = I.overlapping(merged.select("sample_id", "seg_id", "start_frame", "end_excl"), source, ["sample_id"], ("start_frame", "end_excl", "s", "e"))
+    rows = met.groupBy("sample_id", "seg_id", "start_frame", "end_excl").agg(F.count("*").alias("sources"), F.count_distinct("named").alias("texts"), F.first("median").alias("median"))
+    return rows.filter((F.col("sources") >= 3) & (F.col("texts") >= 2) & (seconds >= F.greatest(F.lit(10.0), F.col("median") * 1.8))).select("sample_id", "seg_id")
 
 
 def selection_policies(light: DataFrame, merged: DataFrame, micro: DataFrame, fps: float = 30.0, threshold: float = 0.9, least: int = 8, ratio: float = 0.6, texts: DataFrame | None = None) -> DataFrame:
