@@ -50,7 +50,7 @@ def test_reasons_of_many_fallbacks(spark):
 
 
 @pytest.mark.parametrize("name,most", [("join13_hierarchy", 40_000), ("agg09_consensus", 20_000), ("agg07_merged_ranges", 40_000), ("val07_level_reasons", 28_000),
-                                       ("fold05_refined_boundaries", 50_000)])
+                                       ("fold05_refined_boundaries", 50_000), ("sel02_refined_texts", 55_000), ("pred09_overcollapsed", 70_000), ("join06_overlaps", 35_000)])
 def test_samples_are_not_dealt_again(spark, name, most):
     """Joins by sample and place would deal rows anew that lie by sample already."""
     assert dealt_rows(spark, lambda: catalog.QUERIES[name](spark, SF).collect()) < most
