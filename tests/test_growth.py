@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from cutweave.operators import assembly, records, windows
+from cutweave.operators import assembly, passes, records, windows, wording
 from cutweave.plans import catalog
 from cutweave.sources import logs
 from test_shuffles import dealt_rows
@@ -65,3 +65,22 @@ def test_assembly_parses_lines_once_in_all_tasks(spark, monkeypatch):
     plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
     assert seen[0].rdd.getNumPartitions() >= 4
     assert all("Relation" not in plan(df) and "parse_json" not in plan(df) for df in (seen[0], given[0]))
+
+
+@pytest.mark.parametrize("name", ["stg01_merge_pass", "sel05_chosen_boundaries", "stg01_merged_spans", "stg04_envelope"])
+def test_a_pass_deals_each_segment_once(spark, name):
+    """Lines are dealt to their parts twice, for the texts and for the pass, and then by sample; nothing is dealt again, and nothing but texts is kept."""
+    assert dealt_rows(spark, lambda: catalog.QUERIES[name](spark, SF).collect()) < 24_000
+
+
+def test_anchors_of_a_row_are_those_of_a_table(spark):
+    r = random.Random(8)
+    texts = ["Stir the pot", "Add the salt to the pot", "Chop the onion", "First pour the sauce", "Then pour the sauce", "Wait", None]
+    rows = [(s, i, 30 * i, 30 * i + r.randrange(1, 90), r.choice(texts), 0.5, r.choice([None, 0.1, 0.9]), r.choice([None, 0.2, 1.2])) for s in range(5) for i in range(40)]
+    segs = spark.createDataFrame(rows, "sample_id long, seg_id long, start_frame long, end_excl long, instruction string, confidence double, support_before double, support_after double")
+    cuts = {s: [-1, *sorted(r.sample(range(39), 3)), 39] for s in range(5)}
+    ranges = spark.createDataFrame([(s, 0, a + 1, b) for s, c in cuts.items() for a, b in zip(c, c[1:])], "sample_id long, attempt int, start_idx long, end_idx long")
+    how = {"spacing": 2, "side": 1}
+    want = wording.spaced_anchors(wording.blocked_boundaries(segs, 0.8), ranges.drop("attempt"), least=0.4, **how).select("sample_id", "boundary").collect()
+    got = passes.guarded(segs, ranges, True, support=0.8, score=0.4, **how).select("sample_id", "boundary").collect()
+    assert sorted(got) == sorted(want) and len(got) > 20
