@@ -5,7 +5,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from cutweave.operators import assembly, passes, records, windows, wording
+from cutweave.functions import text as T
+from cutweave.operators import assembly, drift, passes, records, windows, wording
 from cutweave.plans import catalog
 from cutweave.sources import logs
 from test_shuffles import dealt_rows
@@ -84,3 +85,46 @@ def test_anchors_of_a_row_are_those_of_a_table(spark):
     want = wording.spaced_anchors(wording.blocked_boundaries(segs, 0.8), ranges.drop("attempt"), least=0.4, **how).select("sample_id", "boundary").collect()
     got = passes.guarded(segs, ranges, True, support=0.8, score=0.4, **how).select("sample_id", "boundary").collect()
     assert sorted(got) == sorted(want) and len(got) > 20
+
+
+@pytest.mark.parametrize("name,most", [("ses04_instruction_runs", 24_000), ("fold04_best_splits", 24_000), ("fold04_split_segments", 28_000)])
+def test_frames_are_never_dealt(spark, name, most):
+    """There are some 100,000 labelled frames; lines are dealt to their parts twice, for the texts and for the segments, and then by sample; parts of
+    split segments, without frames, once more."""
+    assert dealt_rows(spark, lambda: catalog.QUERIES[name](spark, SF).collect()) < most
+
+
+def slow_runs(spans, frames, described, step):
+    """Runs of each span, as instruction_runs() tells them, bin by bin."""
+    out = []
+    for key, start, end, own in spans:
+        bins = {}
+        for k, f, o, text in frames:
+            if k == key and start <= f < end:
+                n, first = bins.setdefault((f - start) // step, {}).get(text, (0, (f, o)))
+                bins[(f - start) // step][text] = (n + 1, min(first, (f, o)))
+        facts = lambda t: (-described[t].specificity, -len(described[t].ingredients), -len(described[t].families))
+        named = [(b, min(x, key=lambda t: (-x[t][0], facts(t), x[t][1]))) for b, x in sorted(bins.items())]
+        runs = []
+        for b, t in named:
+            if not runs or described[runs[-1][-1][1]].signature != described[t].signature:
+                runs.append([])
+            runs[-1].append((b, t))
+        for i, run in enumerate(runs):
+            texts = [t for _, t in run]
+            text = min(set(texts), key=lambda t: (-texts.count(t), facts(t), texts.index(t)))
+            out.append((key, start, i + 1, start + run[0][0] * step, min(start + (run[-1][0] + 1) * step, end), text))
+    return sorted(out)
+
+
+def test_runs_are_those_of_each_bin(spark):
+    r = random.Random(6)
+    texts = ["Add the salt to the pot", "Add the sugar to the pot", "Add the salt to the big pot", "Stir the onion in the bowl", "Chop the onion", "Wait"]
+    spans = [(k, s, s + r.choice([1, 59, 60, 400, 900]), r.choice(texts)) for k in range(6) for s in range(0, 4000, 950)]
+    frames = [(k, r.randrange(-50, 5000), i, r.choice(texts[:3] if i % 300 < 150 else texts)) for k in range(7) for i in range(300)]
+    d = T.described(spark.createDataFrame([(t,) for t in texts], "instruction string"))
+    told = drift.told(d).select("instruction", drift.phase_signature(F.col("t"), F.array().cast("array<string>")).alias("signature"))
+    described = {x.instruction: x for x in d.join(told, "instruction").collect()}
+    got = drift.instruction_runs(spark.createDataFrame(spans, "sample_id long, start_frame long, end_excl long, instruction string"), spark.createDataFrame(frames, "sample_id long, frame long, ord int, instruction string"), d)
+    assert sorted(tuple(x) for x in got.select("sample_id", "start_frame", "run", "run_start", "run_end", "instruction").collect()) == slow_runs(spans, frames, described, 60)
+    assert drift.instruction_runs(got.select(*drift.KEYS, "end_excl", "instruction").limit(0), spark.createDataFrame(frames, "sample_id long, frame long, ord int, instruction string"), d).count() == 0
